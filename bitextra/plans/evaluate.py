@@ -1,0 +1,42 @@
+"""Profile and evaluation bundles."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+
+from ..operators import profile as P
+
+BUNDLES: dict[str, list[str]] = {
+    "basic": ["basic", "lengths", "domains", "datasets", "quality"],
+    "text": ["chars", "words", "word_lengths", "bigrams", "trigrams", "fourgrams", "sentences", "edges", "numbers", "longest", "zipf"],
+    "quality": ["lengths", "quality"],
+}
+BUNDLES["complete"] = sorted({*BUNDLES["basic"], *BUNDLES["text"]})
+
+TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "basic": P.basic_stats,
+    "lengths": P.length_stats,
+    "domains": lambda df: P.group_counts(df, "domain"),
+    "datasets": lambda df: P.group_counts(df, "dataset"),
+    "quality": P.quality_issues,
+    "chars": P.top_chars,
+    "words": P.top_words,
+    "word_lengths": P.word_lengths,
+    "bigrams": lambda df: P.top_ngrams(df, 2),
+    "trigrams": lambda df: P.top_ngrams(df, 3),
+    "fourgrams": lambda df: P.top_ngrams(df, 4),
+    "sentences": P.sentence_stats,
+    "edges": P.word_edges,
+    "numbers": P.number_patterns,
+    "longest": P.longest_words,
+    "zipf": P.zipf,
+}
+
+
+def profile(df: DataFrame, kind: str = "complete") -> dict[str, DataFrame]:
+    """Named profile tables of a bundle; each is computed when it is read."""
+    if kind not in BUNDLES:
+        raise ValueError(f"unknown profile '{kind}'; available: {', '.join(BUNDLES)}")
+    return {name: TABLES[name](df) for name in BUNDLES[kind]}

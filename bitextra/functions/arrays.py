@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with `value` computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
     """All n-grams in order; each order extends the one before, linear in the text length."""
     grams = tokens
@@ -24,10 +29,15 @@ def mask(ids: Column, pad_id: int) -> Column:
     return F.transform(ids, lambda x: (x != pad_id).cast("int"))
 
 
+def put(ids: Column, at: Column, value: int) -> Column:
+    """`value` at 0-based position `at`; nothing changes when `at` is outside."""
+    both = F.struct(ids.alias("ids"), at.alias("at"))
+    return let(both, lambda s: F.transform(s["ids"], lambda x, i: F.when(i == s["at"], F.lit(value)).otherwise(x)))
+
+
 def replace_first(ids: Column, test, value: int) -> Column:
     """Put `value` in place of the first entry for which `test` holds."""
-    at = F.array_position(F.transform(ids, lambda x: test(x).cast("int")), 1)
-    return F.transform(ids, lambda x, i: F.when(i + 1 == at, F.lit(value)).otherwise(x))
+    return put(ids, F.array_position(F.transform(ids, lambda x: test(x).cast("int")), 1) - 1, value)
 
 
 def set_language_tag(labels: Column, pad_id: int, tag_id: int) -> Column:
@@ -59,7 +69,6 @@ def ensure_bos(ids: Column, bos_id: int) -> Column:
 def ensure_eos(ids: Column, eos_id: int, pad_id: int) -> Column:
     """EOS behind the last non-pad entry, or in its place when there is no room left."""
     last = F.array_max(F.transform(ids, lambda x, i: F.when(x != pad_id, i).otherwise(-1)))
-    at = F.least(last + 1, F.size(ids) - 1)
-    fixed = F.transform(ids, lambda x, i: F.when(i == at, F.lit(eos_id)).otherwise(x))
+    fixed = put(ids, F.least(last + 1, F.size(ids) - 1), eos_id)
     keep = (last < 0) | (F.get(ids, last) == eos_id)
     return F.when(keep, ids).otherwise(fixed)

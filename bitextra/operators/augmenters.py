@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import constants as K, text as X
+from ..functions.arrays import let
 from ..functions.hashing import pick, uniform
 from ..registry import augmenters
 from .sampling import indexed, sample_by_hash, sample_ranked
@@ -224,19 +225,23 @@ def restructure_to_longer_texts(df: DataFrame, params: dict) -> DataFrame:
 restructure_to_longer_texts.replaces = True
 
 
-def swap_words(c: Column, u: Column) -> Column:
-    w = X.words(c)
-    at = pick(u, F.size(w) - 1)
-    swapped = F.transform(
-        w,
-        lambda x, i: F.when(i == at, F.get(w, at + 1)).when(i == at + 1, F.get(w, at)).otherwise(x),
+def swap_words(w: Column, u: Column) -> Column:
+    """One neighbouring pair of the word array exchanged, when there are more than two."""
+    both = F.struct(w.alias("w"), pick(u, F.size(w) - 1).alias("at"))
+    swapped = let(
+        both,
+        lambda s: F.concat(
+            F.slice(s["w"], F.lit(1), s["at"]),
+            F.reverse(F.slice(s["w"], s["at"] + 1, F.lit(2))),
+            F.slice(s["w"], s["at"] + 3, F.size(s["w"])),
+        ),
     )
     return F.array_join(F.when(F.size(w) > 2, swapped).otherwise(w), " ")
 
 
-def drop_articles(c: Column, draw, share: float = 0.7) -> Column:
+def drop_articles(w: Column, draw, share: float = 0.7) -> Column:
     """`draw(i)` decides on the i-th word; only articles can go."""
-    kept = F.filter(X.words(c), lambda w, i: ~(F.lower(w).isin(K.ARTICLES) & (draw(i) < F.lit(share))))
+    kept = F.filter(w, lambda x, i: ~(F.lower(x).isin(K.ARTICLES) & (draw(i) < F.lit(share))))
     return F.array_join(kept, " ")
 
 
@@ -254,10 +259,10 @@ def natural_writing_variations(df: DataFrame, params: dict) -> DataFrame:
     seed, what, key = _seed(params), "natural_writing_variations", F.col("id")
     kinds = params.get("variation_types", VARIATIONS)
     draw = lambda k: uniform(seed, what, key, k)
-    c = F.col("en")
+    c, w = F.col("en"), X.words(F.col("en"))
     forms = {
-        "word_order": swap_words(c, draw(2)),
-        "article_errors": drop_articles(c, lambda i: uniform(seed, what, key, F.concat(F.lit("w"), i.cast("string")))),
+        "word_order": swap_words(w, draw(2)),
+        "article_errors": drop_articles(w, lambda i: uniform(seed, what, key, F.concat(F.lit("w"), i.cast("string")))),
         "informal_style": informal(c),
     }
     varied = _choose([(k, forms.get(k, c)) for k in kinds], pick(draw(1), len(kinds)))

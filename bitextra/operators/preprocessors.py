@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import constants as K, text as X
+from ..functions.arrays import let
 from ..registry import preprocessors
 
 
@@ -50,16 +51,31 @@ def sync_punctuation(df: DataFrame, params: dict) -> DataFrame:
     if params.get("strategy", "sync") == "remove_all":
         nothing = F.lit("")
         return df.withColumns({"en": X.with_end_mark(en, nothing, marks), "ka": X.with_end_mark(ka, nothing, marks)})
-    marked = df.withColumns({"_en_mark": X.end_mark(en, marks), "_ka_mark": X.end_mark(ka, marks)})
-    em, km = F.col("_en_mark"), F.col("_ka_mark")
-    english_rules = (em != "") & ((km == "") | ((em != km) & F.lit(params.get("prefer", "en") == "en")))
-    georgian_rules = (km != "") & ((em == "") | ((em != km) & F.lit(params.get("prefer", "en") != "en")))
-    return marked.withColumns(
-        {
-            "ka": F.when(english_rules, X.with_end_mark(ka, em, marks)).otherwise(ka),
-            "en": F.when(georgian_rules, X.with_end_mark(en, km, marks)).otherwise(en),
-        }
-    ).drop("_en_mark", "_ka_mark")
+    prefer_en = params.get("prefer", "en") == "en"
+
+    def settle(s: Column) -> Column:
+        """(en, ka) after the side that lost its say took over the other side's mark."""
+        em, km = s["em"], s["km"]
+        differ = (em != "") & (km != "") & (em != km)
+        english_rules = ((em != "") & (km == "")) | (differ & F.lit(prefer_en))
+        georgian_rules = ((km != "") & (em == "")) | (differ & F.lit(not prefer_en))
+        return F.struct(
+            F.when(georgian_rules, X.with_end_mark(s["en"], km, marks)).otherwise(s["en"]).alias("en"),
+            F.when(english_rules, X.with_end_mark(s["ka"], em, marks)).otherwise(s["ka"]).alias("ka"),
+        )
+
+    # each text enters the expression once, however long the steps before this one are
+    marked = let(
+        F.struct(en.alias("en"), ka.alias("ka")),
+        lambda t: F.struct(
+            t["en"].alias("en"),
+            t["ka"].alias("ka"),
+            X.end_mark(t["en"], marks).alias("em"),
+            X.end_mark(t["ka"], marks).alias("km"),
+        ),
+    )
+    synced = df.withColumn("_synced", let(marked, settle))
+    return synced.withColumns({"en": F.col("_synced.en"), "ka": F.col("_synced.ka")}).drop("_synced")
 
 
 @preprocessors("remove_brackets_content", "Remove bracketed remarks, if wanted only in some domains")

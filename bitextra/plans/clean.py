@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..registry import cleaners
+from ..sources.writers import INTERNAL
 from .spec import JobSpec, Step, require_valid
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -56,6 +57,33 @@ def clean(df: DataFrame, spec: JobSpec | dict | str, scorer: Scorer | None = Non
     return kept, dropped, cleaning_stats(marked, steps)
 
 
+def run_cleaning(df: DataFrame, spec: JobSpec | dict | str, out: str, scorer: Scorer | None = None) -> DataFrame:
+    """Clean in one pass: rows go to {out}/rows by status and dataset; returns the stats.
+
+    `settings.save_dropped_data: false` keeps the dropped rows' ids and reasons only.
+    """
+    spec = require_valid(spec, ["cleaners"])
+    steps = spec.enabled("cleaners")
+    base = df if "dataset" in df.columns else df.withColumn("dataset", F.lit("all"))
+    marked = mark_failing_step(base.drop(*INTERNAL), steps, scorer)
+    is_kept = F.col("_step") == len(steps)
+    rows = marked.withColumns(
+        {"_reason": reason(steps), "status": F.when(is_kept, "kept").otherwise("dropped")}
+    )
+    if not spec.settings.get("save_dropped_data", True):
+        rows = rows.withColumns({c: F.when(is_kept, F.col(c)) for c in ("title", "en", "ka") if c in rows.columns})
+    path = f"{out}/rows"
+    rows.hint("rebalance", "status", "dataset").write.mode("overwrite").partitionBy("status", "dataset").parquet(path)
+    written = df.sparkSession.read.parquet(path)
+    return cleaning_stats(written.select("dataset", "_step"), steps)
+
+
+def read_kept(spark: SparkSession, out: str) -> DataFrame:
+    """The rows a cleaning run kept, with their dataset."""
+    rows = spark.read.parquet(f"{out}/rows").where(F.col("status") == "kept")
+    return rows.drop("status", "_step", "_reason")
+
+
 def cleaning_stats(marked: DataFrame, steps: list[Step], by: str = "dataset") -> DataFrame:
     """(dataset, step, cleaner, original, cleaned, dropped, retention) plus totals (dataset NULL).
 

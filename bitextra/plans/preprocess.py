@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaners import final_empty_filter
 from ..operators.dedup import mark_duplicates
+from ..operators.lookup import ensure_checkpoint_dir
 from ..registry import augmenters, preprocessors
 from ..schema import require_same_columns
+from ..sources.writers import write_datasets
 from .spec import JobSpec, Step, require_valid
 
 
@@ -121,11 +123,21 @@ def cleanup_stats(marked: DataFrame) -> DataFrame:
     )
 
 
-def run_preprocessing(df: DataFrame, spec: JobSpec | dict | str, order: str = "id") -> DataFrame:
-    """Preprocess, augment, then drop blank rows and repeated pairs."""
+def run_preprocessing(
+    df: DataFrame, spec: JobSpec | dict | str, order: str = "id", out: str | None = None, suffix: str = "_processed"
+) -> DataFrame:
+    """Preprocess, augment, then drop blank rows and repeated pairs.
+
+    The preprocessed table is written to the checkpoint folder: each augmenter and the
+    cleanup read it from there instead of running the text functions again.
+    """
     spec = require_valid(spec, ["preprocessors"])
-    done = preprocess(df, spec.enabled("preprocessors"))
+    ensure_checkpoint_dir(df.sparkSession)
+    done = preprocess(df, spec.enabled("preprocessors")).checkpoint()
     grown = augment(done, spec.enabled("augmenters"), spec.settings, part="_part")
     # of equal pairs the input's own row comes first, then augmenters in their order
     place = F.concat_ws(":", F.lpad(F.col("_part").cast("string"), 3, "0"), F.col(order).cast("string"))
-    return final_cleanup(grown.withColumn("_place", place), "_place").drop("_part", "_place")
+    final = final_cleanup(grown.withColumn("_place", place), "_place").drop("_part", "_place")
+    if out:
+        write_datasets(final, out, suffix)
+    return final

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("cleaning", "preparing")
+MODULES = ("cleaning", "preparing", "augmenting", "profiling")
 
 
 def load_all():

@@ -184,12 +184,12 @@ def _(spark, sf):
 @query(
     "changed_rows",
     from_pairs(
-        f"""SELECT row_pos AS "index", id, domain, en AS en_before, {squeeze_sql('en')} AS en_after, ka AS ka_before,
-        {squeeze_sql('ka')} AS ka_after FROM pairs WHERE en <> {squeeze_sql('en')} OR ka <> {squeeze_sql('ka')}"""
+        f"""SELECT row_pos AS "index", id, domain, en AS en_before, {american_sql('en')} AS en_after, ka AS ka_before,
+        ka AS ka_after FROM pairs WHERE en <> {american_sql('en')}"""
     ),
 )
 def _(spark, sf):
-    return plan.changed_rows(pairs(spark, sf, positions=True), Step("remove_extra_whitespaces"))
+    return plan.changed_rows(pairs(spark, sf, positions=True), Step("convert_to_american"))
 
 
 @query("prepare_for_inference", f"SELECT doc_id, {repair_sql(squeeze_sql(american_sql(normalize_sql('text'))))} AS text FROM documents")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-_INTERNAL = ("row_file", "row_pos")
+INTERNAL = ("row_file", "row_pos")
 
 
 def write_datasets(df: DataFrame, path: str, suffix: str = "", mode: str = "overwrite") -> None:
@@ -13,7 +13,7 @@ def write_datasets(df: DataFrame, path: str, suffix: str = "", mode: str = "over
     `rebalance` lets Spark cut a large dataset into several files and gather a small one in
     one, so neither writes thousands of crumbs nor a single giant.
     """
-    named = df.drop(*_INTERNAL).withColumn("dataset", F.concat(F.col("dataset"), F.lit(suffix)))
+    named = df.drop(*INTERNAL).withColumn("dataset", F.concat(F.col("dataset"), F.lit(suffix)))
     named.hint("rebalance", "dataset").write.mode(mode).partitionBy("dataset").parquet(path)
 
 

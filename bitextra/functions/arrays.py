@@ -12,23 +12,14 @@ def let(value: Column, body) -> Column:
 
 def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
     """All n-grams in order; each order extends the one before, linear in the text length."""
-    grams = tokens
+    grams, size = tokens, F.size(tokens)
     for k in range(1, n):
-        left = F.slice(grams, F.lit(1), F.greatest(F.size(grams) - 1, F.lit(0)))
-        right = F.slice(tokens, F.lit(k + 1), F.greatest(F.size(tokens) - k, F.lit(0)))
+        left = F.slice(grams, F.lit(1), F.greatest(size - k, F.lit(0)))
+        right = F.slice(tokens, F.lit(k + 1), F.greatest(size - k, F.lit(0)))
         grams = F.zip_with(left, right, lambda a, b: F.concat(a, F.lit(sep), b))
     return grams
 
 
-def pad(ids: Column, length: int, value: int) -> Column:
-    """Cut or right-pad to exactly `length` entries."""
-    return F.slice(F.concat(ids, F.array_repeat(F.lit(value), length)), 1, length)
-
-
-def mask(ids: Column, pad_id: int) -> Column:
-    return F.transform(ids, lambda x: (x != pad_id).cast("int"))
-
-
 def put(ids: Column, at: Column, value: int) -> Column:
     """`value` at 0-based position `at`; nothing changes when `at` is outside."""
     both = F.struct(ids.alias("ids"), at.alias("at"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as X
 from ..functions.hashing import digest, joined_digest, word_hash
-from .lookup import HOT_ROWS, attach
+from .lookup import HOT_ROWS, attach, ensure_checkpoint_dir
 
 _PRIME = 2_147_483_647
 PERMUTATION_DIGITS = 7  # hex digits of md5 that give each permutation's coefficients
@@ -46,8 +49,6 @@ def _shape(threshold: float, num_perm: int) -> tuple[int, int]:
 
 def coefficients(n: int) -> list[tuple[int, int]]:
     """(a, b) of the n hash permutations h -> (a*h + b) mod p."""
-    import hashlib
-
     def part(kind: str, i: int) -> int:
         return int(hashlib.md5(f"{kind}{i}".encode()).hexdigest()[:PERMUTATION_DIGITS], 16)
 
@@ -58,26 +59,43 @@ def _columns(columns: list[str]) -> Column:
     return F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
+def _signer(n: int, chunk: int = 8192):
+    """Arrow function: word hashes of a text to its n minima, in slices of bounded memory."""
+    pairs = coefficients(n)
+
+    @F.pandas_udf("array<bigint>")
+    def minima(hashes: pd.Series) -> pd.Series:
+        a = np.array([p[0] for p in pairs], dtype=np.int64)[:, None]
+        b = np.array([p[1] for p in pairs], dtype=np.int64)[:, None]
+
+        def sign(h) -> np.ndarray:
+            low = np.full(n, _PRIME, dtype=np.int64)
+            for at in range(0, len(h), chunk):
+                part = np.asarray(h[at : at + chunk], dtype=np.int64)[None, :]
+                np.minimum(low, ((a * part + b) % _PRIME).min(axis=1), out=low)
+            return low
+
+        return hashes.map(sign)
+
+    return minima
+
+
 def minhash_bands(df: DataFrame, columns: list[str], threshold: float = 0.9, num_perm: int = 128) -> DataFrame:
     """(digest, band): one row per band of each distinct text's MinHash signature.
 
-    Signatures are grouped minima over the distinct words. Equal texts share a digest and
-    merge already in the map-side aggregation. Texts without words have no signature.
+    Signatures are made where the rows are; words are hashed in the JVM and their minima taken
+    over whole arrays at a time. Equal texts merge in the map-side part of `distinct`. Texts
+    without words have no signature.
     """
     b, r = _shape(threshold, num_perm)
-    keyed = df.select(digest(*[F.col(c) for c in columns]).alias("_text"), X.words(_columns(columns)).alias("_w"))
-    tokens = keyed.select("_text", F.explode(F.array_distinct("_w")).alias("_w"))
-    hashed = tokens.select("_text", word_hash(F.col("_w")).alias("_h"))
-    minima = [
-        F.min((F.col("_h") * F.lit(a) + F.lit(c)) % F.lit(_PRIME)).alias(f"_m{i}")
-        for i, (a, c) in enumerate(coefficients(b * r))
-    ]
-    signatures = hashed.groupBy("_text").agg(*minima)
+    hashes = F.transform(F.array_distinct(X.words(_columns(columns))), word_hash)
+    keyed = df.select(digest(*[F.col(c) for c in columns]).alias("_text"), hashes.alias("_h")).where(F.size("_h") > 0)
+    signed = keyed.select("_text", _signer(b * r)(F.col("_h")).alias("_s"))
     bands = [
-        F.concat(F.lit(f"{j}:"), F.md5(F.concat_ws(",", *[F.col(f"_m{j * r + i}") for i in range(r)])))
+        F.concat(F.lit(f"{j}:"), F.md5(F.concat_ws(",", F.slice("_s", j * r + 1, r).cast("array<string>"))))
         for j in range(b)
     ]
-    return signatures.select("_text", F.explode(F.array(*bands)).alias("_band"))
+    return signed.select("_text", F.explode(F.array(*bands)).alias("_band")).distinct()
 
 
 def exact_keys(source: DataFrame, target: DataFrame, columns: list[str]) -> DataFrame:
@@ -105,12 +123,19 @@ ALGORITHMS = ("minhash", "simhash", "embeddings")
 
 
 def flag_contamination(
-    source: DataFrame, target: DataFrame, methods: dict | None = None, key: str = "id", hot_rows: int = HOT_ROWS
+    source: DataFrame,
+    target: DataFrame,
+    methods: dict | None = None,
+    key: str = "id",
+    hot_rows: int = HOT_ROWS,
+    cut_lineage: bool = True,
 ) -> DataFrame:
     """Target with BOOLEAN `is_exact` and `is_near`.
 
     Near duplicates follow `minhash_params`. The algorithm names `simhash` and `embeddings`
-    are accepted and find nothing: no behaviour is defined for them.
+    are accepted and find nothing: no behaviour is defined for them. With `cut_lineage` the
+    matching digests, few beside the rows, are written to the checkpoint folder once; whatever
+    is done with the flagged rows then costs a scan and a join with them.
     """
     methods = methods or {}
     exact, near = methods.get("exact_match", {}), methods.get("near_duplicate", {})
@@ -118,19 +143,26 @@ def flag_contamination(
     if algorithm not in ALGORITHMS:
         raise ValueError(f"unknown near-duplicate algorithm '{algorithm}'; available: {ALGORITHMS}")
     flagged, columns = target, target.columns
+
+    def settle(keys: DataFrame) -> DataFrame:
+        if not cut_lineage:
+            return keys
+        ensure_checkpoint_dir(keys.sparkSession)
+        return keys.checkpoint()
+
     if exact.get("enabled", True):
         cols = exact.get("columns", ["en", "ka"])
         rows = flagged.withColumn("_exact", joined_digest(*[F.col(c) for c in cols]))
-        flagged = attach(rows, exact_keys(source, target, cols), "_exact", "_exact_rows", F.col(key), hot_rows)
+        keys = settle(exact_keys(source, target, cols))
+        flagged = attach(rows, keys, "_exact", "_exact_rows", F.col(key), hot_rows)
         flagged = flagged.withColumn("is_exact", F.col("_exact_rows").isNotNull())
     else:
         flagged = flagged.withColumn("is_exact", F.lit(False))
     if near.get("enabled", True) and algorithm == "minhash":
         cols, params = near.get("columns", ["en", "ka"]), near.get("minhash_params", {})
         rows = flagged.withColumn("_near", digest(*[F.col(c) for c in cols]))
-        keys = near_keys(
-            source, target, cols, float(params.get("threshold", 0.9)), int(params.get("num_perm", 128)), hot_rows
-        )
+        threshold, num_perm = float(params.get("threshold", 0.9)), int(params.get("num_perm", 128))
+        keys = settle(near_keys(source, target, cols, threshold, num_perm, hot_rows))
         flagged = attach(rows, keys, "_near", "_near_rows", F.col(key), hot_rows)
         flagged = flagged.withColumn("is_near", F.col("_near_rows").isNotNull())
     else:

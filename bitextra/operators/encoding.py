@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import arrays as A, text as X
 from ..registry import tokenizers
+from .lookup import shuffle_partitions
 from .profile import word_counts
 
 PAD, UNK, BOS, EOS, SEP = 0, 1, 2, 3, 4
@@ -51,7 +52,7 @@ def encode(
         tokens.append(F.struct(F.lit(name).alias("_field"), F.slice(w, 1, max_length).alias("_w")))
     flat = (
         df.select(key, F.array(*tokens).alias("_t"))
-        .repartition(key)
+        .repartition(shuffle_partitions(df), key)
         .select(key, F.inline("_t"))
         .select(key, "_field", F.posexplode_outer("_w").alias("_at", "token"))
     )
@@ -75,7 +76,7 @@ def decode(encoded: DataFrame, ids: str, vocabulary: DataFrame, key: str = "id",
     """(key, text): ids back to words; ignored positions and special ids are left out."""
     flat = (
         encoded.select(key, F.transform(ids, lambda x: F.when(x == -100, F.lit(PAD)).otherwise(x)).alias("_ids"))
-        .repartition(key)
+        .repartition(shuffle_partitions(encoded), key)
         .select(key, F.posexplode_outer("_ids").alias("_at", "token_id"))
     )
     found = flat.join(_small(vocabulary, vocabulary_size), "token_id", "left")

@@ -46,6 +46,19 @@ def attach(
     )
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when the scan has fewer partitions than there are cores.
+
+    Meant for CPU-heavy text work on small or badly split files; a large scan is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only in local mode without a setting."""
     sc = spark.sparkContext

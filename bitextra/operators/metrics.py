@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import constants as K, text as X
 from ..functions.arrays import ngrams
 from ..registry import evaluators
+from .lookup import shuffle_partitions
 
 BLEU_ORDER, CHAR_ORDER, WORD_ORDER, BETA = 4, 6, 2, 2
 
@@ -78,7 +79,9 @@ def overlap_counts(
         *keys,
         F.coalesce(F.col(prediction), F.lit("")).alias("_p"),
         F.coalesce(F.col(reference), F.lit("")).alias("_r"),
-    ).repartition(keys[0])
+    )
+    # a fixed number of partitions: what follows makes some twenty times more data out of them
+    texts = texts.repartition(shuffle_partitions(df), keys[0])
     kinds = {kind: fn for kind, _, fn, _ in orders}
     sides = F.array(
         *[

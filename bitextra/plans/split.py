@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators import contamination as C
-from ..operators.lookup import ensure_checkpoint_dir
 from ..operators.sampling import sample_percentage, sample_stratified, shuffle_rows
 
 
@@ -33,14 +32,8 @@ def build_splits(spec: dict, load: Callable[[str], DataFrame]) -> dict[str, Data
     return {name: build_split(s, load, spec.get("settings")) for name, s in spec["splits"].items()}
 
 
-def decontaminate(
-    splits: dict[str, DataFrame], check: dict, cut_lineage: bool = False
-) -> tuple[dict[str, DataFrame], DataFrame | None]:
-    """(cleaned splits, report). Pairs are checked in order, against the original source.
-
-    With `cut_lineage` each cleaned target is written to the checkpoint folder, so that the
-    next pair and the writer do not repeat the match.
-    """
+def decontaminate(splits: dict[str, DataFrame], check: dict) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """(cleaned splits, report). Pairs are checked in order, against the original source."""
     cleaned, stats = dict(splits), []
     if not check.get("enabled", True):
         return cleaned, None
@@ -50,9 +43,6 @@ def decontaminate(
             print(f"skipping contamination check {source} -> {target}: split missing")
             continue
         flagged = C.flag_contamination(splits[source], cleaned[target], check.get("methods"))
-        if cut_lineage:
-            ensure_checkpoint_dir(flagged.sparkSession)
-            flagged = flagged.checkpoint()
         stats.append(C.contamination_stats(splits[source], flagged, source, target))
         if pair.get("action", "remove_from_target") == "remove_from_target":
             cleaned[target], _ = C.divide_contaminated(flagged)
@@ -107,7 +97,7 @@ def run_splitting(spec: dict, load: Callable[[str], DataFrame], out: str | None
     """Build, decontaminate, optionally shuffle and write the splits; returns them and the report."""
     from ..sources.writers import write_splits
 
-    cleaned, report = decontaminate(build_splits(spec, load), spec.get("contamination_check", {}), cut_lineage=True)
+    cleaned, report = decontaminate(build_splits(spec, load), spec.get("contamination_check", {}))
     if (spec.get("settings") or {}).get("shuffle_before_split", True) and out:
         cleaned = {n: shuffle_rows(df, ["id"]) for n, df in cleaned.items()}
     if out:

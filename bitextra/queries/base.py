@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import FloatType, IntegerType, ShortType
 
 from ..functions import constants as K
-from ..operators.lookup import dense_index, ensure_checkpoint_dir
+from ..operators.lookup import dense_index, ensure_checkpoint_dir, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, tuple[Query, str | None]] = {}
@@ -39,6 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A text table for CPU-heavy work: the test files have one row group, so one task."""
+    return spread(table(spark, sf_dir, name))
+
+
 def pairs(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
     """Stand-in for a parallel corpus: the n-th English document of a source beside the n-th other one."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")

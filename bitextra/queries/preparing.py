@@ -8,7 +8,7 @@ from ..operators.sampling import indexed
 from ..plans import preprocess as plan
 from ..plans.spec import Step, load_spec
 from ..registry import preprocessors
-from .base import collapse, from_pairs, pairs, q, query, strip, sub, table
+from .base import collapse, from_pairs, pairs, q, query, strip, sub, texts
 
 
 def _run(name, **params):
@@ -121,7 +121,7 @@ for _entity, _char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("
 
 @query("remove_html_tags", f"SELECT page_id, {collapse(_HTML)} AS text FROM pages")
 def _(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = texts(spark, sf, "pages")
     done = preprocessors.get("remove_html_tags")(pages, {"columns": ["html"]})
     return done.select("page_id", F.col("html").alias("text"))
 
@@ -194,7 +194,7 @@ def _(spark, sf):
 
 @query("prepare_for_inference", f"SELECT doc_id, {repair_sql(squeeze_sql(american_sql(normalize_sql('text'))))} AS text FROM documents")
 def _(spark, sf):
-    return P.prepare_for_inference(table(spark, sf, "documents"), ["text"]).select("doc_id", "text")
+    return P.prepare_for_inference(texts(spark, sf, "documents"), ["text"]).select("doc_id", "text")
 
 
 @query(
@@ -245,7 +245,7 @@ _FATE = f"""fated AS (SELECT *, CASE WHEN {strip('en')} = '' OR {strip('ka')} =
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.col("text").alias("en"), F.col("lang").alias("ka"))
+    return texts(spark, sf, "documents").select("doc_id", F.col("text").alias("en"), F.col("lang").alias("ka"))
 
 
 @query("final_cleanup", f"WITH {_DOCS}, {_FATE} SELECT doc_id, en, ka FROM fated WHERE fate = 'kept'")

@@ -56,12 +56,19 @@ def counts_cte(families: list[str]) -> str:
     for kind in dict.fromkeys(k for k, _, _, _ in orders):
         fn = token_sql[kind]
         ctes.append(f"tk_{kind} AS (SELECT id, {fn('prediction')} AS h, {fn('reference')} AS r FROM ev)")
-    for kind, n, _, sep in orders:
-        for side in ("h", "r"):
-            gram = f"array_to_string({side}[i:i + {n - 1}], '{sep}')"
-            parts.append(
-                f"SELECT id, '{kind}{n}' AS o, '{side}' AS side, unnest(list_transform(range(1, greatest(len({side}) - {n} + 2, 1)), lambda i: {gram})) AS g FROM tk_{kind}"
-            )
+    # tokens as rows, longer n-grams by looking ahead
+    for kind in dict.fromkeys(k for k, _, _, _ in orders):
+        sep = next(s for k, _, _, s in orders if k == kind)
+        top = max(n for k, n, _, _ in orders if k == kind)
+        ctes.append(
+            f"""un_{kind} AS (SELECT id, side, i, x[i] AS t FROM (SELECT id, 'h' AS side, h AS x, unnest(range(1, len(h) + 1)) AS i FROM tk_{kind}
+            UNION ALL SELECT id, 'r', r, unnest(range(1, len(r) + 1)) FROM tk_{kind}))"""
+        )
+        ahead = ", ".join(f"lead(t, {j}) OVER (PARTITION BY id, side ORDER BY i) AS t{j}" for j in range(1, top))
+        ctes.append(f"ld_{kind} AS (SELECT id, side, t{', ' + ahead if ahead else ''} FROM un_{kind})")
+        for n in range(1, top + 1):
+            gram = "t" + "".join(f" || '{sep}' || t{j}" for j in range(1, n))
+            parts.append(f"SELECT id, '{kind}{n}' AS o, side, {gram} AS g FROM ld_{kind} WHERE {f't{n - 1}' if n > 1 else 't'} IS NOT NULL")
     ctes.append("gr AS (" + " UNION ALL ".join(parts) + ")")
     ctes.append("gc AS (SELECT id, o, g, count(*) FILTER (side = 'h') AS h, count(*) FILTER (side = 'r') AS r FROM gr GROUP BY ALL)")
     sums = []

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import contamination as C, dedup
 from ..operators.sampling import sample_stratified
 from ..plans import split as S
-from .base import digest, from_pairs, pairs, query, table, words
+from .base import digest, from_pairs, pairs, query, texts, words
 
 # --- documents divided into a protected source (a quarter) and a target by md5 of the id ---
 
@@ -17,7 +17,7 @@ METHODS = {
 
 
 def _sides(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("_h", F.md5(F.col("doc_id").cast("string")))
+    docs = texts(spark, sf, "documents").withColumn("_h", F.md5(F.col("doc_id").cast("string")))
     return docs.where(F.col("_h") < "4").drop("_h"), docs.where(F.col("_h") >= "4").drop("_h")
 
 
@@ -118,7 +118,7 @@ def _(spark, sf):
 
 @query("drop_duplicate_texts", "SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     return dedup.drop_duplicates(docs, ["text"], "doc_id")
 
 
@@ -127,7 +127,7 @@ def _(spark, sf):
     "SELECT doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r > 1",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     return dedup.list_duplicates(docs, ["text"], "doc_id")
 
 

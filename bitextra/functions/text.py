@@ -6,6 +6,7 @@ import html
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from . import constants as K
 
@@ -85,7 +86,7 @@ def repair_encoding(c: Column) -> Column:
     return collapse_ws(F.translate(c, K.ZERO_WIDTH, ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

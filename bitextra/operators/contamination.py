@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from ..functions import text as X
 from ..functions.hashing import digest, joined_digest, word_hash
@@ -63,7 +64,7 @@ def _signer(n: int, chunk: int = 8192):
     """Arrow function: word hashes of a text to its n minima, in slices of bounded memory."""
     pairs = coefficients(n)
 
-    @F.pandas_udf("array<bigint>")
+    @F.pandas_udf(ArrayType(LongType()))
     def minima(hashes: pd.Series) -> pd.Series:
         a = np.array([p[0] for p in pairs], dtype=np.int64)[:, None]
         b = np.array([p[1] for p in pairs], dtype=np.int64)[:, None]
@@ -89,7 +90,7 @@ def minhash_bands(df: DataFrame, columns: list[str], threshold: float = 0.9, num
     """
     b, r = _shape(threshold, num_perm)
     hashes = F.transform(F.array_distinct(X.words(_columns(columns))), word_hash)
-    keyed = df.select(digest(*[F.col(c) for c in columns]).alias("_text"), hashes.alias("_h")).where(F.size("_h") > 0)
+    keyed = df.where(X.non_empty(_columns(columns))).select(digest(*[F.col(c) for c in columns]).alias("_text"), hashes.alias("_h"))
     signed = keyed.select("_text", _signer(b * r)(F.col("_h")).alias("_s"))
     bands = [
         F.concat(F.lit(f"{j}:"), F.md5(F.concat_ws(",", F.slice("_s", j * r + 1, r).cast("array<string>"))))

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType
 
 Model = Callable[[list[pd.Series]], "pd.Series"]
 
@@ -26,7 +27,6 @@ def score_rows(
     if on_error not in ("null", "fail"):
         raise ValueError("on_error must be 'null' or 'fail'")
 
-    @F.pandas_udf("double")
     def score(chunks: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = load_model()
         for chunk in chunks:
@@ -41,6 +41,7 @@ def score_rows(
                     out.append(pd.Series([None] * len(part[0]), dtype="float64"))
             yield pd.concat(out, ignore_index=True) if out else pd.Series([], dtype="float64")
 
+    score = F.pandas_udf(score, DoubleType())
     return df.withColumn(name, score(*[F.col(c) for c in columns]))
 
 

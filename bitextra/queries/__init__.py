@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("cleaning", "preparing", "augmenting", "profiling", "splitting", "sampling", "scoring")
+MODULES = ("cleaning", "preparing", "augmenting", "profiling", "splitting", "sampling", "scoring", "encoding", "mining", "loading")
 
 
 def load_all():

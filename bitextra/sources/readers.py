@@ -13,7 +13,8 @@ from .paths import Collections, exists, listing
 
 def _read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Every `name.parquet` in the folder, a file or a folder of part files, or the path itself."""
-    parts = [f"{path}/{n}" for n in listing(spark, path) if n.endswith(".parquet")]
+    inside = [] if path.endswith(".parquet") else listing(spark, path)
+    parts = [f"{path}/{n}" for n in inside if n.endswith(".parquet")]
     try:
         return spark.read.option("mergeSchema", True).parquet(*(parts or [path]))
     except AnalysisException as e:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from ..functions import constants as K, text as X
-from ..functions.arrays import ngrams
 from ..registry import evaluators
-from .lookup import shuffle_partitions
 
 BLEU_ORDER, CHAR_ORDER, WORD_ORDER, BETA = 4, 6, 2, 2
 
@@ -51,15 +52,62 @@ def chrf_words(c: Column) -> Column:
 
 
 def chrf_chars(c: Column) -> Column:
-    return F.array_remove(F.split(F.regexp_replace(c, X.K.WS + "+", ""), ""), "")
+    return F.regexp_replace(c, X.K.WS + "+", "")
 
 
-# metric -> [(order, tokens of a text, separator)]
-FAMILIES: dict[str, list[tuple[str, int, Callable[[Column], Column], str]]] = {
-    "bleu": [("b", n, tokenize_13a, " ") for n in range(1, BLEU_ORDER + 1)],
-    "chrf": [("c", n, chrf_chars, "") for n in range(1, CHAR_ORDER + 1)]
-    + [("w", n, chrf_words, " ") for n in range(1, WORD_ORDER + 1)],
+# metric -> [(kind of token, n)]; kinds: b = 13a tokens, c = characters, w = words
+FAMILIES: dict[str, list[tuple[str, int]]] = {
+    "bleu": [("b", n) for n in range(1, BLEU_ORDER + 1)],
+    "chrf": [("c", n) for n in range(1, CHAR_ORDER + 1)] + [("w", n) for n in range(1, WORD_ORDER + 1)],
 }
+TOKENS: dict[str, Callable[[Column], Column]] = {"b": tokenize_13a, "c": chrf_chars, "w": chrf_words}
+
+
+def _ids(hyp, ref) -> tuple[np.ndarray, np.ndarray]:
+    """Token numbers of both sides; a string counts as its characters."""
+    if isinstance(hyp, str):
+        h, r = (np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) for x in (hyp, ref))
+        both = np.concatenate([h, r])
+    else:
+        h, both = hyp, pd.factorize(np.concatenate([np.asarray(hyp, dtype=object), np.asarray(ref, dtype=object)]))[0]
+    numbers = np.unique(both, return_inverse=True)[1].astype(np.int64)
+    return numbers[: len(h)], numbers[len(h) :]
+
+
+def ngram_overlap(hyp, ref, top: int) -> list[int]:
+    """[matches, n-grams of hyp, n-grams of ref] for n = 1..top; exact, no hashing.
+
+    An n-gram is numbered by its (n-1)-gram's number and its last token, so memory stays
+    linear in the text length.
+    """
+    h1, r1 = _ids(hyp, ref)
+    base = int(max(h1.max(initial=0), r1.max(initial=0))) + 1
+    h, r, out = h1, r1, []
+    for n in range(1, top + 1):
+        if n > 1:
+            h, r = h[:-1] * base + h1[n - 1 :], r[:-1] * base + r1[n - 1 :]
+        numbers, seen = np.unique(np.concatenate([h, r]), return_inverse=True)
+        h, r = seen[: len(h)], seen[len(h) :]
+        counts = [np.bincount(x, minlength=len(numbers)) for x in (h, r)]
+        out += [int(np.minimum(*counts).sum()), len(h), len(r)]
+    return out
+
+
+def _overlap_function(kinds: dict[str, int]):
+    """Arrow function over the tokens of both sides, kind by kind."""
+    tops = list(kinds.values())
+
+    @F.pandas_udf(ArrayType(LongType()))
+    def overlap(tokens: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for batch in tokens:
+            yield pd.Series(
+                [
+                    [x for k, top in enumerate(tops) for x in ngram_overlap(row[2 * k], row[2 * k + 1], top)]
+                    for row in zip(*batch)
+                ]
+            )
+
+    return overlap
 
 
 def overlap_counts(
@@ -71,62 +119,26 @@ def overlap_counts(
 ) -> DataFrame:
     """Per row: clipped matches (_m), prediction n-grams (_h) and reference n-grams (_r) by order.
 
-    The texts are shuffled once, by the first key (unique). Their n-grams are produced,
-    counted and compared inside that partitioning; none of them is ever shuffled.
+    Texts become tokens in the JVM; the n-grams of a row, many times its size, are counted in
+    place over arrays of numbers. They are neither exploded nor shuffled.
     """
     orders = [o for f in families for o in FAMILIES[f]]
-    texts = df.select(
-        *keys,
-        F.coalesce(F.col(prediction), F.lit("")).alias("_p"),
-        F.coalesce(F.col(reference), F.lit("")).alias("_r"),
-    )
-    # a fixed number of partitions: what follows makes some twenty times more data out of them
-    texts = texts.repartition(shuffle_partitions(df), keys[0])
-    kinds = {kind: fn for kind, _, fn, _ in orders}
-    sides = F.array(
-        *[
-            F.struct(F.lit(s).alias("_side"), F.lit(k).alias("_kind"), F.col("_p" if s == "h" else "_r").alias("_t"))
-            for s in ("h", "r")
-            for k in kinds
-        ]
-    )
-    each = texts.select(*keys, F.inline(sides))
-    tokens = F.lit(None).cast("array<string>")
-    for kind, fn in kinds.items():
-        tokens = F.when(F.col("_kind") == kind, fn(F.col("_t"))).otherwise(tokens)
-    each = each.select(*keys, "_side", "_kind", tokens.alias("_tokens"))
-    wanted = F.lit(None).cast("array<int>")
-    for kind in kinds:
-        ns = [n for k, n, _, _ in orders if k == kind]
-        wanted = F.when(F.col("_kind") == kind, F.array(*[F.lit(n) for n in ns])).otherwise(wanted)
-    each = each.withColumn("_n", F.explode(wanted))
-    grams = F.lit(None).cast("array<string>")
-    for kind, n, _, sep in orders:
-        hit = (F.col("_kind") == kind) & (F.col("_n") == n)
-        grams = F.when(hit, ngrams(F.col("_tokens"), n, sep)).otherwise(grams)
-    # explode_outer keeps rows whose texts yield no n-gram at all
-    flat = each.select(*keys, "_side", F.concat("_kind", "_n").alias("_o"), F.explode_outer(grams).alias("_g"))
-    real = F.col("_g").isNotNull()
-    counted = flat.groupBy(*keys, "_o", "_g").agg(
-        F.count_if(real & (F.col("_side") == "h")).alias("_h"), F.count_if(real & (F.col("_side") == "r")).alias("_rr")
-    )
-    sums = []
-    for kind, n, _, _ in orders:
-        name, here = f"{kind}{n}", F.col("_o") == f"{kind}{n}"
-        for suffix, v in (("m", F.least("_h", "_rr")), ("h", F.col("_h")), ("r", F.col("_rr"))):
-            sums.append(F.sum(F.when(here, v).otherwise(F.lit(0))).cast("long").alias(f"{name}_{suffix}"))
-    per_row = counted.groupBy(*keys).agg(*sums)
-    # n-grams of a prediction count only where the reference has any
-    fixed = {
-        f"{k}{n}_h": F.when(F.col(f"{k}{n}_r") > 0, F.col(f"{k}{n}_h")).otherwise(F.lit(0))
-        for k, n, _, _ in orders
-        if k in ("c", "w")
-    }
-    return per_row.withColumns(fixed) if fixed else per_row
+    kinds = {k: max(n for kind, n in orders if kind == k) for k, _ in orders}
+    sides = [F.coalesce(F.col(c), F.lit("")) for c in (prediction, reference)]
+    tokens = [TOKENS[k](c) for k in kinds for c in sides]
+    counted = df.select(*keys, _overlap_function(kinds)(*tokens).alias("_n"))
+    at = lambda i: F.get("_n", F.lit(i))
+    columns = []
+    for i, (k, n) in enumerate(orders):
+        matches, hyp, ref = at(3 * i), at(3 * i + 1), at(3 * i + 2)
+        if k != "b":  # chrF counts n-grams of a prediction only where the reference has any
+            hyp = F.when(ref > 0, hyp).otherwise(F.lit(0).cast("long"))
+        columns += [matches.alias(f"{k}{n}_m"), hyp.alias(f"{k}{n}_h"), ref.alias(f"{k}{n}_r")]
+    return counted.select(*keys, *columns)
 
 
 def count_columns(families: tuple[str, ...]) -> list[str]:
-    return [f"{k}{n}_{x}" for f in families for k, n, _, _ in FAMILIES[f] for x in ("m", "h", "r")]
+    return [f"{k}{n}_{x}" for f in families for k, n in FAMILIES[f] for x in ("m", "h", "r")]
 
 
 def corpus_counts(per_row: DataFrame, families: tuple[str, ...], by: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.hashing import hash_key
-from .lookup import attach, dense_index, row_index
+from .lookup import attach, dense_index, ensure_checkpoint_dir, row_index
 
 _BUCKET_DIGITS = 4  # rows are drawn in md5 order; 16^4 equal buckets of it
 
@@ -36,12 +36,15 @@ def sample_by_hash(
     key: list[str],
     seed: int | str,
     strata: str | None = None,
+    settle: bool = False,
 ) -> DataFrame:
     """The first quota(rows of the stratum) rows of every stratum in md5(seed|key) order.
 
     `key` is unique. Per stratum, a histogram over hash buckets finds the bucket where the
     quota is reached; only that bucket is ranked, which gives the last row to be kept. The
-    table itself is then filtered against one cut-off per stratum and is never sorted.
+    table itself is then filtered against one cut-off per stratum and is never sorted. With
+    `settle` the cut-offs are written to the checkpoint folder, so that reading the sample
+    again costs a filtered scan only.
     """
     stratum = F.col(strata) if strata else F.lit("all")
     stratum = F.coalesce(stratum.cast("string"), F.lit(""))
@@ -56,6 +59,9 @@ def sample_by_hash(
         .where(F.col("_rank") == F.col("_need"))
         .select("_stratum", F.struct("_h", *key).alias("_cut"), "_total")
     )
+    if settle:
+        ensure_checkpoint_dir(df.sparkSession)
+        cuts = cuts.checkpoint()
     rows = df.withColumn("_stratum", stratum).withColumn("_h", hash_key(seed, *[F.col(c) for c in key]))
     if strata:
         rows = attach(rows, cuts, "_stratum", "_total", F.col("_h"))
@@ -86,8 +92,10 @@ def exactly(n: int) -> Callable[[Column], Column]:
     return lambda total: F.lit(int(n)).cast("long")
 
 
-def sample_percentage(df: DataFrame, percentage: float, key: list[str], seed: int | str = 42) -> DataFrame:
-    return df if percentage >= 100 else sample_by_hash(df, percent_of(percentage), key, seed)
+def sample_percentage(
+    df: DataFrame, percentage: float, key: list[str], seed: int | str = 42, settle: bool = False
+) -> DataFrame:
+    return df if percentage >= 100 else sample_by_hash(df, percent_of(percentage), key, seed, settle=settle)
 
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed: int | str = 42) -> DataFrame:
@@ -101,12 +109,14 @@ def sample_stratified(
     seed: int | str = 42,
     strata: str = "domain",
     min_rows: int = 10,
+    settle: bool = False,
 ) -> DataFrame:
     """max(min_rows, percentage) rows of each stratum, at most all of them."""
     if percentage >= 100 or strata not in df.columns:
         return df
     share = percent_of(percentage)
-    return sample_by_hash(df, lambda n: F.greatest(F.lit(min_rows).cast("long"), share(n)), key, seed, strata)
+    quota = lambda n: F.greatest(F.lit(min_rows).cast("long"), share(n))
+    return sample_by_hash(df, quota, key, seed, strata, settle)
 
 
 def shuffle_rows(df: DataFrame, key: list[str], seed: int | str = 42) -> DataFrame:

@@ -19,9 +19,10 @@ def build_split(split: dict, load: Callable[[str], DataFrame], settings: dict |
         df = load(source["artifact"])
         percentage, seed = source["percentage"], source.get("seed", settings.get("random_seed", 42))
         if settings.get("stratify_by_domain", True):
-            part = sample_stratified(df, percentage, key, seed, min_rows=settings.get("min_samples_per_domain", 10))
+            least = settings.get("min_samples_per_domain", 10)
+            part = sample_stratified(df, percentage, key, seed, min_rows=least, settle=True)
         else:
-            part = sample_percentage(df, percentage, key, seed)
+            part = sample_percentage(df, percentage, key, seed, settle=True)
         parts.append(part)
     if not parts:
         raise ValueError("a split needs at least one source")

@@ -53,13 +53,13 @@ def counts_cte(families: list[str]) -> str:
     token_sql = {"b": tokens_13a, "c": chrf_chars, "w": chrf_words}
     orders = [o for f in families for o in M.FAMILIES[f]]
     ctes, parts = [], []
-    for kind in dict.fromkeys(k for k, _, _, _ in orders):
+    for kind in dict.fromkeys(k for k, _ in orders):
         fn = token_sql[kind]
         ctes.append(f"tk_{kind} AS (SELECT id, {fn('prediction')} AS h, {fn('reference')} AS r FROM ev)")
     # tokens as rows, longer n-grams by looking ahead
-    for kind in dict.fromkeys(k for k, _, _, _ in orders):
-        sep = next(s for k, _, _, s in orders if k == kind)
-        top = max(n for k, n, _, _ in orders if k == kind)
+    for kind in dict.fromkeys(k for k, _ in orders):
+        sep = "" if kind == "c" else " "
+        top = max(n for k, n in orders if k == kind)
         ctes.append(
             f"""un_{kind} AS (SELECT id, side, i, x[i] AS t FROM (SELECT id, 'h' AS side, h AS x, unnest(range(1, len(h) + 1)) AS i FROM tk_{kind}
             UNION ALL SELECT id, 'r', r, unnest(range(1, len(r) + 1)) FROM tk_{kind}))"""
@@ -72,13 +72,13 @@ def counts_cte(families: list[str]) -> str:
     ctes.append("gr AS (" + " UNION ALL ".join(parts) + ")")
     ctes.append("gc AS (SELECT id, o, g, count(*) FILTER (side = 'h') AS h, count(*) FILTER (side = 'r') AS r FROM gr GROUP BY ALL)")
     sums = []
-    for kind, n, _, _ in orders:
+    for kind, n in orders:
         o = f"{kind}{n}"
         for name, e in (("m", "least(h, r)"), ("h", "h"), ("r", "r")):
             sums.append(f"coalesce(sum({e}) FILTER (o = '{o}'), 0)::BIGINT AS {o}_{name}0")
     ctes.append(f"pr AS (SELECT id, {', '.join(sums)} FROM ev LEFT JOIN gc USING (id) GROUP BY id)")
     cols = []
-    for kind, n, _, _ in orders:
+    for kind, n in orders:
         o = f"{kind}{n}"
         hyp = f"{o}_h0" if kind == "b" else f"CASE WHEN {o}_r0 > 0 THEN {o}_h0 ELSE 0 END"
         cols += [f"{o}_m0 AS {o}_m", f"{hyp} AS {o}_h", f"{o}_r0 AS {o}_r"]

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from ..operators import contamination as C, dedup
 from ..operators.sampling import sample_stratified
 from ..plans import split as S
-from .base import digest, from_pairs, pairs, query, texts, words
+from ..sources.paths import Collections
+from ..sources.readers import read_collection
+from .base import digest, from_pairs, pairs, query, scratch, texts, words
 
 # --- documents divided into a protected source (a quarter) and a target by md5 of the id ---
 
@@ -135,9 +137,9 @@ def _(spark, sf):
 
 SPLIT_SPEC = {
     "splits": {
-        "train": {"sources": [{"artifact": "pairs", "percentage": 80, "seed": 42}]},
-        "valid": {"sources": [{"artifact": "pairs", "percentage": 60, "seed": 7}]},
-        "test": {"sources": [{"artifact": "held_out", "percentage": 100}]},
+        "train": {"sources": [{"artifact": "pairs:v1", "percentage": 80, "seed": 42}]},
+        "valid": {"sources": [{"artifact": "pairs:v1", "percentage": 60, "seed": 7}]},
+        "test": {"sources": [{"artifact": "held_out:latest", "percentage": 100}]},
     },
     "contamination_check": {
         "enabled": True,
@@ -158,14 +160,14 @@ SPLIT_SPEC = {
 }
 
 
-def _strat(pct: int, seed: int, name: str, artifact: str = "pairs") -> str:
+def _strat(pct: int, seed: int, name: str, artifact: str = "pairs:v1") -> str:
     return f"""{name} AS (SELECT title, ka, en, domain, id, '{artifact}' AS source_artifact FROM (SELECT *,
  row_number() OVER (PARTITION BY domain ORDER BY md5('{seed}|' || id), id) AS r, count(*) OVER (PARTITION BY domain) AS n FROM pairs)
  WHERE r <= least(n, greatest(10, CAST(floor(n * CAST({pct} AS DOUBLE) / 100) AS BIGINT))))"""
 
 
 _SPLITS = f"""{_strat(80, 42, 'train')}, {_strat(60, 7, 'valid')},
-test AS (SELECT title, ka, en, domain, id, 'held_out' AS source_artifact FROM pairs WHERE id LIKE 'de%')"""
+test AS (SELECT title, ka, en, domain, id, 'held_out:latest' AS source_artifact FROM pairs WHERE id LIKE 'de%')"""
 _F1 = flags_cte("f1", "test", "train", ["en", "ka"])
 _CLEAN = "train2 AS (SELECT title, ka, en, domain, id, source_artifact FROM f1 WHERE NOT is_exact AND NOT is_near)"
 _F2 = flags_cte("f2", "valid", "train2", ["en", "ka"])
@@ -174,9 +176,12 @@ _TAGGED = """tagged AS (SELECT *, 'train' AS split FROM train2 UNION ALL SELECT
 
 
 def _load(spark, sf):
-    base = pairs(spark, sf)
-    tables = {"pairs": base, "held_out": base.where(F.col("id").startswith("de"))}
-    return lambda name: tables[name].withColumn("source_artifact", F.lit(name))
+    """The pairs as stored collections, as a split job finds them."""
+    root, base = scratch(spark), pairs(spark, sf)
+    base.write.parquet(f"{root}/pairs/v1/all.parquet")
+    base.where(F.col("id").startswith("de")).write.parquet(f"{root}/held_out/v1/all.parquet")
+    collections = Collections(spark, root)
+    return lambda ref: read_collection(collections, ref)
 
 
 def _splits(spark, sf):

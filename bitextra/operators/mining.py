@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.clustering import KMeans
@@ -52,8 +53,9 @@ def lsa(rows: DataFrame, key: str, features: int = 5000, k: int = 50) -> tuple[D
     rows = rows.persist()
     sparse = rows.select("entries").rdd.map(
         lambda r: OldVectors.sparse(features, [e["feature"] for e in r["entries"]], [e["weight"] for e in r["entries"]])
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # the solver passes over it many times
     svd = RowMatrix(sparse, numCols=features).computeSVD(min(k, features), computeU=False)
+    sparse.unpersist()
     v = svd.V.toArray()  # features x k, a fixed size
     spark = rows.sparkSession
     loads = spark.createDataFrame(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import constants as K, text as X
 from ..functions.arrays import let
@@ -102,6 +104,18 @@ def remove_html_tags(df: DataFrame, params: dict) -> DataFrame:
     return on_columns(df, X.strip_html, _both(params))
 
 
+def row_function(fn: Callable[[str], str]) -> Callable[[Column], Column]:
+    """A Python text function as a Column function, run over Arrow batches; NULL stays NULL.
+
+    For what has no expression. Register the preprocessor that uses it like any other.
+    """
+
+    def over(texts: pd.Series) -> pd.Series:
+        return texts.map(fn, na_action="ignore")
+
+    return F.pandas_udf(over, StringType())
+
+
 QUERY_TIME_STEPS = ["normalize_characters", "convert_to_american", "remove_extra_whitespaces", "fix_encoding_issues"]
 
 

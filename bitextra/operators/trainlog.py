@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .lookup import dense_index
@@ -18,6 +21,27 @@ def _running_max(df: DataFrame, run: str, value: Column, name: str, inclusive: b
     return joined.withColumn(name, F.greatest("_local", "_prior")).drop("_v", "_c", "_local", "_prior")
 
 
+def _improvements(records: DataFrame, run: str, min_delta: float) -> DataFrame:
+    """(run, _i) of the records that beat the last accepted one by more than min_delta.
+
+    Whether a record counts depends on the one accepted before it, so the records of a run
+    are read in order, one task per run, in constant memory.
+    """
+
+    def accept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, best = None, 0.0
+        for batch in batches:
+            kept = []
+            for at, (r, m) in enumerate(zip(batch[run], batch["_m"])):
+                if r != current or m > best + min_delta:
+                    current, best = r, m
+                    kept.append(at)
+            yield batch.iloc[kept][[run, "_i"]]
+
+    ordered = records.select(run, "_i", "_m").repartition(run).sortWithinPartitions(run, "_i")
+    return ordered.mapInPandas(accept, records.select(run, "_i").schema)
+
+
 def early_stopping(
     log: DataFrame,
     run: str,
@@ -25,20 +49,28 @@ def early_stopping(
     metric: str,
     patience: int = 3,
     greater_is_better: bool = False,
+    min_delta: float = 0.0,
     cell: int = 1 << 16,
 ) -> DataFrame:
-    """(run, stop_index, best): the first evaluation at which `patience` have passed without a
-    better metric, NULL when that never happens. `order` ends in an integer and is unique.
+    """(run, evaluations, stop_index, best): the first evaluation at which `patience` have
+    passed without a metric better by more than min_delta, NULL when that never happens.
+    `order` ends in an integer and is unique within the run.
 
-    A long run is worked through in cells of equal size that run side by side.
+    A long run is worked through in cells of equal size that run side by side. Only new
+    maxima can be improvements; a min_delta is applied to them alone.
     """
     sign = 1.0 if greater_is_better else -1.0
     rows = dense_index(log.where(F.col(metric).isNotNull()), order, [run], "_i").withColumn(
         "_m", F.col(metric) * F.lit(sign)
     )
-    rows = _running_max(rows, run, F.col("_m"), "_best", False, cell)
-    better = F.col("_best").isNull() | (F.col("_m") > F.col("_best"))
-    rows = _running_max(rows.withColumn("_up", F.when(better, F.col("_i"))), run, F.col("_up"), "_last", True, cell)
+    rows = _running_max(rows, run, F.col("_m"), "_top", False, cell)
+    record = F.col("_top").isNull() | (F.col("_m") > F.col("_top"))
+    if min_delta > 0:
+        accepted = _improvements(rows.where(record), run, min_delta).withColumn("_up", F.col("_i"))
+        rows = rows.join(accepted, [run, "_i"], "left")
+    else:
+        rows = rows.withColumn("_up", F.when(record, F.col("_i")))
+    rows = _running_max(rows, run, F.col("_up"), "_last", True, cell)
     waited = F.col("_i") - F.col("_last")
     return rows.groupBy(run).agg(
         F.count(F.lit(1)).alias("evaluations"),

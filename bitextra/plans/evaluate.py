@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from ..operators import profile as P
+from ..operators import mining as M, profile as P
 
 BUNDLES: dict[str, list[str]] = {
     "basic": ["basic", "lengths", "domains", "datasets", "quality"],
@@ -35,8 +35,28 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def profile(df: DataFrame, kind: str = "complete") -> dict[str, DataFrame]:
-    """Named profile tables of a bundle; each is computed when it is read."""
+def _clustering(df: DataFrame, key: str = "id", features: int = 5000, components: int = 50, max_clusters: int = 10) -> dict[str, DataFrame]:
+    weights = M.tfidf(df, key, F.concat_ws(" ", "ka", "en"), features)
+    vectors, explained = M.lsa(M.tfidf_vectors(weights, key), key, features, components)
+    clusters, costs, best = M.cluster(vectors, key, max_clusters)
+    fits = df.sparkSession.createDataFrame(
+        [(k, cost, k == best, explained) for k, cost in costs], "k int, cost double, chosen boolean, explained_variance double"
+    )
+    return {
+        "cluster_fits": fits,
+        "cluster_sizes": clusters.groupBy("cluster").count(),
+        "cluster_samples": M.cluster_samples(df, clusters, key),
+    }
+
+
+def profile(df: DataFrame, kind: str = "complete", **options) -> dict[str, DataFrame]:
+    """Named profile tables of a bundle; each is computed when it is read.
+
+    `clustering` fits its models at once. Words are counted anew for each table that needs
+    them: a persisted copy of all counts would be larger than the passes it saves.
+    """
+    if kind == "clustering":
+        return _clustering(df, **options)
     if kind not in BUNDLES:
-        raise ValueError(f"unknown profile '{kind}'; available: {', '.join(BUNDLES)}")
+        raise ValueError(f"unknown profile '{kind}'; available: {', '.join([*BUNDLES, 'clustering'])}")
     return {name: TABLES[name](df) for name in BUNDLES[kind]}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -123,6 +124,36 @@ def cleanup_stats(marked: DataFrame) -> DataFrame:
     )
 
 
+def preprocessing_summary(original: DataFrame, marked: DataFrame, by: str = "dataset") -> DataFrame:
+    """Rows before, after augmentation and after cleanup per dataset, and in total (rollup)."""
+    stages = original.select(by, F.lit("in").alias("_stage")).unionAll(marked.select(by, F.col("_fate").alias("_stage")))
+    counts = stages.rollup(by).agg(
+        F.grouping(by).cast("boolean").alias("is_total"),
+        F.count_if(F.col("_stage") == "in").alias("original_rows"),
+        F.count_if(F.col("_stage") != "in").alias("augmented_rows"),
+        F.count_if(F.col("_stage") == "kept").alias("final_rows"),
+    )
+    removed = F.col("augmented_rows") - F.col("final_rows")
+    made = F.col("augmented_rows") - F.col("original_rows")
+    return counts.withColumns(
+        {
+            "cleanup_percentage": F.coalesce(F.try_divide(removed * F.lit(100.0), F.col("augmented_rows")), F.lit(0.0)),
+            "augmentation_ratio": F.coalesce(F.try_divide(made, F.col("original_rows")), F.lit(0.0)),
+        }
+    )
+
+
+def step_speeds(df: DataFrame, steps: list[Step]) -> list[dict]:
+    """Seconds and rows per second of each step on its own, measured from the driver."""
+    rows, out = df.count(), []
+    for step in steps:
+        start = time.perf_counter()
+        preprocessors.get(step.name)(df, step.params).write.format("noop").mode("overwrite").save()
+        seconds = time.perf_counter() - start
+        out.append({"preprocessor": step.name, "rows": rows, "seconds": seconds, "rows_per_second": rows / seconds})
+    return out
+
+
 def run_preprocessing(
     df: DataFrame, spec: JobSpec | dict | str, order: str = "id", out: str | None = None, suffix: str = "_processed"
 ) -> DataFrame:

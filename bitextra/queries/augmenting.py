@@ -215,3 +215,25 @@ def _(spark, sf):
         "settings": {"random_seed": 42},
     }
     return plan.run_preprocessing(pairs(spark, sf, positions=True), spec)
+
+
+@query(
+    "preprocessing_summary",
+    from_pairs(
+        f"""SELECT domain AS dataset, GROUPING(domain) = 1 AS is_total, count(*) FILTER (stage = 'in') AS original_rows,
+        count(*) FILTER (stage <> 'in') AS augmented_rows, count(*) FILTER (stage = 'kept') AS final_rows,
+        round(CAST(count(*) FILTER (stage NOT IN ('in', 'kept')) AS DOUBLE) * 100 / count(*) FILTER (stage <> 'in'), 6) AS cleanup_percentage,
+        round(CAST(count(*) FILTER (stage <> 'in') - count(*) FILTER (stage = 'in') AS DOUBLE) / count(*) FILTER (stage = 'in'), 6) AS augmentation_ratio
+        FROM (SELECT domain, 'in' AS stage FROM pairs UNION ALL SELECT domain, CASE WHEN {strip('en')} = '' OR {strip('ka')} = '' THEN 'empty'
+          WHEN row_number() OVER (PARTITION BY en, ka ORDER BY id) > 1 THEN 'duplicate' ELSE 'kept' END
+          FROM (SELECT domain, id, en, ka FROM pairs UNION ALL SELECT domain, id, en, ka FROM ({noise_sql('pairs')})
+            UNION ALL SELECT domain, id, en, ka FROM ({variation_sql('pairs')})))
+        GROUP BY ROLLUP (domain)"""
+    ),
+)
+def _(spark, sf):
+    base = pairs(spark, sf).withColumn("dataset", F.col("domain"))
+    steps = [s for s in load_spec(AUGMENT_SPEC).enabled("augmenters") if s.name != "restructure_to_longer_texts"]
+    marked = plan.mark_cleanup(plan.augment(base, steps, {"random_seed": 42}), "id")
+    summary = plan.preprocessing_summary(base, marked)
+    return summary.withColumns({c: F.round(c, 6) for c in ("cleanup_percentage", "augmentation_ratio")})

@@ -126,6 +126,12 @@ def _(spark, sf):
     return done.select("page_id", F.col("html").alias("text"))
 
 
+@query("custom_text_function", "SELECT doc_id, replace(text, 'the', 'THE') AS text FROM documents")
+def _(spark, sf):
+    shout = P.row_function(lambda t: t.replace("the", "THE"))
+    return P.on_columns(texts(spark, sf, "documents"), shout, "text").select("doc_id", "text")
+
+
 # --- chains ---
 
 STEPS = [

@@ -93,3 +93,9 @@ def _(spark, sf):
         patience=3,
         greater_is_better=True,
     )
+
+
+@query("early_stopping_min_delta")
+def _(spark, sf):
+    log = table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
+    return trainlog.early_stopping(log, "user_id", ["ts", "event_id"], "value", greater_is_better=True, min_delta=5.0)

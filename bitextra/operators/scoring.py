@@ -30,6 +30,7 @@ def score_rows(
     def score(chunks: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = load_model()
         for chunk in chunks:
+            chunk = chunk if isinstance(chunk, tuple) else (chunk,)  # one column comes bare
             out = []
             for lo in range(0, len(chunk[0]), batch_size):
                 part = [s.iloc[lo : lo + batch_size] for s in chunk]

@@ -66,7 +66,10 @@ def sample_by_hash(
     if strata:
         rows = attach(rows, cuts, "_stratum", "_total", F.col("_h"))
     else:
-        rows = rows.join(F.broadcast(cuts), "_stratum")  # one row
+        # the one cut-off under each first hex digit: a hash join with sixteen rows
+        digits = F.explode(F.array(*[F.lit(d) for d in "0123456789abcdef"]))
+        sixteen = cuts.select(digits.alias("_digit"), "_cut")
+        rows = rows.withColumn("_digit", F.substring("_h", 1, 1)).join(F.broadcast(sixteen), "_digit")
     kept = rows.where(F.struct("_h", *key) <= F.col("_cut"))
     return kept.select(*df.columns)
 

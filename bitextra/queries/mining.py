@@ -7,9 +7,13 @@ from ..operators import mining as M, profile as P
 from .base import from_pairs, pairs, q, query, table
 
 _STOP = ", ".join(q(w) for w in K.STOP_WORDS)
-_BOTH = F.concat_ws(" ", "ka", "en")
 FEATURES = 2000
 
+
+def _weights(spark, sf):
+    return M.tfidf(pairs(spark, sf), "id", F.concat_ws(" ", "ka", "en"), FEATURES)
+
+
 _TFIDF = f"""tk AS (SELECT id, unnest(regexp_extract_all(lower(ka || ' ' || en), '{M.TERM}')) AS term FROM pairs),
 tf AS (SELECT id, term, count(*) AS tf FROM tk WHERE term NOT IN ({_STOP}) GROUP BY ALL),
 st AS (SELECT term, sum(tf) AS n, count(*) AS df FROM tf GROUP BY term ORDER BY n DESC, term LIMIT {FEATURES}),
@@ -25,12 +29,12 @@ we AS (SELECT id, term, feature, tf * idf AS w FROM tf JOIN vo USING (term))"""
     ),
 )
 def _(spark, sf):
-    weights = M.tfidf(pairs(spark, sf), "id", _BOTH, FEATURES)
+    weights = _weights(spark, sf)
     return weights.withColumn("weight", F.round("weight", 6))
 
 
 def _vectors(spark, sf, k=20):
-    weights = M.tfidf(pairs(spark, sf), "id", _BOTH, FEATURES)
+    weights = _weights(spark, sf)
     return M.lsa(M.tfidf_vectors(weights, "id"), "id", FEATURES, k)
 
 

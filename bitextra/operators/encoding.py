@@ -143,6 +143,16 @@ def hash_tokenizer(df: DataFrame, params: dict) -> DataFrame:
     )
 
 
+def _multilingual(df: DataFrame, params: dict) -> DataFrame:
+    """Like `words`, with the target language's id (`target_lang_id`) as first label."""
+    tag = A.set_language_tag(F.col("labels"), PAD, int(params["target_lang_id"]))
+    return words_tokenizer(df, params).withColumn("labels", tag)
+
+
+for _name in ("m2m100_multilingual", "mbart_multilingual"):
+    tokenizers(_name, "Words with a target language tag on the labels")(_multilingual)
+
+
 @tokenizers("encoder_decoder", "Source with EOS, labels with padding ignored, decoder mask")
 def encoder_decoder_tokenizer(df: DataFrame, params: dict) -> DataFrame:
     size = int(params.get("vocabulary_size", 32_000))

@@ -76,18 +76,19 @@ def dense_index(
     order: list[str],
     group: list[str] | None = None,
     name: str = "idx",
-    width: int = 1 << 17,
+    width: int = 1 << 16,
 ) -> DataFrame:
     """0-based row number within `group`, ordered by `order`, without a task per group.
 
     The last column of `order` is an integer and `order` is unique within `group`. Rows fall
     into cells of `width` consecutive integers, so a cell holds at most `width` rows whatever
-    the size of its group. A running sum over the cell counts gives each cell its start.
+    the size of its group. A running sum over the cell counts gives each cell its start; it
+    reads one number per cell, so a group of 10^10 consecutive rows means 150,000 numbers.
     """
     group = group or []
     *prefix, last = order
     cells = [*group, *prefix, "_cell"]
-    rows = df.withColumn("_cell", F.floor(F.col(last) / F.lit(width)).cast("long"))
+    rows = df.withColumn("_cell", F.call_function("div", F.col(last), F.lit(width)))
     upto = Window.partitionBy(*group).orderBy(*prefix, "_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy(*cells)

@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from ..functions import constants as K, text as X
 from ..registry import evaluators
+from .scoring import score_rows
 
 BLEU_ORDER, CHAR_ORDER, WORD_ORDER, BETA = 4, 6, 2, 2
 
@@ -214,6 +215,20 @@ def chrf(df: DataFrame, params: dict) -> DataFrame:
     return total.select(chrf_score(word_order=int(params.get("word_order", WORD_ORDER))).alias("chrf++"))
 
 
+@evaluators("georgian_comet", "Model score of (source, prediction, reference); needs `load_model`")
+def model_score(df: DataFrame, params: dict) -> DataFrame:
+    """Mean and population deviation of a neural metric's row scores.
+
+    `load_model` returns a function from [sources, predictions, references] to scores.
+    """
+    if "load_model" not in params:
+        raise ValueError("georgian_comet needs 'load_model'")
+    size = int(params.get("batch_size", 16))
+    columns = ["source", "prediction", "reference"]
+    scored = score_rows(df, params["load_model"], columns, "_score", size, on_error="fail")
+    return scored.agg(F.avg("_score").alias("comet"), population_std("_score").alias("comet_std"))
+
+
 def evaluate(df: DataFrame, configs: list[dict]) -> dict:
     """Run several evaluators over (id, source, reference, prediction).
 

@@ -114,8 +114,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    tagged = A.set_language_tag(F.col("labels"), E.PAD, 9001)
-    return _text(_encoded(spark, sf).select("id", tagged.alias("labels")), "labels")
+    done = _encoded(spark, sf, "m2m100_multilingual", target_lang_id=9001)
+    return _text(done.select("id", "labels"), "labels")
 
 
 @query(

@@ -10,7 +10,7 @@ from ..sources import paths, readers as R, writers as W
 from ..streaming.ingest import clean_stream, start_ingest
 from .base import from_pairs, pairs, query, scratch, table
 from .cleaning import CLEAN_CTE, CLEAN_SPEC, _RATE, _STATS_SQL
-from .splitting import SPLIT_SPEC, _load
+from .splitting import _CLEAN, _F1, _SPLITS, _TAGGED, SPLIT_SPEC, _load
 
 
 @query("read_datasets", "SELECT 'documents' AS dataset, count(*) AS rows, count(*) - 1 AS last_row FROM documents")
@@ -164,11 +164,18 @@ def _(spark, sf):
     return stats.withColumn("retention", F.round("retention", 6))
 
 
-@query("run_splitting")
+@query(
+    "run_splitting",
+    from_pairs(
+        """SELECT split, count(*) AS size, count(DISTINCT source_artifact) AS unique_sources, count(DISTINCT domain) AS num_domains,
+        round(count(*) * CAST(100 AS DOUBLE) / sum(count(*)) OVER (), 6) AS percentage FROM tagged GROUP BY split""",
+        f"{_SPLITS}, {_F1}, {_CLEAN}, {_TAGGED}",
+    ),
+)
 def _(spark, sf):
     root = scratch(spark)
     S.run_splitting(SPLIT_SPEC, _load(spark, sf), root)
-    return S.split_stats(R.read_splits(spark, root))
+    return S.split_stats(R.read_splits(spark, root)).withColumn("percentage", F.round("percentage", 6))
 
 
 @query(

@@ -39,7 +39,7 @@ def _(spark, sf):
     return S.sample_ranked(_docs(spark, sf), quarter, ["doc_id"], 42).select("doc_id", F.col("_rank").alias("rank"))
 
 
-@query("shuffled_rows")
+@query("shuffled_rows", "SELECT doc_id, text FROM documents")
 def _(spark, sf):
     return S.shuffle_rows(_docs(spark, sf), ["doc_id"]).select("doc_id", "text")
 
@@ -95,7 +95,16 @@ def _(spark, sf):
     )
 
 
-@query("early_stopping_min_delta")
+@query(
+    "early_stopping_min_delta",
+    """WITH RECURSIVE e AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events WHERE value IS NOT NULL),
+    up AS (SELECT user_id, i, value FROM e WHERE i = 0 UNION ALL SELECT user_id, i, value FROM (
+      SELECT e.user_id, e.i, e.value, row_number() OVER (PARTITION BY e.user_id ORDER BY e.i) AS r FROM up JOIN e
+      ON e.user_id = up.user_id AND e.i > up.i AND e.value > up.value + 5) WHERE r = 1),
+    s AS (SELECT e.*, max(up.i) OVER (PARTITION BY e.user_id ORDER BY e.i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last
+      FROM e LEFT JOIN up ON up.user_id = e.user_id AND up.i = e.i)
+    SELECT user_id, count(*) AS evaluations, min(CASE WHEN i - last >= 3 THEN i END) AS stop_index, max(value) AS best FROM s GROUP BY user_id""",
+)
 def _(spark, sf):
     log = table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
     return trainlog.early_stopping(log, "user_id", ["ts", "event_id"], "value", greater_is_better=True, min_delta=5.0)

@@ -233,3 +233,26 @@ def _length_model():
 def _(spark, sf):
     scored = scoring.score_rows(pairs(spark, sf), _length_model, ["en", "ka"], name="score")
     return scored.select("id", F.round("score", 6).alias("score"))
+
+
+def _triple_model():
+    """Stands in for a neural metric: prediction length over source length, at most one."""
+
+    def score(columns: list[pd.Series]) -> pd.Series:
+        source, prediction, _ = (c.str.len() for c in columns)
+        return (prediction / source).clip(upper=1.0)
+
+    return score
+
+
+@query(
+    "model_metric",
+    from_pairs(
+        """SELECT round(avg(s), 6) AS comet, round(coalesce(stddev_pop(s), 0), 6) AS comet_std FROM (
+        SELECT least(CAST(length(prediction) AS DOUBLE) / length(source), 1.0::DOUBLE) AS s FROM ev)""",
+        _EVAL,
+    ),
+)
+def _(spark, sf):
+    scores = M.model_score(_evaluation(spark, sf), {"load_model": _triple_model})
+    return scores.select(F.round("comet", 6).alias("comet"), F.round("comet_std", 6).alias("comet_std"))

@@ -35,8 +35,3 @@ def digest(*cols: Column) -> Column:
 def joined_digest(*cols: Column) -> Column:
     """md5 of the '|'-joined values, the key of exact matching between splits."""
     return F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]))
-
-
-def word_hash(w: Column) -> Column:
-    """28-bit hash of a word, small enough for products to stay inside BIGINT."""
-    return F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("long")

@@ -6,12 +6,13 @@ import hashlib
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from ..functions import text as X
-from ..functions.hashing import digest, joined_digest, word_hash
+from ..functions.hashing import digest, joined_digest
 from .lookup import HOT_ROWS, attach, ensure_checkpoint_dir
 
 _PRIME = 2_147_483_647
@@ -60,23 +61,46 @@ def _columns(columns: list[str]) -> Column:
     return F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
-def _signer(n: int, chunk: int = 8192):
-    """Arrow function: word hashes of a text to its n minima, in slices of bounded memory."""
-    pairs = coefficients(n)
+def _signer(n: int, chunk: int = 1 << 14):
+    """Arrow function: the words of a text to the n minima of their permuted hashes.
 
-    @F.pandas_udf(ArrayType(LongType()))
-    def minima(hashes: pd.Series) -> pd.Series:
-        a = np.array([p[0] for p in pairs], dtype=np.int64)[:, None]
-        b = np.array([p[1] for p in pairs], dtype=np.int64)[:, None]
-
-        def sign(h) -> np.ndarray:
-            low = np.full(n, _PRIME, dtype=np.int64)
-            for at in range(0, len(h), chunk):
-                part = np.asarray(h[at : at + chunk], dtype=np.int64)[None, :]
-                np.minimum(low, ((a * part + b) % _PRIME).min(axis=1), out=low)
-            return low
-
-        return hashes.map(sign)
+    Each distinct word of a batch is hashed once. Texts are then signed in groups of about
+    `chunk` words, whose arrays stay in the processor cache. The prime is 2^31 - 1: the
+    remainder is a shift, an addition and the lesser of x and x - p as unsigned numbers.
+    """
+    pairs = [(np.uint64(a), np.uint64(b)) for a, b in coefficients(n)]
+    prime, bits = np.uint64(_PRIME), np.uint64(31)
+
+    def word_number(word: str) -> int:
+        return int(hashlib.md5(word.encode()).hexdigest()[:PERMUTATION_DIGITS], 16)
+
+    def sign(hashes: np.ndarray, starts: np.ndarray, out: np.ndarray) -> None:
+        x, y = np.empty_like(hashes), np.empty_like(hashes)
+        for i, (a, b) in enumerate(pairs):
+            np.multiply(hashes, a, out=x)
+            np.add(x, b, out=x)
+            np.bitwise_and(x, prime, out=y)
+            np.right_shift(x, bits, out=x)
+            np.add(x, y, out=x)
+            np.subtract(x, prime, out=y)
+            np.minimum(x, y, out=x)
+            out[:, i] = np.minimum.reduceat(x, starts)
+
+    @F.arrow_udf(ArrayType(LongType()))
+    def minima(words: pa.Array) -> pa.Array:
+        coded = words.flatten().dictionary_encode()
+        numbers = np.fromiter(map(word_number, coded.dictionary.to_pylist()), dtype=np.uint64, count=len(coded.dictionary))
+        hashes = numbers[coded.indices.to_numpy()]
+        ends = np.cumsum(pc.list_value_length(words).to_numpy())
+        starts = np.concatenate([[0], ends[:-1]]) if len(words) else ends
+        out = np.empty((len(words), n), dtype=np.uint64)
+        lo = 0
+        while lo < len(words):
+            hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + chunk, side="right")))
+            sign(hashes[starts[lo] : ends[hi - 1]], starts[lo:hi] - starts[lo], out[lo:hi])
+            lo = hi
+        offsets = pa.array(np.arange(0, n * len(words) + 1, n, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(out.ravel().astype(np.int64)))
 
     return minima
 
@@ -84,14 +108,13 @@ def _signer(n: int, chunk: int = 8192):
 def minhash_bands(df: DataFrame, columns: list[str], threshold: float = 0.9, num_perm: int = 128) -> DataFrame:
     """(digest, band): one row per band of each distinct text's MinHash signature.
 
-    Signatures are made where the rows are; words are hashed in the JVM and their minima taken
-    over whole arrays at a time. Equal texts merge in the map-side part of `distinct`. Texts
-    without words have no signature.
+    Signatures are made where the rows are, over whole arrays at a time. Equal texts merge in
+    the map-side part of `distinct`. Texts without words have no signature.
     """
     b, r = _shape(threshold, num_perm)
-    hashes = F.transform(F.array_distinct(X.words(_columns(columns))), word_hash)
-    keyed = df.where(X.non_empty(_columns(columns))).select(digest(*[F.col(c) for c in columns]).alias("_text"), hashes.alias("_h"))
-    signed = keyed.select("_text", _signer(b * r)(F.col("_h")).alias("_s"))
+    text = _columns(columns)
+    keyed = df.where(X.non_empty(text)).select(digest(*[F.col(c) for c in columns]).alias("_text"), X.words(text).alias("_w"))
+    signed = keyed.select("_text", _signer(b * r)(F.col("_w")).alias("_s"))
     bands = [
         F.concat(F.lit(f"{j}:"), F.md5(F.concat_ws(",", F.slice("_s", j * r + 1, r).cast("array<string>"))))
         for j in range(b)

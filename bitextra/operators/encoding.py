@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import arrays as A, text as X
 from ..registry import tokenizers
 from .lookup import shuffle_partitions
-from .profile import word_counts
+from .profile import most_frequent, word_counts
 
 PAD, UNK, BOS, EOS, SEP = 0, 1, 2, 3, 4
 SPECIALS = {"<pad>": PAD, "<unk>": UNK, "<s>": BOS, "</s>": EOS, "<sep>": SEP}
@@ -19,7 +19,7 @@ BROADCAST_VOCABULARY = 200_000
 def fit_vocabulary(df: DataFrame, size: int = 32_000) -> DataFrame:
     """(token, token_id): the `size` most frequent words of both sides behind the special ids."""
     counts = word_counts(df).where(F.col("word") != "").groupBy("word").agg(F.sum("count").alias("n"))
-    top = counts.orderBy(F.desc("n"), F.asc("word")).limit(size)
+    top = most_frequent(counts, size, "word", "n")
     rank = F.row_number().over(Window.orderBy(F.desc("n"), F.asc("word")))  # over `size` rows
     return top.select(F.col("word").alias("token"), (rank + (FIRST_WORD - 1)).cast("int").alias("token_id"))
 

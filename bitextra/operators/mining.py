@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import constants as K
 from ..functions.hashing import hash_key
 from .preprocessors import preview
+from .profile import most_frequent
 
+BROADCAST_TERMS = 200_000  # some 10 MB
 TERM = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -33,11 +35,12 @@ def tfidf(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
     counts = terms(df, key, text)
     stats = counts.groupBy("term").agg(F.sum("tf").alias("_n"), F.count(F.lit(1)).alias("_df"))
     by_count = [F.desc("_n"), F.asc("term")]
-    vocabulary = stats.orderBy(*by_count).limit(features)
+    vocabulary = most_frequent(stats, features, "term", "_n")
     vocabulary = vocabulary.withColumn("feature", F.row_number().over(Window.orderBy(*by_count)) - 1)
     n = df.count()  # one number
     idf = F.log(F.lit(1.0 + n) / (F.col("_df") + 1)) + 1
-    weighted = counts.join(F.broadcast(vocabulary.select("term", "feature", idf.alias("_idf"))), "term")
+    vocabulary = vocabulary.select("term", "feature", idf.alias("_idf"))
+    weighted = counts.join(F.broadcast(vocabulary) if features <= BROADCAST_TERMS else vocabulary, "term")
     weighted = weighted.withColumn("_w", F.col("tf") * F.col("_idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))  # <= `features` rows per key
     return weighted.select(key, "term", "feature", (F.col("_w") / norm).alias("weight"))

@@ -23,8 +23,18 @@ def _top(counts: DataFrame, k: int, by: list[str], item: str) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _share(part: Column, whole: Column) -> Column:
-    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+def most_frequent(counts: DataFrame, size: int, item: str, n: str) -> DataFrame:
+    """The `size` most frequent items, equal counts in item order, for sizes in the thousands.
+
+    How many items have each count tells which counts can be among the first `size`; there
+    are at most `size` of them. All other items go before the sort, so that its last, single
+    task receives little more than the result.
+    """
+    above = Window.orderBy(F.desc(n)).rowsBetween(Window.unboundedPreceding, -1)
+    levels = counts.groupBy(n).agg(F.count(F.lit(1)).alias("_items"))
+    levels = levels.withColumn("_before", F.coalesce(F.sum("_items").over(above), F.lit(0)))
+    kept = counts.join(F.broadcast(levels.where(F.col("_before") < size).select(n)), n)
+    return kept.orderBy(F.desc(n), F.asc(item)).limit(size)
 
 
 def basic_stats(df: DataFrame) -> DataFrame:

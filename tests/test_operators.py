@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from bitextra.functions import arrays as A
 from bitextra.operators import augmenters as aug, contamination as C, dedup, encoding as E, lookup as L, metrics as M
 from bitextra.operators import sampling as S, scoring, trainlog
+from bitextra.operators.profile import most_frequent
 
 
 def numbers(spark, n=500, seed=1):
@@ -226,6 +227,15 @@ def test_encoding_round_trip(spark, parallel):
     assert back == {"set_0": "a b c", "set_1": "a b", "set_2": "", "set_3": " ".join("a" * 8)}
 
 
+def test_most_frequent(spark):
+    rnd = random.Random(2)
+    rows = [(f"w{i}", rnd.choice([1, 1, 1, 2, 3, 50])) for i in range(400)]
+    df = spark.createDataFrame(rows, "word string, n long").repartition(5)
+    ranked = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for size in (1, 60, 150, 399, 1000):
+        assert [tuple(r) for r in most_frequent(df, size, "word", "n").select("word", "n").collect()] == ranked[:size]
+
+
 def test_label_shifts(spark):
     rows = [([2, 7, 8, 3, -100], [1, 1, 1, 1, 0]), ([7, 8, 3, -100, -100], [1, 1, 1, 0, 0])]
     df = spark.createDataFrame(rows, "labels array<int>, decoder_attention_mask array<int>")

@@ -113,9 +113,9 @@ QUERIES = {
 SQL = {
     "op9_mtree_top5": r"""
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
@@ -125,11 +125,11 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
     "op10_jaccard_forest": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, md5(coalesce(text, '')) AS k,
-    list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+    list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS run
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),

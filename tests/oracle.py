@@ -45,7 +45,7 @@ def sql_rows(con, sql: str) -> tuple[list[str], Counter, dict]:
     return sorted(names), rows, dict(zip(names, map(str, rel.types)))
 
 
-TYPES = {"bigint": ("BIGINT", "INTEGER"), "double": ("DOUBLE",), "string": ("VARCHAR",), "boolean": ("BOOLEAN",)}
+TYPES = {"bigint": ("BIGINT", "INTEGER"), "int": ("INTEGER",), "double": ("DOUBLE",), "string": ("VARCHAR",), "boolean": ("BOOLEAN",)}
 
 
 def differences(df, con, sql: str) -> list[str]:

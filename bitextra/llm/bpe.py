@@ -68,7 +68,7 @@ class Memo(dict):
 class Codec:
     """Encodes and decodes with the vocabulary, merges and added tokens of a tokenizer file."""
 
-    def __init__(self, path: str, memo: int = 600_000) -> None:
+    def __init__(self, path: str, memo: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -185,7 +185,7 @@ def _codec(path: str, memo: int) -> Codec:
     return Codec(path, memo)
 
 
-def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "ids", memo: int = 600_000) -> DataFrame:
+def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "ids", memo: int = 400_000) -> DataFrame:
     """Adds `ids`: the BPE ids of the whole `text`, without added special tokens.
 
     NULL and empty texts give an empty list; repeated rows are encoded each for itself; a
@@ -207,21 +207,22 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "i
     return add_columns(df, [StructField(ids, ArrayType(IntegerType(), True))], start)
 
 
-def decode_ids(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Adds `text`: the vocabulary strings of `ids`, joined, special tokens included.
+def decoder(path: str, ids: str) -> Callable[[pa.RecordBatch], list[pa.Array]]:
+    """The function that decodes a batch, for use in a task."""
+    codec = _codec(path, 400_000)
 
-    Bytes that are not UTF-8 become U+FFFD. NULL and empty lists give the empty text.
-    """
+    def make(batch: pa.RecordBatch) -> list[pa.Array]:
+        column = batch.column(ids)
+        ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+        rows = zip(ends[:-1], ends[1:], column.is_null().to_pylist(), strict=True)
+        return [pa.array(["" if null else codec.decode(values[a:b]) for a, b, null in rows], pa.string())]
 
-    def start():
-        codec = _codec(path, 600_000)
+    return make
 
-        def make(batch: pa.RecordBatch) -> list[pa.Array]:
-            column = batch.column(ids)
-            ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-            rows = zip(ends[:-1], ends[1:], column.is_null().to_pylist(), strict=True)
-            return [pa.array(["" if null else codec.decode(values[a:b]) for a, b, null in rows], pa.string())]
 
-        return make
+def decode_ids(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """Adds `text`: the vocabulary strings of `ids`, joined, special tokens included.
 
-    return add_columns(df, [StructField(text, StringType())], start)
+    Bytes that are not UTF-8 become U+FFFD. NULL and empty lists give the empty text.
+    """
+    return add_columns(df, [StructField(text, StringType())], lambda: decoder(path, ids))

@@ -11,6 +11,8 @@ from pyspark.sql.types import StructField, StructType
 
 from ..operators.lookup import ensure_checkpoint_dir
 
+#: Rows that a Python function gets at once.
+ROWS = 1024
 #: A word is a run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -49,8 +51,10 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *make(b)], names=names)
+        for whole in batches:
+            for at in range(0, max(1, whole.num_rows), ROWS):
+                b = whole.slice(at, ROWS)
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *make(b)], names=names)
 
     return df.mapInArrow(run, schema)
 

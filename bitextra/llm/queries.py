@@ -74,7 +74,13 @@ def op7_mixing_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).select("doc_id", "ids")
-    rows = bpe.decode_ids(add_columns(ids, [StructField("ids_sha256", StringType())], lambda: sha256s), VOCABULARY)
+
+    def start():
+        decode = bpe.decoder(VOCABULARY, "ids")
+        return lambda b: [*sha256s(b), *decode(b)]
+
+    # decoded and digested by one Python worker
+    rows = add_columns(ids, [StructField("ids_sha256", StringType()), StructField("decoded", StringType())], start)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -122,25 +122,46 @@ class LibraryCodec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.pieces = Memo(lambda p: self._ask([p if p[0] == "\n" else " " + p])[0], memo)
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, dtype=np.uint32).tobytes()
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
+        # bytes of text that each id stands for; characters of the vocabulary stand for a byte each
+        sizes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            sizes[i] = len(token)
+        for i, added in self.tokenizer.get_added_tokens_decoder().items():
+            sizes[i] = len(added.content.encode())
+        self.sizes = sizes
+        self.pieces = Memo(lambda p: self._ask([p])[0], memo)
+
+    def _ask(self, pieces: list[str]) -> list[bytes]:
+        """Codes of pieces after the first of a text.
+
+        They are asked for in lines of many pieces, which are encoded as if each were alone;
+        a piece's ids are those that stand for its bytes.
+        """
+        pieces = [p if p[0] == "\n" else " " + p for p in pieces]
+        lines = [pieces[i : i + 512] for i in range(0, len(pieces), 512)]
+        out = []
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast(["".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=np.uint32)
+            after = np.cumsum(self.sizes[ids])
+            ends = np.searchsorted(after, np.cumsum([len(p.encode()) for p in line])) + 1
+            data, at = ids.tobytes(), 0
+            for end in (ends * 4).tolist():
+                out.append(data[at:end])
+                at = end
+        return out
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         cut = [chunks(t) if t else ("", []) for t in texts]
         known = self.pieces
-        new = list({p for _, rest in cut for p in rest if p not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for p, code in zip(part, self._ask([p if p[0] == "\n" else " " + p for p in part]), strict=True):
-                known.put(p, code)
-        firsts = self._ask([first for first, _ in cut])
+        new = list({p for _, rest in cut for p in rest if p not in known and p not in known.old})
+        for p, code in zip(new, self._ask(new), strict=True):
+            known.put(p, code)
+        firsts = self.tokenizer.encode_batch_fast([first for first, _ in cut], add_special_tokens=False)
         get = known.__getitem__
-        return [np.frombuffer(f + b"".join(map(get, rest)), np.uint32) for f, (_, rest) in zip(firsts, cut, strict=True)]
+        return [
+            np.concatenate([np.array(f.ids, dtype=np.uint32), np.frombuffer(b"".join(map(get, rest)), np.uint32)])
+            for f, (_, rest) in zip(firsts, cut, strict=True)
+        ]
 
 
 @lru_cache(1)
@@ -149,7 +170,7 @@ def _library(path: str, memo: int) -> LibraryCodec:
 
 
 def write_tokens(
-    df: DataFrame, path: str, folder: str, end_id: int, doc_id: str = "doc_id", text: str = "text", bits: int = 8, memo: int = 600_000
+    df: DataFrame, path: str, folder: str, end_id: int, doc_id: str = "doc_id", text: str = "text", bits: int = 8, memo: int = 800_000
 ) -> DataFrame:
     """Encodes every whole text, appends `end_id`, and writes files in ascending `doc_id` order.
 

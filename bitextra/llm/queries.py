@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField
+from pyspark.sql.types import StringType, StructField
 
 from . import bpe, cotraining, credentials, jaccard_forest, llr_rules, mixing, mtree, token_codes, toxicity, warc
 from .common import add_columns
@@ -35,8 +33,7 @@ def op2_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_codes.new_token_folder(spark)
     manifest = token_codes.write_tokens(table(spark, sf_dir, "documents"), VOCABULARY, folder, END_ID)
-    rows = token_codes.read_tokens(manifest, folder)
-    return add_columns(rows, [StructField("ids_crc32", LongType())], lambda: crc32s).drop("ids")
+    return token_codes.read_tokens(manifest, folder, ids=False)
 
 
 def op4_llr_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,10 +97,6 @@ def _codes(batch: pa.RecordBatch) -> list[bytes]:
     return [values[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
 
 
-def crc32s(batch: pa.RecordBatch) -> list[pa.Array]:
-    return [pa.array(np.array([zlib.crc32(c) for c in _codes(batch)], dtype=np.int64))]
-
-
 def sha256s(batch: pa.RecordBatch) -> list[pa.Array]:
     return [pa.array([hashlib.sha256(c).hexdigest() for c in _codes(batch)], pa.string())]
 

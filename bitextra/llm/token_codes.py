@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -137,8 +138,12 @@ class LibraryCodec:
         They are asked for in lines of many pieces, which are encoded as if each were alone;
         a piece's ids are those that stand for its bytes.
         """
-        pieces = [p if p[0] == "\n" else " " + p for p in pieces]
-        lines = [pieces[i : i + 512] for i in range(0, len(pieces), 512)]
+        order = sorted(range(len(pieces)), key=lambda i: pieces[i][-1:].isspace())
+        whole = [pieces[i] if pieces[i][0] == "\n" else " " + pieces[i] for i in order]
+        # the end of a text may end in blanks, which would reach into the next piece
+        alone = sum(p[-1].isspace() for p in whole)
+        joined = len(whole) - alone
+        lines = [whole[i : min(i + 512, joined)] for i in range(0, joined, 512)] + [[p] for p in whole[joined:]]
         out = []
         for line, e in zip(lines, self.tokenizer.encode_batch_fast(["".join(x) for x in lines], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype=np.uint32)
@@ -148,19 +153,25 @@ class LibraryCodec:
             for end in (ends * 4).tolist():
                 out.append(data[at:end])
                 at = end
-        return out
+        return [code for _, code in sorted(zip(order, out, strict=True))] if alone else out
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         cut = [chunks(t) if t else ("", []) for t in texts]
         known = self.pieces
-        new = list({p for _, rest in cut for p in rest if p not in known and p not in known.old})
-        for p, code in zip(new, self._ask(new), strict=True):
+        rows = [list(map(known.get, rest)) for _, rest in cut]
+        open_rows = [(rest, row) for (_, rest), row in zip(cut, rows, strict=True) if None in row]
+        new = dict.fromkeys(p for rest, row in open_rows for p, code in zip(rest, row, strict=True) if code is None)
+        new = {p: known.old.get(p) for p in new}
+        asked = [p for p, code in new.items() if code is None]
+        new.update(zip(asked, self._ask(asked), strict=True))
+        for rest, row in open_rows:
+            row[:] = [new[p] if code is None else code for p, code in zip(rest, row, strict=True)]
+        for p, code in new.items():
             known.put(p, code)
         firsts = self.tokenizer.encode_batch_fast([first for first, _ in cut], add_special_tokens=False)
-        get = known.__getitem__
         return [
-            np.concatenate([np.array(f.ids, dtype=np.uint32), np.frombuffer(b"".join(map(get, rest)), np.uint32)])
-            for f, (_, rest) in zip(firsts, cut, strict=True)
+            np.concatenate([np.array(f.ids, dtype=np.uint32), np.frombuffer(b"".join(row), np.uint32)])
+            for f, row in zip(firsts, rows, strict=True)
         ]
 
 
@@ -223,9 +234,10 @@ FILE_TOKENS = 4_000_000
 
 
 def read_tokens(manifest: DataFrame, folder: str, ids: bool = True) -> DataFrame:
-    """Documents of the files a manifest names: (doc_id, start, n_tokens, ids), in file order.
+    """Documents of the files a manifest names: (doc_id, start, n_tokens, ids_crc32, ids), in file order.
 
-    `start` counts the ids of all documents before. Sizes are checked against the manifest.
+    `start` counts the ids of all documents before. `ids_crc32` is of the ids as little-endian
+    32-bit integers. Sizes are checked against the manifest. Without `ids` the column is left out.
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file
@@ -245,16 +257,20 @@ def read_tokens(manifest: DataFrame, folder: str, ids: bool = True) -> DataFrame
                     doc_ids = file.doc_ids[at : at + 512]
                     ends = file.starts[at : at + len(doc_ids) + 1]
                     values = [file.tokens(int(x), int(y)) for x, y in zip(ends[:-1], ends[1:], strict=True)]
-                    column = pa.ListArray.from_arrays(
-                        pa.array((ends - ends[0]).astype(np.int32)), pa.array(np.concatenate(values).astype(np.int32))
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc_ids, pa.int64()), pa.array(ends[:-1] + row["base"]), pa.array(np.diff(ends)), column],
-                        names=["doc_id", "start", "n_tokens", "ids"],
-                    )
-
-    out = files.repartition(spread).mapInArrow(run, "doc_id long, start long, n_tokens long, ids array<int>")
-    return out if ids else out.drop("ids")
+                    columns = [
+                        pa.array(doc_ids, pa.int64()),
+                        pa.array(ends[:-1] + row["base"]),
+                        pa.array(np.diff(ends)),
+                        pa.array([zlib.crc32(v.astype("<u4").tobytes()) for v in values], pa.int64()),
+                    ]
+                    if ids:
+                        flat = pa.array(np.concatenate(values).astype(np.int32))
+                        columns.append(pa.ListArray.from_arrays(pa.array((ends - ends[0]).astype(np.int32)), flat))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if ids else [])]
+    kinds = ["long", "long", "long", "long", "array<int>"]
+    return files.repartition(spread).mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
 def new_token_folder(spark) -> str:

@@ -76,8 +76,8 @@ def log_ratios(df: DataFrame, labels: DataFrame, doc_id: str, text: str, buckets
     """Log ratio of each bucket; None without a trusted n-gram. At most `buckets` numbers come to the driver."""
     trusted = labels.where("quality = 1").select(F.col("doc_id").alias("_t")).distinct()
     rows = df.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_x"))
-    # many tasks for a large table; rows of one id are the repeated rows of one document
-    rows = rows.join(trusted, F.col("_id") == F.col("_t"), "left")
+    # the same join at every size: the labels grow with the documents
+    rows = rows.hint("merge").join(trusted.hint("merge"), F.col("_id") == F.col("_t"), "left")
     grams = rows.select(
         F.col("_t").isNotNull().cast("long").alias("trusted"), F.explode(n_grams(word_hashes(F.col("_x")), buckets)).alias("bucket")
     )

@@ -185,6 +185,19 @@ def _codec(path: str, memo: int) -> Codec:
     return Codec(path, memo)
 
 
+def encoder(path: str, text: str, memo: int) -> Callable[[pa.RecordBatch], list[pa.Array]]:
+    """The function that encodes a batch, for use in a task."""
+    codec = _codec(path, memo)
+
+    def make(batch: pa.RecordBatch) -> list[pa.Array]:
+        codes = [codec.encode(t or "") for t in batch.column(text).to_pylist()]
+        ends = np.cumsum([0, *[len(c) // 4 for c in codes]], dtype=np.int64)
+        values = pa.array(np.frombuffer(b"".join(codes), dtype=np.int32))
+        return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)]
+
+    return make
+
+
 def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "ids", memo: int = 400_000) -> DataFrame:
     """Adds `ids`: the BPE ids of the whole `text`, without added special tokens.
 
@@ -192,24 +205,12 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "i
     column named like `ids` is replaced. Strings of added tokens inside a text become their
     ids. The memo of pieces is bounded by `memo` entries and changes no result.
     """
-
-    def start():
-        codec = _codec(path, memo)
-
-        def make(batch: pa.RecordBatch) -> list[pa.Array]:
-            codes = [codec.encode(t or "") for t in batch.column(text).to_pylist()]
-            ends = np.cumsum([0, *[len(c) // 4 for c in codes]], dtype=np.int64)
-            values = pa.array(np.frombuffer(b"".join(codes), dtype=np.int32))
-            return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)]
-
-        return make
-
-    return add_columns(df, [StructField(ids, ArrayType(IntegerType(), True))], start)
+    return add_columns(df, [StructField(ids, ArrayType(IntegerType(), True))], lambda: encoder(path, text, memo))
 
 
-def decoder(path: str, ids: str) -> Callable[[pa.RecordBatch], list[pa.Array]]:
+def decoder(path: str, ids: str, memo: int = 400_000) -> Callable[[pa.RecordBatch], list[pa.Array]]:
     """The function that decodes a batch, for use in a task."""
-    codec = _codec(path, 400_000)
+    codec = _codec(path, memo)
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
         column = batch.column(ids)
@@ -226,3 +227,20 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded"
     Bytes that are not UTF-8 become U+FFFD. NULL and empty lists give the empty text.
     """
     return add_columns(df, [StructField(text, StringType())], lambda: decoder(path, ids))
+
+
+def encode_and_decode(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", memo: int = 400_000
+) -> DataFrame:
+    """Both columns of `encode_documents` and `decode_ids`, made by one Python worker."""
+
+    def start():
+        encode, decode = encoder(path, text, memo), decoder(path, ids, memo)
+
+        def make(batch: pa.RecordBatch) -> list[pa.Array]:
+            (codes,) = encode(batch)
+            return [codes, *decode(pa.RecordBatch.from_arrays([codes], names=[ids]))]
+
+        return make
+
+    return add_columns(df, [StructField(ids, ArrayType(IntegerType(), True)), StructField(decoded, StringType())], start)

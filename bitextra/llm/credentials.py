@@ -98,6 +98,28 @@ def link(text: str, strong: list[Span], weak: list[Span], reach: int) -> list[Sp
     return out
 
 
+def find(value: str | None, reach: int) -> list[dict]:
+    """All spans of a text, by start and kind."""
+    if not value:
+        return []
+    strong = base_spans(value)
+    weak = weak_spans(value)
+    if weak:
+        taken = sorted((a, b) for _, a, b in strong)
+        ends, top = [], 0
+        for _, b in taken:
+            top = max(top, b)
+            ends.append(top)
+        free = []
+        for s in weak:
+            at = bisect_left(taken, (s[2], 0))
+            if not at or ends[at - 1] <= s[1]:
+                free.append(s)
+        weak = link(value, strong, free, reach)
+    found = sorted([*strong, *weak], key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    return [{"kind": k, "start": a, "end": b} for k, a, b in found]
+
+
 def find_secrets(df: DataFrame, text: str = "text", spans: str = "spans", reach: int = 200) -> DataFrame:
     """Adds `spans`: array of (kind, start, end), by start and kind; code points, end exclusive.
 
@@ -107,29 +129,9 @@ def find_secrets(df: DataFrame, text: str = "text", spans: str = "spans", reach:
     every row is judged by itself; a column named like `spans` is replaced.
     """
 
-    def find(value: str | None) -> list[dict]:
-        if not value:
-            return []
-        strong = base_spans(value)
-        weak = weak_spans(value)
-        if weak:
-            taken = sorted((a, b) for _, a, b in strong)
-            ends, top = [], 0
-            for _, b in taken:
-                top = max(top, b)
-                ends.append(top)
-            free = []
-            for s in weak:
-                at = bisect_left(taken, (s[2], 0))
-                if not at or ends[at - 1] <= s[1]:
-                    free.append(s)
-            weak = link(value, strong, free, reach)
-        found = sorted([*strong, *weak], key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
-        return [{"kind": k, "start": a, "end": b} for k, a, b in found]
-
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     parts = StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType())])
-    start = lambda: lambda b: [pa.array([find(t) for t in b.column(text).to_pylist()], kind)]
+    start = lambda: lambda b: [pa.array([find(t, reach) for t in b.column(text).to_pylist()], kind)]
     return add_columns(df, [StructField(spans, ArrayType(parts))], start)
 
 
@@ -138,24 +140,21 @@ def redact(df: DataFrame, text: str = "text", reach: int = 200, mark: str = "[RE
 
     NULL stays NULL. Rows and other columns stay as they are.
     """
-    found = find_secrets(df, text, "_spans", reach)
     names = df.columns
 
+    def clean(value: str | None) -> str | None:
+        parts, at = [], 0
+        for s in find(value, reach):
+            if s["end"] <= at:
+                continue
+            if s["start"] >= at:
+                parts += [value[at : s["start"]], mark]
+            at = s["end"]
+        return "".join([*parts, value[at:]]) if at else value
+
     def run(batches):
         for b in batches:
-            texts = []
-            for value, spans in zip(b.column(text).to_pylist(), b.column("_spans").to_pylist(), strict=True):
-                if spans:
-                    parts, at = [], 0
-                    for s in spans:
-                        if s["end"] <= at:
-                            continue
-                        if s["start"] >= at:
-                            parts += [value[at : s["start"]], mark]
-                        at = s["end"]
-                    value = "".join([*parts, value[at:]])
-                texts.append(value)
-            columns = [pa.array(texts, pa.string()) if c == text else b.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return found.mapInArrow(run, df.schema)
+            texts = pa.array([clean(t) for t in b.column(text).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if c == text else b.column(c) for c in names], names=names)
+
+    return df.mapInArrow(run, df.schema)

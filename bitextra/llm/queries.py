@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField
+from pyspark.sql.types import LongType, StringType, StructField
 
 from . import bpe, cotraining, credentials, jaccard_forest, llr_rules, mixing, mtree, token_codes, toxicity, warc
 from .common import add_columns
@@ -70,15 +71,20 @@ def op7_mixing_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).select("doc_id", "ids")
-
     def start():
-        decode = bpe.decoder(VOCABULARY, "ids")
-        return lambda b: [*sha256s(b), *decode(b)]
+        encode, decode = bpe.encoder(VOCABULARY, "text", 400_000), bpe.decoder(VOCABULARY, "ids")
+
+        def make(batch: pa.RecordBatch) -> list[pa.Array]:
+            ids = pa.RecordBatch.from_arrays(encode(batch), names=["ids"])
+            counts = pa.array(np.diff(ids.column("ids").offsets.to_numpy()).astype(np.int64))
+            return [counts, *sha256s(ids), *decode(ids)]
+
+        return make
 
-    # decoded and digested by one Python worker
-    rows = add_columns(ids, [StructField("ids_sha256", StringType()), StructField("decoded", StringType())], start)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    # one Python worker encodes, decodes and digests; ids do not travel
+    fields = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded", StringType())]
+    rows = add_columns(table(spark, sf_dir, "documents").select("doc_id", "text"), fields, start)
+    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op9_mtree_top5(spark: SparkSession, sf_dir: str) -> DataFrame:

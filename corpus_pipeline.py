@@ -43,7 +43,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives the text again."""
-    coded = bpe.decode_ids(bpe.encode_documents(docs, VOCABULARY), VOCABULARY)
+    coded = bpe.encode_and_decode(docs, VOCABULARY, memo=200_000)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"), "ids")
 

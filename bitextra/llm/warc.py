@@ -168,7 +168,7 @@ def plan_records(pages: DataFrame, page_id: str, url: str, html: str, least: int
     payload = F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
     rows = settle(
-        rows.withColumn("sha1", F.sha1("payload")).withColumn("row", F.expr("uuid()")), "pages"
+        rows.withColumn("sha1", F.sha1("payload")).withColumn("row", F.expr("uuid()")), "pages", codec="zstd"
     )
     order = F.struct(F.col("page_id").isNull(), "page_id", F.col("url").isNull(), "url", "row")
     narrow = rows.where(F.length("payload") >= least).select("sha1", "page_id", "url", "row")

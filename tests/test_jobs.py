@@ -51,8 +51,8 @@ def test_cleaning_conserves_rows_and_reports_each_step(sample, request):
     kept, dropped, stats = clean.clean(sample, str(request.config.rootpath / EXAMPLES / "cleaning.yaml"))
     assert kept.columns == sample.columns and kept.count() + dropped.count() == sample.count()
     assert {(r["id"], r["_reason"]) for r in dropped.select("id", "_reason").collect()} == {
-        ("news_dataset_2024_02", "filter_empty_content"),
-        ("general_mixed_content", "filter_georgian_purity"),
+        ("road_notes_b", "filter_empty_content"),
+        ("manual_setup", "filter_georgian_purity"),
     }
     rows = {r["cleaner"]: (r["original"], r["cleaned"], r["dropped"]) for r in stats.where("is_total").collect()}
     assert rows["filter_empty_content"] == (6, 5, 1) and rows["filter_georgian_purity"] == (5, 4, 1)
@@ -73,7 +73,7 @@ def test_scorer_sees_only_rows_that_pass_cheap_rules(sample):
 
     def scorer(df):
         seen.append(df.count())
-        return df.withColumn("similarity_score", F.when(F.col("domain") == "news", 0.1).otherwise(F.lit(None).cast("double")))
+        return df.withColumn("similarity_score", F.when(F.col("domain") == "traffic", 0.1).otherwise(F.lit(None).cast("double")))
 
     kept, dropped, _ = clean.clean(sample, spec, scorer)
     assert seen == [5] and kept.count() == 4  # NULL scores stay
@@ -88,7 +88,7 @@ def test_preprocessing_job(spark, sample, request):
     rows = out.collect()
     assert out.columns == sample.columns
     assert len({(r["en"], r["ka"]) for r in rows}) == len(rows) and all(r["ka"].strip() for r in rows)
-    assert {"number_copy_0", "lit_collection_classic"} <= {r["id"] for r in rows}
+    assert {"number_copy_0", "kitchen_cards_3"} <= {r["id"] for r in rows}
 
 
 def test_cleanup_prefers_the_input_row(parallel):
@@ -157,7 +157,7 @@ def test_file_order_is_row_order(spark, tmp_path):
 def test_load_job_and_datasets(spark, sample, tmp_path):
     writers.write_datasets(sample.withColumn("dataset", F.col("domain")), str(tmp_path / "sets"), "_cleaned")
     names = {r["dataset"] for r in readers.read_datasets(spark, str(tmp_path / "sets")).collect()}
-    assert names == {f"{d}_cleaned" for d in ("news", "literature", "general", "technology", "culture")}
+    assert names == {f"{d}_cleaned" for d in ("weather", "traffic", "cooking", "software")}
     sample.write.parquet(f"{tmp_path}/corpus/train.parquet")
     spec = {"datasets": [{"name": "c", "source": f"{tmp_path}/corpus", "loader_function": "load_en_ka_corpora"}]}
     assert load.run_load(spark, spec, f"{tmp_path}/raw") == {"c": {"rows": 6, "null_ka": 0, "null_en": 0, "null_id": 0}}

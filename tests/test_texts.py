@@ -59,16 +59,16 @@ def test_lengths_and_ratio(parallel):
 
 def test_sample_table(sample):
     names = {r[0] for r in sample.select(P.id_parts(F.col("id"))["dataset_name"]).distinct().collect()}
-    assert names == {"news", "lit", "general", "tech", "culture"}
-    assert sample.where(C.in_domain("news")).count() == 2 and sample.where(C.in_dataset("news")).count() == 2
+    assert names == {"met", "road", "kitchen", "manual", "rail"}
+    assert sample.where(C.in_domain("traffic")).count() == 2 and sample.where(C.in_dataset("met")).count() == 2
     dropped = sample.where(~C.filter_empty_content({})).select("id").collect()
-    assert [r[0] for r in dropped] == ["news_dataset_2024_02"]
+    assert [r[0] for r in dropped] == ["road_notes_b"]
 
 
 def test_id_parts(spark):
-    df = spark.createDataFrame([("news_dataset_2024_01",), ("plain",)], "id string")
+    df = spark.createDataFrame([("met_daily_07_b",), ("plain",)], "id string")
     rows = [tuple(r[0]) for r in df.select(P.id_parts(F.col("id"))).collect()]
-    assert rows == [("news", "dataset_2024_01", "news_dataset_2024_01"), ("plain", "", "plain")]
+    assert rows == [("met", "daily_07_b", "met_daily_07_b"), ("plain", "", "plain")]
 
 
 GOLDEN = {

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import constants as K, text as X
 from ..functions.arrays import let
-from ..functions.hashing import pick, uniform
+from ..functions.hashing import hash_key, pick, uniform
 from ..registry import augmenters
-from .sampling import indexed, sample_by_hash, sample_ranked
+from .sampling import indexed, sample_ranked
 
 SEED = 42
 
@@ -102,8 +102,9 @@ def sentence_concatenation(df: DataFrame, params: dict) -> DataFrame:
         }
     )
     # Even blocks of rows, each with the first high - 1 rows of the next one, make every
-    # group local to a block: one shuffle, no matter how many groups there are.
-    block = 4096
+    # group local to a block: one shuffle, no matter how many groups there are. No group
+    # reaches beyond the next block.
+    block = max(4096, high - 1)
     home = F.floor(F.col("idx") / block)
     also = F.when((F.col("idx") % block < high - 1) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
     ahead = Window.partitionBy("_block").orderBy("idx").rowsBetween(0, high - 1)
@@ -177,13 +178,41 @@ def georgian_text_copying(df: DataFrame, params: dict) -> DataFrame:
     return _like(df, made)
 
 
+def _spend(blocks: DataFrame, low: int, ratio: float, seed: str) -> DataFrame:
+    """(_block, _take): rows each block merges; draws of all blocks go before rests of blocks.
+
+    A running sum over at most 131,072 hash buckets says what is spent before a bucket, another
+    one inside the buckets what is spent before a portion.
+    """
+    first = F.struct(F.lit("0").alias("part"), F.col("_drawn").alias("n"), F.col("_size").alias("size"))
+    second = F.struct(F.lit("1").alias("part"), F.col("_rest").alias("n"), F.lit(0).cast("long").alias("size"))
+    portions = blocks.select("_block", hash_key(seed, F.col("_block")).alias("_h"), F.inline(F.array(first, second)))
+    portions = portions.withColumn("_bucket", F.concat("part", F.substring("_h", 1, 4)))
+    earlier = (Window.unboundedPreceding, -1)
+    spent = portions.groupBy("_bucket").agg(F.sum("n").alias("_n"), F.sum("size").alias("_rows"))
+    spent = spent.withColumns(
+        {
+            "_before": F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(*earlier)), F.lit(0)),
+            "_budget": F.floor(F.sum("_rows").over(Window.partitionBy()) * F.lit(ratio)),
+        }
+    )
+    open_buckets = spent.where(F.col("_before") < F.col("_budget")).select("_bucket", "_before", "_budget")
+    inside = Window.partitionBy("_bucket").orderBy("_h", "_block").rowsBetween(*earlier)
+    placed = portions.join(F.broadcast(open_buckets), "_bucket")  # bounded, see above
+    left = F.col("_budget") - F.col("_before") - F.coalesce(F.sum("n").over(inside), F.lit(0))
+    placed = placed.withColumn("_used", F.least("n", F.greatest(left, F.lit(0))))
+    taken = placed.where((F.col("part") == "1") | (F.col("_used") >= low))
+    return taken.groupBy("_block").agg(F.sum("_used").alias("_take"))
+
+
 @augmenters("restructure_to_longer_texts", "Merge rows into fewer, longer ones (replaces the table)")
 def restructure_to_longer_texts(df: DataFrame, params: dict) -> DataFrame:
-    """Merge groups of min..max rows, at most `concatenation_ratio` of all rows.
+    """Merge groups of min..max rows until `concatenation_ratio` of all rows are merged.
 
-    Rows stand in blocks of `max_group_size`: neighbours in row order (`consecutive`) or in
-    hash order (`random`). The blocks first in hash order fill the budget; of each, the first
-    2..max rows (a hashed draw) merge and the others stay.
+    Rows stand in blocks of `max_group_size`, the last one shorter: neighbours in row order
+    (`consecutive`) or in hash order (`random`). Blocks take from the budget in hash order: first
+    min..max rows each (a hashed draw), then, if that leaves budget over, the rest of a block.
+    The budget is met but for fewer than `min_group_size` rows; rows not taken stay.
     """
     seed, what = _seed(params), "restructure_to_longer_texts"
     low, high = int(params.get("min_group_size", 2)), int(params.get("max_group_size", 4))
@@ -193,12 +222,11 @@ def restructure_to_longer_texts(df: DataFrame, params: dict) -> DataFrame:
     else:
         rows = indexed(df)
     rows = rows.withColumn("_block", F.floor(F.col("idx") / high).cast("long"))
-    blocks = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") == high)
-    budget = lambda full: F.floor(F.floor(full * high * F.lit(ratio)) / high).cast("long")
-    merged_blocks = sample_by_hash(blocks, budget, ["_block"], f"{seed}|blocks").select(
-        "_block",
-        (F.lit(low) + pick(uniform(seed, what, F.col("_block")), high - low + 1)).alias("_take"),
-    )
+    blocks = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
+    drawn = F.least("_size", F.lit(low) + pick(uniform(seed, what, F.col("_block")), high - low + 1)).cast("long")
+    drawn = F.when(F.col("_size") >= low, drawn).otherwise(0)
+    rest = F.when(F.col("_size") >= low, F.col("_size") - F.col("_drawn")).otherwise(0)
+    merged_blocks = _spend(blocks.withColumn("_drawn", drawn).withColumn("_rest", rest), low, ratio, f"{seed}|blocks")
     marked = rows.join(merged_blocks, "_block", "left").withColumn("_in_block", F.col("idx") % high)
     member = F.coalesce(F.col("_in_block") < F.col("_take"), F.lit(False))
     rest = marked.where(~member).select(*df.columns)

@@ -103,10 +103,11 @@ def restructure_ctes(order: str) -> str:
     take = pick(u("restructure_to_longer_texts", "CAST(block AS VARCHAR)"), "3")
     return f"""ri AS (SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS idx FROM pairs),
 rb AS (SELECT *, idx // 4 AS block, idx % 4 AS pos FROM ri),
-fullb AS (SELECT block FROM rb GROUP BY block HAVING count(*) = 4),
-chosen AS (SELECT block, 2 + {take} AS take FROM (
-  SELECT block, row_number() OVER (ORDER BY md5('42|blocks|' || CAST(block AS VARCHAR)), block) AS r, count(*) OVER () AS n FROM fullb)
-  WHERE r <= floor(floor(n * 4 * CAST({SHARE} AS DOUBLE)) / 4)),
+bs AS (SELECT block, count(*) AS size, least(count(*), 2 + {take}) AS drawn FROM rb GROUP BY block HAVING count(*) >= 2),
+po AS (SELECT block, 0 AS part, drawn AS n FROM bs UNION ALL SELECT block, 1, size - drawn FROM bs),
+us AS (SELECT block, part, least(n, greatest(0, (SELECT floor(count(*) * CAST({SHARE} AS DOUBLE)) FROM pairs) - coalesce(sum(n) OVER (
+  ORDER BY part, md5('42|blocks|' || CAST(block AS VARCHAR)), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS used FROM po),
+chosen AS (SELECT block, sum(used) AS take FROM us WHERE part = 1 OR used >= 2 GROUP BY block),
 mk AS (SELECT rb.*, coalesce(pos < take, false) AS member FROM rb LEFT JOIN chosen USING (block)),
 restructured AS (SELECT string_agg(en, ' ' ORDER BY idx) AS en, string_agg(ka, ' ' ORDER BY idx) AS ka,
   arg_min(domain, idx) AS domain, arg_min(title, idx) AS title, min(row_pos) FILTER (pos = 0) AS row_pos,

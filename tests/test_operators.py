@@ -174,6 +174,28 @@ def test_concatenation_and_restructure(spark, parallel):
     assert [(r["id"], r["en"]) for r in whole.collect()] == [("restructured_0_1_2", "Hello. How are you? Fine.")]
 
 
+def test_concatenation_reaches_beyond_a_block(spark):
+    df = spark.range(6000).select(
+        F.lit(None).cast("string").alias("title"), F.lit("k").alias("ka"), F.concat(F.lit("e"), "id").alias("en"), F.lit("d").alias("domain"),
+        F.format_string("r%05d", "id").alias("id"),
+    )
+    out = aug.sentence_concatenation(df, {"percentage": 0.01, "min_n": 5000, "max_n": 5000}).select("id", F.size(F.split("en", " ")).alias("n")).collect()
+    assert len(out) > 20 and any(int(r["id"][1:6]) < 1000 for r in out)
+    assert all(r["n"] == min(5000, 6000 - int(r["id"][1:6])) for r in out)
+
+
+@pytest.mark.parametrize("ratio", [0.2, 0.4, 0.9, 1.0])
+@pytest.mark.parametrize("n", [3, 2001])
+def test_restructure_spends_its_budget(spark, ratio, n):
+    df = spark.range(n).select(F.lit("k").alias("ka"), F.concat(F.lit("e"), "id").alias("en"), F.format_string("r%05d", "id").alias("id"))
+    out = aug.restructure_to_longer_texts(df, {"concatenation_ratio": ratio}).collect()
+    sizes = [len(r["en"].split()) for r in out if r["id"].startswith("restructured_")]
+    # a lone last row cannot be merged
+    most = min(int(n * ratio), n - (n % 4 == 1))
+    assert most - 2 < sum(sizes) <= most and all(2 <= s <= 4 for s in sizes)
+    assert sorted(w for r in out for w in r["en"].split()) == sorted(f"e{i}" for i in range(n))
+
+
 def test_restructure_leaves_small_tables_alone(parallel):
     df = parallel([("a", "b")])
     assert aug.restructure_to_longer_texts(df, {}).collect() == df.collect()

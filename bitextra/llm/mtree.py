@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import new_folder, settle
 
-LEAF, FAN, ROUTES, DIRECTORY = 64, 8, 64, 20_000
+LEAF, FAN, ROUTES, DIRECTORY = 256, 8, 64, 20_000
 
 
 class MTree:
@@ -123,7 +123,8 @@ class Searcher:
                 if not len(rows):
                     continue
                 self.products += len(rows)
-                scores = np.rint(self.vectors[rows] @ query)
+                # a page that is read whole is not copied
+                scores = np.rint((self.vectors[a:b] if len(rows) == b - a else self.vectors[rows]) @ query)
                 for at in np.flatnonzero(scores >= bound).tolist():
                     one = (int(scores[at]), -int(self.ids[rows[at]]))
                     if one[1] == -own or len(best) == k and one <= best[0]:

@@ -69,6 +69,7 @@ HTML_TAG = rf"</?[A-Za-z][A-Za-z0-9]*(?:{WS}[^<>]*?)?/?>"
 END_MARKS = ".!?;:,"
 TRAILING_EXTRAS = "'\"”’»)]}"
 
+# Bracket kinds and what is removed for each (fixed values).
 BRACKETS = {
     "()": r"\([^)]*\)",
     "[]": r"\[[^\]]*\]",
@@ -106,6 +107,7 @@ INFORMAL = [
     ("that is", "that's"),
     ("I am", "I'm"),
 ]
+# Articles that casual writing drops (fixed value).
 ARTICLES = ["a", "an", "the"]
 
 # English function words left out of TF-IDF vocabularies (fixed value).

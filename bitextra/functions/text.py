@@ -161,7 +161,7 @@ AMERICAN_RULES = [
     (rf"(?i)\b({_any(_ENCE)}en)(?-i:c)(e|es|eless)\b", "$1s$2"),
     (rf"(?i)\b({_any(_LL)})l(ed|ing|er|ers)\b", "$1$2"),
     (r"(?i)\b(gr)(?-i:e)(y(?:s|er|est|ish)?)\b", "$1a$2"),
-    (r"(?i)\b(t)(?-i:y)(res?)\b", "$1i$2"),
+    (r"\b(t)y(res?)\b", "$1i$2"),
     (r"(?i)\b(program)me(s?)\b", "$1$2"),
     (r"(?i)\b(alumin)i(um)\b", "$1$2"),
     (r"(?i)\b(jewel)le(ry)\b", "$1$2"),

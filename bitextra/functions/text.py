@@ -140,7 +140,7 @@ _RE = "calib cent fib lit lust meag met och reconnoit sab scept somb spect theat
 _OGUE = "anal catal dial epil monol prol".split()
 _ENCE = "def lic off pret".split()
 _LL = (
-    "cancel channel counsel dial duel enamel equal fuel fulfil funnel grovel jewel label level "
+    "cancel channel counsel dial duel enamel equal fuel funnel grovel jewel label level "
     "marvel model panel pedal quarrel signal snorkel spiral total travel tunnel"
 ).split()
 
@@ -169,6 +169,23 @@ AMERICAN_RULES = [
     (r"(?i)\b(an)a(esthetics?|esthesia|emia|emic)\b", "$1$2"),
     (r"(?i)\b(p)a(ediatric|ediatrics|ediatrician)\b", "$1$2"),
     (r"(?i)\b(mo)u(ld(?:s|ed|ing|y)?)\b", "$1$2"),
+    (r"(?i)\b(f)o(et(?:us|uses|al))\b", "$1$2"),
+    (r"(?i)\b(h)a(em(?:oglobin|orrhages?|orrhaged|orrhaging|orrhoids?|atology|ophilia|ophiliacs?))\b", "$1$2"),
+    (r"(?i)\b((?:mis)?judg|acknowledg|abridg)e(ments?)\b", "$1$2"),
+    # letters change or are added: lower case behind the first letter only
+    (r"\b([Cc]he)que(s?|books?)\b", "$1ck$2"),
+    (r"\b([Cc]he)quer(ed|s?)\b", "$1cker$2"),
+    (r"\b([Mm]an)oeuvre(s?)\b", "$1euver$2"),
+    (r"\b([Mm]an)oeuvr(ed|ing|able)\b", "$1euver$2"),
+    (r"\b([Aa])ero(planes?)\b", "$1ir$2"),
+    (r"\b([Ss])c(eptic(?:s|al|ally|ism)?)\b", "$1k$2"),
+    (r"\b([Pp]lo)ugh(s|ed|ing|man|men|shares?|)\b", "$1w$2"),
+    (r"\b([Pp])y(jamas?)\b", "$1a$2"),
+    (r"\b([Ee]nrol|[Ff]ulfil|[Dd]istil)(ments?|s?)\b", "$1l$2"),
+    (r"\b([Ii]nstal)(ments?)\b", "$1l$2"),
+    (r"\b([Ss]kil|[Ww]il)(ful(?:ly|ness)?)\b", "$1l$2"),
+    (r"\b([Aa]rt)e(facts?)\b", "$1i$2"),
+    (r"\b([Pp]racti)s(e|es|ed|ing)\b", "$1c$2"),
 ]
 
 

@@ -11,25 +11,37 @@ from .lookup import HOT_ROWS, attach
 def mark_duplicates(
     df: DataFrame, columns: list[str], order: str, name: str = "is_duplicate", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Flag every row but the first (in `order`, unique) of each group with equal `columns`.
+    """Flag every row but the first (in `order`) of each group with equal `columns`.
 
-    Groups are counted on a digest with map-side partial counts, so a text copied a billion
-    times costs one row per task. Only groups of two and more are joined back.
+    `order` need not be unique: other columns decide between equal values. Rows that are equal
+    throughout are counted as one first and become that many again in the end, so exactly one
+    row of each group is not flagged. Groups are counted on a digest with map-side partial
+    counts; only groups of two and more are joined back.
     """
-    rows = df.withColumn("_digest", digest(*[F.col(c) for c in columns]))
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_same"))
+    place = F.struct(order, F.md5(F.to_json(F.struct(*df.columns))))
+    rows = rows.withColumns({"_digest": digest(*[F.col(c) for c in columns]), "_place": place})
     groups = (
         rows.groupBy("_digest")
-        .agg(F.count(F.lit(1)).alias("_copies"), F.min(order).alias("_first"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_same").alias("_copies"), F.min("_place").alias("_first"))
         .where("_copies > 1")
     )
-    marked = attach(rows, groups, "_digest", "_copies", F.col(order), hot_rows)
-    later = F.col("_copies").isNotNull() & (F.col(order) != F.col("_first"))
-    return marked.select(*df.columns, later.alias(name))
+    marked = attach(rows, groups, "_digest", "_rows", F.col("_place")[order], hot_rows)
+    each = marked.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_same"))).alias("_nth"))
+    later = F.col("_first").isNotNull() & ((F.col("_place") != F.col("_first")) | (F.col("_nth") > 1))
+    return each.select(*df.columns, later.alias(name))
 
 
-def drop_duplicates(df: DataFrame, columns: list[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    marked = mark_duplicates(df, columns, order, "_later", hot_rows)
-    return marked.where(~F.col("_later")).drop("_later")
+def drop_duplicates(df: DataFrame, columns: list[str], order: str) -> DataFrame:
+    """One row of each group with equal `columns`: the first in `order`.
+
+    `order` need not be unique: of rows with equal values the least in the other columns
+    stays, and of rows that are equal throughout one. A minimum with partial aggregates, so a
+    text copied a billion times costs one row per task.
+    """
+    least = F.struct(order, *[c for c in df.columns if c != order])
+    kept = df.groupBy(digest(*[F.col(c) for c in columns]).alias("_digest")).agg(F.min(least).alias("_row"))
+    return kept.select(*[F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def list_duplicates(df: DataFrame, columns: list[str], order: str) -> DataFrame:

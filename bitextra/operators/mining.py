@@ -87,16 +87,23 @@ def elbow(costs: list[tuple[int, float]]) -> int:
     return drops.index(min(drops)) + 2
 
 
-def cluster(vectors: DataFrame, key: str, max_clusters: int = 10, seed: int = 42) -> tuple[DataFrame, list[tuple[int, float]], int]:
-    """((key, cluster), cost per k, chosen k) of K-means over k = 2..max_clusters."""
+def cluster(
+    vectors: DataFrame, key: str, max_clusters: int = 10, seed: int = 42, starts: int = 10, max_iter: int = 300
+) -> tuple[DataFrame, list[tuple[int, float]], int]:
+    """((key, cluster), cost per k, chosen k) of K-means over k = 2..max_clusters.
+
+    The best of `starts` runs counts for each k. A run ends when the centres rest, after
+    `max_iter` steps at the latest. The vectors are cached while models are fitted.
+    """
     data = vectors.select(key, array_to_vector("vector").alias("features")).persist()
-    costs = []
+    models = {}
     for k in range(2, max_clusters + 1):
-        model = KMeans(k=k, seed=seed, maxIter=20).fit(data)
-        costs.append((k, float(model.summary.trainingCost)))
+        fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data) for i in range(starts)]
+        models[k] = min(fits, key=lambda m: m.summary.trainingCost)
+    costs = [(k, float(m.summary.trainingCost)) for k, m in models.items()]
     best = elbow(costs)
-    final = KMeans(k=best, seed=seed, maxIter=20).fit(data)
-    return final.transform(data).select(key, F.col("prediction").alias("cluster")), costs, best
+    data.unpersist()
+    return models[best].transform(data).select(key, F.col("prediction").alias("cluster")), costs, best
 
 
 def cluster_samples(df: DataFrame, clusters: DataFrame, key: str, n: int = 5, seed: int = 42) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaners import final_empty_filter
-from ..operators.dedup import mark_duplicates
+from ..operators.dedup import drop_duplicates, mark_duplicates
 from ..operators.lookup import ensure_checkpoint_dir
 from ..registry import augmenters, preprocessors
 from ..schema import require_same_columns
@@ -100,7 +100,8 @@ def mark_cleanup(df: DataFrame, order: str = "id") -> DataFrame:
 
 
 def final_cleanup(df: DataFrame, order: str = "id") -> DataFrame:
-    return mark_cleanup(df, order).where(F.col("_fate") == "kept").drop("_fate")
+    """The rows that `mark_cleanup` calls kept, in one pass over the others."""
+    return drop_duplicates(df.where(final_empty_filter()), ["en", "ka"], order)
 
 
 def cleanup_stats(marked: DataFrame) -> DataFrame:

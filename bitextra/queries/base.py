@@ -45,18 +45,41 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
-    """Stand-in for a parallel corpus: the n-th English document of a source beside the n-th other one."""
+    """Stand-in for a parallel corpus in which every document takes part.
+
+    The larger side of a source, English or not (English if equal), gives a row for each of its
+    documents, with its number as position. Beside the n-th one stands the n-th of the other
+    side, which starts again at its end; an empty side is NULL. Only numbers are ranked and
+    matched, texts are joined to the finished rows.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    en = dense_index(docs.where(F.col("lang") == "en"), ["doc_id"], ["source"], "rn")
-    ka = dense_index(docs.where(F.col("lang") != "en"), ["doc_id"], ["source"], "rn")
-    joined = en.alias("e").join(ka.alias("k"), ["source", "rn"])
+    keys = docs.select("doc_id", "source", F.coalesce(F.col("lang") == "en", F.lit(False)).alias("is_en"))
+    sizes = keys.groupBy(F.col("source").alias("_source")).agg(
+        F.count_if("is_en").alias("n_en"), F.count_if(~F.col("is_en")).alias("n_other")
+    )
+    ranked = dense_index(keys, ["doc_id"], ["source", "is_en"], "rn").join(
+        sizes, F.col("source").eqNullSafe(F.col("_source"))
+    )
+    leads = F.col("is_en") == (F.col("n_en") >= F.col("n_other"))
+    slot = F.col("rn") % F.nullif(F.least("n_en", "n_other"), F.lit(0))
+    leading = ranked.where(leads).select("source", "is_en", F.col("doc_id").alias("row_pos"), slot.alias("slot"))
+    others = ranked.where(~leads).select(F.col("source").alias("_source"), F.col("rn").alias("slot"), F.col("doc_id").alias("beside"))
+    rows = leading.alias("l").join(
+        others.alias("o"), F.col("source").eqNullSafe(F.col("_source")) & (F.col("l.slot") == F.col("o.slot")), "left"
+    ).select("source", "is_en", "row_pos", "beside")
+    text = lambda key, name: docs.select(
+        F.col("doc_id").alias(key), F.struct("text", "lang").alias(name)
+    )
+    joined = rows.join(text("row_pos", "lead"), "row_pos").join(text("beside", "other"), "beside", "left")
+    ka = F.when(F.col("is_en"), F.col("other")).otherwise(F.col("lead"))
+    en = F.when(F.col("is_en"), F.col("lead")).otherwise(F.col("other"))
     return joined.select(
         F.lit(None).cast("string").alias("title"),
-        F.col("k.text").alias("ka"),
-        F.col("e.text").alias("en"),
+        ka["text"].alias("ka"),
+        en["text"].alias("en"),
         F.col("source").alias("domain"),
-        F.concat("k.lang", F.lit("_"), F.col("e.doc_id").cast("string")).alias("id"),
-        *([F.col("e.doc_id").alias("row_pos")] if positions else []),
+        F.concat(F.coalesce(ka["lang"], F.lit("none")), F.lit("_"), F.col("row_pos").cast("string")).alias("id"),
+        *(["row_pos"] if positions else []),
     )
 
 
@@ -67,11 +90,14 @@ def scratch(spark: SparkSession) -> str:
 
 # --- SQL fragments ------------------------------------------------------------------------
 
-PAIRS_CTE = """e AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) rn FROM documents WHERE lang = 'en'),
-k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) rn FROM documents WHERE lang <> 'en'),
-pairs AS (SELECT CAST(NULL AS VARCHAR) AS title, k.text AS ka, e.text AS en, e.source AS domain,
-  k.lang || '_' || CAST(e.doc_id AS VARCHAR) AS id, e.doc_id AS row_pos
-  FROM e JOIN k ON e.source = k.source AND e.rn = k.rn)"""
+PAIRS_CTE = """doc_sides AS (SELECT *, coalesce(lang = 'en', false) AS is_en FROM documents),
+doc_ranks AS (SELECT *, row_number() OVER (PARTITION BY source, is_en ORDER BY doc_id) - 1 AS rn,
+  count(*) FILTER (is_en) OVER (PARTITION BY source) AS n_en, count(*) FILTER (NOT is_en) OVER (PARTITION BY source) AS n_other FROM doc_sides),
+doc_leads AS (SELECT *, rn % nullif(least(n_en, n_other), 0) AS slot FROM doc_ranks WHERE is_en = (n_en >= n_other)),
+pairs AS (SELECT CAST(NULL AS VARCHAR) AS title, CASE WHEN a.is_en THEN b.text ELSE a.text END AS ka,
+  CASE WHEN a.is_en THEN a.text ELSE b.text END AS en, a.source AS domain,
+  coalesce(CASE WHEN a.is_en THEN b.lang ELSE a.lang END, 'none') || '_' || CAST(a.doc_id AS VARCHAR) AS id, a.doc_id AS row_pos
+  FROM doc_leads a LEFT JOIN doc_ranks b ON b.source IS NOT DISTINCT FROM a.source AND b.is_en <> a.is_en AND b.rn = a.slot)"""
 
 WS = K.WS
 

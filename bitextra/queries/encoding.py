@@ -6,7 +6,7 @@ from ..functions import arrays as A
 from ..operators import encoding as E
 from .base import LONG_CTE, from_pairs, pairs, q, query, space_tokens, words
 
-SIZE, LENGTH = 500, 64
+SIZE, LENGTH = 32_000, 128
 
 _VOCABULARY = f"""vw AS (SELECT lang, unnest({space_tokens('text')}) AS word FROM long),
 vc AS (SELECT word, count(*) AS n FROM vw WHERE word <> '' GROUP BY word),

@@ -22,17 +22,21 @@ def _(spark, sf):
 def _collection(spark, sf):
     root = scratch(spark)
     base = pairs(spark, sf)
-    for version, prefix in (("v1", "de"), ("v2", "fr")):
-        for side in ("de", prefix):
-            base.where(F.col("id").startswith(side)).write.mode("overwrite").parquet(f"{root}/raw/{version}/{side}_part.parquet")
+    # v1 holds what is not French, v2 everything
+    for version, sides in (("v1", ("de", "rest")), ("v2", ("de", "fr", "rest"))):
+        for side in sides:
+            prefix = F.substring("id", 1, 2)
+            of_side = ~prefix.isin("de", "fr") if side == "rest" else prefix == side
+            base.where(of_side).write.parquet(f"{root}/raw/{version}/{side}_part.parquet")
     return paths.Collections(spark, root)
 
 
 @query(
     "read_collection",
     from_pairs(
-        """SELECT 'raw:v1' AS source_artifact, 'de_part' AS source_file, id FROM pairs WHERE id LIKE 'de%'
-        UNION ALL SELECT 'raw:latest', substr(id, 1, 2) || '_part', id FROM pairs WHERE id LIKE 'de%' OR id LIKE 'fr%'"""
+        """SELECT 'raw:v1' AS source_artifact, part AS source_file, id FROM parts WHERE part <> 'fr_part'
+        UNION ALL SELECT 'raw:latest', part, id FROM parts""",
+        "parts AS (SELECT id, CASE WHEN id LIKE 'de%' THEN 'de_part' WHEN id LIKE 'fr%' THEN 'fr_part' ELSE 'rest_part' END AS part FROM pairs)",
     ),
 )
 def _(spark, sf):

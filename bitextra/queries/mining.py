@@ -7,7 +7,7 @@ from ..operators import mining as M, profile as P
 from .base import from_pairs, pairs, q, query, table
 
 _STOP = ", ".join(q(w) for w in K.STOP_WORDS)
-FEATURES = 2000
+FEATURES = 5000
 
 
 def _weights(spark, sf):
@@ -33,9 +33,9 @@ def _(spark, sf):
     return weights.withColumn("weight", F.round("weight", 6))
 
 
-def _vectors(spark, sf, k=20):
+def _vectors(spark, sf):
     weights = _weights(spark, sf)
-    return M.lsa(M.tfidf_vectors(weights, "id"), "id", FEATURES, k)
+    return M.lsa(M.tfidf_vectors(weights, "id"), "id", FEATURES)
 
 
 @query("latent_semantic_vectors")
@@ -47,15 +47,15 @@ def _(spark, sf):
 @query("cluster_samples")
 def _(spark, sf):
     vectors, _ = _vectors(spark, sf)
-    clusters, _, _ = M.cluster(vectors, "id", max_clusters=5)
+    clusters, _, _ = M.cluster(vectors, "id")
     return M.cluster_samples(pairs(spark, sf), clusters, "id")
 
 
 def _detected(spark, sf):
-    """A model fitted on half of the documents, applied to the other half."""
-    docs = table(spark, sf, "documents").withColumn("_h", F.md5(F.col("doc_id").cast("string")))
-    model = M.language_model(docs.where(F.col("_h") < "8"))
-    return M.detect_language(model, docs.where(F.col("_h") >= "8"))
+    """A model fitted on half of the documents, applied to all of them."""
+    docs = table(spark, sf, "documents")
+    model = M.language_model(docs.where(F.md5(F.col("doc_id").cast("string")) < "8"))
+    return M.detect_language(model, docs)
 
 
 @query("detect_language")

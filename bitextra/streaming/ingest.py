@@ -23,8 +23,8 @@ def clean_stream(
 ) -> DataFrame:
     """Rows with `_reason`: the cleaner that dropped a row, 'protected', or NULL for kept rows.
 
-    Kept rows are preprocessed and pass once per (en, ka) within the watermark delay. Copies
-    are first dropped per salt and then per pair, so a text that arrives in masses does not
+    Kept rows are preprocessed and pass once per (en, ka) within the watermark delay; dropped
+    rows all pass, whatever their ids, and need no state. Copies are first dropped per salt and then per pair, so a text that arrives in masses does not
     end up in one task. `protected` is a static table whose pairs must not get through.
     """
     spec = load_spec(spec)
@@ -35,12 +35,12 @@ def clean_stream(
         keys = protected.select(joined_digest(*[F.col(c) for c in columns]).alias("_key"), F.lit(True).alias("_hit"))
         done = done.withColumn("_key", joined_digest(*[F.col(c) for c in columns])).join(keys.distinct(), "_key", "left")
         done = done.withColumn("_reason", F.coalesce("_reason", F.when(F.col("_hit"), "protected"))).drop("_key", "_hit")
-    once = F.when(F.col("_reason").isNull(), digest(*[F.col(c) for c in columns])).otherwise(
-        F.concat(F.lit("dropped:"), F.col("id"))
-    )
-    salted = done.withColumns({"_once": once, "_salt": F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int")})
+    once = digest(*[F.col(c) for c in columns])
+    kept = done.where(F.col("_reason").isNull())
+    salted = kept.withColumns({"_once": once, "_salt": F.pmod(F.xxhash64("id", event_time), F.lit(_SALTS)).cast("int")})
     first = salted.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["_once", "_salt"])
-    return first.dropDuplicatesWithinWatermark(["_once"]).drop("_once", "_salt")
+    unique = first.dropDuplicatesWithinWatermark(["_once"]).drop("_once", "_salt")
+    return unique.unionByName(done.where(F.col("_reason").isNotNull()))
 
 
 def start_ingest(cleaned: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -49,7 +49,7 @@ def test_attach_and_duplicates_with_hot_keys(spark, hot_rows):
     first = {}
     for p, g in sorted(rows):
         first.setdefault(g, p)
-    kept = dedup.drop_duplicates(df, ["g"], "pos", hot_rows).collect()
+    kept = dedup.drop_duplicates(df, ["g"], "pos").collect()
     assert {(r["g"], r["pos"]) for r in kept} == set(first.items()) and len(kept) == len(first)
     assert dedup.list_duplicates(df, ["g"], "pos").count() == len(rows) - len(first)
 
@@ -285,3 +285,14 @@ def test_scorer_failures(spark, parallel):
     assert [r["score"] for r in scoring.score_rows(df, broken, ["en"], name="score").collect()] == [None] * 5
     with pytest.raises(Exception, match="no model"):
         scoring.score_rows(df, broken, ["en"], on_error="fail").collect()
+
+
+def test_duplicates_with_equal_and_null_ids(spark):
+    rows = [(None, "a", "x")] * 3 + [("1", "a", "x"), ("1", "a", "y"), ("1", "b", "x"), ("1", "b", "x"), ("2", "c", None)]
+    df = spark.createDataFrame(rows, "id string, en string, ka string")
+    groups = {(en, ka) for _, en, ka in rows}
+    kept = dedup.drop_duplicates(df, ["en", "ka"], "id").collect()
+    assert len(kept) == len(groups) and {(r["en"], r["ka"]) for r in kept} == groups
+    marked = dedup.mark_duplicates(df, ["en", "ka"], "id", "later").collect()
+    assert Counter((r["id"], r["en"], r["ka"]) for r in marked) == Counter(rows)
+    assert Counter((r["en"], r["ka"]) for r in marked if not r["later"]) == Counter(groups)

@@ -56,3 +56,13 @@ def test_no_cross_joins_and_no_row_udfs(spark, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "retention" in df.columns
+
+
+def test_pairs_hold_every_document(spark):
+    from bitextra.queries.base import pairs
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = pairs(spark, SF, positions=True)
+    texts = rows.selectExpr("explode(array(en, ka)) AS text").distinct()
+    assert docs.join(texts, "text", "left_anti").count() == 0
+    assert rows.select("row_pos").distinct().count() == rows.select("id").distinct().count() == rows.count()

@@ -174,3 +174,10 @@ def test_noise_changes_length_by_at_most_one(spark, parallel, texts):
     for r in out:
         source = texts[int(r["id"].removesuffix("_synthetic_noise")[1:])]
         assert abs(len(r["en"]) - len(source)) <= 1
+
+
+def test_more_american_spellings(spark):
+    british = "Cheque manoeuvre aeroplane sceptical plough foetus haemoglobin pyjamas judgement enrolment artefact skilful practise fulfilled Tyre tyre"
+    american = "Check maneuver airplane skeptical plow fetus hemoglobin pajamas judgment enrollment artifact skillful practice fulfilled Tyre tire"
+    df = spark.createDataFrame([(british,)], "t string")
+    assert df.select(X.to_american(F.col("t"))).first()[0] == american

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
 
 from ..functions import arrays as A, text as X
 from ..registry import tokenizers
-from .lookup import shuffle_partitions
 from .profile import most_frequent, word_counts
 
 PAD, UNK, BOS, EOS, SEP = 0, 1, 2, 3, 4
 SPECIALS = {"<pad>": PAD, "<unk>": UNK, "<s>": BOS, "</s>": EOS, "<sep>": SEP}
 FIRST_WORD = len(SPECIALS)
-# A vocabulary of this size is some 10 MB and may be broadcast; larger ones join by shuffle.
+# A vocabulary of this size is some 10 MB and may go to every task; larger ones join by shuffle.
 BROADCAST_VOCABULARY = 200_000
 
 
@@ -24,8 +27,44 @@ def fit_vocabulary(df: DataFrame, size: int = 32_000) -> DataFrame:
     return top.select(F.col("word").alias("token"), (rank + (FIRST_WORD - 1)).cast("int").alias("token_id"))
 
 
-def _small(vocabulary: DataFrame, size: int) -> DataFrame:
-    return F.broadcast(vocabulary) if size <= BROADCAST_VOCABULARY else vocabulary
+def _bounded(vocabulary: DataFrame) -> pa.Table | None:
+    """The vocabulary itself if it really has at most BROADCAST_VOCABULARY rows, else None."""
+    found = vocabulary.select("token", F.col("token_id").cast("int")).limit(BROADCAST_VOCABULARY + 1).toArrow()
+    return found if found.num_rows <= BROADCAST_VOCABULARY else None
+
+
+def _finder(keys: pa.Array, values: pa.Array, kind: DataType):
+    """Arrow function: the entries of a list to their values, NULL where there is none."""
+
+    @F.arrow_udf(ArrayType(kind))
+    def find(lists: pa.Array) -> pa.Array:
+        entries = lists.flatten()
+        at = pc.index_in(entries, value_set=keys.cast(entries.type))
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, values.take(at))
+
+    return find
+
+
+def _by_join(df: DataFrame, key: str, lists: dict[str, Column], table: DataFrame, on: str, to: str, kind: str) -> DataFrame:
+    """Lists looked up in a table of any size, a row for every row of `df`.
+
+    Rows with equal key and lists are one row while entries are joined and regrouped, so a
+    key that occurs again does not mix rows; in the end they are as many again.
+    """
+    packed = F.array(*[F.struct(F.lit(n).alias("_field"), c.alias("_w")) for n, c in lists.items()])
+    rows = df.select(key, packed.alias("_t")).withColumn("_d", F.md5(F.to_json("_t")))
+    rows = rows.groupBy(key, "_d").agg(F.count(F.lit(1)).alias("_same"), F.first("_t").alias("_t"))
+    flat = rows.select(key, "_d", "_same", F.inline("_t"))
+    flat = flat.select(key, "_d", "_same", "_field", F.posexplode_outer("_w").alias("_at", on))
+    found = flat.join(table.select(on, F.col(to).cast(kind).alias("_v")), on, "left")
+    item = F.when(F.col("_at").isNotNull(), F.struct("_at", "_v"))
+    grouped = found.groupBy(key, "_d", "_same").agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("_field") == n, item))).alias(n) for n in lists]
+    )
+    each = grouped.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), "_same")))
+    return each.select(key, *[F.col(f"{n}._v").alias(n) for n in lists])
 
 
 def encode(
@@ -34,57 +73,58 @@ def encode(
     fields: dict[str, Column],
     key: str = "id",
     max_length: int = 128,
-    vocabulary_size: int = 32_000,
     tail: dict[str, str] | None = None,
 ) -> DataFrame:
     """(key, {field}_ids, {field}_mask): whitespace words looked up, cut, padded, masked.
 
-    Only the first `max_length` words of a text are looked up, so a row never becomes more
-    than that many. Texts are shuffled once by key and regrouped where they are. `tail` names
-    a special token to append to a field before cutting.
+    One row for every row of `df`, whatever its key. A vocabulary of at most
+    BROADCAST_VOCABULARY rows, which is counted, goes to the tasks and words are looked up
+    where they are; a larger one is joined. `tail` names a special token to append to a field
+    before cutting.
     """
     tail = tail or {}
-    tokens = []
+    lists = {}
     for name, c in fields.items():
         w = X.words(F.coalesce(c.cast("string"), F.lit("")))
         if name in tail:
             w = F.concat(w, F.array(F.lit(tail[name])))
-        tokens.append(F.struct(F.lit(name).alias("_field"), F.slice(w, 1, max_length).alias("_w")))
-    flat = (
-        df.select(key, F.array(*tokens).alias("_t"))
-        .repartition(shuffle_partitions(df), key)
-        .select(key, F.inline("_t"))
-        .select(key, "_field", F.posexplode_outer("_w").alias("_at", "token"))
-    )
-    special = F.create_map(*[F.lit(x) for kv in SPECIALS.items() for x in kv])
-    found = flat.join(_small(vocabulary, vocabulary_size), "token", "left").withColumn(
-        "_id", F.coalesce(F.col("token_id"), F.try_element_at(special, F.col("token")), F.lit(UNK))
-    )
-    item = F.when(F.col("token").isNotNull(), F.struct("_at", "_id"))
-    lists = [
-        F.array_sort(F.collect_list(F.when(F.col("_field") == n, item))).alias(f"_{n}")  # <= max_length items
-        for n in fields
-    ]
-    grouped = found.groupBy(key).agg(*lists)
-    ids = grouped.select(key, *[A.pad(F.col(f"_{n}._id"), max_length, PAD).alias(f"{n}_ids") for n in fields])
+        lists[name] = F.slice(w, 1, max_length)
+    small = _bounded(vocabulary)
+    specials = pa.array(list(SPECIALS)), pa.array(list(SPECIALS.values()), pa.int32())
+    if small is not None:
+        # the vocabulary comes first, so its own entry for a special token counts
+        words, numbers = (small.column(c).combine_chunks() for c in ("token", "token_id"))
+        find = _finder(pa.concat_arrays([words.cast(pa.string()), specials[0]]), pa.concat_arrays([numbers, specials[1]]), IntegerType())
+        found = df.select(key, *[find(w).alias(n) for n, w in lists.items()])
+    else:
+        extra = df.sparkSession.createDataFrame(list(SPECIALS.items()), "token string, token_id int")
+        extra = extra.join(vocabulary, "token", "left_anti")
+        table = vocabulary.select("token", F.col("token_id").cast("int")).unionByName(extra)
+        found = _by_join(df, key, lists, table, "token", "token_id", "int")
+    known = lambda n: F.transform(n, lambda x: F.coalesce(x, F.lit(UNK)))
+    ids = found.select(key, *[A.pad(known(n), max_length, PAD).alias(f"{n}_ids") for n in fields])
     return ids.select(
         key, *[x for n in fields for x in (f"{n}_ids", A.mask(F.col(f"{n}_ids"), PAD).alias(f"{n}_mask"))]
     )
 
 
-def decode(encoded: DataFrame, ids: str, vocabulary: DataFrame, key: str = "id", vocabulary_size: int = 32_000) -> DataFrame:
-    """(key, text): ids back to words; ignored positions and special ids are left out."""
-    flat = (
-        encoded.select(key, F.transform(ids, lambda x: F.when(x == -100, F.lit(PAD)).otherwise(x)).alias("_ids"))
-        .repartition(shuffle_partitions(encoded), key)
-        .select(key, F.posexplode_outer("_ids").alias("_at", "token_id"))
-    )
-    found = flat.join(_small(vocabulary, vocabulary_size), "token_id", "left")
-    # special ids other than the unknown word are dropped
-    word = F.when(F.col("token_id") == UNK, F.lit("<unk>")).otherwise(F.col("token"))
-    item = F.when(word.isNotNull(), F.struct("_at", word.alias("w")))
-    grouped = found.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_w"))
-    return grouped.select(key, F.array_join("_w.w", " ").alias("text"))
+def decode(encoded: DataFrame, ids: str, vocabulary: DataFrame, key: str = "id") -> DataFrame:
+    """(key, text): ids back to words; ignored positions and special ids are left out.
+
+    One row for every row of `encoded`; the vocabulary is used as in `encode`.
+    """
+    # special ids other than the unknown word have no text
+    numbers = F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>"))
+    small = _bounded(vocabulary)
+    if small is not None:
+        words, known = (small.column(c).combine_chunks() for c in ("token", "token_id"))
+        find = _finder(pa.concat_arrays([pa.array([UNK], pa.int32()), known]), pa.concat_arrays([pa.array(["<unk>"]), words.cast(pa.string())]), StringType())
+        found = encoded.select(key, find(numbers).alias("_w"))
+    else:
+        unknown = encoded.sparkSession.createDataFrame([("<unk>", UNK)], "token string, token_id int")
+        table = vocabulary.where(F.col("token_id") != UNK).select("token", F.col("token_id").cast("int")).unionByName(unknown)
+        found = _by_join(encoded, key, {"_w": numbers}, table, "token_id", "token", "string")
+    return found.select(key, F.array_join("_w", " ").alias("text"))
 
 
 def hash_ids(c: Column, max_length: int = 128, buckets: int = 1000) -> Column:
@@ -123,7 +163,6 @@ def words_tokenizer(df: DataFrame, params: dict) -> DataFrame:
         vocabulary,
         {"s": F.col(params.get("source_column", "en")), "t": target},
         max_length=int(params.get("max_length", 128)),
-        vocabulary_size=size,
     )
     return done.select(
         "id", F.col("s_ids").alias("input_ids"), F.col("s_mask").alias("attention_mask"), F.col("t_ids").alias("labels")
@@ -164,7 +203,6 @@ def encoder_decoder_tokenizer(df: DataFrame, params: dict) -> DataFrame:
         vocabulary,
         {"s": F.col(params.get("source_column", "en")), "t": F.col(params.get("target_column", "ka"))},
         max_length=int(params.get("max_length", 128)),
-        vocabulary_size=size,
         tail={"s": "</s>"},
     )
     return done.select(

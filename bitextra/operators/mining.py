@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
@@ -11,39 +14,75 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.linalg import Vectors as OldVectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
 
 from ..functions import constants as K
 from ..functions.hashing import hash_key
 from .preprocessors import preview
 from .profile import most_frequent
 
-BROADCAST_TERMS = 200_000  # some 10 MB
+MOST_TERMS = 200_000  # some 10 MB
 TERM = r"[\p{L}\p{N}_]{2,}"
 
 
+@F.arrow_udf(ArrayType(StructType().add("term", StringType()).add("tf", LongType())))
+def _counted(terms: pa.Array) -> pa.Array:
+    """How often each term occurs in its list; the lists of a batch are counted together."""
+    coded = terms.flatten().dictionary_encode()
+    size = max(1, len(coded.dictionary))
+    row = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy())
+    both, tf = np.unique(row * size + coded.indices.to_numpy(), return_counts=True)
+    offsets = np.searchsorted(both // size, np.arange(len(terms) + 1)).astype(np.int32)
+    items = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(both % size)), pa.array(tf)], names=["term", "tf"])
+    return pa.ListArray.from_arrays(pa.array(offsets), items)
+
+
 def terms(df: DataFrame, key: str, text) -> DataFrame:
-    """(key, term, tf): lower-cased words of two and more characters, stop words left out."""
-    found = df.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), 1)).alias("term"))
-    return found.where(~F.col("term").isin(K.STOP_WORDS)).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(key, terms): how often each lower-cased word of two and more characters occurs in a row, stop words left out."""
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TERM})"), 1)
+    return df.select(key, _counted(F.filter(found, lambda t: ~t.isin(K.STOP_WORDS))).alias("terms"))
+
+
+def _weigher(table: pa.Table):
+    """Arrow function: counted terms to (term, feature, weight) with the weights of a row of length 1."""
+    words, feature = (table.column(c).combine_chunks() for c in ("term", "feature"))
+    idf = table.column("_idf").to_numpy()
+
+    @F.arrow_udf(ArrayType(StructType().add("term", StringType()).add("feature", IntegerType()).add("weight", DoubleType())))
+    def weigh(counted: pa.Array) -> pa.Array:
+        items = counted.flatten()
+        row = np.repeat(np.arange(len(counted)), pc.list_value_length(counted).to_numpy())
+        term, tf = items.field("term"), items.field("tf").to_numpy(zero_copy_only=False)
+        at = pc.fill_null(pc.index_in(term, value_set=words.cast(term.type)), -1).to_numpy()
+        known = np.flatnonzero(at >= 0)
+        at, row = at[known], row[known]
+        weight = tf[known] * idf[at]
+        norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(counted)))
+        parts = [term.take(pa.array(known)), feature.take(pa.array(at)), pa.array(weight / norm[row])]
+        offsets = np.searchsorted(row, np.arange(len(counted) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(parts, names=["term", "feature", "weight"]))
+
+    return weigh
 
 
 def tfidf(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
     """(key, term, feature, weight): tf * (ln((1+N)/(1+df)) + 1), rows of length 1.
 
-    The vocabulary is the `features` most frequent terms, a bounded table.
+    The vocabulary is the `features` most frequent terms, at most MOST_TERMS; this table goes
+    to the tasks. Terms are counted and weighed within their rows, only their counts over the
+    corpus are shuffled.
     """
+    if features > MOST_TERMS:
+        raise ValueError(f"at most {MOST_TERMS} features, not {features}")
     counts = terms(df, key, text)
-    stats = counts.groupBy("term").agg(F.sum("tf").alias("_n"), F.count(F.lit(1)).alias("_df"))
+    stats = counts.select(F.inline("terms")).groupBy("term").agg(F.sum("tf").alias("_n"), F.count(F.lit(1)).alias("_df"))
     by_count = [F.desc("_n"), F.asc("term")]
     vocabulary = most_frequent(stats, features, "term", "_n")
     vocabulary = vocabulary.withColumn("feature", F.row_number().over(Window.orderBy(*by_count)) - 1)
     n = df.count()  # one number
     idf = F.log(F.lit(1.0 + n) / (F.col("_df") + 1)) + 1
-    vocabulary = vocabulary.select("term", "feature", idf.alias("_idf"))
-    weighted = counts.join(F.broadcast(vocabulary) if features <= BROADCAST_TERMS else vocabulary, "term")
-    weighted = weighted.withColumn("_w", F.col("tf") * F.col("_idf"))
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))  # <= `features` rows per key
-    return weighted.select(key, "term", "feature", (F.col("_w") / norm).alias("weight"))
+    weigh = _weigher(vocabulary.select("term", "feature", idf.alias("_idf")).toArrow())
+    return counts.select(key, F.inline(weigh(F.col("terms"))))
 
 
 def tfidf_vectors(weights: DataFrame, key: str, features: int = 5000) -> DataFrame:
@@ -88,11 +127,11 @@ def elbow(costs: list[tuple[int, float]]) -> int:
 
 
 def cluster(
-    vectors: DataFrame, key: str, max_clusters: int = 10, seed: int = 42, starts: int = 10, max_iter: int = 300
+    vectors: DataFrame, key: str, max_clusters: int = 10, seed: int = 42, starts: int = 1, max_iter: int = 300
 ) -> tuple[DataFrame, list[tuple[int, float]], int]:
     """((key, cluster), cost per k, chosen k) of K-means over k = 2..max_clusters.
 
-    The best of `starts` runs counts for each k. A run ends when the centres rest, after
+    The best of `starts` runs counts for each k; one already seeds its centres in several rounds. A run ends when the centres rest, after
     `max_iter` steps at the latest. The vectors are cached while models are fitted.
     """
     data = vectors.select(key, array_to_vector("vector").alias("features")).persist()

@@ -184,4 +184,4 @@ def _(spark, sf):
     params = {"vocabulary": vocabulary, "vocabulary_size": SIZE, "max_length": LENGTH}
     encoded = E.words_tokenizer(corpus, params)
     labels = A.ignore_padding(F.col("labels"), E.PAD)
-    return E.decode(encoded.select("id", labels.alias("labels")), "labels", vocabulary, vocabulary_size=SIZE)
+    return E.decode(encoded.select("id", labels.alias("labels")), "labels", vocabulary)

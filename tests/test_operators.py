@@ -296,3 +296,17 @@ def test_duplicates_with_equal_and_null_ids(spark):
     marked = dedup.mark_duplicates(df, ["en", "ka"], "id", "later").collect()
     assert Counter((r["id"], r["en"], r["ka"]) for r in marked) == Counter(rows)
     assert Counter((r["en"], r["ka"]) for r in marked if not r["later"]) == Counter(groups)
+
+
+@pytest.mark.parametrize("small", [200_000, 2])
+def test_encoding_with_repeated_and_null_ids(spark, monkeypatch, small):
+    """Rows with one id stay apart, by lookup within rows and by join alike."""
+    monkeypatch.setattr(E, "BROADCAST_VOCABULARY", small)
+    rows = [("a", "x y z"), ("a", "y"), ("a", "y"), (None, "z <s> q"), (None, None)]
+    df = spark.createDataFrame(rows, "id string, en string")
+    vocabulary = spark.createDataFrame([("x", 5), ("y", 6), ("z", 7)], "token string, token_id int")
+    done = E.encode(df, vocabulary, {"s": F.col("en")}, max_length=3)
+    want = [("a", (5, 6, 7)), ("a", (6, 0, 0)), ("a", (6, 0, 0)), (None, (7, 2, 1)), (None, (0, 0, 0))]
+    assert Counter((r["id"], tuple(r["s_ids"])) for r in done.collect()) == Counter(want)
+    back = E.decode(done, "s_ids", vocabulary).collect()
+    assert Counter((r["id"], r["text"]) for r in back) == Counter([("a", "x y z"), ("a", "y"), ("a", "y"), (None, "z <unk>"), (None, "")])

@@ -5,6 +5,8 @@ norm, a query q gets 0, and |q' - x'|^2 = |q|^2 + M^2 - 2 q.x. Rows go to the ne
 routing vectors and, where one has too many, to one of its shards; each shard is written as a
 file of pages. A search opens pages by the best product they can hold. It skips subtrees by
 their covering radius, and by the stored distance to the parent before any product is taken.
+Floats score where the norms prove every sum below 2^53; elsewhere they only choose the rows that
+Python integers score. Vectors of a norm of 2^26 or more have trees of their own, by size.
 """
 
 from __future__ import annotations
@@ -24,6 +26,43 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import new_folder, settle
 
 LEAF, FAN, ROUTES, DIRECTORY = 256, 8, 64, 20_000
+#: Squared norms below this are ordinary: products and distances are exact in floats.
+ORDINARY = float(1 << 52)
+#: Squared norms from here on are too near to overflow for distances.
+VAST = 1e300
+LIMB = 63
+
+
+def slack_of(whole, width: int):
+    """What rounding can take from a bound on products, where |q|^2 + M^2 is `whole`.
+
+    Beyond 2^53 a squared distance is off by (width + 8) ulps of `whole`, a distance by the root of it.
+    """
+    loose = np.where(whole < 2 * ORDINARY, 0.0, 16 * math.sqrt((width + 8) * 2.0**-52))
+    return (1e-9 + loose) * whole + 1e-6
+
+
+def to_limbs(score: int) -> list[int]:
+    """A whole number of any size as an array of longs that sorts like it: [0, score] if it is a long."""
+    m = 0
+    while not -(1 << 63) <= score >> LIMB * m < 1 << 63:
+        m += 1
+    rest = [score >> LIMB * i & (1 << LIMB) - 1 for i in range(m - 1, -1, -1)]
+    return [m if score > 0 else -m, score >> LIMB * m, *rest]
+
+
+def from_limbs(limbs: list[int]) -> int:
+    score = limbs[1]
+    for limb in limbs[2:]:
+        score = score << LIMB | limb
+    return score
+
+
+def as_float(score: float) -> float:
+    try:
+        return float(score)
+    except OverflowError:
+        return math.copysign(math.inf, score)
 
 
 class MTree:
@@ -31,8 +70,9 @@ class MTree:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float) -> None:
         self.largest = largest
-        norms = (vectors * vectors).sum(axis=1)
-        points = np.column_stack([vectors, np.sqrt(np.maximum(0.0, largest - norms))])
+        flat = vectors if largest < VAST else np.zeros_like(vectors)  # no distances there, all pages are read
+        norms = (flat * flat).sum(axis=1)
+        points = np.column_stack([flat, np.sqrt(np.maximum(0.0, (largest if largest < VAST else 0.0) - norms))])
         self.centre, self.radius, self.to_parent, self.first, self.last, self.leaf = [], [], [], [], [], []
         self.order: list[np.ndarray] = []
         self.entry_distance: list[np.ndarray] = []
@@ -102,11 +142,18 @@ class Searcher:
         """The k best (score, id), ids other than `own`, that reach `least`; ties to the smaller id."""
         if not len(self.leaf):
             return []
-        largest, norm = float(self.largest[0]), float(query @ query)
+        with np.errstate(over="ignore"):
+            largest, norm = float(self.largest[0]), float(query @ query)
         whole = norm + largest
-        slack = 1e-9 * whole + 1e-6
         best: list[tuple[int, int]] = []  # a heap of (score, -id), worst first
-        bound = least
+        bound = as_float(least)
+        if not whole < VAST:
+            self.products += len(self.ids)
+            self._offer(best, range(len(self.ids)), query, own, k, least)
+            return [(s, -i) for s, i in sorted(best, reverse=True)]
+        slack = float(slack_of(whole, len(query)))
+        exact = norm * largest < 2.0**105  # any sum of products is at most the product of the norms
+        doubt = 0.0 if exact else (len(query) + 8) * 2.0**-52 * math.sqrt(norm) * math.sqrt(largest)
         # best product at a distance of at least d: (whole - d^2) / 2
         away = lambda centre: np.sqrt(np.maximum(0.0, whole - 2 * (centre[:, :-1] @ query)))
         d = float(away(self.centre[:1])[0])
@@ -124,7 +171,16 @@ class Searcher:
                     continue
                 self.products += len(rows)
                 # a page that is read whole is not copied
-                scores = np.rint((self.vectors[a:b] if len(rows) == b - a else self.vectors[rows]) @ query)
+                scores = (self.vectors[a:b] if len(rows) == b - a else self.vectors[rows]) @ query
+                if not exact:
+                    others = scores[self.ids[rows] != own]
+                    worst = np.partition(others, len(others) - k)[len(others) - k] - doubt if len(others) >= k else -math.inf
+                    hopeful = scores + doubt >= max(worst, bound - 1e-15 * abs(bound) if math.isfinite(bound) else bound)
+                    self._offer(best, rows[hopeful].tolist(), query, own, k, least)
+                    if len(best) == k:
+                        bound = max(bound, as_float(best[0][0]))
+                    continue
+                scores = np.rint(scores)
                 for at in np.flatnonzero(scores >= bound).tolist():
                     one = (int(scores[at]), -int(self.ids[rows[at]]))
                     if one[1] == -own or len(best) == k and one <= best[0]:
@@ -145,6 +201,18 @@ class Searcher:
                         heapq.heappush(queue, (-h, child, f))
         return [(s, -i) for s, i in sorted(best, reverse=True)]
 
+    def _offer(self, best: list[tuple[int, int]], rows, query: np.ndarray, own: int, k: int, least: float) -> None:
+        """Scores rows with Python integers, exact at any size, and keeps the best."""
+        whole = [int(x) for x in query.tolist()]
+        for row in rows:
+            if self.ids[row] == own:
+                continue
+            one = (sum(x * int(y) for x, y in zip(whole, self.vectors[row].tolist(), strict=True)), -int(self.ids[row]))
+            if one[0] >= least and len(best) < k:
+                heapq.heappush(best, one)
+            elif one[0] >= least and one > best[0]:
+                heapq.heapreplace(best, one)
+
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     ends, values = column.offsets.to_numpy(), column.values.to_numpy()
@@ -160,34 +228,42 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of all other rows for every row whose id is divisible by `every`.
 
-    Components become floor(scale * x); scores are exact integers; ties go to the smaller id.
-    Vectors that are NULL or hold a NULL or non-finite component take no part, nor do NULL ids
-    and components beyond 2^18, whose products would leave the exact range. Vectors of
+    Components become floor(scale * x); scores are exact integers of any size, and so is their
+    order; a score that no long can hold is NULL. Ties go to the smaller id. Vectors that are NULL
+    or hold a NULL or non-finite component (once scaled, as doubles) take no part, nor do NULL ids. Vectors of
     different lengths are compared as if filled up with zeros. Rows repeated with id and vector
     are one row; rows of one id with different vectors are all candidates of other ids, and a
     query for each. Fewer than k candidates are all returned.
     """
     spark = df.sparkSession
-    whole = F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    scaled = lambda x: F.lit(float(scale)) * x.cast("double")
+    # doubles from 2^53 on are whole
+    whole = F.transform(F.col(vector), lambda x: F.when(F.abs(scaled(x)) < 2 * ORDINARY, F.floor(scaled(x)).cast("double")).otherwise(scaled(x)))
     fine = F.col(vector).isNotNull() & F.col(vec_id).isNotNull() & F.forall(
-        F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float(1 << 18))
+        F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(scaled(x)) < float("inf"))
     )
-    rows = settle(df.where(fine).select(F.col(vec_id).cast("long").alias("id"), F.transform(whole, lambda x: x.cast("long")).alias("v")).distinct(), "vectors")
-    square = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)
-    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("m"), F.max(F.size("v")).alias("w")).first()
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    # 0: ordinary; else a number for each 2^52 of the squared norm
+    tier = F.when(square < ORDINARY, 0).otherwise(F.floor(F.least(F.lit(40.0), F.log2(square) / 52)).cast("int"))
+    rows = df.where(fine).select(F.col(vec_id).cast("long").alias("id"), whole.alias("v")).distinct()
+    rows = settle(rows.withColumn("tier", tier), "vectors")
+    ordinary = F.col("tier") == 0
+    facts = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(ordinary).alias("o"), F.max(F.when(ordinary, square)).alias("m"), F.max(F.size("v")).alias("w")
+    ).first()
     schema = "query_id long, rank int, vec_id long, score long"
     if not facts["n"]:
         return spark.createDataFrame([], schema)
-    n, largest, width = facts["n"], float(facts["m"]), facts["w"]
+    n, largest, width = facts["n"], float(facts["m"] or 0), facts["w"]
     # of equal vectors only the k + 1 smallest ids can be among the best
     same = Window.partitionBy("v").orderBy("id")
     candidates = rows.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).drop("r")
 
     # at most ROUTES routing vectors and ROUTES + DIRECTORY shards, whatever the size of the table
     shard_rows = max(shard_rows, math.ceil(n / DIRECTORY))
-    count = max(1, min(ROUTES, math.ceil(n / shard_rows)))
-    drawn = rows.orderBy(F.xxhash64("id", F.lit(3)), "id", "v").select("v").limit(count).collect()
-    padded = np.zeros((len(drawn), width))
+    count = max(1, min(ROUTES, math.ceil(facts["o"] / shard_rows)))
+    drawn = rows.where(ordinary).orderBy(F.xxhash64("id", F.lit(3)), "id", "v").select("v").limit(count).collect()
+    padded = np.zeros((max(1, len(drawn)), width))
     for i, r in enumerate(drawn):
         padded[i, : len(r["v"])] = r["v"]
     routes = np.column_stack([padded, np.sqrt(np.maximum(0.0, largest - (padded**2).sum(axis=1)))])
@@ -200,19 +276,21 @@ def top_k(
     def route(query: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
+                tiers = b.column("tier").to_numpy()
                 x = _matrix(b.column("v"), width)
+                x[tiers > 0] = 0  # their route is their tier
                 last = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, largest - (x**2).sum(axis=1)))
                 far = away(np.column_stack([x, last]))
                 best = far.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns, pa.array(best.astype(np.int64)), pa.array(far[np.arange(len(x)), best])], names=["id", "v", "route", "far"]
-                )
+                far = far[np.arange(len(x)), best]
+                best = np.where(tiers > 0, count + tiers - 1, best).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(best), pa.array(far)], names=["id", "v", "route", "far"])
 
         return run
 
-    routed = settle(candidates.mapInArrow(route(False), "id long, v array<long>, route long, far double"), "routed")
+    routed = settle(candidates.mapInArrow(route(False), "id long, v array<double>, route long, far double"), "routed")
     shards = {r["route"]: math.ceil(r["count"] / shard_rows) for r in routed.groupBy("route").count().collect()}
-    salts = F.element_at(F.array(*[F.lit(shards.get(i, 1)) for i in range(count)]), (F.col("route") + 1).cast("int"))
+    salts = F.element_at(F.array(*[F.lit(shards.get(i, 1)) for i in range(count + 40)]), (F.col("route") + 1).cast("int"))
     salt = lambda: F.pmod(F.xxhash64("id", F.lit(4)), salts)
     shard = F.col("route") * DIRECTORY + salt()
     folder = new_folder(spark, "mtree")
@@ -224,16 +302,18 @@ def top_k(
         table = table.combine_chunks()
         ids = table.column("id").to_numpy()
         x = _matrix(table.column("v").chunk(0), width)
+        with np.errstate(over="ignore"):
+            top = float((x**2).sum(axis=1).max())
         name = f"{key[0].as_py()}-{uuid.uuid4().hex}.npz"
         with store[0].open_output_stream(f"{store[1]}/{name}") as f:
-            f.write(MTree(ids, x, largest).to_bytes())
+            f.write(MTree(ids, x, largest if top < ORDINARY else top).to_bytes())
         far = max(table.column("far").to_pylist())
-        return pa.table({"shard": [key[0].as_py()], "name": [name], "route": [table.column("route")[0].as_py()], "radius": [far]})
+        return pa.table({"shard": [key[0].as_py()], "name": [name], "route": [table.column("route")[0].as_py()], "radius": [far], "top": [top]})
 
     trees = settle(
-        routed.withColumn("shard", shard).groupBy("shard").applyInArrow(build, "shard long, name string, route long, radius double"), "trees"
+        routed.withColumn("shard", shard).groupBy("shard").applyInArrow(build, "shard long, name string, route long, radius double, top double"), "trees"
     )
-    directory = trees.collect()  # at most ROUTES + DIRECTORY rows
+    directory = trees.collect()  # at most ROUTES + DIRECTORY rows, and one for each tier
     names = {r["shard"]: r["name"] for r in directory}
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,21 +324,22 @@ def top_k(
                 if s != at:
                     with store[0].open_input_file(f"{store[1]}/{names[s]}") as f:
                         at, tree = s, Searcher(f.read())
-                out += [(q, part, i2, score) for score, i2 in tree.search(x[i], q, k, -math.inf if least is None else float(least))]
+                out += [(q, part, i2, to_limbs(score)) for score, i2 in tree.search(x[i], q, k, -math.inf if least is None else from_limbs(least))]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 4, names=["query_id", "part", "vec_id", "score"]
+                [pa.array(c, kind) for c, kind in zip(list(zip(*out)) or [[]] * 4, kinds)], names=["query_id", "part", "vec_id", "score"]
             )
 
-    found = "query_id long, part long, vec_id long, score long"
+    found = "query_id long, part long, vec_id long, score array<long>"
     part = F.xxhash64("v").alias("part")  # tells queries of one id and different vectors apart
-    queries = rows.where(F.col("id") % every == 0).mapInArrow(route(True), "id long, v array<long>, route long, far double")
+    queries = rows.where(F.col("id") % every == 0).mapInArrow(route(True), "id long, v array<double>, route long, far double")
     # the route of a query may have no shard of its own, if all its rows are equal to others
     routes_used = sorted(shards)
     home = F.when(F.col("route").isin(routes_used), F.col("route")).otherwise(F.lit(routes_used[0]))
     queries = settle(queries.withColumn("route", home).withColumn("shard", shard).select("id", "v", "shard", part), "queries")
-    known = F.when(F.col("shard").isin([]), 0)  # no bound yet
+    known = F.lit(None)  # no bound yet
     deal = lambda q: q.repartition("shard", F.pmod(F.xxhash64("id"), F.lit(64))).sortWithinPartitions("shard", "id")
-    near = settle(deal(queries.withColumn("least", known.cast("long"))).mapInArrow(search, found), "near")
+    near = settle(deal(queries.withColumn("least", known.cast("array<long>"))).mapInArrow(search, found), "near")
     kth = near.groupBy("query_id", "part").agg(F.count(F.lit(1)).alias("c"), F.min("score").alias("s"))
     kth = kth.select("query_id", "part", F.when(F.col("c") >= k, F.col("s")).alias("least"))
 
@@ -267,14 +348,19 @@ def top_k(
         shard_of = np.array([r["shard"] for r in directory])
         of = np.array([r["route"] for r in directory])
         radius = np.array([r["radius"] for r in directory])
+        top = np.sqrt(np.array([r["top"] for r in directory]))
         for b in batches:
             x = _matrix(b.column("v"), width)
-            norms = (x**2).sum(axis=1) + largest
-            far = away(np.column_stack([x, np.zeros(len(x))]))[:, of]
-            least = np.array([-np.inf if s is None else s for s in b.column("least").to_pylist()], dtype=np.float64)
-            hope = (norms[:, None] - np.maximum(0.0, far - radius) ** 2) / 2
+            least = np.array([-np.inf if s is None else as_float(from_limbs(s)) for s in b.column("least").to_pylist()], dtype=np.float64)
             home = b.column("shard").to_numpy()
-            go = (hope + 1e-9 * norms[:, None] + 1e-6 >= least[:, None]) & (shard_of[None, :] != home[:, None])
+            with np.errstate(over="ignore", invalid="ignore"):  # what has no distance is searched
+                size = (x**2).sum(axis=1)
+                norms = (size + largest)[:, None]
+                far = away(np.column_stack([x, np.zeros(len(x))]))[:, np.minimum(of, count - 1)]
+                hope = (norms - np.maximum(0.0, far - radius) ** 2) / 2 + slack_of(norms, width)
+                # a shard of a tier has no route: norms alone
+                hope = np.where(of < count, hope, np.sqrt(size)[:, None] * top * (1 + 1e-9) + 1e-6)
+                go = ~(hope < least[:, None]) & (shard_of[None, :] != home[:, None])
             for i in range(0, len(x), 64):  # few queries at once: a row for each shard they go to
                 q, s = np.nonzero(go[i : i + 64])
                 take = pa.array(q + i)
@@ -285,8 +371,8 @@ def top_k(
 
     kth = kth.withColumnsRenamed({"query_id": "_q", "part": "_p"})
     bounded = queries.join(kth, (F.col("id") == F.col("_q")) & (F.col("part") == F.col("_p")), "left")
-    rest = bounded.select("id", "v", "shard", "part", "least").mapInArrow(others, "id long, v array<long>, shard long, part long, least long")
+    rest = bounded.select("id", "v", "shard", "part", "least").mapInArrow(others, "id long, v array<double>, shard long, part long, least array<long>")
     far_ones = deal(rest).mapInArrow(search, found)
     best = Window.partitionBy("query_id", "part").orderBy(F.col("score").desc(), "vec_id")
     out = near.unionByName(far_ones).distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return out.select("query_id", "rank", "vec_id", "score")
+    return out.select("query_id", "rank", "vec_id", F.when(F.col("score")[0] == 0, F.col("score")[1]).alias("score"))

@@ -209,6 +209,27 @@ def test_top_k_is_exact(spark):
     assert mtree.top_k(df.limit(0)).count() == 0 and mtree.top_k(df.where("vec_id < 1")).count() == 0
 
 
+def test_top_k_keeps_large_components(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)]
+    # 2^18 and beyond, sums beyond 2^53 that differ in their last digits, scores beyond a long, norms beyond a double
+    rows += [(i, [float(x) for x in rng.integers(-(2**19), 2**19, 8)]) for i in range(300, 360)]
+    rows += [(i, [float(2**28 + i % 7), float(i % 3), *[0.0] * 6]) for i in range(360, 420)]
+    rows += [(i, [float(x) * 10.0 ** (i % 4 * 60 + 10) for x in rng.normal(size=8)]) for i in range(420, 455)]
+    df = spark.createDataFrame([*rows, (455, [float("inf")]), (456, [float("nan")])], "vec_id long, embedding array<double>")
+    good = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    for some in (lambda i: True, lambda i: i < 305, lambda i: i >= 350):  # all, few outliers, outliers only
+        want = []
+        for q in filter(some, good):
+            if q % 50 == 0:
+                best = sorted((-sum(x * y for x, y in zip(good[q], v)), i) for i, v in good.items() if i != q and some(i))[:5]
+                want += [(q, n, i, -s if -(2**63) <= -s < 2**63 else None) for n, (s, i) in enumerate(best, 1)]
+        got = mtree.top_k(df.where(F.col("vec_id").isin([*filter(some, good), 455, 456])), shard_rows=90).collect()
+        assert sorted(map(tuple, got), key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+    numbers = sorted([0, -1, 2**63 - 1, -(2**63), *[s * (2**e + d) for e in (62, 63, 126, 300) for d in (-1, 0, 1) for s in (1, -1)]])
+    assert [mtree.from_limbs(mtree.to_limbs(n)) for n in numbers] == numbers and sorted(map(mtree.to_limbs, numbers)) == [mtree.to_limbs(n) for n in numbers]
+
+
 def test_jaccard_classes(spark, odd):
     rng = np.random.default_rng(3)
     base = [f"w{x}" for x in rng.integers(0, 500, 120)]

@@ -71,8 +71,8 @@ def weak_spans(text: str) -> list[Span]:
     return found + [("secret", *m.span()) for m in _OPAQUE.finditer(text) if opaque(m[0])]
 
 
-def link(text: str, strong: list[Span], weak: list[Span], reach: int) -> list[Span]:
-    """Weak spans that have a complementary part within `reach` characters and the same scope.
+def link(text: str, strong: list[Span], weak: list[Span], reach: int | None = None) -> list[Span]:
+    """Weak spans that have a complementary part in the same scope, and within `reach` characters if that is given.
 
     Scopes are the blocks between blank lines. It is an interval join by sorted starts: a
     weak span meets only the nearest part before and behind it of each partner kind, so its
@@ -92,13 +92,14 @@ def link(text: str, strong: list[Span], weak: list[Span], reach: int) -> list[Sp
             near = parts.get((other, scope(a)), [])
             at = bisect_left(near, (a, 0))
             # parts of one kind do not overlap, so the nearest disjoint ones are among these
-            if any(0 <= a - y <= reach or 0 <= x - b <= reach for x, y in near[max(0, at - 2) : at + 3]):
+            gaps = [a - y if y <= a else x - b for x, y in near[max(0, at - 2) : at + 3]]
+            if any(0 <= gap and (reach is None or gap <= reach) for gap in gaps):
                 out.append((kind, a, b))
                 break
     return out
 
 
-def find(value: str | None, reach: int) -> list[dict]:
+def find(value: str | None, reach: int | None = None) -> list[dict]:
     """All spans of a text, by start and kind."""
     if not value:
         return []
@@ -120,11 +121,12 @@ def find(value: str | None, reach: int) -> list[dict]:
     return [{"kind": k, "start": a, "end": b} for k, a, b in found]
 
 
-def find_secrets(df: DataFrame, text: str = "text", spans: str = "spans", reach: int = 200) -> DataFrame:
+def find_secrets(df: DataFrame, text: str = "text", spans: str = "spans", reach: int | None = None) -> DataFrame:
     """Adds `spans`: array of (kind, start, end), by start and kind; code points, end exclusive.
 
     Kinds `assign`, `access` and `hex` are always reported. `identifier`, `secret` and
-    `endpoint` are weak and reported only where complementary parts co-occur (see `link`); a
+    `endpoint` are weak and reported only where complementary parts co-occur in a scope (see `link`;
+    a caller may ask for partners within `reach` characters only); a
     weak span that overlaps a strong one is left out. NULL and empty texts have no span;
     every row is judged by itself; a column named like `spans` is replaced.
     """
@@ -135,7 +137,7 @@ def find_secrets(df: DataFrame, text: str = "text", spans: str = "spans", reach:
     return add_columns(df, [StructField(spans, ArrayType(parts))], start)
 
 
-def redact(df: DataFrame, text: str = "text", reach: int = 200, mark: str = "[REDACTED]") -> DataFrame:
+def redact(df: DataFrame, text: str = "text", reach: int | None = None, mark: str = "[REDACTED]") -> DataFrame:
     """`text` with every reported span replaced by `mark`; overlapping spans become one mark.
 
     NULL stays NULL. Rows and other columns stay as they are.

@@ -126,6 +126,17 @@ def test_secrets(spark, odd):
     assert credentials.redact(odd.limit(0)).count() == 0
 
 
+def test_secrets_link_within_whole_scopes(spark):
+    key, user, host = "Zx8kQ2mN7pL4vT9rB3wY", "username: alice", "https://host.example/x"
+    filler = "\n".join(f"option {i} on" for i in range(2000))
+    texts = [f"{user}\n{filler}\n{key}", f"{key}\n{filler}\n{host}", f"{user}\n{filler}\n\n{key}", user + " " * 300 + key]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in credentials.find_secrets(df).collect()}
+    assert found == {0: ["identifier", "secret"], 1: ["secret", "endpoint"], 2: [], 3: ["identifier", "secret"]}
+    clean = {r["doc_id"]: r["text"] for r in credentials.redact(df).collect()}
+    assert clean[0] == f"[REDACTED]\n{filler}\n[REDACTED]" and clean[2] == texts[2]
+
+
 def test_mixing(spark, docs, odd):
     for df in (docs, odd, docs.limit(0)):
         got = mixing.decide(df).collect()

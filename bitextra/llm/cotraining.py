@@ -2,7 +2,8 @@
 
 Each view is an additive model: every feature is cut into quantile bins and logistic weights
 of the bins are fitted by Newton steps. In each round both views label the unlabelled pool and
-hand their confident labels to the other one. Their log odds, calibrated on labelled rows that
+hand their confident labels to the other one. The pool is every unlabelled row: its bins stay in
+blocks in the shared folder, and tasks sum gradients and curvature. Their log odds, calibrated on labelled rows that
 neither has seen, are combined by a second logistic fit, which scores every document.
 """
 
@@ -12,6 +13,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ _SIGNS = re.compile(r"[^\w\s]")
 TEXT_FEATURES = 15
 PAGE_FEATURES = 10
 BINS, SOURCES = 10, 64
+#: Ranks of log odds, 1/256 wide; tasks that sum over the pool.
+RANKS, TASKS = 1 << 13, 256
 
 
 def text_features(text: str) -> list[float]:
@@ -83,47 +87,178 @@ def page_features(text: str, n_chars: int | None, lang: str | None, source: str
 class View:
     """Bins and weights of one view."""
 
-    def __init__(self, pool: np.ndarray, categories: dict[int, int]) -> None:
-        cuts = np.quantile(pool, np.linspace(0, 1, BINS + 1)[1:-1], axis=0) if len(pool) else np.zeros((0, pool.shape[1]))
-        self.edges = [np.arange(0.5, categories[j] - 1) if j in categories else np.unique(cuts[:, j]) for j in range(pool.shape[1])]
-        # a bin of their own for the extreme hundredths, where junk is
-        for j in range(pool.shape[1]):
-            if j not in categories and len(pool):
-                self.edges[j] = np.unique(np.concatenate([self.edges[j], np.quantile(pool[:, j], [0.01, 0.03, 0.97, 0.99])]))
+    def __init__(self, cuts: list[list[float] | None], categories: dict[int, int]) -> None:
+        self.edges = [np.arange(0.5, categories[j] - 1) if j in categories else np.unique(np.array(c or [])) for j, c in enumerate(cuts)]
         sizes = [len(e) + 1 for e in self.edges]
         self.starts = np.cumsum([1, *sizes])
         self.weights = np.zeros(self.starts[-1])
 
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        """At most SOURCES bins a feature, so a byte each."""
+        return np.column_stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)]).astype(np.uint8)
+
     def places(self, x: np.ndarray) -> np.ndarray:
-        return np.column_stack([s + np.searchsorted(e, x[:, j], side="left") for j, (e, s) in enumerate(zip(self.edges, self.starts))])
+        return self.starts[:-1] + self.bins(x)
 
     def fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 2.0, steps: int = 12) -> None:
-        at = self.places(x)
-        design = np.zeros((len(x), len(self.weights)), np.float32)
-        design[:, 0] = 1
-        np.put_along_axis(design, at, 1, axis=1)
-        self.weights = newton(design, y, ridge, steps)
+        self.weights = newton(self.design(self.places(x)), y, ridge, steps)
+
+    def design(self, at: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(at), len(self.weights)), np.float32)
+        out[:, 0] = 1
+        np.put_along_axis(out, at, 1, axis=1)
+        return out
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         return self.weights[0] + self.weights[self.places(x)].sum(axis=1) if len(x) else np.zeros(0)
 
 
-def newton(design: np.ndarray, y: np.ndarray, ridge: float, steps: int) -> np.ndarray:
-    """Logistic weights; the first column is the intercept and is not held back."""
-    w = np.zeros(design.shape[1])
+def slopes(design: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the log likelihood, which add up over rows."""
+    p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+    return design.T @ (y - p), (design * (p * (1 - p))[:, None].astype(design.dtype)).T @ design
+
+
+def newton_step(w: np.ndarray, gradient: np.ndarray, curve: np.ndarray, ridge: float) -> tuple[np.ndarray, bool]:
+    """New weights, and whether they have settled; the first column is the intercept and is not held back."""
     hold = np.full(len(w), ridge)
     hold[0] = 1e-3
+    step = np.linalg.solve(curve + np.diag(hold), gradient - hold * w)
+    return w + step * min(1.0, 5 / max(1e-9, np.abs(step).max())), np.abs(step).max() < 1e-4
+
+
+def newton(design: np.ndarray, y: np.ndarray, ridge: float, steps: int) -> np.ndarray:
+    """Logistic weights."""
+    w = np.zeros(design.shape[1])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        gradient = design.T @ (y - p) - hold * w
-        curve = (design * (p * (1 - p))[:, None].astype(design.dtype)).T @ design + np.diag(hold)
-        step = np.linalg.solve(curve, gradient)
-        w = w + step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-4:
+        w, settled = newton_step(w, *slopes(design, y, w), ridge)
+        if settled:
             break
     return w
 
 
+class Pool:
+    """All unlabelled rows in blocks: a byte for each feature, a draw, and the label that each view was given (-1: none)."""
+
+    SCHEMA = "n int, bins0 binary, bins1 binary, draw binary, given0 binary, given1 binary"
+
+    def __init__(self, rows: DataFrame, views: list[View]) -> None:
+        """`rows` has f (the numbers of both views) and draw (a long)."""
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    bins = [v.bins(x) for v, x in zip(views, split(b.column("f")))]
+                    draw = (b.column("draw").to_numpy() & 0xFFFFFFFF).astype(np.uint32)
+                    yield Pool._block([*bins, draw, *[np.full(b.num_rows, -1, np.int8)] * 2])
+
+        self.views = views
+        self.blocks = settle(rows.mapInArrow(pack, self.SCHEMA), "blocks")
+        self.size = self.blocks.agg(F.sum("n")).first()[0] or 0
+
+    @classmethod
+    def _block(cls, parts: list[np.ndarray]) -> pa.RecordBatch:
+        columns = [pa.array([len(parts[0])], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in parts]]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in cls.SCHEMA.split(", ")])
+
+    @staticmethod
+    def _blocks(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for r in batch.to_pylist():
+            bins = [np.frombuffer(r[f"bins{v}"], np.uint8).reshape(r["n"], -1) for v in (0, 1)]
+            yield bins, np.frombuffer(r["draw"], np.uint32), [np.frombuffer(r[f"given{v}"], np.int8) for v in (0, 1)]
+
+    @staticmethod
+    def _odds(view: View, bins: np.ndarray) -> np.ndarray:
+        return view.weights[0] + view.weights[view.starts[:-1] + bins].sum(axis=1)
+
+    def _sums(self, shapes: list[tuple], add) -> list[np.ndarray]:
+        """Arrays that `add(sums, block)` fills, over all blocks; at most TASKS of each come to the driver."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = [np.zeros(x) for x in shapes]
+            for b in batches:
+                for block in Pool._blocks(b):
+                    add(sums, block)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in sums], names=[f"s{i}" for i in range(len(sums))])
+
+        out = [np.zeros(x) for x in shapes]
+        schema = ", ".join(f"s{i} binary" for i in range(len(shapes)))
+        for r in self.blocks.coalesce(TASKS).mapInArrow(run, schema).collect():
+            for total, part in zip(out, r):
+                total += np.frombuffer(part).reshape(total.shape)
+        return out
+
+    def exchange(self, good: float, sure: float, share: float) -> None:
+        """Each view is given rows of which the other one is at least `sure`, best first.
+
+        At most `share` of the pool, in the proportion of the labels. Log odds are ranked in steps
+        of 1/256; of the rows in the last step the draws choose as many as are still due.
+        """
+        views, limit, most = self.views, math.log(sure / (1 - sure)), max(1, int(share * self.size))
+        due = [math.ceil(most * (1 - good)), math.ceil(most * good)]
+
+        def ranked(block: tuple, v: int) -> list[tuple[np.ndarray, np.ndarray]]:
+            """Rows and ranks, by the label that they would be given."""
+            bins, _, given = block
+            odds = Pool._odds(views[1 - v], bins[1 - v])
+            free = [np.flatnonzero((given[v] < 0) & (sign * odds >= limit)) for sign in (-1, 1)]
+            return [(rows, np.minimum(np.abs(odds[rows]) * 256, RANKS - 1).astype(np.int64)) for rows in free]
+
+        def add(sums: list[np.ndarray], block: tuple) -> None:
+            for v in (0, 1):
+                for label, (_, ranks) in enumerate(ranked(block, v)):
+                    sums[0][v, label] += np.bincount(ranks, minlength=RANKS)
+
+        counts = self._sums([(2, 2, RANKS)], add)[0]
+        cuts = {}
+        for v in (0, 1):
+            for label in (0, 1):
+                above = np.cumsum(counts[v, label][::-1])[::-1]  # rows of this rank and better ones
+                last = int((above > due[label]).sum()) - 1  # the rank in which the rows due run out
+                part = (due[label] - (above[last] - counts[v, label][last])) / counts[v, label][last] if last >= 0 else 0.0
+                cuts[v, label] = last, part * 2.0**32
+
+        def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for block in Pool._blocks(b):
+                    bins, draw, given = block
+                    fresh = [g.copy() for g in given]
+                    for v in (0, 1):
+                        for label, (rows, ranks) in enumerate(ranked(block, v)):
+                            last, below = cuts[v, label]
+                            fresh[v][rows[(ranks > last) | (ranks == last) & (draw[rows] < below)]] = label
+                    yield Pool._block([*bins, draw, *fresh])
+
+        self.blocks = settle(self.blocks.mapInArrow(give, self.SCHEMA), "blocks")
+
+    def fit(self, labelled: list[np.ndarray], y: np.ndarray, ridge: float = 2.0, steps: int = 12) -> None:
+        """Newton steps of both views, from their present weights, over labelled rows and all rows given so far."""
+        views = self.views
+        own = [view.design(view.places(x)) for view, x in zip(views, labelled)]
+        open_ = [0, 1]
+
+        def add(sums: list[np.ndarray], block: tuple) -> None:
+            bins, _, given = block
+            for i, v in enumerate(open_):
+                rows = np.flatnonzero(given[v] >= 0)
+                for at in range(0, len(rows), 8192):
+                    some = rows[at : at + 8192]
+                    gradient, curve = slopes(views[v].design(views[v].starts[:-1] + bins[v][some]), given[v][some].astype(np.float64), views[v].weights)
+                    sums[2 * i] += gradient
+                    sums[2 * i + 1] += curve
+
+        for _ in range(steps):
+            shapes = [x for v in open_ for x in ((len(views[v].weights),), (len(views[v].weights),) * 2)]
+            sums, left = self._sums(shapes, add), []
+            for i, v in enumerate(open_):
+                gradient, curve = slopes(own[v], y, views[v].weights)
+                views[v].weights, settled = newton_step(views[v].weights, gradient + sums[2 * i], curve + sums[2 * i + 1], ridge)
+                left += [] if settled else [v]
+            open_ = left
+            if not open_:
+                break
+
+
 class Model:
     """Two views, their calibration, and how they are combined."""
 
@@ -138,35 +273,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.mix[0] + odds @ self.mix[1:], -30, 30)))
 
 
-def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int, sure: float, share: float) -> Model:
-    """`labelled` and `pool` hold a matrix for each view; every fifth labelled row only calibrates.
-
-    A round gives each view the pool rows of which the other one is at least `sure`, best
-    first, at most `share` of the pool a round, in the proportion of the labels.
-    """
+def co_train(labelled: list[np.ndarray], y: np.ndarray, views: list[View], pool: DataFrame, rounds: int, sure: float, share: float) -> Model:
+    """`labelled` holds a matrix for each view, `pool` the rows of `Pool`; every fifth labelled row only calibrates."""
     hold = np.arange(len(y)) % 5 == 4
-    views = [
-        View(np.concatenate([labelled[0], pool[0]]), {}),
-        View(np.concatenate([labelled[1], pool[1]]), {0: SOURCES, 1: 16}),
-    ]
-    given = [(np.zeros(0, np.int64), np.zeros(0))] * 2  # rows of the pool and labels that a view was given
-    for turn in range(rounds + 1):
-        for v, (view, (rows, labels)) in enumerate(zip(views, given)):
-            x = np.concatenate([labelled[v][~hold], pool[v][rows]])
-            view.fit(x, np.concatenate([y[~hold], labels]))
-        if turn == rounds or not len(pool[0]):
-            break
-        most = max(1, int(share * len(pool[0])))
-        fresh = []
-        for v in (0, 1):
-            odds = views[1 - v].log_odds(pool[1 - v])
-            odds[given[v][0]] = 0  # already given
-            good, limit = float(y.mean()), math.log(sure / (1 - sure))
-            up, down = np.argsort(-odds, kind="stable")[: math.ceil(most * good)], np.argsort(odds, kind="stable")[: math.ceil(most * (1 - good))]
-            up, down = up[odds[up] >= limit], down[odds[down] <= -limit]
-            rows, labels = given[v]
-            fresh.append((np.concatenate([rows, up, down]), np.concatenate([labels, np.ones(len(up)), np.zeros(len(down))])))
-        given = fresh
+    learned = [x[~hold] for x in labelled]
+    for view, x in zip(views, learned):
+        view.fit(x, y[~hold])
+    rest = Pool(pool, views)
+    for _ in range(rounds if rest.size else 0):
+        rest.exchange(float(y.mean()), sure, share)
+        rest.fit(learned, y[~hold])
     ones = lambda *c: np.column_stack([np.ones(len(c[0])), *c])
     both = [np.clip(view.log_odds(x[hold]), -12, 12) for view, x in zip(views, labelled)]
     known = y[hold]
@@ -179,10 +295,20 @@ def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray],
     return Model(views, calibration, mix)
 
 
-def _matrices(df: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    table = df.orderBy("h", "d").select("f", "label").toArrow()
-    flat = np.array(table.column("f").to_pylist(), dtype=np.float64).reshape(-1, TEXT_FEATURES + PAGE_FEATURES)
-    return [flat[:, :TEXT_FEATURES], flat[:, TEXT_FEATURES:]], np.array(table.column("label").to_pylist(), dtype=np.float64)
+def split(column: pa.Array) -> list[np.ndarray]:
+    """The numbers of each view."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, TEXT_FEATURES + PAGE_FEATURES)
+    return [flat[:, :TEXT_FEATURES], flat[:, TEXT_FEATURES:]]
+
+
+def make_views(features: DataFrame) -> list[View]:
+    """Bins at the quantiles of all rows (ranks within a ten-thousandth), with bins of their own for the extreme hundredths, where junk is."""
+    at = sorted([*np.linspace(0, 1, BINS + 1)[1:-1].tolist(), 0.01, 0.03, 0.97, 0.99])
+    kinds = {TEXT_FEATURES: SOURCES, TEXT_FEATURES + 1: 16}
+    columns = [j for j in range(TEXT_FEATURES + PAGE_FEATURES) if j not in kinds]
+    found = features.agg(*[F.percentile_approx(F.col("f")[j], at, 10_000).alias(str(j)) for j in columns]).first()
+    cuts = [None if j in kinds else found[str(j)] for j in range(TEXT_FEATURES + PAGE_FEATURES)]
+    return [View(cuts[:TEXT_FEATURES], {}), View(cuts[TEXT_FEATURES:], {0: SOURCES, 1: 16})]
 
 
 def classify(
@@ -201,9 +327,9 @@ def classify(
 ) -> DataFrame:
     """Adds to every row: text_score, page_score, score (probability of good quality), kept.
 
-    Learns from at most `sample` rows of `labels` (doc_id, quality) and at most as many
-    unlabelled documents, those with the smallest hashes; only these come to the driver, as 25
-    numbers each. Every whole text is scored in its partition. NULL texts count as empty, NULL
+    Learns from at most `sample` rows of `labels` (doc_id, quality), those with the smallest
+    hashes, which come to the driver as 25 numbers each, and from every unlabelled row; bins are
+    cut over all rows. Every whole text is scored in its partition. NULL texts count as empty, NULL
     metadata as a kind of its own; repeated rows score alike. Without labels of both kinds
     nothing is rejected and every score is the share of good labels (1 without labels).
     Columns named like new ones are replaced.
@@ -212,26 +338,25 @@ def classify(
     fields = [StructField(n, DoubleType()) for n in names[:3]] + [StructField("kept", BooleanType())]
     base = df.drop(*[n for n in names if n not in (doc_id, text, n_chars, lang, source)])
 
-    def read(batch: pa.RecordBatch) -> list[list[float]]:
-        columns = [batch.column(c).to_pylist() for c in (text, n_chars, lang, source)]
+    def read(batch: pa.RecordBatch, of: list[str] = [text, n_chars, lang, source]) -> list[list[float]]:  # noqa: B006
+        columns = [batch.column(c).to_pylist() for c in of]
         return [text_features(t or "") + page_features(t or "", n, g, s) for t, n, g, s in zip(*columns, strict=True)]
 
     known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_l")).agg(F.min("quality").alias("label"))
     known = known.withColumn("h", F.xxhash64("_l"))
     chosen = known.orderBy("h", "_l").limit(sample)  # bounded, so it may be broadcast
-    ids = base.select(F.col(doc_id).alias("_i")).where("_i is not null").distinct().join(known.select("_l"), F.col("_i") == F.col("_l"), "left_anti")
-    others = ids.select(F.col("_i").alias("_l"), F.lit(-1).alias("label"), F.xxhash64("_i").alias("h")).orderBy("h", "_l").limit(sample)
-    some = settle(chosen.select("_l", "label", "h").unionByName(others), "sample")
-    rows = base.join(F.broadcast(some), F.col(doc_id) == F.col("_l")).dropDuplicates(["_l"])
-    rows = rows.select("h", F.col("_l").alias("d"), "label", *dict.fromkeys([text, n_chars, lang, source]))
-    start = lambda: lambda b: [pa.array(read(b), pa.list_(pa.float64()))]
-    table = settle(add_columns(rows, [StructField("f", ArrayType(DoubleType()))], start).select("h", "d", "label", "f"), "features")
-    seen, y = _matrices(table.where("label >= 0"))
+    rows = base.select(F.col(doc_id).alias("_i"), *[F.col(c).alias(f"_{i}") for i, c in enumerate((text, n_chars, lang, source))])
+    start = lambda: lambda b: [pa.array(read(b, [f"_{i}" for i in range(4)]), pa.list_(pa.float64()))]
+    features = settle(add_columns(rows, [StructField("f", ArrayType(DoubleType()))], start).select("_i", "f"), "features")
+    seen = features.join(F.broadcast(chosen), F.col("_i") == F.col("_l")).groupBy("h", "_l", "label").agg(F.min("f").alias("f"))
+    table = seen.orderBy("h", "_l").select("f", "label").toArrow().combine_chunks()
+    y = np.array(table.column("label").to_pylist(), dtype=np.float64)
     if not len(y) or y.min() == y.max():
         rate = float(y.mean()) if len(y) else 1.0
         return base.withColumns({n: F.lit(rate) for n in names[:3]}).withColumn("kept", F.lit(True))
-    pool, _ = _matrices(table.where("label < 0"))
-    model = co_train(seen, y, pool, rounds, sure, share)
+    unknown = features.where("_i is not null").join(known.select("_l"), F.col("_i") == F.col("_l"), "left_anti")
+    pool = unknown.unionByName(features.where("_i is null")).select("f", F.xxhash64("_i", "f").alias("draw"))
+    model = co_train(split(table.column("f").chunk(0)), y, make_views(features), pool, rounds, sure, share)
 
     def judge(batch: pa.RecordBatch) -> list[pa.Array]:
         flat = np.array(read(batch), dtype=np.float64).reshape(-1, TEXT_FEATURES + PAGE_FEATURES)

@@ -257,6 +257,40 @@ def test_jaccard_classes(spark, odd):
     assert jaccard_forest.keep_first(odd).count() == len(ODD) - 1 and jaccard_forest.keep_first(odd.limit(0)).count() == 0
 
 
+def test_quality_learns_from_every_unlabelled_document(spark, docs, labels):
+    some = labels.orderBy(F.xxhash64("doc_id")).limit(60).cache()
+    first = docs.join(some, "doc_id", "left_anti").select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(60)
+    fixed = [r["doc_id"] for r in first.union(some.select("doc_id")).collect()]
+    # the labelled documents and the 60 of smallest hash stay as they are
+    other = docs.withColumn("text", F.when(F.col("doc_id").isin(fixed), F.col("text")).otherwise(F.upper("text")))
+    scores = lambda d: {r["doc_id"]: r["score"] for r in cotraining.classify(d, some, sample=60).where(F.col("doc_id").isin(fixed)).collect()}
+    one, two = scores(docs), scores(other)
+    assert max(abs(one[d] - two[d]) for d in one) > 1e-6
+    again = scores(docs.repartition(7))
+    assert max(abs(one[d] - again[d]) for d in one) < 0.01
+
+
+def test_quality_fit_over_the_pool_equals_a_local_one(spark):
+    rng = np.random.default_rng(4)
+    flat = rng.normal(size=(3000, 25))
+    flat[:, 15], flat[:, 16] = rng.integers(0, 64, 3000), rng.integers(0, 16, 3000)
+    rows = spark.createDataFrame([(r, i * 2654435761) for i, r in enumerate(flat.tolist())], "f array<double>, draw long").repartition(5)
+    views = cotraining.make_views(rows)
+    x, y = [flat[:500, :15], flat[:500, 15:]], (flat[:500, 0] + flat[:500, 20] + rng.normal(size=500) > 0).astype(float)
+    for view, part in zip(views, x):
+        view.fit(part, y)
+    pool = cotraining.Pool(rows, views)
+    pool.exchange(0.5, 0.7, 0.1)
+    blocks = [b for batch in pool.blocks.toArrow().to_batches() for b in cotraining.Pool._blocks(batch)]
+    given = [[g[v][g[v] >= 0] for _, _, g in blocks] for v in (0, 1)]
+    assert pool.size == 3000 and all(100 < sum(map(len, g)) < 330 for g in given)
+    pool.fit(x, y, steps=30)
+    for v, view in enumerate(views):
+        at = np.concatenate([view.places(x[v]), *[view.starts[:-1] + bins[v][g[v] >= 0] for bins, _, g in blocks]])
+        alone = cotraining.newton(view.design(at), np.concatenate([y, *given[v]]), 2.0, 30)
+        assert np.abs(view.weights - alone).max() < 1e-2
+
+
 def test_toxicity_and_quality(spark, odd):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     tox = toxicity.score(docs, labels).join(labels, "doc_id").where("held_out").collect()

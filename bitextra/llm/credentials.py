@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from math import log2
 
@@ -25,7 +25,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 # weak parts: each is common in harmless text
 _IDENTIFIER = re.compile(
-    r"""\b(?:user(?:_?name)?|login|account|client_?id|access_?(?:key_?)?id|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{3,})""",
+    r"""(?<![A-Za-z0-9])(?:user(?:_?name)?|login|account|client_?id|access_?(?:key_?)?id|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{3,})""",
     re.IGNORECASE | re.ASCII,
 )
 _ENDPOINT = re.compile(
@@ -82,18 +82,20 @@ def link(text: str, strong: list[Span], weak: list[Span], reach: int | None = No
     if not weak:
         return []
     breaks = [m.end() for m in _BLANK_LINE.finditer(text)]
-    parts: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    parts: dict[tuple[str, int], tuple[list[int], list[int]]] = {}
     scope = lambda at: bisect_left(breaks, at + 1)
     for kind, a, b in sorted([*strong, *weak], key=lambda s: s[1]):
-        parts.setdefault((kind, scope(a)), []).append((a, b))
+        starts, ends = parts.setdefault((kind, scope(a)), ([], []))
+        starts.append(a)
+        ends.append(b)
     out = []
     for kind, a, b in weak:
         for other in PARTNERS[kind]:
-            near = parts.get((other, scope(a)), [])
-            at = bisect_left(near, (a, 0))
-            # parts of one kind do not overlap, so the nearest disjoint ones are among these
-            gaps = [a - y if y <= a else x - b for x, y in near[max(0, at - 2) : at + 3]]
-            if any(0 <= gap and (reach is None or gap <= reach) for gap in gaps):
+            starts, ends = parts.get((other, scope(a)), ([], []))
+            # parts of one kind do not overlap, so ends are in order, too
+            before, behind = bisect_right(ends, a), bisect_left(starts, b)
+            gaps = [a - y for y in ends[max(0, before - 1) : before]] + [x - b for x in starts[behind : behind + 1]]
+            if any(reach is None or gap <= reach for gap in gaps):
                 out.append((kind, a, b))
                 break
     return out

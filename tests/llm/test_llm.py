@@ -137,6 +137,17 @@ def test_secrets_link_within_whole_scopes(spark):
     assert clean[0] == f"[REDACTED]\n{filler}\n[REDACTED]" and clean[2] == texts[2]
 
 
+def test_secrets_behind_spans_with_parts_and_prefixed_names():
+    keys = ["Zx8kQ2mN7pL4vT9rB3wY", "b7Tq1Xc5Vn9Jm3Ks6Hd2", "Lw4Rz8Fy2Gp6Uv1Ea5Ti", "q9Nd3Sb7Xk1Mc5Zj8Wf4"]
+    url = "https://host.example/x?" + "&".join(f"{n}~{k}" for n, k in zip("abcd", keys))
+    kinds = lambda t: [s["kind"] for s in credentials.find(t)]
+    assert kinds(url) == []
+    assert "endpoint" in kinds(f"{url} P0oK9iJ8uH7yG6tF5rD4") and "endpoint" in kinds(f"P0oK9iJ8uH7yG6tF5rD4 {url}")
+    for name in ("aws_access_key_id", "db_user", "DB_USERNAME"):
+        assert kinds(f"{name}=alice {keys[0]}") == ["identifier", "secret"]
+    assert kinds(f"superuser=alice {keys[0]}") == []
+
+
 def test_mixing(spark, docs, odd):
     for df in (docs, odd, docs.limit(0)):
         got = mixing.decide(df).collect()

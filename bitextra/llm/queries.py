@@ -10,10 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from . import bpe, cotraining, credentials, jaccard_forest, llr_rules, mixing, mtree, token_codes, toxicity, warc
+from . import (
+    alignment, bpe, byte_queries, cotraining, credentials, jaccard_forest, llr_rules, mixing, mtree, token_codes, toxicity,
+    warc, whitening,
+)
 from .common import add_columns
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 
 
@@ -96,6 +101,40 @@ def op10_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "class_id", "n_links", "n_text_links")
 
 
+def op11_byte_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def start():
+        memo, pattern = 1_000_000, public_tokenizers.PATTERN
+        encode, decode = byte_queries.encoder(RANKS, pattern, "text", memo), byte_queries.decoder(RANKS, pattern, "ids", memo)
+        decimals = [str(i) for i in range(max(byte_queries.read_ranks(RANKS).values()) + 1)]
+
+        def make(batch: pa.RecordBatch) -> list[pa.Array]:
+            ids = pa.RecordBatch.from_arrays(encode(batch), names=["ids"])
+            ends = ids.column("ids").offsets.to_numpy()
+            words = [decimals[i] for i in ids.column("ids").values.to_numpy().tolist()]
+            listed = [",".join(words[a:b]).encode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            digests = [[hashlib.sha256(x).hexdigest() for x in some] for some in (listed, decode(ids)[0].to_pylist())]
+            return [pa.array(np.diff(ends).astype(np.int64)), *[pa.array(d, pa.string()) for d in digests]]
+
+        return make
+
+    # one Python worker encodes, decodes and digests; ids do not travel
+    fields = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
+    return add_columns(table(spark, sf_dir, "documents").select("doc_id", "text"), fields, start).drop("text")
+
+
+def op12_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    explained = F.array(*[F.lit(x).cast("double") for x in (model.explained if model else [])]).cast("array<double>")
+    return rows.select("vec_id", "n", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
+def op13_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, PIECES)[0]
+
+
 def _codes(batch: pa.RecordBatch) -> list[bytes]:
     """Ids of each row as little-endian unsigned 32-bit integers."""
     column = batch.column("ids")
@@ -112,6 +151,7 @@ QUERIES = {
     for f in (
         op1_quality_cotraining, op2_toxicity_trees, op3_token_codes, op4_llr_rules, op5_warc_zstd,
         op6_credentials, op7_mixing_tree, op8_bpe_queue, op9_mtree_top5, op10_jaccard_forest,
+        op11_byte_queries, op12_bit_sliced_whitening, op13_diagonal_alignment,
     )
 }
 

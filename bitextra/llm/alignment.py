@@ -113,30 +113,32 @@ class Tokenizers:
         ids_a, ids_b = [str(i) for i in range(self.size_a)], [str(i) for i in range(self.size_b)]
         self.marks = [f"{i}," for i in ids_a] + [f"{i}|" for i in ids_a] + [f"{i}," for i in ids_b] + [f"{i};" for i in ids_b]
 
-    def _checked(self, want: str, a: bytes, ids_b: list[int]) -> tuple[bytes, bytes] | None:
-        """Ids of both, if their bytes are those of the text."""
-        data = want.encode()
-        if b"".join([self.strings_b[i] for i in ids_b]) != data or b"".join([self.strings_a[i] for i in memoryview(a).cast("I")]) != data:
-            return None
-        return a, np.array(ids_b, np.uint32).tobytes()
+    def _checked(self, want: list[bytes], a: list[bytes], b: list[list[int]]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of both for each text; None where the bytes of either differ from the text's."""
+        packed = [np.array(x, np.uint32).tobytes() for x in b]
+        same = [True] * len(want)
+        for codes, strings, sizes in ((a, self.strings_a, self.sizes_a), (packed, self.strings_b, self.sizes_b)):
+            ids = np.frombuffer(b"".join(codes), np.uint32)
+            ends = np.append(0, np.cumsum(sizes[ids]))[np.cumsum([0, *[len(c) // 4 for c in codes]])]
+            data = b"".join([strings[i] for i in ids.tolist()])
+            if data != b"".join(want) or ends.tolist() != np.cumsum([0, *map(len, want)]).tolist():
+                same = [s and data[p:q] == w for s, p, q, w in zip(same, ends[:-1].tolist(), ends[1:].tolist(), want, strict=True)]
+        return [pair if s else None for s, pair in zip(same, zip(a, packed, strict=True), strict=True)]
 
     def _ask(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Codes of pieces behind the first of a text; they have lost their leading space."""
-        codes = self.a._ask(pieces)
-        out = []
-        for piece, a, b in zip(pieces, codes, self.b.encode(pieces, num_threads=1), strict=True):
-            if piece[0] == "\n":
-                # the model's own leading space is a token by itself here
-                out.append(self._checked(piece, a, b[1:]) if b[:1] == [self.blank] else None)
-            else:
-                out.append(self._checked(" " + piece, a, b))
-        return out
+        ids = self.b.encode(pieces, num_threads=1)
+        # before a newline, the model's own leading space is a token by itself
+        ids = [x[1:] if p[0] == "\n" and x[:1] == [self.blank] else x for p, x in zip(pieces, ids, strict=True)]
+        want = [p.encode() if p[0] == "\n" else b" " + p.encode() for p in pieces]
+        return self._checked(want, self.a._ask(pieces), ids)
 
     def _whole(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Codes of texts, or of first pieces, each asked for alone."""
         a = self.a.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1)
-        return [self._checked(" " + t, np.array(x.ids, np.uint32).tobytes(), y) if t else None for t, x, y in zip(texts, a, b, strict=True)]
+        codes = [np.array(x.ids, np.uint32).tobytes() for x in a]
+        checked = self._checked([b" " + t.encode() for t in texts], codes, self.b.encode(texts, num_threads=1))
+        return [c if t else None for t, c in zip(texts, checked, strict=True)]
 
     def encode_all(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both tokenizers as native 32-bit integers; None where the text is empty or its bytes are not kept."""
@@ -273,7 +275,7 @@ def _blocks(df: DataFrame, path_a: str, path_b: str, memo: int) -> DataFrame:
 
 
 def align_documents(
-    df: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text", memo: int = 400_000
+    df: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text", memo: int = 700_000
 ) -> tuple[DataFrame, DataFrame]:
     """Aligns tokenizer A (a byte-level tokenizer file) with B (a piece model) over every whole text.
 

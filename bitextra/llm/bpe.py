@@ -21,6 +21,8 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: UTF-8 bytes that a text of single spaces and newlines may hold, and those that start other blanks.
 _PLAIN = bytes([0x0A, *range(0x20, 0x7F), *range(0x80, 0x100)])
 _BLANKS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+#: A space, an ASCII word and signs that neither join the word nor stand for other characters.
+_WORD_AND_SIGNS = re.compile(r" ([A-Za-z]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 
 
@@ -145,6 +147,10 @@ class Codec:
         if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()) and max(piece) < "\u0250":
             table = self.byte_ids
             return array("i", self.merge([table[b] for b in piece.encode()])).tobytes()
+        word = _WORD_AND_SIGNS.fullmatch(piece)
+        if word:
+            # the word is a piece by itself, mostly met before
+            return self.pieces[word[1]] + self.words[word[2]]
         parts = self.cut.split(piece) if self.cut else [piece]
         return b"".join(
             array("i", [self.special[p]]).tobytes() if i % 2 else b"".join([self.words[w] for w, _ in self.split(p)])

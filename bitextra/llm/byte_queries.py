@@ -27,24 +27,25 @@ SLICE = 400_000
 WORD_BYTES = 48
 MEMORY = "768MB"
 
-#: One contraction a word and step. `k` orders pairs by rank, then position; a contracted pair's
-#: second row is the one whose predecessor holds the word's least `k`.
+#: One contraction a word and step. A row knows the next token (nx) and its place (np). `k` orders
+#: pairs by rank, then place. The first row of a contracted pair goes, the second becomes what
+#: they make, and the row before learns of it.
 SHORT = """
 WITH RECURSIVE s AS (
-  SELECT w, p, t, true AS live FROM start
+  SELECT w, p, t, nx, np, true AS live FROM start
   UNION ALL
-  SELECT w, p, CASE WHEN k = least THEN CAST(k >> 32 AS INTEGER) ELSE t END, least IS NOT NULL
-  FROM (
-    SELECT *, lag(k) OVER (PARTITION BY w ORDER BY p) AS before, min(k) OVER (PARTITION BY w) AS least
-    FROM (
-      SELECT w, p, t, CAST(rank AS BIGINT) << 32 | p AS k
-      FROM (SELECT w, p, t, CAST(t AS BIGINT) << 32 | lead(t) OVER (PARTITION BY w ORDER BY p) AS pair FROM s WHERE live)
-      LEFT JOIN merges USING (pair)))
-  WHERE before IS NULL OR before <> least)
+  (WITH pairs AS MATERIALIZED (
+     SELECT w, p, t, nx, np, CAST(rank AS BIGINT) << 32 | p AS k
+     FROM s LEFT JOIN merges ON pair = (CAST(t AS BIGINT) << 32 | nx) WHERE live),
+   first AS (SELECT w, min(k) AS least, arg_min(np, k) AS second FROM pairs GROUP BY w)
+   SELECT w, p, CASE WHEN p = second THEN CAST(least >> 32 AS INTEGER) ELSE t END,
+     CASE WHEN np = least & 4294967295 THEN CAST(least >> 32 AS INTEGER) ELSE nx END,
+     CASE WHEN np = least & 4294967295 THEN second ELSE np END, least IS NOT NULL
+   FROM pairs JOIN first USING (w) WHERE least IS NULL OR k IS DISTINCT FROM least))
 SELECT w, list(t ORDER BY p) AS ids FROM s WHERE NOT live GROUP BY w ORDER BY w
 """
 
-#: As `SHORT`, but a word's leftmost pair of the lowest rank is contracted wherever the same
+#: The same by windows, but a word's leftmost pair of the lowest rank is contracted wherever the same
 #: token comes of it, up to the first place where what it makes forms a pair of a lower rank with
 #: a neighbour (`risky`): until then, one contraction after the other would choose the same
 #: places. Of places that overlap, every second from the left counts.
@@ -152,8 +153,13 @@ class Codec:
         sizes = np.array([len(w) for w in words])
         at = np.repeat(np.cumsum(sizes) - sizes, sizes)
         tokens = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-        places = np.arange(len(tokens))
-        start = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "p": (places - at).astype(np.int32), "t": tokens})
+        places = (np.arange(len(tokens)) - at).astype(np.int32)
+        last = np.zeros(len(tokens), bool)
+        last[np.cumsum(sizes) - 1] = True
+        start = pa.table({
+            "w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "p": places, "t": tokens,
+            "nx": pa.array(np.append(tokens[1:], tokens[:1]), mask=last), "np": pa.array(places + np.int32(1), mask=last),
+        })
         self.db.register("start", start)
         ids = self.db.sql(sql).to_arrow_table().column("ids").combine_chunks()
         self.db.unregister("start")
@@ -162,31 +168,28 @@ class Codec:
 
     def _contract(self, words: list[str]) -> list[bytes]:
         """Ids of words, as native 32-bit integers; a word that is a token is that token."""
-        out: list[bytes | None] = []
-        jobs: dict[str, list[tuple[int, bytes]]] = {SHORT: [], LONG: []}
-        for i, word in enumerate(words):
-            data = word.encode()
-            rank = self.ranks.get(data)
-            out.append(np.int32(rank).tobytes() if rank is not None else b"")
-            if rank is None:
-                parts = [data] if len(data) <= WORD_BYTES else self._cut(data)
-                for part in parts:
-                    jobs[SHORT if len(part) <= WORD_BYTES else LONG].append((i, part))
-        parts: dict[int, dict[bytes, bytes]] = {}
-        for sql, todo in jobs.items():
-            at = 0
-            while at < len(todo):
-                end, size = at, 0
-                while end < len(todo) and (size == 0 or size + len(todo[end][1]) <= SLICE):
-                    size += len(todo[end][1])
-                    end += 1
-                for (i, part), ids in zip(todo[at:end], self._query(sql, [p for _, p in todo[at:end]]), strict=True):
-                    parts.setdefault(i, {}).setdefault(part, ids)
-                at = end
-        for i, done in parts.items():
-            data = words[i].encode()
-            cut = [data] if len(data) <= WORD_BYTES else self._cut(data)
-            out[i] = b"".join(done[p] for p in cut)
+        data = [w.encode() for w in words]
+        ranks = list(map(self.ranks.get, data))
+        out = [b"" if r is None else np.int32(r).tobytes() for r in ranks]
+        short = [i for i, r in enumerate(ranks) if r is None and len(data[i]) <= WORD_BYTES]
+        for i, ids in zip(short, self._in_slices(SHORT, [data[i] for i in short]), strict=True):
+            out[i] = ids
+        cut = {i: self._cut(data[i]) for i, r in enumerate(ranks) if r is None and len(data[i]) > WORD_BYTES}
+        parts = list(dict.fromkeys(p for ps in cut.values() for p in ps))
+        small, large = [p for p in parts if len(p) <= WORD_BYTES], [p for p in parts if len(p) > WORD_BYTES]
+        done = dict(zip(small + large, self._in_slices(SHORT, small) + self._in_slices(LONG, large), strict=True))
+        for i, ps in cut.items():
+            out[i] = b"".join([done[p] for p in ps])
+        return out
+
+    def _in_slices(self, sql: str, words: list[bytes]) -> list[bytes]:
+        out: list[bytes] = []
+        while len(out) < len(words):
+            end, size = len(out), 0
+            while end < len(words) and (size == 0 or size + len(words[end]) <= SLICE):
+                size += len(words[end])
+                end += 1
+            out += self._query(sql, words[len(out) : end])
         return out
 
     def _split(self, piece: str) -> list[str]:

@@ -77,7 +77,7 @@ def op7_mixing_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start():
-        encode, decode = bpe.encoder(VOCABULARY, "text", 400_000), bpe.decoder(VOCABULARY, "ids")
+        encode, decode = bpe.encoder(VOCABULARY, "text", 1_200_000), bpe.decoder(VOCABULARY, "ids", 1_200_000)
 
         def make(batch: pa.RecordBatch) -> list[pa.Array]:
             ids = pa.RecordBatch.from_arrays(encode(batch), names=["ids"])

@@ -181,7 +181,7 @@ def _library(path: str, memo: int) -> LibraryCodec:
 
 
 def write_tokens(
-    df: DataFrame, path: str, folder: str, end_id: int, doc_id: str = "doc_id", text: str = "text", bits: int = 8, memo: int = 800_000
+    df: DataFrame, path: str, folder: str, end_id: int, doc_id: str = "doc_id", text: str = "text", bits: int = 8, memo: int = 1_200_000
 ) -> DataFrame:
     """Encodes every whole text, appends `end_id`, and writes files in ascending `doc_id` order.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
 from . import constants as K
+from .arrays import let
 
 
 def strip(c: Column) -> Column:
@@ -149,6 +150,7 @@ def _any(stems: list[str]) -> str:
     return "(?:" + "|".join(stems) + ")"
 
 
+_ANY_CASE = r"(?i)\b"
 # (pattern, replacement with $n groups); tried in order, letter case of kept letters stays.
 AMERICAN_RULES = [
     (rf"(?i)\b((?:dis|un|mis)?{_any(_OUR)}o)u(r(?:s|ed|er|ers|ing|ite|ites|able|ful|less|ist|hood|hoods|ly|al|ally)?)\b", "$1$2"),
@@ -189,8 +191,19 @@ AMERICAN_RULES = [
 ]
 
 
+#: Any of the rules, all of which start at a word: one pass tells the texts that no rule touches.
+ANY_AMERICAN_RULE = r"\b(?:" + "|".join(
+    f"(?i:{p.removeprefix(_ANY_CASE)})" if p.startswith(_ANY_CASE) else p.removeprefix(r"\b") for p, _ in AMERICAN_RULES
+) + ")"
+
+
 def to_american(c: Column) -> Column:
-    c = collapse_ws(c)
-    for pattern, to in AMERICAN_RULES:
-        c = F.regexp_replace(c, pattern, to)
-    return c
+    """American spelling by rules, for texts in which one of them applies."""
+
+    def change(c: Column) -> Column:
+        changed = c
+        for pattern, to in AMERICAN_RULES:
+            changed = F.regexp_replace(changed, pattern, to)
+        return F.when(F.rlike(c, F.lit(ANY_AMERICAN_RULE)), changed).otherwise(c)
+
+    return let(collapse_ws(c), change)

@@ -139,17 +139,24 @@ def _number(kind: str, u: Column) -> Column:
 
 @augmenters("number_copying", "Sentences that hold the same number on both sides")
 def number_copying(df: DataFrame, params: dict) -> DataFrame:
+    """Drawn numbers, `num_examples` of them; with `from_rows` the first number of each English text that has one."""
     seed, what = _seed(params), "number_copying"
     kinds = params.get("number_types", NUMBER_TYPES)
-    rows = df.sparkSession.range(int(params.get("num_examples", 100)))
     key = F.col("id")
+    if params.get("from_rows", False):
+        found = F.regexp_extract("en", r"\d+(?:\.\d+)?", 0)
+        rows = df.select("id", found.alias("_number")).where(F.col("_number") != "")
+    else:
+        rows = df.sparkSession.range(int(params.get("num_examples", 100)))
     draw = lambda k: uniform(seed, what, key, k)
     number = _choose([(k, _number(k, draw(1))) for k in kinds], pick(draw(0), len(kinds)))
     which = pick(draw(2), len(K.NUMBER_TEMPLATES))
     english = F.array(*[F.lit(en) for en, _ in K.NUMBER_TEMPLATES])
     georgian = F.array(*[F.lit(ka) for _, ka in K.NUMBER_TEMPLATES])
     fill = lambda templates: F.replace(F.get(templates, F.col("_which")), F.lit("{number}"), F.col("_number"))
-    made = rows.withColumns({"_number": number, "_which": which}).select(
+    if "_number" not in rows.columns:
+        rows = rows.withColumn("_number", number)
+    made = rows.withColumn("_which", which).select(
         fill(english).alias("en"),
         fill(georgian).alias("ka"),
         F.lit("synthetic").alias("domain"),
@@ -296,3 +303,38 @@ def natural_writing_variations(df: DataFrame, params: dict) -> DataFrame:
     varied = _choose([(k, forms.get(k, c)) for k in kinds], pick(draw(1), len(kinds)))
     chosen = df.where(draw(0) < F.lit(float(params.get("percentage", 0.05))))
     return chosen.withColumns({"en": varied, "id": F.concat("id", F.lit("_natural_variation"))})
+
+
+def _chosen(df: DataFrame, params: dict, what: str) -> tuple[DataFrame, list[str]]:
+    """Rows that a share of `percentage` draws, and the columns to be changed that exist."""
+    columns = params.get("target_column", params.get("columns", ["en"]))
+    columns = [c for c in ([columns] if isinstance(columns, str) else columns) if c in df.columns]
+    share = float(params.get("percentage", 0.05))
+    return df.where(uniform(_seed(params), what, F.col("id")) < share), columns
+
+
+@augmenters("sentence_reversal", "Words in reverse order")
+def sentence_reversal(df: DataFrame, params: dict) -> DataFrame:
+    """Words are what blanks divide; NULL stays NULL and a text without words becomes ''."""
+    rows, columns = _chosen(df, params, "sentence_reversal")
+    turned = rows.withColumns({c: F.when(F.col(c).isNotNull(), F.array_join(F.reverse(X.words(F.col(c))), " ")) for c in columns})
+    return _like(df, turned.withColumn("id", F.concat("id", F.lit("_reversed"))))
+
+
+@augmenters("random_word_replacement", "Some words replaced by words of a lexicon")
+def random_word_replacement(df: DataFrame, params: dict) -> DataFrame:
+    """A share of `word_percentage` of a text's words, each drawn by its place, becomes the word of
+    `lexicon` (a list) at a place drawn likewise. Blanks become single spaces in changed rows."""
+    lexicon = list(params.get("lexicon", []))
+    if not lexicon:
+        raise ValueError("random_word_replacement needs a lexicon")
+    rows, columns = _chosen(df, params, "random_word_replacement")
+    seed, share = _seed(params), float(params.get("word_percentage", 0.1))
+    entries = F.array(*[F.lit(w) for w in lexicon])
+
+    def other(c: str) -> Column:
+        draw = lambda what, i: uniform(seed, f"{what}_{c}", F.col("id"), i)
+        new = lambda w, i: F.when(draw("word", i) < share, F.get(entries, pick(draw("entry", i), len(lexicon)))).otherwise(w)
+        return F.when(F.col(c).isNotNull(), F.array_join(F.transform(X.words(F.col(c)), new), " "))
+
+    return _like(df, rows.withColumns({c: other(c) for c in columns}).withColumn("id", F.concat("id", F.lit("_replaced"))))

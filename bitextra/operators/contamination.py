@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from ..functions import text as X
 from ..functions.hashing import digest, joined_digest
+from . import near as N
 from .lookup import HOT_ROWS, attach, ensure_checkpoint_dir
 
 _PRIME = 2_147_483_647
@@ -111,18 +112,20 @@ def _signer(n: int, chunk: int = 1 << 14):
 def minhash_bands(df: DataFrame, columns: list[str], threshold: float = 0.9, num_perm: int = 128) -> DataFrame:
     """(digest, band): one row per band of each distinct text's MinHash signature.
 
-    Signatures are made where the rows are, over whole arrays at a time. Equal texts merge in
-    the map-side part of `distinct`. Texts without words have no signature.
+    Equal texts are one before anything is signed. Texts without words have no signature.
     """
+    return _bands(N.contents(df, columns, _columns(columns)), "_text", threshold, num_perm)
+
+
+def _bands(signable: DataFrame, key: str, threshold: float, num_perm: int) -> DataFrame:
+    """(key, _band) of rows with words `_w`."""
     b, r = _shape(threshold, num_perm)
-    text = _columns(columns)
-    keyed = df.where(X.non_empty(text)).select(digest(*[F.col(c) for c in columns]).alias("_text"), X.words(text).alias("_w"))
-    signed = keyed.select("_text", _signer(b * r)(F.col("_w")).alias("_s"))
+    signed = signable.select(key, _signer(b * r)(F.col("_w")).alias("_s"))
     bands = [
         F.concat(F.lit(f"{j}:"), F.md5(F.concat_ws(",", F.slice("_s", j * r + 1, r).cast("array<string>"))))
         for j in range(b)
     ]
-    return signed.select("_text", F.explode(F.array(*bands)).alias("_band")).distinct()
+    return signed.select(key, F.explode(F.array(*bands)).alias("_band"))
 
 
 def exact_keys(source: DataFrame, target: DataFrame, columns: list[str]) -> DataFrame:
@@ -132,18 +135,42 @@ def exact_keys(source: DataFrame, target: DataFrame, columns: list[str]) -> Data
     return counted.join(source.select(key.alias("_exact")).distinct(), "_exact", "left_semi")
 
 
-def near_keys(
-    source: DataFrame, target: DataFrame, columns: list[str], threshold: float, num_perm: int, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """(digest, rows of target): target contents that share a band with some source content."""
+def near_texts(source: DataFrame, target: DataFrame, columns: list[str], near: dict, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(digest): target contents with a near duplicate in the source, by the algorithm that `near` names."""
+    algorithm = near.get("algorithm", "minhash")
+    if algorithm == "simhash":
+        params = near.get("simhash_params", {})
+        found = N.simhash_partners(
+            source, target, columns, _columns(columns), int(params.get("distance", 3)), int(params.get("blocks", 6))
+        )
+        return found.withColumnRenamed("_text", "_near")
+    params = near.get("minhash_params", {})
+    threshold, num_perm = float(params.get("threshold", 0.9)), int(params.get("num_perm", 128))
+    if params.get("verify", False):
+        bands = lambda sets: _bands(sets, "_id", threshold, num_perm)
+        found = N.verified_partners(source, target, columns, _columns(columns), bands, threshold)
+        return found.withColumnRenamed("_text", "_near")
     wanted = minhash_bands(source, columns, threshold, num_perm).select("_band").distinct()
     bands = minhash_bands(target, columns, threshold, num_perm)
     hits = bands.groupBy("_band").agg(F.count(F.lit(1)).alias("_in_band")).join(wanted, "_band", "left_semi")
     found = attach(bands, hits, "_band", "_in_band", F.col("_text"), hot_rows)
-    near = found.where(F.col("_in_band").isNotNull()).select(F.col("_text").alias("_near")).distinct()
-    key = digest(*[F.col(c) for c in columns]).alias("_near")
-    counted = target.groupBy(key).agg(F.count(F.lit(1)).alias("_near_rows"))
-    return counted.join(near, "_near", "left_semi")
+    return found.where(F.col("_in_band").isNotNull()).select(F.col("_text").alias("_near")).distinct()
+
+
+def near_keys(source: DataFrame, target: DataFrame, columns: list[str], near: dict, hot_rows: int = HOT_ROWS) -> tuple[Column, DataFrame]:
+    """The key of a target row, and (key, rows of target) of the contents with a near duplicate in the source."""
+    if near.get("algorithm") == "embeddings":
+        params = near.get("embedding_params", {})
+        vector = params.get("column", "embedding")
+        key = N.vector_digest(vector)
+        found = N.vector_partners(
+            source, target, vector, float(params.get("threshold", 0.95)), int(params.get("bits", 12)), float(params.get("recall", 0.999))
+        ).withColumnRenamed("_text", "_near")
+    else:
+        key = digest(*[F.col(c) for c in columns])
+        found = near_texts(source, target, columns, near, hot_rows)
+    counted = target.groupBy(key.alias("_near")).agg(F.count(F.lit(1)).alias("_near_rows"))
+    return key, counted.join(found, "_near", "left_semi")
 
 
 ALGORITHMS = ("minhash", "simhash", "embeddings")
@@ -159,9 +186,10 @@ def flag_contamination(
 ) -> DataFrame:
     """Target with BOOLEAN `is_exact` and `is_near`.
 
-    Near duplicates follow `minhash_params`. The algorithm names `simhash` and `embeddings`
-    are accepted and find nothing: no behaviour is defined for them. With `cut_lineage` the
-    matching digests, few beside the rows, are written to the checkpoint folder once; whatever
+    Near duplicates are found by `algorithm`: `minhash` (`minhash_params`: threshold, num_perm,
+    and verify to ask for the exact Jaccard similarity behind a shared band), `simhash`
+    (`simhash_params`: distance, blocks) or `embeddings` (`embedding_params`: column, threshold,
+    bits, recall). With `cut_lineage` the matching digests, few beside the rows, are written to the checkpoint folder once; whatever
     is done with the flagged rows then costs a scan and a join with them.
     """
     methods = methods or {}
@@ -185,11 +213,9 @@ def flag_contamination(
         flagged = flagged.withColumn("is_exact", F.col("_exact_rows").isNotNull())
     else:
         flagged = flagged.withColumn("is_exact", F.lit(False))
-    if near.get("enabled", True) and algorithm == "minhash":
-        cols, params = near.get("columns", ["en", "ka"]), near.get("minhash_params", {})
-        rows = flagged.withColumn("_near", digest(*[F.col(c) for c in cols]))
-        threshold, num_perm = float(params.get("threshold", 0.9)), int(params.get("num_perm", 128))
-        keys = settle(near_keys(source, target, cols, threshold, num_perm, hot_rows))
+    if near.get("enabled", True):
+        content, keys = near_keys(source, target, near.get("columns", ["en", "ka"]), near, hot_rows)
+        rows, keys = flagged.withColumn("_near", content), settle(keys)
         flagged = attach(rows, keys, "_near", "_near_rows", F.col(key), hot_rows)
         flagged = flagged.withColumn("is_near", F.col("_near_rows").isNotNull())
     else:

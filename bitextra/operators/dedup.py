@@ -5,43 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.hashing import digest
-from .lookup import HOT_ROWS, attach
+from .lookup import HOT_ROWS, attach, repeat_rows
 
 
-def mark_duplicates(
-    df: DataFrame, columns: list[str], order: str, name: str = "is_duplicate", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Flag every row but the first (in `order`) of each group with equal `columns`.
+def _judged(df: DataFrame, columns: list[str], order: str, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with `_later`, first rows that occur several times with that number as `_ties`).
 
-    `order` need not be unique: other columns decide between equal values. Rows that are equal
-    throughout are counted as one first and become that many again in the end, so exactly one
-    row of each group is not flagged. Groups are counted on a digest with map-side partial
-    counts; only groups of two and more are joined back.
+    A row's place is its `order` and an md5 of all it holds. Only digests and places are grouped,
+    with map-side partial counts; rows stay where they are and learn the first place of their
+    group. Rows that are equal throughout differ in nothing, so of those at the first place one
+    stands for all.
     """
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_same"))
-    place = F.struct(order, F.md5(F.to_json(F.struct(*df.columns))))
-    rows = rows.withColumns({"_digest": digest(*[F.col(c) for c in columns]), "_place": place})
+    whole = F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    rows = df.withColumns({"_digest": digest(*[F.col(c) for c in columns]), "_place": F.struct(F.col(order).alias("_o"), whole.alias("_m"))})
+    places = rows.groupBy("_digest", "_place").agg(F.count(F.lit(1)).alias("_n"))
     groups = (
-        rows.groupBy("_digest")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_same").alias("_copies"), F.min("_place").alias("_first"))
-        .where("_copies > 1")
+        places.groupBy("_digest")
+        .agg(F.sum("_n").alias("_rows"), F.min(F.struct("_place", "_n")).alias("_first"))
+        .where("_rows > 1")
+        .select("_digest", "_rows", F.col("_first._place").alias("_first"), F.col("_first._n").alias("_ties"))
     )
-    marked = attach(rows, groups, "_digest", "_rows", F.col("_place")[order], hot_rows)
-    each = marked.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_same"))).alias("_nth"))
-    later = F.col("_first").isNotNull() & ((F.col("_place") != F.col("_first")) | (F.col("_nth") > 1))
-    return each.select(*df.columns, later.alias(name))
+    marked = attach(rows, groups, "_digest", "_rows", F.col("_place._m"), hot_rows)
+    leads = F.col("_place").eqNullSafe(F.col("_first"))
+    tied = leads & F.coalesce(F.col("_ties") > 1, F.lit(False))
+    plain = marked.where(~tied).withColumn("_later", F.col("_first").isNotNull() & ~leads)
+    one = marked.where(tied).groupBy("_digest").agg(F.first(F.struct(*df.columns)).alias("_row"), F.first("_ties").alias("_ties"))
+    return plain.select(*df.columns, "_later"), one.select(*[F.col("_row")[c].alias(c) for c in df.columns], "_ties")
 
 
-def drop_duplicates(df: DataFrame, columns: list[str], order: str) -> DataFrame:
-    """One row of each group with equal `columns`: the first in `order`.
+def mark_duplicates(
+    df: DataFrame, columns: list[str], order: str, name: str = "is_duplicate", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Flag every row but the first (in `order`) of each group with equal `columns`.
 
-    `order` need not be unique: of rows with equal values the least in the other columns
-    stays, and of rows that are equal throughout one. A minimum with partial aggregates, so a
-    text copied a billion times costs one row per task.
+    `order` need not be unique: other columns decide between equal values, and of rows that are
+    equal throughout exactly one is not flagged. Groups of any size, NULLs included.
     """
-    least = F.struct(order, *[c for c in df.columns if c != order])
-    kept = df.groupBy(digest(*[F.col(c) for c in columns]).alias("_digest")).agg(F.min(least).alias("_row"))
-    return kept.select(*[F.col("_row")[c].alias(c) for c in df.columns])
+    plain, tied = _judged(df, columns, order, hot_rows)
+    flag = lambda rows, later: rows.select(*df.columns, later.alias(name))
+    copies = repeat_rows(tied.withColumn("_ties", F.col("_ties") - 1), "_ties")
+    return flag(plain, F.col("_later")).unionByName(flag(tied, F.lit(False))).unionByName(flag(copies, F.lit(True)))
+
+
+def drop_duplicates(df: DataFrame, columns: list[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row of each group with equal `columns`: the first in `order`, as `mark_duplicates` has it."""
+    plain, tied = _judged(df, columns, order, hot_rows)
+    return plain.where(~F.col("_later")).select(*df.columns).unionByName(tied.select(*df.columns))
 
 
 def list_duplicates(df: DataFrame, columns: list[str], order: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
 
 from ..functions import arrays as A, text as X
 from ..registry import tokenizers
+from .lookup import repeat_rows
 from .profile import most_frequent, word_counts
 
 PAD, UNK, BOS, EOS, SEP = 0, 1, 2, 3, 4
@@ -63,7 +64,7 @@ def _by_join(df: DataFrame, key: str, lists: dict[str, Column], table: DataFrame
     grouped = found.groupBy(key, "_d", "_same").agg(
         *[F.array_sort(F.collect_list(F.when(F.col("_field") == n, item))).alias(n) for n in lists]
     )
-    each = grouped.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), "_same")))
+    each = repeat_rows(grouped, "_same")
     return each.select(key, *[F.col(f"{n}._v").alias(n) for n in lists])
 
 

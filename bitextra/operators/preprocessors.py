@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 from ..functions import constants as K, text as X
 from ..functions.arrays import let
 from ..registry import preprocessors
+from .spelling import respell
 
 
 def on_columns(df: DataFrame, fn: Callable[[Column], Column], columns: str | list[str]) -> DataFrame:
@@ -25,7 +26,13 @@ def _both(params: dict) -> list[str]:
 
 @preprocessors("convert_to_american", "Write British spellings the American way")
 def convert_to_american(df: DataFrame, params: dict) -> DataFrame:
-    return on_columns(df, X.to_american, params.get("columns", ["en"]))
+    """By rules and, if `dictionary` is given (a mapping, or a Parquet table word, to), by word before them."""
+    columns = params.get("columns", ["en"])
+    words = params.get("dictionary")
+    if words is not None:
+        words = df.sparkSession.read.parquet(words) if isinstance(words, str) else words
+        df = respell(df, [columns] if isinstance(columns, str) else columns, words)
+    return on_columns(df, X.to_american, columns)
 
 
 @preprocessors("normalize_characters", "Standard dashes, apostrophes and quotation marks")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.hashing import hash_key
-from .lookup import attach, dense_index, ensure_checkpoint_dir, row_index
+from .lookup import attach, dense_index, ensure_checkpoint_dir, repeat_rows, row_index
 
 _BUCKET_DIGITS = 4  # rows are drawn in md5 order; 16^4 equal buckets of it
 
@@ -30,48 +30,75 @@ def _histogram(narrow: DataFrame) -> DataFrame:
     )
 
 
+def _cuts(narrow: DataFrame, quota: Callable[[Column], Column] | DataFrame) -> DataFrame:
+    """Where the quota of every stratum is reached: (_stratum, _cut, _keep, _at_cut, _total).
+
+    `narrow` has (_stratum, _h, _bucket); `quota` is a function of a stratum's size or a table
+    (_stratum, _wanted). Rows with a hash below `_cut` are all taken, of the
+    `_at_cut` rows with that hash `_keep`. Only the bucket in which the quota ends is looked
+    into, hash by hash with their counts.
+    """
+    hist = _histogram(narrow)
+    if isinstance(quota, DataFrame):
+        hist = hist.join(quota.withColumnRenamed("_wanted", "_quota"), "_stratum")
+    else:
+        hist = hist.withColumn("_quota", F.least(quota(F.col("_total")), F.col("_total")))
+    edges = hist.where((F.col("_start") < F.col("_quota")) & (F.col("_quota") <= F.col("_start") + F.col("_n")))
+    edges = edges.select("_stratum", "_bucket", (F.col("_quota") - F.col("_start")).alias("_need"), "_total")
+    counts = narrow.join(edges, ["_stratum", "_bucket"]).groupBy("_stratum", "_h", "_need", "_total").agg(F.count(F.lit(1)).alias("_at_cut"))
+    upto = Window.partitionBy("_stratum").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_keep", F.col("_need") - F.coalesce(F.sum("_at_cut").over(upto), F.lit(0)))
+    last = (F.col("_keep") >= 1) & (F.col("_keep") <= F.col("_at_cut"))
+    return counts.where(last).select("_stratum", F.col("_h").alias("_cut"), "_keep", "_at_cut", "_total")
+
+
+def _with_cuts(rows: DataFrame, cuts: DataFrame, strata: str | None) -> DataFrame:
+    if strata:
+        return attach(rows, cuts, "_stratum", "_total", F.col("_h"))
+    # the one cut-off under each first hex digit: a hash join with sixteen rows
+    digits = F.explode(F.array(*[F.lit(d) for d in "0123456789abcdef"]))
+    sixteen = cuts.select(digits.alias("_digit"), "_cut", "_keep", "_at_cut", "_total")
+    return rows.withColumn("_digit", F.substring("_h", 1, 1)).join(F.broadcast(sixteen), "_digit")
+
+
 def sample_by_hash(
     df: DataFrame,
     quota: Callable[[Column], Column],
     key: list[str],
     seed: int | str,
     strata: str | None = None,
-    settle: bool = False,
 ) -> DataFrame:
-    """The first quota(rows of the stratum) rows of every stratum in md5(seed|key) order.
+    """Exactly the first quota(rows of the stratum) rows of every stratum in md5(seed|key) order.
 
-    `key` is unique. Per stratum, a histogram over hash buckets finds the bucket where the
-    quota is reached; only that bucket is ranked, which gives the last row to be kept. The
-    table itself is then filtered against one cut-off per stratum and is never sorted. With
-    `settle` the cut-offs are written to the checkpoint folder, so that reading the sample
-    again costs a filtered scan only.
+    Per stratum, a histogram over hash buckets finds the bucket where the quota ends, and counts
+    per hash inside it the last hash to be taken. The table itself is then filtered against one
+    cut-off per stratum and is never sorted. The cut-offs are written to the checkpoint folder.
+    Keys may repeat or be NULL: where only some of the rows with the last hash are wanted, an
+    md5 of the whole row orders them in the same way, and of equal rows one stands for all.
     """
     stratum = F.col(strata) if strata else F.lit("all")
     stratum = F.coalesce(stratum.cast("string"), F.lit(""))
-    narrow = _buckets(df, stratum, key, seed)
-    hist = _histogram(narrow).withColumn("_quota", F.least(quota(F.col("_total")), F.col("_total")))
-    edges = hist.where((F.col("_start") < F.col("_quota")) & (F.col("_quota") <= F.col("_start") + F.col("_n")))
-    edges = edges.select("_stratum", "_bucket", (F.col("_quota") - F.col("_start")).alias("_need"), "_total")
-    rank = F.row_number().over(Window.partitionBy("_stratum", "_bucket").orderBy("_h", *key))
-    cuts = (
-        narrow.join(edges, ["_stratum", "_bucket"])
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") == F.col("_need"))
-        .select("_stratum", F.struct("_h", *key).alias("_cut"), "_total")
-    )
-    if settle:
-        ensure_checkpoint_dir(df.sparkSession)
-        cuts = cuts.checkpoint()
+    ensure_checkpoint_dir(df.sparkSession)
     rows = df.withColumn("_stratum", stratum).withColumn("_h", hash_key(seed, *[F.col(c) for c in key]))
-    if strata:
-        rows = attach(rows, cuts, "_stratum", "_total", F.col("_h"))
-    else:
-        # the one cut-off under each first hex digit: a hash join with sixteen rows
-        digits = F.explode(F.array(*[F.lit(d) for d in "0123456789abcdef"]))
-        sixteen = cuts.select(digits.alias("_digit"), "_cut")
-        rows = rows.withColumn("_digit", F.substring("_h", 1, 1)).join(F.broadcast(sixteen), "_digit")
-    kept = rows.where(F.struct("_h", *key) <= F.col("_cut"))
-    return kept.select(*df.columns)
+    # one row per stratum
+    cuts = _cuts(_buckets(df, stratum, key, seed), quota).checkpoint()
+    judged = _with_cuts(rows, cuts, strata)
+    whole = F.col("_keep") == F.col("_at_cut")
+    kept = judged.where((F.col("_h") < F.col("_cut")) | ((F.col("_h") == F.col("_cut")) & whole)).select(*df.columns)
+    some = cuts.where(~whole)
+    if some.isEmpty():
+        return kept
+    # rows of the last key, of which only `_keep` are wanted
+    last = judged.where((F.col("_h") == F.col("_cut")) & ~whole).select(*df.columns, "_stratum")
+    last = last.withColumn("_h", F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))
+    by_row = last.select("_stratum", "_h", F.substring("_h", 1, _BUCKET_DIGITS).alias("_bucket"))
+    wanted = some.select("_stratum", F.col("_keep").alias("_wanted"))
+    ends = _cuts(by_row, wanted).checkpoint()
+    inner = _with_cuts(last, ends, strata)
+    before = inner.where(F.col("_h") < F.col("_cut")).select(*df.columns)
+    equal = inner.where(F.col("_h") == F.col("_cut")).groupBy("_stratum").agg(F.first(F.struct(*df.columns)).alias("_row"), F.first("_keep").alias("_keep"))
+    copies = repeat_rows(equal.select(*[F.col("_row")[c].alias(c) for c in df.columns], "_keep"), "_keep")
+    return kept.unionByName(before).unionByName(copies)
 
 
 def sample_ranked(df: DataFrame, quota: Callable[[Column], Column], key: list[str], seed: int | str) -> DataFrame:
@@ -96,9 +123,9 @@ def exactly(n: int) -> Callable[[Column], Column]:
 
 
 def sample_percentage(
-    df: DataFrame, percentage: float, key: list[str], seed: int | str = 42, settle: bool = False
+    df: DataFrame, percentage: float, key: list[str], seed: int | str = 42
 ) -> DataFrame:
-    return df if percentage >= 100 else sample_by_hash(df, percent_of(percentage), key, seed, settle=settle)
+    return df if percentage >= 100 else sample_by_hash(df, percent_of(percentage), key, seed)
 
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed: int | str = 42) -> DataFrame:
@@ -112,14 +139,13 @@ def sample_stratified(
     seed: int | str = 42,
     strata: str = "domain",
     min_rows: int = 10,
-    settle: bool = False,
 ) -> DataFrame:
     """max(min_rows, percentage) rows of each stratum, at most all of them."""
     if percentage >= 100 or strata not in df.columns:
         return df
     share = percent_of(percentage)
     quota = lambda n: F.greatest(F.lit(min_rows).cast("long"), share(n))
-    return sample_by_hash(df, quota, key, seed, strata, settle)
+    return sample_by_hash(df, quota, key, seed, strata)
 
 
 def shuffle_rows(df: DataFrame, key: list[str], seed: int | str = 42) -> DataFrame:

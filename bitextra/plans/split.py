@@ -20,9 +20,9 @@ def build_split(split: dict, load: Callable[[str], DataFrame], settings: dict |
         percentage, seed = source["percentage"], source.get("seed", settings.get("random_seed", 42))
         if settings.get("stratify_by_domain", True):
             least = settings.get("min_samples_per_domain", 10)
-            part = sample_stratified(df, percentage, key, seed, min_rows=least, settle=True)
+            part = sample_stratified(df, percentage, key, seed, min_rows=least)
         else:
-            part = sample_percentage(df, percentage, key, seed, settle=True)
+            part = sample_percentage(df, percentage, key, seed)
         parts.append(part)
     if not parts:
         raise ValueError("a split needs at least one source")

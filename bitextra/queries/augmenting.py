@@ -238,3 +238,37 @@ def _(spark, sf):
     marked = plan.mark_cleanup(plan.augment(base, steps, {"random_seed": 42}), "id")
     summary = plan.preprocessing_summary(base, marked)
     return summary.withColumns({c: F.round(c, 6) for c in ("cleanup_percentage", "augmentation_ratio")})
+
+
+# --- word order and word replacement, and numbers that the rows themselves hold ---
+
+query(
+    "sentence_reversal",
+    from_pairs(
+        f"""SELECT title, ka, CASE WHEN en IS NOT NULL THEN array_to_string(list_reverse({words('en')}), ' ') END AS en, domain,
+        id || '_reversed' AS id FROM pairs WHERE {u('sentence_reversal')} < CAST({SHARE} AS DOUBLE)"""
+    ),
+)(_with("sentence_reversal", percentage=SHARE))
+
+LEXICON = ["river", "lantern", "copper", "meadow", "signal", "harbor", "velvet"]
+_PLACE = "CAST(i - 1 AS VARCHAR)"
+query(
+    "random_word_replacement",
+    from_pairs(
+        f"""SELECT title, ka, CASE WHEN en IS NOT NULL THEN array_to_string(list_transform(w, lambda x, i:
+        CASE WHEN {u('word_en', k=_PLACE)} < CAST(0.3 AS DOUBLE) THEN {LEXICON}[{pick(u('entry_en', k=_PLACE), str(len(LEXICON)))} + 1] ELSE x END), ' ') END AS en,
+        domain, id || '_replaced' AS id FROM (SELECT *, {words('en')} AS w FROM pairs) WHERE {u('random_word_replacement')} < CAST({SHARE} AS DOUBLE)"""
+    ),
+)(_with("random_word_replacement", percentage=SHARE, word_percentage=0.3, lexicon=LEXICON))
+
+_ENGLISH = "[" + ", ".join(q(en) for en, _ in K.NUMBER_TEMPLATES) + "]"
+_GEORGIAN = "[" + ", ".join(q(ka) for _, ka in K.NUMBER_TEMPLATES) + "]"
+_WHICH = pick(u("number_copying", k="'2'"), str(len(K.NUMBER_TEMPLATES)))
+query(
+    "number_copying_from_rows",
+    from_pairs(
+        f"""SELECT CAST(NULL AS VARCHAR) AS title, replace({_GEORGIAN}[{_WHICH} + 1], '{{number}}', n) AS ka,
+        replace({_ENGLISH}[{_WHICH} + 1], '{{number}}', n) AS en, 'synthetic' AS domain, 'number_copy_' || id AS id
+        FROM (SELECT id, regexp_extract(en, '[0-9]+(\\.[0-9]+)?', 0) AS n FROM pairs) WHERE n <> ''"""
+    ),
+)(_with("number_copying", from_rows=True))

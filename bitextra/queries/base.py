@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import FloatType, IntegerType, ShortType
 
 from ..functions import constants as K
-from ..operators.lookup import dense_index, ensure_checkpoint_dir, spread
+from ..operators.lookup import dense_index, ensure_checkpoint_dir, shuffle_partitions, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, tuple[Query, str | None]] = {}
@@ -71,6 +71,9 @@ def pairs(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFram
         F.col("doc_id").alias(key), F.struct("text", "lang").alias(name)
     )
     joined = rows.join(text("row_pos", "lead"), "row_pos").join(text("beside", "other"), "beside", "left")
+    # CPU-heavy work on texts follows: a numbered exchange keeps its partitions
+    cores = spark.sparkContext.defaultParallelism
+    joined = joined.repartition(max(cores, shuffle_partitions(docs)), "row_pos")
     ka = F.when(F.col("is_en"), F.col("other")).otherwise(F.col("lead"))
     en = F.when(F.col("is_en"), F.col("lead")).otherwise(F.col("other"))
     return joined.select(

@@ -8,6 +8,7 @@ from ..operators.sampling import indexed
 from ..plans import preprocess as plan
 from ..plans.spec import Step, load_spec
 from ..registry import preprocessors
+from ..operators.spelling import respell
 from .base import collapse, from_pairs, pairs, q, query, strip, sub, texts
 
 
@@ -54,6 +55,33 @@ query("remove_extra_whitespaces", _both(squeeze_sql))(_run("remove_extra_whitesp
 query("convert_to_american", from_pairs(f"SELECT id, {american_sql('en')} AS en, ka FROM pairs"))(
     _run("convert_to_american")
 )
+# a word list of its own, with the most frequent words of the test tables in it
+RESPELLED = {"the": "thee", "thand": "thend", "and": "ande", "colour": "color", "erthe": "erth", "of": "off", "licence": "license"}
+_ANY_WORD = r"\p{L}+(?:['’]\p{L}+)*"
+_TABLE = "MAP {" + ", ".join(f"{q(a)}: {q(b)}" for a, b in RESPELLED.items()) + "}"
+
+
+def respelled_sql(c):
+    to = f"{_TABLE}[lower(w)]"
+    cased = (
+        f"CASE WHEN {to} IS NULL THEN w WHEN length(w) > 1 AND upper(w) = w AND lower(w) <> w THEN upper({to}) "
+        f"WHEN left(w, 1) <> lower(left(w, 1)) THEN upper(left({to}, 1)) || substr({to}, 2) ELSE {to} END"
+    )
+    pieces = f"regexp_extract_all({c}, {q(_ANY_WORD + '|[^' + chr(92) + 'p{L}]+|.')})"
+    return f"CASE WHEN {c} IS NOT NULL THEN array_to_string(list_transform({pieces}, lambda w: {cased}), '') END"
+
+
+@query("respell_by_word_list", from_pairs(f"SELECT id, {respelled_sql('en')} AS en, {respelled_sql('ka')} AS ka FROM pairs"))
+def _(spark, sf):
+    return respell(pairs(spark, sf), ["en", "ka"], RESPELLED).select("id", "en", "ka")
+
+
+@query("respell_by_join", from_pairs(f"SELECT id, {respelled_sql('en')} AS en FROM pairs"))
+def _(spark, sf):
+    words = spark.createDataFrame(list(RESPELLED.items()), "word string, to string")
+    return respell(pairs(spark, sf), ["en"], words, most=3).select("id", "en")
+
+
 query("lowercase_english", from_pairs("SELECT id, lower(en) AS en, ka FROM pairs"))(_run("lowercase_english"))
 query("fix_encoding_issues", _both(repair_sql))(_run("fix_encoding_issues"))
 query("remove_brackets_content", _both(lambda c: brackets_sql(c, ["()", "[]", "{}", "<>"])))(

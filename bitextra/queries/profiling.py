@@ -70,16 +70,17 @@ def _(spark, sf):
     return _rounded(P.with_ratios(_data(spark, sf)), "char_ratio", "word_ratio").select("id", "char_ratio", "word_ratio")
 
 
-@query(
-    "ratio_histogram",
-    from_pairs(
-        """SELECT bin, round(lo + bin * w, 6) AS low, round(lo + (bin + 1) * w, 6) AS high, count(*) AS count FROM (
-        SELECT CAST(least(floor((char_ratio - lo) / w), 49) AS BIGINT) AS bin, lo, w FROM r, b) GROUP BY ALL""",
-        _RATIO + ", b AS (SELECT min(char_ratio) AS lo, (max(char_ratio) - min(char_ratio)) / CAST(50 AS DOUBLE) AS w FROM r)",
-    ),
-)
+def _bins(ratio: str) -> str:
+    return f"""SELECT '{ratio}' AS ratio, bin, round(lo + bin * w, 6) AS low, round(lo + (bin + 1) * w, 6) AS high, count(*) AS count FROM (
+        SELECT CAST(least(floor(({ratio} - lo) / w), 49) AS BIGINT) AS bin, lo, w FROM r,
+        (SELECT min({ratio}) AS lo, (max({ratio}) - min({ratio})) / CAST(50 AS DOUBLE) AS w FROM r)) GROUP BY ALL"""
+
+
+@query("ratio_histogram", from_pairs(f"{_bins('char_ratio')} UNION ALL {_bins('word_ratio')}", _RATIO))
 def _(spark, sf):
-    return _rounded(P.histogram(P.with_ratios(_data(spark, sf)), "char_ratio"), "low", "high")
+    ratios = P.with_ratios(_data(spark, sf))
+    both = [_rounded(P.histogram(ratios, c), "low", "high").withColumn("ratio", F.lit(c)) for c in ("char_ratio", "word_ratio")]
+    return both[0].unionByName(both[1])
 
 
 @query("top_characters", long_sql(top_sql(_CHAR_COUNTS, 50, "lang", "char"), _CHARS))

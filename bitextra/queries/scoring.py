@@ -149,15 +149,17 @@ def _(spark, sf):
 @query(
     "scores_by_dataset_and_domain",
     from_pairs(
-        f"SELECT dataset, domain, round({bleu_sql()}, 6) AS bleu FROM tot",
-        f"{_EVAL}, {counts_cte(['bleu'])}, tot AS (SELECT dataset, domain, "
-        + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in M.count_columns(("bleu",)))
-        + " FROM oc JOIN ev USING (id) GROUP BY dataset, domain)",
+        f"SELECT dataset, domain, round({bleu_sql()}, 6) AS bleu, round({chrf_sql()}, 6) AS chrf FROM tot",
+        f"{_EVAL}, {counts_cte(['bleu', 'chrf'])}, tot AS (SELECT dataset, domain, "
+        + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in M.count_columns(("bleu", "chrf")))
+        + " FROM oc JOIN ev USING (id) GROUP BY GROUPING SETS ((dataset, domain), ()))",
     ),
 )
 def _(spark, sf):
-    scores = M.corpus_scores(_evaluation(spark, sf), families=("bleu",), by=["dataset", "domain"])
-    return scores.withColumn("bleu", F.round("bleu", 6))
+    rows = _evaluation(spark, sf)
+    groups = M.corpus_scores(rows, by=["dataset", "domain"])
+    total = M.corpus_scores(rows).select(F.lit(None).cast("string").alias("dataset"), F.lit(None).cast("string").alias("domain"), "bleu", "chrf")
+    return groups.unionByName(total).withColumns({c: F.round(c, 6) for c in ("bleu", "chrf")})
 
 
 @query(

@@ -69,14 +69,58 @@ def _(spark, sf):
     return flagged.select("doc_id", "is_near")
 
 
+def _near_only(**near):
+    return {"exact_match": {"enabled": False}, "near_duplicate": {**METHODS["near_duplicate"], **near}}
+
+
+def _prints(name: str, src: str) -> str:
+    """{name}(d, p): fingerprint of every different content of src."""
+    bits = " + ".join(f"CASE WHEN sum(CASE WHEN (h >> {j}) & 1 = 1 THEN 1 ELSE -1 END) > 0 THEN {1 << j}::HUGEINT ELSE 0 END" for j in range(64))
+    return f"""{name}_w AS (SELECT d, unnest({words("coalesce(text, '') || ' ' || coalesce(lang, '')")}) AS w
+  FROM (SELECT {digest('text', 'lang')} AS d, any_value(text) AS text, any_value(lang) AS lang FROM {src} GROUP BY 1)),
+{name} AS (SELECT d, CAST({bits} AS UBIGINT) AS p FROM (SELECT d, CAST('0x' || substr(md5(w), 1, 16) AS UBIGINT) AS h FROM {name}_w) GROUP BY d)"""
+
+
 @query(
-    "contamination_by_undefined_algorithm",
-    f"WITH {SIDES} SELECT doc_id, false AS is_near FROM tgt",
+    "simhash_contamination",
+    f"""WITH {SIDES}, {_prints('fs', 'src')}, {_prints('ft', 'tgt')},
+    hit AS (SELECT DISTINCT ft.d FROM ft JOIN fs ON bit_count(xor(ft.p, fs.p)) <= 3)
+    SELECT doc_id, {digest('t.text', 't.lang')} IN (SELECT d FROM hit) AS is_near FROM tgt t""",
 )
 def _(spark, sf):
-    near = {**METHODS["near_duplicate"], "algorithm": "simhash"}
-    _, flagged = _flagged(spark, sf, {"exact_match": {"enabled": False}, "near_duplicate": near})
-    return flagged.select("doc_id", "is_near")
+    return _flagged(spark, sf, _near_only(algorithm="simhash"))[1].select("doc_id", "is_near")
+
+
+@query(
+    "verified_contamination",
+    f"""WITH {SIDES}, {bands_cte('ba', 'src', ['text', 'lang'])}, {bands_cte('bb', 'tgt', ['text', 'lang'])},
+    cand AS (SELECT DISTINCT bb.d AS t, ba.d AS s FROM bb JOIN ba USING (band)),
+    both_w AS (SELECT t, s, count(*) AS n FROM cand JOIN bb_w ON bb_w.d = t JOIN ba_w ON ba_w.d = s AND ba_w.w = bb_w.w GROUP BY ALL),
+    nt AS (SELECT d, count(*) AS n FROM bb_w GROUP BY d), ns AS (SELECT d, count(*) AS n FROM ba_w GROUP BY d),
+    hit AS (SELECT DISTINCT t FROM both_w JOIN nt ON nt.d = t JOIN ns ON ns.d = s
+      WHERE CAST(both_w.n AS DOUBLE) / (nt.n + ns.n - both_w.n) >= CAST(0.9 AS DOUBLE))
+    SELECT doc_id, {digest('g.text', 'g.lang')} IN (SELECT t FROM hit) AS is_near FROM tgt g""",
+)
+def _(spark, sf):
+    near = _near_only(minhash_params={"num_perm": 128, "threshold": 0.9, "verify": True})
+    return _flagged(spark, sf, near)[1].select("doc_id", "is_near")
+
+
+@query(
+    "embedding_contamination",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e, md5(CAST(vec_id AS VARCHAR)) < '4' AS protected
+      FROM embeddings),
+    ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0),
+    hit AS (SELECT DISTINCT t.vec_id FROM ok t JOIN ok s ON s.protected AND NOT t.protected AND len(s.e) = len(t.e)
+      AND list_cosine_similarity(t.e, s.e) >= CAST(0.8 AS DOUBLE))
+    SELECT vec_id, vec_id IN (SELECT vec_id FROM hit) AS is_near FROM v WHERE NOT protected""",
+)
+def _(spark, sf):
+    rows = texts(spark, sf, "embeddings").withColumn("_h", F.md5(F.col("vec_id").cast("string")))
+    source, target = rows.where(F.col("_h") < "4").drop("_h"), rows.where(F.col("_h") >= "4").drop("_h")
+    near = _near_only(algorithm="embeddings", embedding_params={"threshold": 0.8, "bits": 10})
+    return C.flag_contamination(source, target, near, key="vec_id").select("vec_id", "is_near")
 
 
 @query("contamination_flags", f"WITH {SIDES}, {_FLAGS} SELECT doc_id, is_exact, is_near FROM flagged")

@@ -59,6 +59,24 @@ def add_columns(
     return df.mapInArrow(run, schema)
 
 
+def carried(df: DataFrame, needed: list[str], run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """run(df) in which columns that are not `needed` travel in one struct, out of the way of names inside `run`.
+
+    They come back under their own names, but for those that `run` adds itself.
+    """
+    extra = [c for c in df.columns if c not in needed]
+    if not extra:
+        return run(df)
+    box = "_carried"
+    while box in df.columns:
+        box += "_"
+    plain = [c for c in df.columns if c in needed]
+    out = run(df.select(*plain, F.struct(*[F.col(f"`{c}`") for c in extra]).alias(box)))
+    new = [c for c in out.columns if c not in plain and c != box]
+    kept = [F.col(c) if c in plain else F.col(box)[c].alias(c) for c in df.columns if c not in new]
+    return out.select(*kept, *new)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected edges: (node, root) for every node of an edge.
 

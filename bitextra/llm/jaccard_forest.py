@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.lookup import attach
-from .common import components, settle
+from .common import carried, components, settle
 
 N, CHUNK, COLUMNS = 5, 256, 8192
 _U = np.uint64
@@ -284,7 +284,15 @@ def classes(
 
 
 def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """One row of every class, and all rows without words; columns as they are."""
+    """One row of every class, and all rows without words; columns as they are, whatever their names.
+
+    NULL texts have no words. Of equal rows in the first place of a class one stays; NULL ids
+    come after all others.
+    """
+    return carried(df, [doc_id, text], lambda rows: _keep_first(rows, doc_id, text, **how))
+
+
+def _keep_first(df: DataFrame, doc_id: str, text: str, **how) -> DataFrame:
     found = classes(df, doc_id, text, **how)
     rule = found.groupBy(F.col(doc_id).alias("_d"), F.col("k").alias("_k")).agg(
         F.first("first").alias("_first"), (F.count(F.lit(1)) > F.when(F.first("class_key").isNull(), F.lit(1 << 62)).otherwise(1)).alias("_again")

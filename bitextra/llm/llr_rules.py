@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD
+from .common import WORD, carried
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -109,6 +109,10 @@ def judge(
     where nothing is trusted; `kept` is false if base_failed or llr < threshold. Rows are
     judged each for itself, repeated rows alike. Columns named like new ones are replaced.
     """
+    return carried(df, [doc_id, text], lambda rows: _judge(rows, labels, doc_id, text, buckets, smoothing, threshold))
+
+
+def _judge(df: DataFrame, labels: DataFrame, doc_id: str, text: str, buckets: int, smoothing: float, threshold: float) -> DataFrame:
     ratios = log_ratios(df, labels, doc_id, text, buckets, smoothing)
     x = F.coalesce(F.col(text), F.lit(""))
     new = {

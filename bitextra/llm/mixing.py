@@ -108,11 +108,12 @@ def decide(
     """Adds to every row: size, source_size, target, draws, taken.
 
     `size` is the number of words (NULL text: 0). `draws` lists the row's places in the mix as
-    (copy, shard, words); `words` is `size` but for the row at a source's cut. `taken` is their
-    sum. Sources share 100 % of all words by weight (see `targets`); the taken words of a source
-    are its rounded target, and no row gives more than `repeat` times its size. Rows without
-    words take no part. Rows equal in id and text share what falls to them at a cut evenly,
-    rounded down. Reruns agree: all draws are hashes. `blocks` and `shards` bound every table
+    (copy, shard, words). `taken` is the sum of their words. Sources share 100 % of all words by
+    weight (see `targets`), and no row gives more than `repeat` times its size. The row at a
+    source's cut is drawn whole or not at all, whichever is nearer to the target: the taken
+    words of a source differ from its rounded target by half of that row at most. Rows without
+    words take no part. Only rows equal in id and text share what falls to them at a cut
+    evenly, rounded down, as a prefix each. Reruns agree: all draws are hashes. `blocks` and `shards` bound every table
     that is sorted in one task. Columns that have the name of a new one are replaced.
     """
     new = ["size", "source_size", "target", "draws", "taken"]
@@ -153,7 +154,8 @@ def decide(
     beyond = F.struct("p1", "p2", "p3") > F.struct("cut_p1", "cut_p2", "cut_p3")
     at_cut = (F.col("p1") == F.col("cut_p1")) & (F.col("p2") == F.col("cut_p2")) & (F.col("p3") == F.col("cut_p3"))
     share = F.floor(F.col("size") * (F.col("_left") / F.col("_words"))).cast("long")
-    exact = F.when(F.col("size") == F.col("_words"), F.col("_left")).otherwise(share)
+    whole = F.when(2 * F.col("_left") >= F.col("size"), F.col("size")).otherwise(F.lit(0))
+    exact = F.when(F.col("size") == F.col("_words"), whole).otherwise(share)
     # without a cut nothing of the source is left over: `left` is 0
     extra = F.when(F.col("cut_p1").isNull() | beyond, 0).when(at_cut, exact).otherwise(F.col("size"))
 
@@ -199,8 +201,8 @@ def decide(
 def mix(df: DataFrame, text: str = "text", n_chars: str | None = "n_chars", **how) -> DataFrame:
     """The mix itself: a row for every draw, shard by shard, shuffled within each.
 
-    Columns of `df` and shard, copy, order. The row at a cut has the prefix of its text that
-    holds its words, and `n_chars` follows.
+    Columns of `df` and shard, copy, order. Texts are whole, but for rows equal in id and text at
+    a cut (see `decide`): these have the prefix that holds their words, and `n_chars` follows.
     """
     columns = df.columns
     rows = decide(df, text=text, **how).withColumn("_d", F.explode("draws"))

@@ -14,7 +14,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField
 
-from .common import add_columns, settle
+from .common import add_columns, carried, settle
 
 # Insults in English, German, French and Spanish; an own choice, not a fixed value. Words that mark
 # toxic training texts are learned beside it.
@@ -82,7 +82,7 @@ def features(text: str, insults: frozenset[str], learned: frozenset[str], near:
         len(_RUN.findall(text)) / n,
         len(mixed) / n,
         text.count("*") / n,
-        sum(s in insults for s in spaced) / n,
+        sum(s in insults or s in learned for s in spaced) / n,
         len(different) / n,
     ]
 
@@ -102,14 +102,15 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def learned_words(texts: DataFrame, most: int = 200, least: int = 5) -> list[str]:
-    """Words of toxic training texts whose smoothed odds are at least ten to one; at most `most`."""
+def learned_words(texts: DataFrame, least: int = 5) -> list[str]:
+    """All words of toxic training texts whose smoothed odds are at least ten to one, each in `least`
+    toxic texts or more: the bounded sample of labelled texts bounds them."""
     word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}@$*]+"), F.lit(0))))
     counts = texts.select("label", word.alias("w")).groupBy("w").agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n"))
     totals = texts.agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n")).first()
     toxic, clean = totals["t"] or 0, totals["n"] - (totals["t"] or 0)
     odds = ((F.col("t") + 0.5) / (toxic + 1)) / ((F.col("n") - F.col("t") + 0.5) / (clean + 1))
-    chosen = counts.where((F.col("t") >= least) & (odds >= 10)).orderBy(F.col("t").desc(), "w").limit(most)
+    chosen = counts.where((F.col("t") >= least) & (odds >= 10)).orderBy("w")
     return [r["w"] for r in chosen.collect()]
 
 
@@ -131,6 +132,10 @@ def score(
     kinds every score is the share of toxic labels (0 without any). Repeated rows score alike;
     columns named like new ones are replaced.
     """
+    return carried(df, [doc_id, text], lambda rows: _score(rows, labels, doc_id, text, sample, trees, depth))
+
+
+def _score(df: DataFrame, labels: DataFrame, doc_id: str, text: str, sample: int, trees: int, depth: int) -> DataFrame:
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 0))
     known = known.groupBy(F.col("doc_id").alias("_l")).agg(F.max("toxic").cast("double").alias("label"))
     known = known.withColumn("_h", F.xxhash64("_l")).orderBy("_h", "_l").limit(sample)  # bounded, so it may be broadcast

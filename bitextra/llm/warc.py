@@ -5,9 +5,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 import zstandard as zstd
@@ -22,6 +24,7 @@ from .common import new_folder, settle
 SKIP, FRAME = 0x184D2A5D, 0xFD2FB528
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A file is closed at this many bytes of payload; the dictionary learns from so many bytes at its start.
+_DATE = re.compile(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,9})?Z")
 FILE_BYTES, SAMPLE_BYTES, DICTIONARY_BYTES = 32 << 20, 2 << 20, 32 << 10
 
 
@@ -29,13 +32,27 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, sha1: str, refers_to: int | None, revisit: bool) -> bytes:
-    """A response with its payload, or a revisit that keeps the HTTP header with the full length."""
+def record_id(page_id: int | None, sha1: str, revisit: bool) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {sha1} {revisit}')}>"
+
+
+def now() -> str:
+    return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def record(
+    page_id: int | None, url: str | None, payload: bytes, sha1: str, refers_to: int | None, revisit: bool, date: str | None = None
+) -> bytes:
+    """A response with its payload, or a revisit that keeps the HTTP header with the full length.
+
+    `date` is that of the capture (WARC-Date); without it, now.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     head = {
         "WARC-Type": "revisit" if revisit else "response",
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {sha1} {revisit}')}>",
+        "WARC-Record-ID": record_id(page_id, sha1, revisit),
+        "WARC-Date": date or now(),
         "WARC-Target-URI": (url or "").replace("\r", "%0D").replace("\n", "%0A"),
         "X-Page-ID": "" if page_id is None else str(page_id),
         "WARC-Payload-Digest": f"sha1:{sha1}",
@@ -44,7 +61,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, sha1: str, refe
         "Content-Length": str(len(block)),
     }
     if revisit:
-        head |= {"WARC-Profile": PROFILE, "X-Refers-To-Page-ID": "" if refers_to is None else str(refers_to)}
+        head |= {"WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers_to, sha1, False), "X-Refers-To-Page-ID": "" if refers_to is None else str(refers_to)}
     lines = "".join(f"{k}: {v}\r\n" for k, v in head.items())
     return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
 
@@ -118,9 +135,11 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
         if not colon or not name or name != name.strip():
             raise BadArchive(f"bad header line {line[:80]!r}")
         headers[name.lower()] = value.strip()
-    for name in ("warc-type", "warc-record-id", "content-length"):
+    for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in headers:
             raise BadArchive(f"header {name} is missing")
+    if not _DATE.fullmatch(headers["warc-date"]):
+        raise BadArchive(f"WARC-Date {headers['warc-date'][:40]!r} is none")
     if not headers["content-length"].isascii() or not headers["content-length"].isdigit():
         raise BadArchive("Content-Length is not a number")
     n = int(headers["content-length"])
@@ -144,6 +163,8 @@ def read_record(raw: bytes) -> dict:
     kind, sha1 = headers["warc-type"], headers.get("warc-payload-digest", "").removeprefix("sha1:")
     if kind == "response" and (len(payload) != int(sizes[0]) or digest(payload) != sha1):
         raise BadArchive("the payload does not fit its length or digest")
+    if kind == "revisit" and "warc-refers-to" not in headers:
+        raise BadArchive("a revisit refers to no record")
     if kind == "revisit" and payload:
         raise BadArchive("a revisit has a payload")
     number = lambda name: int(headers[name]) if headers.get(name) else None
@@ -189,7 +210,7 @@ def write_archives(
     record each; other columns are not read. A table without rows writes no file. A file has a
     name of its own and counts only once its task has ended, so lost tasks leave nothing read.
     """
-    rows = plan_records(pages, page_id, url, html, least)
+    rows, date = plan_records(pages, page_id, url, html, least), now()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, part = fs.FileSystem.from_uri(folder), TaskContext.get().partitionId()
@@ -205,7 +226,7 @@ def write_archives(
         for b in batches:
             for r in b.to_pylist():
                 sha1 = base64.b32encode(bytes.fromhex(r["sha1"])).decode()
-                records.append(record(r["page_id"], r["url"], r["payload"], sha1, r["refers_to"], bool(r["revisit"])))
+                records.append(record(r["page_id"], r["url"], r["payload"], sha1, r["refers_to"], bool(r["revisit"]), date))
                 size += len(records[-1])
                 if size >= FILE_BYTES:
                     yield save(records)

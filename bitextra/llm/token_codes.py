@@ -159,13 +159,14 @@ class LibraryCodec:
         cut = [chunks(t) if t else ("", []) for t in texts]
         known = self.pieces
         rows = [list(map(known.get, rest)) for _, rest in cut]
-        open_rows = [(rest, row) for (_, rest), row in zip(cut, rows, strict=True) if None in row]
-        new = dict.fromkeys(p for rest, row in open_rows for p, code in zip(rest, row, strict=True) if code is None)
+        gaps = [[i for i, code in enumerate(row) if code is None] for row in rows]
+        new = dict.fromkeys(rest[i] for (_, rest), gap in zip(cut, gaps, strict=True) for i in gap)
         new = {p: known.old.get(p) for p in new}
         asked = [p for p, code in new.items() if code is None]
         new.update(zip(asked, self._ask(asked), strict=True))
-        for rest, row in open_rows:
-            row[:] = [new[p] if code is None else code for p, code in zip(rest, row, strict=True)]
+        for (_, rest), row, gap in zip(cut, rows, gaps, strict=True):
+            for i in gap:
+                row[i] = new[rest[i]]
         for p, code in new.items():
             known.put(p, code)
         firsts = self.tokenizer.encode_batch_fast([first for first, _ in cut], add_special_tokens=False)
@@ -214,8 +215,8 @@ def write_tokens(
 
         doc_ids, codes, size = [], [], 0
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                some = b.slice(at, 256)
+            for at in range(0, b.num_rows, 512):
+                some = b.slice(at, 512)
                 new = [np.append(c, np.uint32(end_id)) for c in codec.encode_all(some.column("t").to_pylist())]
                 doc_ids += some.column("d").to_pylist()
                 codes += new

@@ -157,6 +157,13 @@ def preview_rows(df: DataFrame, n: int, key: list[str], stage: str, seed: int |
     return shuffle_rows(df, key, seed).limit(n).withColumn("stage", F.lit(stage))
 
 
+def preview_by(df: DataFrame, n: int, key: list[str], by: str, stage: str, seed: int | str = 42) -> DataFrame:
+    """At most n rows of every value of `by`; tasks keep n each before anything is shuffled."""
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(hash_key(seed, *[F.col(c) for c in key]), *key))
+    rows = df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    return rows.withColumn("stage", F.concat(F.lit(f"{stage}:"), F.coalesce(F.col(by).cast("string"), F.lit(""))))
+
+
 def first_rows(df: DataFrame, n: int, key: str = "id") -> DataFrame:
     return df.orderBy(key).limit(n)
 

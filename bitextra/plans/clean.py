@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
+from ..operators.sampling import preview_by
 from ..registry import cleaners
-from ..sources.writers import INTERNAL
+from ..schema import require_conserved, watch
+from ..sources.writers import INTERNAL, write_samples
 from .spec import JobSpec, Step, require_valid
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -60,12 +63,15 @@ def clean(df: DataFrame, spec: JobSpec | dict | str, scorer: Scorer | None = Non
 def run_cleaning(df: DataFrame, spec: JobSpec | dict | str, out: str, scorer: Scorer | None = None) -> DataFrame:
     """Clean in one pass: rows go to {out}/rows by status and dataset; returns the stats.
 
-    `settings.save_dropped_data: false` keeps the dropped rows' ids and reasons only.
+    `settings.save_dropped_data: false` keeps the dropped rows' ids and reasons only. Rows are
+    counted on their way in and out of that pass, and an error tells if they differ.
+    `settings.preview_rows` (20) rows per cleaner that drops some go to {out}/samples.
     """
     spec = require_valid(spec, ["cleaners"])
     steps = spec.enabled("cleaners")
     base = df if "dataset" in df.columns else df.withColumn("dataset", F.lit("all"))
-    marked = mark_failing_step(base.drop(*INTERNAL), steps, scorer)
+    base, came = watch(base.drop(*INTERNAL), "cleaning_in")
+    marked, left = watch(mark_failing_step(base, steps, scorer), "cleaning_out")
     is_kept = F.col("_step") == len(steps)
     rows = marked.withColumns(
         {"_reason": reason(steps), "status": F.when(is_kept, "kept").otherwise("dropped")}
@@ -74,10 +80,20 @@ def run_cleaning(df: DataFrame, spec: JobSpec | dict | str, out: str, scorer: Sc
         rows = rows.withColumns({c: F.when(is_kept, F.col(c)) for c in ("title", "en", "ka") if c in rows.columns})
     path = f"{out}/rows"
     rows.hint("rebalance", "status", "dataset").write.mode("overwrite").partitionBy("status", "dataset").parquet(path)
-    written = df.sparkSession.read.parquet(path)
+    require_conserved(came, left, "cleaning")
+    written = df.sparkSession.read.schema(_stored(rows)).parquet(path)
+    previews = int(spec.settings.get("preview_rows", 20))
+    if previews > 0:
+        dropped = written.where(F.col("status") == "dropped").drop("_step")
+        write_samples([preview_by(dropped, previews, ["id"], "_reason", "dropped")], f"{out}/samples")
     return cleaning_stats(written.select("dataset", "_step"), steps)
 
 
+def _stored(rows: DataFrame) -> StructType:
+    """Types of the written rows, so that an empty result can be read again."""
+    return StructType([StructField(f.name, f.dataType) for f in rows.schema])
+
+
 def read_kept(spark: SparkSession, out: str) -> DataFrame:
     """The rows a cleaning run kept, with their dataset."""
     rows = spark.read.parquet(f"{out}/rows").where(F.col("status") == "kept")

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.cleaners import final_empty_filter
 from ..operators.dedup import drop_duplicates, mark_duplicates
 from ..operators.lookup import ensure_checkpoint_dir
+from ..operators.sampling import preview_rows
 from ..registry import augmenters, preprocessors
-from ..schema import require_same_columns
-from ..sources.writers import write_datasets
+from ..schema import require_conserved, require_same_columns, watch
+from ..sources.writers import write_datasets, write_samples
 from .spec import JobSpec, Step, require_valid
 
 
@@ -161,15 +162,24 @@ def run_preprocessing(
     """Preprocess, augment, then drop blank rows and repeated pairs.
 
     The preprocessed table is written to the checkpoint folder: each augmenter and the
-    cleanup read it from there instead of running the text functions again.
+    cleanup read it from there instead of running the text functions again. Rows are counted on
+    their way into that table and out of it. With `out`, `settings.preview_rows` (20) rows of the
+    input, the preprocessed and the final table go to {out}/_samples.
     """
     spec = require_valid(spec, ["preprocessors"])
     ensure_checkpoint_dir(df.sparkSession)
-    done = preprocess(df, spec.enabled("preprocessors")).checkpoint()
+    watched, came = watch(df, "preprocessing_in")
+    done, left = watch(preprocess(watched, spec.enabled("preprocessors")), "preprocessing_out")
+    done = done.checkpoint()
+    require_conserved(came, left, "preprocessing")
     grown = augment(done, spec.enabled("augmenters"), spec.settings, part="_part")
     # of equal pairs the input's own row comes first, then augmenters in their order
     place = F.concat_ws(":", F.lpad(F.col("_part").cast("string"), 3, "0"), F.col(order).cast("string"))
     final = final_cleanup(grown.withColumn("_place", place), "_place").drop("_part", "_place")
     if out:
         write_datasets(final, out, suffix)
+        previews = int(spec.settings.get("preview_rows", 20))
+        if previews > 0:
+            stages = {"input": df, "preprocessed": done, "final": final}
+            write_samples([preview_rows(rows, previews, ["id"], stage) for stage, rows in stages.items()], f"{out}/_samples")
     return final

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators import contamination as C
-from ..operators.sampling import sample_percentage, sample_stratified, shuffle_rows
+from ..operators.sampling import preview_rows, sample_percentage, sample_stratified, shuffle_rows
 
 
 def build_split(split: dict, load: Callable[[str], DataFrame], settings: dict | None = None, key: list[str] | None = None) -> DataFrame:
@@ -96,11 +96,15 @@ def source_pivot(rows: DataFrame, splits: list[str], source: str = "source_artif
 
 def run_splitting(spec: dict, load: Callable[[str], DataFrame], out: str | None = None) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """Build, decontaminate, optionally shuffle and write the splits; returns them and the report."""
-    from ..sources.writers import write_splits
+    from ..sources.writers import write_samples, write_splits
 
     cleaned, report = decontaminate(build_splits(spec, load), spec.get("contamination_check", {}))
     if (spec.get("settings") or {}).get("shuffle_before_split", True) and out:
         cleaned = {n: shuffle_rows(df, ["id"]) for n, df in cleaned.items()}
     if out:
         write_splits(cleaned, out)
+        previews = int((spec.get("settings") or {}).get("preview_rows", 20))
+        if previews > 0:
+            stored = {n: df.sparkSession.read.schema(df.schema).parquet(f"{out}/{n}.parquet") for n, df in cleaned.items()}
+            write_samples([preview_rows(df, previews, ["id"], n) for n, df in stored.items()], f"{out}/_samples")
     return cleaned, report

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 REQUIRED = ["title", "ka", "en", "domain", "id"]
@@ -45,3 +45,17 @@ def require_superset(columns: list[str], df: DataFrame, who: str) -> DataFrame:
     if missing:
         raise ContractError(f"{who}: missing columns {missing}")
     return df
+
+
+def watch(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The table, and the number of its rows as the next action passes over them: no pass of its own."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def require_conserved(before: Observation, after: Observation, who: str) -> int:
+    """Rows that went in and came out, once the action over both is done; an error if they differ."""
+    n, m = (seen.get.get("rows", 0) for seen in (before, after))
+    if n != m:
+        raise ContractError(f"{who}: {n} rows went in and {m} came out")
+    return m

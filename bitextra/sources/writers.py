@@ -27,4 +27,4 @@ def write_samples(samples: list[DataFrame], path: str) -> None:
     table = samples[0]
     for s in samples[1:]:
         table = table.unionByName(s, allowMissingColumns=True)
-    table.write.mode("append").partitionBy("stage").parquet(path)
+    table.write.mode("overwrite").partitionBy("stage").parquet(path)

@@ -65,6 +65,33 @@ def test_run_cleaning_writes_once(spark, sample, request, tmp_path):
     assert stats.where("not is_total and step = 0").first()["dropped"] == 1
     kept = clean.read_kept(spark, str(tmp_path))
     assert kept.count() == 4 and set(sample.columns) <= set(kept.columns)
+    previews = spark.read.parquet(f"{tmp_path}/samples").select("stage", "id").collect()
+    assert {tuple(r) for r in previews} == {
+        ("dropped:filter_empty_content", "road_notes_b"),
+        ("dropped:filter_georgian_purity", "manual_setup"),
+    }
+
+
+def test_jobs_fail_when_a_step_loses_rows(sample, tmp_path, monkeypatch):
+    lossy = lambda df, steps, scorer=None: df.where("domain <> 'cooking'").withColumn("_step", F.lit(len(steps)))
+    spec = {"cleaners": [{"name": "filter_empty_content"}]}
+    with monkeypatch.context() as m:
+        m.setattr(clean, "mark_failing_step", lossy)
+        with pytest.raises(ContractError, match="6 rows went in and 5 came out"):
+            clean.run_cleaning(sample, spec, str(tmp_path / "a"))
+    assert clean.run_cleaning(sample.limit(0), spec, str(tmp_path / "b")).where("dropped > 0").count() == 0
+    R.preprocessors("lossy_for_test")(lambda df, params: df.where("domain <> 'cooking'"))
+    with pytest.raises(ContractError, match="preprocessing"):
+        prep.run_preprocessing(sample, {"preprocessors": [{"name": "lossy_for_test"}]})
+
+
+def test_preprocessing_writes_previews(spark, sample, request, tmp_path):
+    out = str(tmp_path / "out")
+    rows = sample.withColumn("dataset", F.lit("set"))
+    prep.run_preprocessing(rows, {"preprocessors": [{"name": "lowercase_english"}], "settings": {"preview_rows": 3}}, out=out)
+    counts = {r["stage"]: r["count"] for r in spark.read.parquet(f"{out}/_samples").groupBy("stage").count().collect()}
+    assert counts == {"input": 3, "preprocessed": 3, "final": 3}
+    assert spark.read.parquet(out).count() == 5
 
 
 def test_scorer_sees_only_rows_that_pass_cheap_rules(sample):

@@ -1,24 +1,18 @@
-"""Text mining: TF-IDF, latent semantics, clusters, language identification."""
+"""Text mining: TF-IDF and language identification."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, NGram, SQLTransformer, StringIndexer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg import Vectors as OldVectors
-from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
 
 from ..functions import constants as K
-from ..functions.hashing import hash_key
-from .preprocessors import preview
 from .profile import most_frequent
 
 MOST_TERMS = 200_000  # some 10 MB
@@ -65,8 +59,10 @@ def _weigher(table: pa.Table):
     return weigh
 
 
-def tfidf(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
-    """(key, term, feature, weight): tf * (ln((1+N)/(1+df)) + 1), rows of length 1.
+def tfidf_rows(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
+    """(key, entries of term, feature, weight): tf * (ln((1+N)/(1+df)) + 1), rows of length 1.
+
+    Every row of the table is there, without entries if it holds no term of the vocabulary.
 
     The vocabulary is the `features` most frequent terms, at most MOST_TERMS; this table goes
     to the tasks. Terms are counted and weighed within their rows, only their counts over the
@@ -82,76 +78,12 @@ def tfidf(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
     n = df.count()  # one number
     idf = F.log(F.lit(1.0 + n) / (F.col("_df") + 1)) + 1
     weigh = _weigher(vocabulary.select("term", "feature", idf.alias("_idf")).toArrow())
-    return counts.select(key, F.inline(weigh(F.col("terms"))))
-
-
-def tfidf_vectors(weights: DataFrame, key: str, features: int = 5000) -> DataFrame:
-    """(key, entries): one sparse row per document, at most `features` entries."""
-    return weights.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("feature", "weight"))).alias("entries"))
-
-
-def lsa(rows: DataFrame, key: str, features: int = 5000, k: int = 50) -> tuple[DataFrame, float]:
-    """((key, vector), explained variance ratio): truncated SVD of the TF-IDF matrix."""
-    rows = rows.persist()
-    sparse = rows.select("entries").rdd.map(
-        lambda r: OldVectors.sparse(features, [e["feature"] for e in r["entries"]], [e["weight"] for e in r["entries"]])
-    ).persist(StorageLevel.MEMORY_AND_DISK)  # the solver passes over it many times
-    svd = RowMatrix(sparse, numCols=features).computeSVD(min(k, features), computeU=False)
-    sparse.unpersist()
-    v = svd.V.toArray()  # features x k, a fixed size
-    spark = rows.sparkSession
-    loads = spark.createDataFrame(
-        [(i, [float(x) for x in v[i]]) for i in range(v.shape[0])], "feature int, loading array<double>"
-    )
-    flat = rows.select(key, F.inline("entries")).join(F.broadcast(loads), "feature")
-    parts = [F.sum(F.col("weight") * F.col("loading")[j]).alias(f"_{j}") for j in range(v.shape[1])]
-    wide = flat.groupBy(key).agg(*parts)
-    projected = wide.select(key, F.array(*[F.col(f"_{j}") for j in range(v.shape[1])]).alias("vector"))
-    kept = projected.agg(*[F.var_pop(F.col("vector")[j]).alias(f"v{j}") for j in range(v.shape[1])]).first()
-    n = rows.count()
-    total = (
-        rows.select(F.inline("entries"))
-        .groupBy("feature")
-        .agg((F.sum(F.col("weight") ** 2) / n - (F.sum("weight") / n) ** 2).alias("var"))
-        .agg(F.sum("var"))
-        .first()[0]
-    )
-    ratio = sum(x or 0.0 for x in kept) / total if total else 0.0
-    return projected, ratio
-
-
-def elbow(costs: list[tuple[int, float]]) -> int:
-    """The cluster count at the steepest fall of the cost, counted as position + 2."""
-    drops = [b[1] - a[1] for a, b in zip(costs, costs[1:])]
-    return drops.index(min(drops)) + 2
-
-
-def cluster(
-    vectors: DataFrame, key: str, max_clusters: int = 10, seed: int = 42, starts: int = 1, max_iter: int = 300
-) -> tuple[DataFrame, list[tuple[int, float]], int]:
-    """((key, cluster), cost per k, chosen k) of K-means over k = 2..max_clusters.
-
-    The best of `starts` runs counts for each k; one already seeds its centres in several rounds. A run ends when the centres rest, after
-    `max_iter` steps at the latest. The vectors are cached while models are fitted.
-    """
-    data = vectors.select(key, array_to_vector("vector").alias("features")).persist()
-    models = {}
-    for k in range(2, max_clusters + 1):
-        fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data) for i in range(starts)]
-        models[k] = min(fits, key=lambda m: m.summary.trainingCost)
-    costs = [(k, float(m.summary.trainingCost)) for k, m in models.items()]
-    best = elbow(costs)
-    data.unpersist()
-    return models[best].transform(data).select(key, F.col("prediction").alias("cluster")), costs, best
-
-
-def cluster_samples(df: DataFrame, clusters: DataFrame, key: str, n: int = 5, seed: int = 42) -> DataFrame:
-    """n rows per cluster with texts cut to 100 characters."""
-    w = Window.partitionBy("cluster").orderBy(hash_key(seed, F.col(key)), key)
-    picked = clusters.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
-    return df.join(F.broadcast(picked), key).select(  # at most n rows per cluster
-        "cluster", "domain", preview(F.col("ka")).alias("georgian_text"), preview(F.col("en")).alias("english_text")
-    )
+    return counts.select(key, weigh(F.col("terms")).alias("entries"))
+
+
+def tfidf(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
+    """(key, term, feature, weight): the entries of `tfidf_rows`, a row each."""
+    return tfidf_rows(df, key, text, features).select(key, F.inline("entries"))
 
 
 def language_model(training: DataFrame, text: str = "text", label: str = "lang", features: int = 1 << 14):

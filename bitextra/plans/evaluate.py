@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import mining as M, profile as P
+from ..operators import latent as L, mining as M, profile as P
 
 BUNDLES: dict[str, list[str]] = {
     "basic": ["basic", "lengths", "domains", "datasets", "quality"],
@@ -36,16 +36,16 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def _clustering(df: DataFrame, key: str = "id", features: int = 5000, components: int = 50, max_clusters: int = 10) -> dict[str, DataFrame]:
-    weights = M.tfidf(df, key, F.concat_ws(" ", "ka", "en"), features)
-    vectors, explained = M.lsa(M.tfidf_vectors(weights, key), key, features, components)
-    clusters, costs, best = M.cluster(vectors, key, max_clusters)
+    rows = M.tfidf_rows(df, key, F.concat_ws(" ", "ka", "en"), features)
+    vectors, explained = L.lsa(rows, key, features, components)
+    clusters, costs, best = L.cluster(vectors, key, max_clusters)
     fits = df.sparkSession.createDataFrame(
         [(k, cost, k == best, explained) for k, cost in costs], "k int, cost double, chosen boolean, explained_variance double"
     )
     return {
         "cluster_fits": fits,
         "cluster_sizes": clusters.groupBy("cluster").count(),
-        "cluster_samples": M.cluster_samples(df, clusters, key),
+        "cluster_samples": L.cluster_samples(df, clusters, key),
     }
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..operators import mining as M, profile as P
+from ..operators import latent as L, mining as M, profile as P
 from .base import from_pairs, pairs, q, query, table
 
 _STOP = ", ".join(q(w) for w in K.STOP_WORDS)
@@ -34,8 +34,8 @@ def _(spark, sf):
 
 
 def _vectors(spark, sf):
-    weights = _weights(spark, sf)
-    return M.lsa(M.tfidf_vectors(weights, "id"), "id", FEATURES)
+    rows = M.tfidf_rows(pairs(spark, sf), "id", F.concat_ws(" ", "ka", "en"), FEATURES)
+    return L.lsa(rows, "id", FEATURES)
 
 
 @query("latent_semantic_vectors")
@@ -47,8 +47,8 @@ def _(spark, sf):
 @query("cluster_samples")
 def _(spark, sf):
     vectors, _ = _vectors(spark, sf)
-    clusters, _, _ = M.cluster(vectors, "id")
-    return M.cluster_samples(pairs(spark, sf), clusters, "id")
+    clusters, _, _ = L.cluster(vectors, "id")
+    return L.cluster_samples(pairs(spark, sf), clusters, "id")
 
 
 def _detected(spark, sf):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -130,24 +131,44 @@ def dense_index(
     )
 
 
-def row_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
-    """0-based row number over the whole table for an order that need not be numeric.
-
-    A range sort is written to the checkpoint folder, which fixes its partitions; the row
-    number inside a partition plus the sizes of the partitions before it is the answer.
+def row_index(
+    df: DataFrame, order: list[str], name: str = "idx", group: list[str] | None = None, carry: list[str] | None = None
+) -> DataFrame:
+    """0-based row number within `group` for an order of any types; NULLs come first.
+
+    Only keys (and `carry`, small columns that travel with them) are sorted: in ranges of about equally
+    many rows over group and order together, whose bounds Spark samples, so a long group and a mass of equal
+    leading keys spread over many tasks. The ranges are written to the checkpoint folder, which fixes
+    them; the place in a range plus the group's rows in the ranges before it is the answer. Other
+    columns are joined to the finished numbers. Where rows tie in the whole order, all columns travel instead
+    of being joined, and ties are numbered in the order in which they arrive.
     """
+    group, carry = group or [], carry or []
+    keys = [*group, *order]
     ensure_checkpoint_dir(df.sparkSession)
-    placed = df.orderBy(*order).checkpoint(eager=True).withColumn("_at", F.monotonically_increasing_id())
-    placed = placed.withColumn("_part", F.shiftright("_at", 33)).withColumn(
-        "_in_part", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition of the sort
+    narrow = df.select(*dict.fromkeys([*keys, *carry]))
+    ranges = narrow.repartitionByRange(shuffle_partitions(df), *keys).sortWithinPartitions(*keys)
+    placed = ranges.checkpoint(eager=True).withColumn("_at", F.monotonically_increasing_id())
+    placed = placed.withColumn("_part", F.shiftright("_at", 33)).withColumn("_in_part", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # a row per range and group in it: at most groups + ranges, of one group at most the ranges
     starts = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+        placed.groupBy(*group, "_part")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_in_part").alias("_first"))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
+        .drop("_n", "_first")
     )
-    joined = placed.join(F.broadcast(starts), "_part")
-    return joined.select(*df.columns, (F.col("_start") + F.col("_in_part")).cast("long").alias(name))
+    by_part = null_safe_join(placed, starts if group else F.broadcast(starts), [*group, "_part"], ["_start"])
+    numbered = by_part.select(*narrow.columns, (F.col("_start") + F.col("_in_part")).cast("long").alias(name))
+    if set(df.columns) <= set(narrow.columns):
+        return numbered.select(*df.columns, name)
+    if not placed.groupBy(*keys).count().where("count > 1").isEmpty():
+        return row_index(df, order, name, group, df.columns)
+    return null_safe_join(df, numbered, keys, [name])
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], add: list[str], how: str = "inner") -> DataFrame:
+    """Left's rows with `add` of right, joined where all of `on` agree, NULL with NULL."""
+    cond = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in on])
+    joined = left.alias("a").join(right.alias("b"), cond, how)
+    return joined.select(*[F.col(f"a.{c}") for c in left.columns], *[F.col(f"b.{c}") for c in add])

@@ -6,8 +6,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
-from .lookup import dense_index
+from .lookup import dense_index, null_safe_join, row_index
 
 
 def _running_max(df: DataFrame, run: str, value: Column, name: str, inclusive: bool, cell: int) -> DataFrame:
@@ -17,7 +18,7 @@ def _running_max(df: DataFrame, run: str, value: Column, name: str, inclusive: b
     cells = rows.groupBy(run, "_c").agg(F.max("_v").alias("_cm")).withColumn("_prior", F.max("_cm").over(before))
     here = Window.partitionBy(run, "_c").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     rows = rows.withColumn("_local", F.max("_v").over(here))
-    joined = rows.join(cells.drop("_cm"), [run, "_c"])
+    joined = null_safe_join(rows, cells, [run, "_c"], ["_prior"])
     return joined.withColumn(name, F.greatest("_local", "_prior")).drop("_v", "_c", "_local", "_prior")
 
 
@@ -29,12 +30,12 @@ def _improvements(records: DataFrame, run: str, min_delta: float) -> DataFrame:
     """
 
     def accept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, best = None, 0.0
+        current, best, begun = None, 0.0, False
         for batch in batches:
             kept = []
-            for at, (r, m) in enumerate(zip(batch[run], batch["_m"])):
-                if r != current or m > best + min_delta:
-                    current, best = r, m
+            for at, (r, m) in enumerate(zip(batch[run].astype(object).where(batch[run].notna(), None), batch["_m"])):
+                if not begun or r != current or m > best + min_delta:
+                    current, best, begun = r, m, True
                     kept.append(at)
             yield batch.iloc[kept][[run, "_i"]]
 
@@ -54,20 +55,24 @@ def early_stopping(
 ) -> DataFrame:
     """(run, evaluations, stop_index, best): the first evaluation at which `patience` have
     passed without a metric better by more than min_delta, NULL when that never happens.
-    `order` ends in an integer and is unique within the run.
+    `order` is of any types and unique within the run.
 
-    A long run is worked through in cells of equal size that run side by side. Only new
+    A long run is worked through in cells of equal size that run side by side: its rows are
+    numbered by consecutive integers, if one is the whole order, else by sampled ranges. Only new
     maxima can be improvements; a min_delta is applied to them alone.
     """
     sign = 1.0 if greater_is_better else -1.0
-    rows = dense_index(log.where(F.col(metric).isNotNull()), order, [run], "_i").withColumn(
-        "_m", F.col(metric) * F.lit(sign)
-    )
+    measured = log.where(F.col(metric).isNotNull()).select(*dict.fromkeys([run, *order, metric]))
+    if len(order) == 1 and isinstance(measured.schema[order[0]].dataType, IntegralType):
+        numbered = dense_index(measured, order, [run], "_i")
+    else:
+        numbered = row_index(measured, order, "_i", [run], [metric])
+    rows = numbered.withColumn("_m", F.col(metric) * F.lit(sign))
     rows = _running_max(rows, run, F.col("_m"), "_top", False, cell)
     record = F.col("_top").isNull() | (F.col("_m") > F.col("_top"))
     if min_delta > 0:
         accepted = _improvements(rows.where(record), run, min_delta).withColumn("_up", F.col("_i"))
-        rows = rows.join(accepted, [run, "_i"], "left")
+        rows = null_safe_join(rows, accepted, [run, "_i"], ["_up"], "left")
     else:
         rows = rows.withColumn("_up", F.when(record, F.col("_i")))
     rows = _running_max(rows, run, F.col("_up"), "_last", True, cell)

@@ -39,6 +39,36 @@ def test_row_index_by_text(spark):
     assert got == {k: i for i, k in enumerate(sorted(f"{g}-{p}" for p, g in rows))}
 
 
+def test_row_index_in_groups_by_several_keys(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), float(rnd.randrange(5)) if i % 9 else None, f"k{i:03d}", f"text {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, x double, k string, text string").repartition(5)
+    got = {r["k"]: (r["idx"], r["text"]) for r in L.row_index(df, ["x", "k"], group=["g"]).collect()}
+    seen = Counter()
+    for g, _, k, text in sorted(rows, key=lambda r: (r[1] is not None, r[1], r[2])):
+        assert got[k] == (seen[g], text)
+        seen[g] += 1
+
+
+def test_row_index_numbers_ties_once(spark):
+    df = spark.createDataFrame([("a", i, f"t{i}") for i in range(30)] + [(None, 0, "n"), ("b", 0, "n")], "k string, i int, text string")
+    got = [(r["idx"], r["k"]) for r in L.row_index(df.repartition(3), ["k"]).collect()]
+    assert sorted(i for i, _ in got) == list(range(32)) and dict(got)[0] is None and dict(got)[31] == "b"
+    assert L.row_index(df.limit(0), ["k"]).count() == 0
+
+
+def test_a_run_ordered_by_time_spreads_over_tasks(spark):
+    df = spark.range(200_000).selectExpr("id % 1 AS run", "timestamp_seconds(id) AS ts", "id", "double(id) AS m")
+    index = L.row_index(df, ["ts", "id"], "i", ["run"], ["m"])
+    assert index.where("i <> id").count() == 0
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = L.row_index(df, ["ts", "id"], "i", ["run"], ["m"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 150_000
+
+
 @pytest.mark.parametrize("hot_rows", [1, 5, 50, 1000])
 def test_attach_and_duplicates_with_hot_keys(spark, hot_rows):
     rows, df = numbers(spark)
@@ -149,6 +179,24 @@ def test_early_stopping(spark, min_delta, greater):
         assert r["stop_index"] == stop, r
 
 
+@pytest.mark.parametrize("min_delta", [0.0, 0.05])
+def test_early_stopping_by_time(spark, min_delta):
+    rnd = random.Random(6)
+    rows = [(run, i // 3, f"e{i:03d}", rnd.random() if i % 11 else None) for run in ("a", None) for i in range(60)]
+    out = trainlog.early_stopping(
+        spark.createDataFrame(rows, "run string, at long, event string, m double").selectExpr("run", "timestamp_seconds(at) AS at", "event", "m"),
+        "run", ["at", "event"], "m", patience=4, min_delta=min_delta, cell=5,
+    )
+    got = {r["run"]: (r["evaluations"], r["stop_index"], r["best"]) for r in out.collect()}
+    for run in ("a", None):
+        ms = [m for r, _, _, m in sorted((x for x in rows if x[0] == run), key=lambda x: x[2]) if m is not None]
+        best, wait, stop = None, 0, None
+        for i, m in enumerate(ms):
+            best, wait = (m, 0) if best is None or -m > -best + min_delta else (best, wait + 1)
+            stop = i if wait >= 4 and stop is None else stop
+        assert got[run] == (len(ms), stop, min(ms))
+
+
 def test_concatenation_and_restructure(spark, parallel):
     df = parallel([(None, f"k{i}", f"e{i}", "d", f"r{i:04d}") for i in range(300)])
     one = aug.sentence_concatenation(df, {"percentage": 0.5, "min_n": 2, "max_n": 4}).collect()

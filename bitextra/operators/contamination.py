@@ -66,7 +66,7 @@ def _columns(columns: list[str]) -> Column:
 
 
 def _signer(n: int, chunk: int = 1 << 14):
-    """Arrow function: the words of a text to the n minima of their permuted hashes.
+    """Arrow function: the words of a text to the n minima of their permuted hashes; none without words.
 
     Each distinct word of a batch is hashed once. Texts are then signed in groups of about
     `chunk` words, whose arrays stay in the processor cache. The prime is 2^31 - 1: the
@@ -95,37 +95,35 @@ def _signer(n: int, chunk: int = 1 << 14):
         coded = words.flatten().dictionary_encode()
         numbers = np.fromiter(map(word_number, coded.dictionary.to_pylist()), dtype=np.uint64, count=len(coded.dictionary))
         hashes = numbers[coded.indices.to_numpy()]
-        ends = np.cumsum(pc.list_value_length(words).to_numpy())
-        starts = np.concatenate([[0], ends[:-1]]) if len(words) else ends
-        out = np.empty((len(words), n), dtype=np.uint64)
+        sizes = pc.list_value_length(words).to_numpy()
+        signed = sizes > 0
+        ends = np.cumsum(sizes[signed])
+        starts = ends - sizes[signed]
+        out = np.empty((len(ends), n), dtype=np.uint64)
         lo = 0
-        while lo < len(words):
+        while lo < len(ends):
             hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + chunk, side="right")))
             sign(hashes[starts[lo] : ends[hi - 1]], starts[lo:hi] - starts[lo], out[lo:hi])
             lo = hi
-        offsets = pa.array(np.arange(0, n * len(words) + 1, n, dtype=np.int32))
-        return pa.ListArray.from_arrays(offsets, pa.array(out.ravel().astype(np.int64)))
+        offsets = np.concatenate([[0], np.cumsum(signed * n)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel().astype(np.int64)))
 
     return minima
 
 
-def minhash_bands(df: DataFrame, columns: list[str], threshold: float = 0.9, num_perm: int = 128) -> DataFrame:
-    """(digest, band): one row per band of each distinct text's MinHash signature.
-
-    Equal texts are one before anything is signed. Texts without words have no signature.
-    """
-    return _bands(N.contents(df, columns, _columns(columns)), "_text", threshold, num_perm)
-
-
 def _bands(signable: DataFrame, key: str, threshold: float, num_perm: int) -> DataFrame:
     """(key, _band) of rows with words `_w`."""
     b, r = _shape(threshold, num_perm)
     signed = signable.select(key, _signer(b * r)(F.col("_w")).alias("_s"))
+    return signed.select(key, F.explode(_band_keys("_s", b, r)).alias("_band"))
+
+
+def _band_keys(signature: str, b: int, r: int) -> Column:
     bands = [
-        F.concat(F.lit(f"{j}:"), F.md5(F.concat_ws(",", F.slice("_s", j * r + 1, r).cast("array<string>"))))
+        F.concat(F.lit(f"{j}:"), F.md5(F.concat_ws(",", F.slice(signature, j * r + 1, r).cast("array<string>"))))
         for j in range(b)
     ]
-    return signed.select(key, F.explode(F.array(*bands)).alias("_band"))
+    return F.when(F.size(signature) > 0, F.array(*bands)).otherwise(F.array().cast("array<string>"))
 
 
 def exact_keys(source: DataFrame, target: DataFrame, columns: list[str]) -> DataFrame:
@@ -135,8 +133,8 @@ def exact_keys(source: DataFrame, target: DataFrame, columns: list[str]) -> Data
     return counted.join(source.select(key.alias("_exact")).distinct(), "_exact", "left_semi")
 
 
-def near_texts(source: DataFrame, target: DataFrame, columns: list[str], near: dict, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(digest): target contents with a near duplicate in the source, by the algorithm that `near` names."""
+def near_texts(source: DataFrame, target: DataFrame, columns: list[str], near: dict) -> DataFrame:
+    """(digest): target contents with a near duplicate in the source, by fingerprints or by verified sets of words."""
     algorithm = near.get("algorithm", "minhash")
     if algorithm == "simhash":
         params = near.get("simhash_params", {})
@@ -146,18 +144,12 @@ def near_texts(source: DataFrame, target: DataFrame, columns: list[str], near: d
         return found.withColumnRenamed("_text", "_near")
     params = near.get("minhash_params", {})
     threshold, num_perm = float(params.get("threshold", 0.9)), int(params.get("num_perm", 128))
-    if params.get("verify", False):
-        bands = lambda sets: _bands(sets, "_id", threshold, num_perm)
-        found = N.verified_partners(source, target, columns, _columns(columns), bands, threshold)
-        return found.withColumnRenamed("_text", "_near")
-    wanted = minhash_bands(source, columns, threshold, num_perm).select("_band").distinct()
-    bands = minhash_bands(target, columns, threshold, num_perm)
-    hits = bands.groupBy("_band").agg(F.count(F.lit(1)).alias("_in_band")).join(wanted, "_band", "left_semi")
-    found = attach(bands, hits, "_band", "_in_band", F.col("_text"), hot_rows)
-    return found.where(F.col("_in_band").isNotNull()).select(F.col("_text").alias("_near")).distinct()
+    bands = lambda sets: _bands(sets, "_id", threshold, num_perm)
+    found = N.verified_partners(source, target, columns, _columns(columns), bands, threshold)
+    return found.withColumnRenamed("_text", "_near")
 
 
-def near_keys(source: DataFrame, target: DataFrame, columns: list[str], near: dict, hot_rows: int = HOT_ROWS) -> tuple[Column, DataFrame]:
+def near_keys(source: DataFrame, target: DataFrame, columns: list[str], near: dict) -> tuple[Column, DataFrame]:
     """The key of a target row, and (key, rows of target) of the contents with a near duplicate in the source."""
     if near.get("algorithm") == "embeddings":
         params = near.get("embedding_params", {})
@@ -168,7 +160,7 @@ def near_keys(source: DataFrame, target: DataFrame, columns: list[str], near: di
         ).withColumnRenamed("_text", "_near")
     else:
         key = digest(*[F.col(c) for c in columns])
-        found = near_texts(source, target, columns, near, hot_rows)
+        found = near_texts(source, target, columns, near)
     counted = target.groupBy(key.alias("_near")).agg(F.count(F.lit(1)).alias("_near_rows"))
     return key, counted.join(found, "_near", "left_semi")
 
@@ -176,6 +168,90 @@ def near_keys(source: DataFrame, target: DataFrame, columns: list[str], near: di
 ALGORITHMS = ("minhash", "simhash", "embeddings")
 
 
+def _methods(methods: dict | None) -> tuple[dict, dict]:
+    exact, near = (methods or {}).get("exact_match", {}), (methods or {}).get("near_duplicate", {})
+    if near.get("algorithm", "minhash") not in ALGORITHMS:
+        raise ValueError(f"unknown near-duplicate algorithm '{near['algorithm']}'; available: {ALGORITHMS}")
+    return exact, near
+
+
+def settles_by_bands(methods: dict | None) -> bool:
+    """Whether shared MinHash bands alone decide what is near, so that contents can be signed beforehand."""
+    _, near = _methods(methods)
+    return near.get("algorithm", "minhash") == "minhash" and not near.get("minhash_params", {}).get("verify", False)
+
+
+def _settled(small: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(small.sparkSession)
+    return small.checkpoint()
+
+
+def _content(methods: dict | None) -> tuple[Column, Column]:
+    """What makes rows equal for the exact and for the near comparison; '' where one is switched off."""
+    exact, near = _methods(methods)
+    key = lambda part, of: of(*[F.col(c) for c in part.get("columns", ["en", "ka"])]) if part.get("enabled", True) else F.lit("")
+    return key(exact, joined_digest), key(near, digest)
+
+
+def signed_contents(tables: list[DataFrame], methods: dict | None = None, cut_lineage: bool = True) -> DataFrame:
+    """(_exact, _near, _bands, _n0, _n1, ...): every different content of all tables, its MinHash bands and its rows in each.
+
+    One pass over the tables and one shuffle of different texts; each is signed once, however many tables hold it.
+    """
+    _, near = _methods(methods)
+    exact_key, near_key = _content(methods)
+    signing = near.get("enabled", True)
+    text = _columns(near.get("columns", ["en", "ka"])) if signing else F.lit("")
+    parts = [
+        t.select(exact_key.alias("_exact"), near_key.alias("_near"), text.alias("_t"), F.lit(i).alias("_table")) for i, t in enumerate(tables)
+    ]
+    counts = [F.count_if(F.col("_table") == i).alias(f"_n{i}") for i in range(len(tables))]
+    found = reduce(DataFrame.unionByName, parts).groupBy("_exact", "_near").agg(*counts, F.first("_t").alias("_t"))
+    params = near.get("minhash_params", {})
+    b, r = _shape(float(params.get("threshold", 0.9)), int(params.get("num_perm", 128)))
+    signature = _signer(b * r)(X.words(F.col("_t"))) if signing else F.array().cast("array<bigint>")
+    found = found.withColumn("_s", signature).select("_exact", "_near", _band_keys("_s", b, r).alias("_bands"), *[f"_n{i}" for i in range(len(tables))])
+    return _settled(found) if cut_lineage else found
+
+
+def contaminated_contents(
+    contents: DataFrame, source: Column, target: Column, methods: dict | None = None, hot_rows: int = HOT_ROWS, cut_lineage: bool = True
+) -> DataFrame:
+    """(_content, is_exact, is_near, _rows): contents with `target` rows that also occur, or nearly, where `source` counts rows."""
+    exact, near = _methods(methods)
+    compared = []
+    if exact.get("enabled", True):
+        compared.append(F.array(F.concat(F.lit("="), F.col("_exact"))))
+    if near.get("enabled", True):
+        compared.append(F.col("_bands"))
+    key = F.explode(F.concat(*compared) if compared else F.array().cast("array<string>"))
+    keys = contents.select(F.concat("_exact", "_near").alias("_content"), (source > 0).alias("_theirs"), target.alias("_rows"), key.alias("_key"))
+    ours = F.count_if(F.col("_rows") > 0)
+    hits = keys.groupBy("_key").agg(F.max("_theirs").alias("_met"), ours.alias("_times")).where("_met AND _times > 0").drop("_met")
+    met = attach(keys.where(F.col("_rows") > 0).drop("_theirs"), hits, "_key", "_times", F.col("_content"), hot_rows)
+    is_exact = F.col("_key").startswith("=")
+    bad = (
+        met.where(F.col("_times").isNotNull())
+        .groupBy("_content")
+        .agg(F.max(is_exact).alias("is_exact"), F.max(~is_exact).alias("is_near"), F.max("_rows").alias("_rows"))
+    )
+    return _settled(bad) if cut_lineage else bad
+
+
+def without_contents(rows: DataFrame, bad: DataFrame, methods: dict | None, key: str = "id", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows whose content is not among `bad`, by one join."""
+    joined = attach(rows.withColumn("_content", F.concat(*_content(methods))), bad.select("_content", "_rows"), "_content", "_rows", F.col(key), hot_rows)
+    return joined.where(F.col("_rows").isNull()).select(*rows.columns)
+
+
+def with_flags(rows: DataFrame, bad: DataFrame, methods: dict | None, key: str = "id", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows with `is_exact` and `is_near` of their content, by one join."""
+    content = rows.withColumn("_content", F.concat(*_content(methods)))
+    joined = attach(content, bad, "_content", "_rows", F.col(key), hot_rows)
+    flags = [F.coalesce(c, F.lit(False)).alias(c) for c in ("is_exact", "is_near")]
+    return joined.select(*rows.columns, *flags)
+
+
 def flag_contamination(
     source: DataFrame,
     target: DataFrame,
@@ -190,21 +266,17 @@ def flag_contamination(
     and verify to ask for the exact Jaccard similarity behind a shared band), `simhash`
     (`simhash_params`: distance, blocks) or `embeddings` (`embedding_params`: column, threshold,
     bits, recall). With `cut_lineage` the matching digests, few beside the rows, are written to the checkpoint folder once; whatever
-    is done with the flagged rows then costs a scan and a join with them.
+    is done with the flagged rows then costs a scan and a join with them. Columns named is_exact and
+    is_near are replaced.
     """
-    methods = methods or {}
-    exact, near = methods.get("exact_match", {}), methods.get("near_duplicate", {})
-    algorithm = near.get("algorithm", "minhash")
-    if algorithm not in ALGORITHMS:
-        raise ValueError(f"unknown near-duplicate algorithm '{algorithm}'; available: {ALGORITHMS}")
+    exact, near = _methods(methods)
+    target = target.drop("is_exact", "is_near")
+    if settles_by_bands(methods):
+        contents = signed_contents([source, target], methods, cut_lineage)
+        bad = contaminated_contents(contents, F.col("_n0"), F.col("_n1"), methods, hot_rows, cut_lineage)
+        return with_flags(target, bad, methods, key, hot_rows)
     flagged, columns = target, target.columns
-
-    def settle(keys: DataFrame) -> DataFrame:
-        if not cut_lineage:
-            return keys
-        ensure_checkpoint_dir(keys.sparkSession)
-        return keys.checkpoint()
-
+    settle = _settled if cut_lineage else lambda keys: keys
     if exact.get("enabled", True):
         cols = exact.get("columns", ["en", "ka"])
         rows = flagged.withColumn("_exact", joined_digest(*[F.col(c) for c in cols]))
@@ -214,7 +286,7 @@ def flag_contamination(
     else:
         flagged = flagged.withColumn("is_exact", F.lit(False))
     if near.get("enabled", True):
-        content, keys = near_keys(source, target, near.get("columns", ["en", "ka"]), near, hot_rows)
+        content, keys = near_keys(source, target, near.get("columns", ["en", "ka"]), near)
         rows, keys = flagged.withColumn("_near", content), settle(keys)
         flagged = attach(rows, keys, "_near", "_near_rows", F.col(key), hot_rows)
         flagged = flagged.withColumn("is_near", F.col("_near_rows").isNotNull())
@@ -230,6 +302,29 @@ def divide_contaminated(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flagged.where(~bad).drop(*drop), flagged.where(bad).drop(*drop)
 
 
+def content_stats(contents: DataFrame, source: Column, target: Column, bad: DataFrame, source_name: str, target_name: str) -> DataFrame:
+    """The row of `contamination_stats`, from counts of contents."""
+    sizes = contents.agg(F.coalesce(F.sum(source), F.lit(0)).alias("source_size"), F.coalesce(F.sum(target), F.lit(0)).alias("target_size"))
+    of = lambda flag, name: F.coalesce(F.sum(F.when(flag, F.col("_rows"))), F.lit(0)).alias(name)
+    hits = bad.agg(
+        of(F.col("is_exact"), "exact_matches"),
+        of(F.col("is_near"), "near_duplicates"),
+        of(F.col("is_exact") | F.col("is_near"), "total_contaminated"),
+    )
+    # one row each
+    return _named(sizes.withColumn("_one", F.lit(1)).join(F.broadcast(hits.withColumn("_one", F.lit(1))), "_one").drop("_one"), source_name, target_name)
+
+
+def _named(stats: DataFrame, source_name: str, target_name: str) -> DataFrame:
+    rate = F.coalesce(F.try_divide(F.col("total_contaminated"), F.col("target_size")), F.lit(0.0))
+    return stats.select(
+        F.lit(source_name).alias("source_split"),
+        F.lit(target_name).alias("target_split"),
+        "*",
+        rate.alias("rate"),
+    )
+
+
 def contamination_stats(source: DataFrame, flagged: DataFrame, source_name: str, target_name: str) -> DataFrame:
     """One row: sizes, matches by kind, contaminated rows and their share."""
     counts = source.select(F.lit("s").alias("side"), F.lit(False).alias("is_exact"), F.lit(False).alias("is_near"))
@@ -242,13 +337,7 @@ def contamination_stats(source: DataFrame, flagged: DataFrame, source_name: str,
         F.count_if("is_near").alias("near_duplicates"),
         F.count_if(F.col("is_exact") | F.col("is_near")).alias("total_contaminated"),
     )
-    rate = F.coalesce(F.try_divide(F.col("total_contaminated"), F.col("target_size")), F.lit(0.0))
-    return stats.select(
-        F.lit(source_name).alias("source_split"),
-        F.lit(target_name).alias("target_split"),
-        "*",
-        rate.alias("rate"),
-    )
+    return _named(stats, source_name, target_name)
 
 
 def contamination_report(stats: list[DataFrame]) -> DataFrame:

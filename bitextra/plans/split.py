@@ -35,19 +35,48 @@ def build_splits(spec: dict, load: Callable[[str], DataFrame]) -> dict[str, Data
 
 def decontaminate(splits: dict[str, DataFrame], check: dict) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """(cleaned splits, report). Pairs are checked in order, against the original source."""
-    cleaned, stats = dict(splits), []
     if not check.get("enabled", True):
-        return cleaned, None
+        return dict(splits), None
+    pairs = []
     for pair in check.get("check_pairs", []):
-        source, target = pair["source"], pair["target"]
-        if source not in splits or target not in splits:
-            print(f"skipping contamination check {source} -> {target}: split missing")
-            continue
-        flagged = C.flag_contamination(splits[source], cleaned[target], check.get("methods"))
+        if pair["source"] in splits and pair["target"] in splits:
+            pairs.append((pair["source"], pair["target"], pair.get("action", "remove_from_target") == "remove_from_target"))
+        else:
+            print(f"skipping contamination check {pair['source']} -> {pair['target']}: split missing")
+    if not pairs:
+        return dict(splits), None
+    decide = _by_contents if C.settles_by_bands(check.get("methods")) else _by_rows
+    cleaned, stats = decide(splits, pairs, check.get("methods"))
+    return cleaned, C.contamination_report(stats)
+
+
+def _by_rows(splits: dict[str, DataFrame], pairs: list, methods: dict | None) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    cleaned, stats = dict(splits), []
+    for source, target, remove in pairs:
+        flagged = C.flag_contamination(splits[source], cleaned[target], methods)
         stats.append(C.contamination_stats(splits[source], flagged, source, target))
-        if pair.get("action", "remove_from_target") == "remove_from_target":
+        if remove:
             cleaned[target], _ = C.divide_contaminated(flagged)
-    return cleaned, C.contamination_report(stats) if stats else None
+    return cleaned, stats
+
+
+def _by_contents(splits: dict[str, DataFrame], pairs: list, methods: dict | None) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """All checks on one table of signed contents; the rows of a target are joined once, to all that leaves it."""
+    names = list(dict.fromkeys(n for pair in pairs for n in pair[:2]))
+    whole = {n: F.col(f"_n{i}") for i, n in enumerate(names)}
+    left = {n: F.col(f"_left{i}") for i, n in enumerate(names)}
+    contents = C.signed_contents([splits[n] for n in names], methods)
+    contents = contents.select("*", *[whole[n].alias(f"_left{i}") for i, n in enumerate(names)], F.concat("_exact", "_near").alias("_content"))
+    gone, stats = {}, []
+    for source, target, remove in pairs:
+        bad = C.contaminated_contents(contents, whole[source], left[target], methods, cut_lineage=remove)
+        stats.append(C.content_stats(contents, whole[source], left[target], bad, source, target))
+        if remove:
+            gone[target] = gone[target].unionByName(bad) if target in gone else bad
+            at = f"_left{names.index(target)}"
+            out = bad.select("_content", F.lit(True).alias("_out"))
+            contents = contents.join(out, "_content", "left").withColumn(at, F.when(F.col("_out"), 0).otherwise(F.col(at))).drop("_out")
+    return splits | {n: C.without_contents(splits[n], bad, methods) for n, bad in gone.items()}, stats
 
 
 def tagged(splits: dict[str, DataFrame]) -> DataFrame:

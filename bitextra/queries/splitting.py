@@ -223,7 +223,8 @@ def _load(spark, sf):
     """The pairs as stored collections, as a split job finds them."""
     root, base = scratch(spark), pairs(spark, sf)
     base.write.parquet(f"{root}/pairs/v1/all.parquet")
-    base.where(F.col("id").startswith("de")).write.parquet(f"{root}/held_out/v1/all.parquet")
+    stored = spark.read.parquet(f"{root}/pairs/v1/all.parquet")
+    stored.where(F.col("id").startswith("de")).write.parquet(f"{root}/held_out/v1/all.parquet")
     collections = Collections(spark, root)
     return lambda ref: read_collection(collections, ref)
 

@@ -210,3 +210,25 @@ def test_split_sizes_and_steps(sample):
     assert speed["rows"] == 6 and speed["rows_per_second"] > 0
     stats = prep.preprocess_stats(sample, steps).first()
     assert (stats["rows"], stats["rows_changed"], stats["change_percentage"]) == (6, 6, 100.0)
+
+
+@pytest.mark.parametrize("methods", [
+    None,
+    {"exact_match": {"columns": ["en"]}},
+    {"near_duplicate": {"enabled": False}},
+])
+def test_checks_on_contents_equal_checks_on_rows(spark, methods):
+    """Three checks in a row, one of them from a split that was itself cleaned: rows and report are the same."""
+    words = [f"w{i}" for i in range(60)]
+    text = lambda i: " ".join(words[(i * 7 + j) % (59 if i % 3 else 60)] for j in range(45))
+    rows = [(None, f"k{i % 4}" if i % 5 else None, text(i % 13) + (" more" if i % 11 == 0 else ""), "d", f"r{i:03d}") for i in range(120)]
+    rows += [(None, "", "", "d", "empty"), (None, None, None, "d", "none"), rows[3]]
+    df = spark.createDataFrame(rows, "title string, ka string, en string, domain string, id string").repartition(3)
+    at = F.coalesce(F.substring("id", -2, 2).try_cast("int"), F.lit(3))
+    splits = {"train": df.where(at % 3 != 0), "valid": df.where(at % 5 == 0), "test": df.where(at % 17 == 1)}
+    pairs = [("test", "valid", True), ("valid", "train", True), ("test", "train", True), ("train", "test", False)]
+    one, first = split._by_contents(splits, pairs, methods)
+    two, second = split._by_rows(splits, pairs, methods)
+    for name in splits:
+        assert sorted(one[name].collect(), key=str) == sorted(two[name].collect(), key=str), name
+    assert [s.collect() for s in first] == [s.collect() for s in second]

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as P
 from ..plans.evaluate import profile
-from .base import LONG_CTE, WS, digest, from_pairs, pairs, q, query, space_tokens, strip
+from .base import LONG_CTE, REGISTERED, WS, digest, from_pairs, pairs, q, query, space_tokens, strip
 
 
 def _data(spark, sf):
@@ -305,7 +305,31 @@ def _(spark, sf):
     return P.quality_issues(_data(spark, sf))
 
 
-@query("profile_row_counts")
+#: The query whose SQL gives each table of the complete profile.
+_SAME_AS = {
+    "basic": "basic_stats",
+    "lengths": "length_stats",
+    "domains": "domain_counts",
+    "datasets": "dataset_counts",
+    "quality": "quality_issues",
+    "chars": "top_characters",
+    "words": "top_words",
+    "word_lengths": "word_lengths",
+    "bigrams": "top_ngrams_2",
+    "trigrams": "top_ngrams_3",
+    "fourgrams": "top_ngrams_4",
+    "sentences": "sentence_stats",
+    "edges": "word_edges",
+    "numbers": "number_patterns",
+    "longest": "longest_words",
+    "zipf": "zipf",
+}
+
+
+@query(
+    "profile_row_counts",
+    " UNION ALL ".join(f"""SELECT {q(n)} AS "table", count(*) AS count FROM ({REGISTERED[same][1]})""" for n, same in _SAME_AS.items()),
+)
 def _(spark, sf):
     """How many lines each table of the complete profile has."""
     tables = profile(_data(spark, sf), "complete")

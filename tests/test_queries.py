@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # these collect models or run whole jobs; they are covered by check.py and their own tests
-HEAVY = {"latent_semantic_vectors", "cluster_samples", "preprocess_and_augment", "run_splitting", "profile_row_counts"}
+HEAVY = {"preprocess_and_augment", "run_splitting"}
 
 
 @pytest.fixture(scope="module")

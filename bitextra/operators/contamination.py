@@ -304,15 +304,15 @@ def divide_contaminated(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def content_stats(contents: DataFrame, source: Column, target: Column, bad: DataFrame, source_name: str, target_name: str) -> DataFrame:
     """The row of `contamination_stats`, from counts of contents."""
-    sizes = contents.agg(F.coalesce(F.sum(source), F.lit(0)).alias("source_size"), F.coalesce(F.sum(target), F.lit(0)).alias("target_size"))
-    of = lambda flag, name: F.coalesce(F.sum(F.when(flag, F.col("_rows"))), F.lit(0)).alias(name)
-    hits = bad.agg(
-        of(F.col("is_exact"), "exact_matches"),
-        of(F.col("is_near"), "near_duplicates"),
-        of(F.col("is_exact") | F.col("is_near"), "total_contaminated"),
-    )
-    # one row each
-    return _named(sizes.withColumn("_one", F.lit(1)).join(F.broadcast(hits.withColumn("_one", F.lit(1))), "_one").drop("_one"), source_name, target_name)
+    names = ["source_size", "target_size", "exact_matches", "near_duplicates", "total_contaminated"]
+    none = F.lit(0).cast("long")
+    rows = lambda flag: F.when(flag, F.col("_rows")).otherwise(none)
+    sizes = contents.select(*[c.cast("long").alias(n) for c, n in zip((source, target, none, none, none), names)])
+    either = F.col("is_exact") | F.col("is_near")
+    found = (none, none, rows(F.col("is_exact")), rows(F.col("is_near")), rows(either))
+    hits = bad.select(*[c.cast("long").alias(n) for c, n in zip(found, names)])
+    summed = sizes.unionByName(hits).agg(*[F.coalesce(F.sum(n), none).alias(n) for n in names])
+    return _named(summed, source_name, target_name)
 
 
 def _named(stats: DataFrame, source_name: str, target_name: str) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -22,6 +24,56 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Schemes of Spark's paths that pyarrow knows, and its own names for them.
+ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def shared_uri(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI that names for pyarrow, in driver and tasks, the place that Spark reads under `folder`.
+
+    A path without a scheme is one of Spark's default file system. Stores that pyarrow does not know
+    are refused here, before any work. Credentials of a store are those that pyarrow finds on the
+    machines (environment, roles), not Spark's.
+    """
+    scheme, colon, _ = folder.partition(":")
+    if not colon or "/" in scheme:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    scheme, _, rest = folder.partition(":")
+    if scheme not in ARROW_SCHEMES:
+        raise ValueError(f"files cannot be written to {scheme}: by tasks; known are {', '.join(ARROW_SCHEMES)}")
+    if not rest.startswith("//"):  # Hadoop writes file:/path
+        rest = "//" + rest
+    return f"{ARROW_SCHEMES[scheme]}:{quote(rest, safe='/:@')}"
+
+
+class Store:
+    """A folder of files with names of their own, for tasks; picklable, opened where it is used."""
+
+    def __init__(self, uri: str) -> None:
+        self.uri = uri
+        self._at: tuple[fs.FileSystem, str] | None = None
+
+    def __getstate__(self) -> dict:
+        return {"uri": self.uri, "_at": None}
+
+    def _open(self) -> tuple[fs.FileSystem, str]:
+        if self._at is None:
+            self._at = fs.FileSystem.from_uri(self.uri)
+        return self._at
+
+    def write(self, name: str, data: bytes) -> None:
+        system, path = self._open()
+        system.create_dir(path, recursive=True)
+        with system.open_output_stream(f"{path}/{name}", compression=None) as f:
+            f.write(data)
+
+    def read(self, name: str) -> bytes:
+        system, path = self._open()
+        with system.open_input_stream(f"{path}/{name}", compression=None) as f:
+            return f.read()
+
+
 def settle(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """The table written to the shared folder and read again: computed once, no lineage."""
     path = new_folder(df.sparkSession, name)

@@ -21,12 +21,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .bpe import Memo, chunks
-from .common import new_folder, settle
+from .common import Store, new_folder, settle, shared_uri
 
 MAGIC, EVERY = b"DAC1", 512
 
@@ -196,9 +195,10 @@ def write_tokens(
     rows = rows.withColumn("h", F.xxhash64("t"))
     # ranges over id and hash: rows of one id need not meet in one task
     dealt = rows.repartitionByRange("d", "h").sortWithinPartitions("d", "h").select("d", "t")
+    store = Store(shared_uri(df.sparkSession, folder))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, store = _library(path, memo), fs.FileSystem.from_uri(folder)
+        codec = _library(path, memo)
         part, n = TaskContext.get().partitionId(), 0
 
         def save(doc_ids: list, codes: list[np.ndarray]) -> pa.RecordBatch:
@@ -207,9 +207,7 @@ def write_tokens(
             starts = np.cumsum([0, *map(len, codes)])
             data = to_bytes(doc_ids, starts, ids, bits)
             name = f"{part:06d}-{n:06d}-{uuid.uuid4().hex}.dac"
-            store[0].create_dir(store[1], recursive=True)
-            with store[0].open_output_stream(f"{store[1]}/{name}") as f:
-                f.write(data)
+            store.write(name, data)
             n += 1
             return pa.RecordBatch.from_pylist([{"part": part * 1_000_000 + n, "name": name, "n_docs": len(doc_ids), "n_tokens": len(ids), "bytes": len(data)}])
 
@@ -244,13 +242,12 @@ def read_tokens(manifest: DataFrame, folder: str, ids: bool = True) -> DataFrame
     # one row per file
     files = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
     spread = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    store = Store(shared_uri(manifest.sparkSession, folder))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = fs.FileSystem.from_uri(folder)
         for b in batches:
             for row in b.to_pylist():
-                with store[0].open_input_file(f"{store[1]}/{row['name']}") as f:
-                    data = f.read()
+                data = store.read(row["name"])
                 file = TokenFile(data)
                 if (len(data), len(file.doc_ids), file.size) != (row["bytes"], row["n_docs"], row["n_tokens"]):
                     raise ValueError(f"{row['name']} is not the file that was written")
@@ -275,5 +272,4 @@ def read_tokens(manifest: DataFrame, folder: str, ids: bool = True) -> DataFrame
 
 
 def new_token_folder(spark) -> str:
-    folder = new_folder(spark, "tokens")
-    return folder if "://" in folder or folder.startswith("/") else "file://" + os.path.abspath(folder)
+    return new_folder(spark, "tokens")

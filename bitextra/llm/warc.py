@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import re
 import struct
 import uuid
@@ -13,12 +12,11 @@ from datetime import UTC, datetime
 
 import pyarrow as pa
 import zstandard as zstd
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.lookup import attach
-from .common import new_folder, settle
+from .common import Store, new_folder, settle, shared_uri
 
 #: Magic number of the skippable frame that holds the dictionary, and of a Zstandard frame.
 SKIP, FRAME = 0x184D2A5D, 0xFD2FB528
@@ -211,15 +209,14 @@ def write_archives(
     name of its own and counts only once its task has ended, so lost tasks leave nothing read.
     """
     rows, date = plan_records(pages, page_id, url, html, least), now()
+    store = Store(shared_uri(pages.sparkSession, folder))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, part = fs.FileSystem.from_uri(folder), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
 
         def save(records: list[bytes]) -> pa.RecordBatch:
             data, name = archive(records), f"{part:06d}-{uuid.uuid4().hex}.warc.zst"
-            store[0].create_dir(store[1], recursive=True)
-            with store[0].open_output_stream(f"{store[1]}/{name}", compression=None) as f:
-                f.write(data)
+            store.write(name, data)
             return pa.RecordBatch.from_pylist([{"name": name, "n_records": len(records), "bytes": len(data)}])
 
         records, size = [], 0
@@ -244,13 +241,12 @@ def read_archives(manifest: DataFrame, folder: str, payload: bool = True) -> Dat
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
     schema = pa.schema(list(zip(names, types)))
     spread = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    store = Store(shared_uri(manifest.sparkSession, folder))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = fs.FileSystem.from_uri(folder)
         for b in batches:
             for file in b.to_pylist():
-                with store[0].open_input_file(f"{store[1]}/{file['name']}") as f:
-                    data = f.read()
+                data = store.read(file["name"])
                 if len(data) != file["bytes"]:
                     raise BadArchive(f"{file['name']} has {len(data)} bytes, not {file['bytes']}")
                 rows, n = [], 0
@@ -269,5 +265,4 @@ def read_archives(manifest: DataFrame, folder: str, payload: bool = True) -> Dat
 
 
 def new_archive_folder(spark) -> str:
-    folder = new_folder(spark, "warc")
-    return folder if "://" in folder or folder.startswith("/") else "file://" + os.path.abspath(folder)
+    return new_folder(spark, "warc")

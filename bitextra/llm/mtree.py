@@ -14,16 +14,14 @@ from __future__ import annotations
 import heapq
 import io
 import math
-import os
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import new_folder, settle
+from .common import Store, new_folder, settle, shared_uri
 
 LEAF, FAN, ROUTES, DIRECTORY = 256, 8, 64, 20_000
 #: Squared norms below this are ordinary: products and distances are exact in floats.
@@ -31,6 +29,8 @@ ORDINARY = float(1 << 52)
 #: Squared norms from here on are too near to overflow for distances.
 VAST = 1e300
 LIMB = 63
+#: Queries that are written together, those that travel to a shard in one row, and blocks that a task keeps.
+BLOCK, PIECE, KEPT = 1024, 64, 8
 
 
 def slack_of(whole, width: int):
@@ -293,20 +293,16 @@ def top_k(
     salts = F.element_at(F.array(*[F.lit(shards.get(i, 1)) for i in range(count + 40)]), (F.col("route") + 1).cast("int"))
     salt = lambda: F.pmod(F.xxhash64("id", F.lit(4)), salts)
     shard = F.col("route") * DIRECTORY + salt()
-    folder = new_folder(spark, "mtree")
-    folder = folder if "://" in folder else "file://" + os.path.abspath(folder)
+    store = Store(shared_uri(spark, new_folder(spark, "mtree")))
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
-        store = fs.FileSystem.from_uri(folder)
-        store[0].create_dir(store[1], recursive=True)
         table = table.combine_chunks()
         ids = table.column("id").to_numpy()
         x = _matrix(table.column("v").chunk(0), width)
         with np.errstate(over="ignore"):
             top = float((x**2).sum(axis=1).max())
         name = f"{key[0].as_py()}-{uuid.uuid4().hex}.npz"
-        with store[0].open_output_stream(f"{store[1]}/{name}") as f:
-            f.write(MTree(ids, x, largest if top < ORDINARY else top).to_bytes())
+        store.write(name, MTree(ids, x, largest if top < ORDINARY else top).to_bytes())
         far = max(table.column("far").to_pylist())
         return pa.table({"shard": [key[0].as_py()], "name": [name], "route": [table.column("route")[0].as_py()], "radius": [far], "top": [top]})
 
@@ -316,19 +312,45 @@ def top_k(
     directory = trees.collect()  # at most ROUTES + DIRECTORY rows, and one for each tier
     names = {r["shard"]: r["name"] for r in directory}
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, at, tree = fs.FileSystem.from_uri(folder), None, None
+    def answers(rows: Iterator[tuple]) -> pa.RecordBatch:
+        """The best of a tree for each (id, part, least, vector, tree)."""
+        out = [(q, part, i, to_limbs(score)) for q, part, least, x, tree in rows for score, i in tree.search(x, q, k, least)]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        columns = list(zip(*out)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["query_id", "part", "vec_id", "score"])
+
+    def trees_of():
+        """The tree of a shard; the last one is kept, as rows come shard by shard."""
+        at, tree = None, None
+
+        def of(shard: int) -> Searcher:
+            nonlocal at, tree
+            if shard != at:
+                at, tree = shard, Searcher(store.read(names[shard]))
+            return tree
+
+        return of
+
+    def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = trees_of()
         for b in batches:
-            x, out = _matrix(b.column("v"), width), []
-            for i, (q, s, least, part) in enumerate(zip(*[b.column(c).to_pylist() for c in ("id", "shard", "least", "part")], strict=True)):
-                if s != at:
-                    with store[0].open_input_file(f"{store[1]}/{names[s]}") as f:
-                        at, tree = s, Searcher(f.read())
-                out += [(q, part, i2, to_limbs(score)) for score, i2 in tree.search(x[i], q, k, -math.inf if least is None else from_limbs(least))]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(list(zip(*out)) or [[]] * 4, kinds)], names=["query_id", "part", "vec_id", "score"]
-            )
+            x, of = _matrix(b.column("v"), width), [b.column(c).to_pylist() for c in ("id", "part", "shard")]
+            yield answers((q, part, -math.inf, x[i], tree(s)) for i, (q, part, s) in enumerate(zip(*of, strict=True)))
+
+    def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, blocks = trees_of(), {}
+        for b in batches:
+            for row in b.to_pylist():
+                if row["block"] not in blocks:
+                    if len(blocks) == KEPT:
+                        del blocks[next(iter(blocks))]
+                    with pa.ipc.open_stream(store.read(row["block"])) as stream:
+                        block = stream.read_all().combine_chunks().to_batches()[0]
+                    blocks[row["block"]] = _matrix(block.column("v"), width), *[block.column(c).to_pylist() for c in ("id", "part", "least")]
+                x, ids, parts, least = blocks[row["block"]]
+                go = row["first"] + np.flatnonzero(np.unpackbits(np.frombuffer(row["go"], np.uint8)))
+                bound = lambda i: -math.inf if least[i] is None else from_limbs(least[i])  # noqa: B023, E731
+                yield answers((ids[i], parts[i], bound(i), x[i], tree(row["shard"])) for i in go.tolist())  # noqa: B023
 
     found = "query_id long, part long, vec_id long, score array<long>"
     part = F.xxhash64("v").alias("part")  # tells queries of one id and different vectors apart
@@ -337,19 +359,21 @@ def top_k(
     routes_used = sorted(shards)
     home = F.when(F.col("route").isin(routes_used), F.col("route")).otherwise(F.lit(routes_used[0]))
     queries = settle(queries.withColumn("route", home).withColumn("shard", shard).select("id", "v", "shard", part), "queries")
-    known = F.lit(None)  # no bound yet
-    deal = lambda q: q.repartition("shard", F.pmod(F.xxhash64("id"), F.lit(64))).sortWithinPartitions("shard", "id")
-    near = settle(deal(queries.withColumn("least", known.cast("array<long>"))).mapInArrow(search, found), "near")
+    # as many tasks as the session has, however few bytes the queries are; the salt parts the queries of a shard
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    deal = lambda q, *by: q.repartition(tasks, "shard", F.pmod(F.xxhash64(*by), F.lit(64))).sortWithinPartitions("shard", *by)
+    near = settle(deal(queries, "id").mapInArrow(at_home, found), "near")
     kth = near.groupBy("query_id", "part").agg(F.count(F.lit(1)).alias("c"), F.min("score").alias("s"))
     kth = kth.select("query_id", "part", F.when(F.col("c") >= k, F.col("s")).alias("least"))
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The other shards that can hold a product of at least the query's k-th."""
+        """Blocks of queries, written once each; per piece of one and other shard that can reach their k-th products, the queries to try."""
         shard_of = np.array([r["shard"] for r in directory])
         of = np.array([r["route"] for r in directory])
         radius = np.array([r["radius"] for r in directory])
         top = np.sqrt(np.array([r["top"] for r in directory]))
-        for b in batches:
+
+        def reach(b: pa.RecordBatch) -> np.ndarray:
             x = _matrix(b.column("v"), width)
             least = np.array([-np.inf if s is None else as_float(from_limbs(s)) for s in b.column("least").to_pylist()], dtype=np.float64)
             home = b.column("shard").to_numpy()
@@ -360,19 +384,27 @@ def top_k(
                 hope = (norms - np.maximum(0.0, far - radius) ** 2) / 2 + slack_of(norms, width)
                 # a shard of a tier has no route: norms alone
                 hope = np.where(of < count, hope, np.sqrt(size)[:, None] * top * (1 + 1e-9) + 1e-6)
-                go = ~(hope < least[:, None]) & (shard_of[None, :] != home[:, None])
-            for i in range(0, len(x), 64):  # few queries at once: a row for each shard they go to
-                q, s = np.nonzero(go[i : i + 64])
-                take = pa.array(q + i)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(take), b.column("v").take(take), pa.array(shard_of[s]), b.column("part").take(take), b.column("least").take(take)],
-                    names=["id", "v", "shard", "part", "least"],
-                )
+                return ~(hope < least[:, None]) & (shard_of[None, :] != home[:, None])
+
+        for whole in batches:
+            for start in range(0, whole.num_rows, BLOCK):
+                b = whole.slice(start, BLOCK)
+                data, name = io.BytesIO(), f"{uuid.uuid4().hex}.arrow"
+                with pa.ipc.new_stream(data, b.schema) as stream:
+                    stream.write_batch(b)
+                store.write(name, data.getvalue())
+                for first in range(0, b.num_rows, PIECE):
+                    go = reach(b.slice(first, PIECE))
+                    to = np.flatnonzero(go.any(axis=0))
+                    bits = [np.packbits(go[:, s]).tobytes() for s in to]
+                    columns = [pa.array(shard_of[to], pa.int64()), pa.array([name] * len(to), pa.string()), pa.array([first] * len(to), pa.int32())]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(bits, pa.binary())], names=["shard", "block", "first", "go"])
 
     kth = kth.withColumnsRenamed({"query_id": "_q", "part": "_p"})
     bounded = queries.join(kth, (F.col("id") == F.col("_q")) & (F.col("part") == F.col("_p")), "left")
-    rest = bounded.select("id", "v", "shard", "part", "least").mapInArrow(others, "id long, v array<double>, shard long, part long, least array<long>")
-    far_ones = deal(rest).mapInArrow(search, found)
+    # written before it is dealt: a block counts under the name that its committed task gave it
+    rest = settle(bounded.select("id", "v", "shard", "part", "least").mapInArrow(others, "shard long, block string, first int, go binary"), "others")
+    far_ones = deal(rest, "block", "first").mapInArrow(elsewhere, found)
     best = Window.partitionBy("query_id", "part").orderBy(F.col("score").desc(), "vec_id")
     out = near.unionByName(far_ones).distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", F.when(F.col("score")[0] == 0, F.col("score")[1]).alias("score"))

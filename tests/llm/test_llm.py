@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from bitextra.llm.common import Store, shared_uri
 from bitextra.llm import bpe, cotraining, credentials, jaccard_forest, llr_rules, mixing, mtree, token_codes, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
@@ -226,7 +227,7 @@ def test_llr_rules(spark, docs, odd, labels):
     assert llr_rules.judge(docs.limit(0), labels.limit(0)).count() == 0
 
 
-def test_top_k_is_exact(spark):
+def test_top_k_is_exact(spark, monkeypatch):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=8)], "x") for i in range(400)]
     rows += [(i, rows[0][1], "x") for i in range(400, 450)] + [(450, None, "x"), (451, [float("nan")], "x"), (452, [None, 1.0], "x"), (453, [], "x"), (454, [1.0], "x"), (None, [1.0], "x")]
@@ -240,6 +241,10 @@ def test_top_k_is_exact(spark):
             want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     assert sorted(map(tuple, mtree.top_k(df, shard_rows=90).collect())) == sorted(want)
     assert mtree.top_k(df.limit(0)).count() == 0 and mtree.top_k(df.where("vec_id < 1")).count() == 0
+    # queries in several blocks and pieces, more of them than a task keeps
+    for name, small in (("BLOCK", 4), ("PIECE", 3), ("KEPT", 1)):
+        monkeypatch.setattr(mtree, name, small)
+    assert sorted(map(tuple, mtree.top_k(df, shard_rows=90).collect())) == sorted(want)
 
 
 def test_top_k_keeps_large_components(spark):
@@ -323,3 +328,16 @@ def test_toxicity_and_quality(spark, odd):
     for f in (toxicity.score, cotraining.classify):
         assert f(odd, labels).count() == len(ODD)
         assert f(odd, labels.limit(0)).count() == len(ODD) and f(odd.limit(0), labels).count() == 0
+
+
+def test_folders_are_the_same_for_spark_and_arrow(spark, tmp_path):
+    assert shared_uri(spark, "s3a://corpus/x") == "s3://corpus/x" and shared_uri(spark, "abfss://c@a.net/x") == "abfss://c@a.net/x"
+    # a path without a scheme is one of Spark's default file system
+    assert shared_uri(spark, "/a/b") == shared_uri(spark, "file:/a/b") == shared_uri(spark, "file:///a/b") == "file:///a/b"
+    with pytest.raises(ValueError, match="dbfs"):
+        shared_uri(spark, "dbfs:/x")
+    folder = str(tmp_path / "odd name 100%")
+    store = Store(shared_uri(spark, folder))
+    store.write("a.zst", b"as it is")
+    assert store.read("a.zst") == b"as it is" and (tmp_path / "odd name 100%" / "a.zst").read_bytes() == b"as it is"
+    assert spark.read.format("binaryFile").load(folder).first()["content"] == b"as it is"

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StructField
 
@@ -29,7 +30,7 @@ TEXT_FEATURES = 15
 PAGE_FEATURES = 10
 BINS, SOURCES = 10, 64
 #: Ranks of log odds, 1/256 wide; tasks that sum over the pool.
-RANKS, TASKS = 1 << 13, 256
+RANKS, TASKS, MERGED = 1 << 13, 1024, 16
 
 
 def text_features(text: str) -> list[float]:
@@ -172,21 +173,38 @@ class Pool:
         return view.weights[0] + view.weights[view.starts[:-1] + bins].sum(axis=1)
 
     def _sums(self, shapes: list[tuple], add) -> list[np.ndarray]:
-        """Arrays that `add(sums, block)` fills, over all blocks; at most TASKS of each come to the driver."""
+        """Arrays that `add(sums, block)` fills, over all blocks.
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Each of at most TASKS tasks fills its own; MERGED tasks add those up, in the order of the tasks,
+        and only theirs come to the driver.
+        """
+        names = [f"s{i}" for i in range(len(shapes))]
+
+        def row(sums: list[np.ndarray]) -> pa.RecordBatch:
+            arrays = [pa.array([TaskContext.get().partitionId()], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in sums]]
+            return pa.RecordBatch.from_arrays(arrays, names=["task", *names])
+
+        def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = [np.zeros(x) for x in shapes]
             for b in batches:
                 for block in Pool._blocks(b):
                     add(sums, block)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in sums], names=[f"s{i}" for i in range(len(sums))])
+            yield row(sums)
 
-        out = [np.zeros(x) for x in shapes]
-        schema = ", ".join(f"s{i} binary" for i in range(len(shapes)))
-        for r in self.blocks.coalesce(TASKS).mapInArrow(run, schema).collect():
-            for total, part in zip(out, r):
-                total += np.frombuffer(part).reshape(total.shape)
-        return out
+        def total(parts: Iterator[tuple]) -> list[np.ndarray]:
+            sums = [np.zeros(x) for x in shapes]
+            for part in parts:
+                for whole, one in zip(sums, part, strict=True):
+                    whole += np.frombuffer(one).reshape(whole.shape)
+            return sums
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield row(total(tuple(b.column(n)[i].as_buffer() for n in names) for b in batches for i in range(b.num_rows)))
+
+        schema = ", ".join(["task int", *[f"{n} binary" for n in names]])
+        filled = self.blocks.coalesce(TASKS).mapInArrow(fill, schema)
+        merged = filled.repartition(MERGED, "task").sortWithinPartitions("task").mapInArrow(merge, schema)
+        return total(tuple(r)[1:] for r in sorted(merged.collect()))
 
     def exchange(self, good: float, sure: float, share: float) -> None:
         """Each view is given rows of which the other one is at least `sure`, best first.

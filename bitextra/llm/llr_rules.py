@@ -77,7 +77,11 @@ def log_ratios(df: DataFrame, labels: DataFrame, doc_id: str, text: str, buckets
     trusted = labels.where("quality = 1").select(F.col("doc_id").alias("_t")).distinct()
     rows = df.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_x"))
     # the same join at every size: the labels grow with the documents
-    rows = rows.hint("merge").join(trusted.hint("merge"), F.col("_id") == F.col("_t"), "left")
+    # NULL ids meet no label; a hash of their text spreads them over the tasks
+    spread = F.when(F.col("_id").isNull(), F.xxhash64("_x")).otherwise(F.lit(0).cast("long"))
+    rows, trusted = rows.withColumn("_n", spread), trusted.withColumn("_m", F.lit(0).cast("long"))
+    on = (F.col("_id") == F.col("_t")) & (F.col("_n") == F.col("_m"))
+    rows = rows.hint("merge").join(trusted.hint("merge"), on, "left")
     grams = rows.select(
         F.col("_t").isNotNull().cast("long").alias("trusted"), F.explode(n_grams(word_hashes(F.col("_x")), buckets)).alias("bucket")
     )

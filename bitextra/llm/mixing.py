@@ -3,9 +3,8 @@
 Main path: DataFrame and SQL functions only.
 
 1. Every source is dealt into blocks of about equal words by a hash of its rows. A source's
-   quota is its target in words: whole passes over it, and for the rest a prefix of its
-   blocks in a permuted order. The row at the cut gives a prefix of its words, so quotas are
-   met to the word.
+   quota is its target in words: whole passes over it, and for the rest the first of its
+   blocks in a permuted order. The row at the cut is drawn whole or not at all.
 2. The drawn blocks are the balls of an urn. A binary tree over the output shards splits them:
    each node puts a multivariate-hypergeometric draw of its quota vector to the left, the rest
    to the right. A leaf's quotas are met with the next blocks of each source's permuted list,
@@ -113,8 +112,9 @@ def decide(
     source's cut is drawn whole or not at all, whichever is nearer to the target: the taken
     words of a source differ from its rounded target by half of that row at most. Rows without
     words take no part. Only rows equal in id and text share what falls to them at a cut
-    evenly, rounded down, as a prefix each. Reruns agree: all draws are hashes. `blocks` and `shards` bound every table
-    that is sorted in one task. Columns that have the name of a new one are replaced.
+    evenly, rounded down, as a prefix each. Reruns agree: all draws are hashes. Tables that are
+    sorted in one task have a row per source or per drawn block, `blocks` and one per source times
+    the passes. Columns that have the name of a new one are replaced.
     """
     new = ["size", "source_size", "target", "draws", "taken"]
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")

@@ -224,6 +224,10 @@ def test_llr_rules(spark, docs, odd, labels):
             assert abs(r["llr"] - mean) < 1e-4
             assert abs(mean + 0.15) < 1e-3 or r["kept"] == (not r["base_failed"] and mean >= -0.15)
     assert llr_rules.judge(odd, labels).count() == len(ODD)
+    # an id that is NULL is as good as one without a label
+    unknown = docs.withColumn("doc_id", F.when(F.col("doc_id").isin(*good), F.col("doc_id")))
+    scores = {(r["text"], r["llr"]) for r in llr_rules.judge(unknown, labels, buckets=buckets, smoothing=smoothing).select("text", "llr").collect()}
+    assert scores == {(r["text"], r["llr"]) for r in got}
     assert llr_rules.judge(docs.limit(0), labels.limit(0)).count() == 0
 
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from ..functions import constants as K, text as X
+from ..functions import constants as K
 from ..registry import evaluators
+from .lookup import ensure_checkpoint_dir
 from .scoring import score_rows
 
 BLEU_ORDER, CHAR_ORDER, WORD_ORDER, BETA = 4, 6, 2, 2
+_PUNCT = frozenset(K.ASCII_PUNCT)
 
 # mteval-v13a tokenisation: entities, then punctuation split off (fixed values).
 V13A_ENTITIES = [("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]
@@ -25,35 +28,35 @@ V13A_RULES = [
 ]
 
 
-def tokenize_13a(c: Column) -> Column:
-    c = F.replace(F.replace(c, F.lit("<skipped>"), F.lit("")), F.lit("-\n"), F.lit(""))
-    c = F.replace(c, F.lit("\n"), F.lit(" "))
-    for entity, char in V13A_ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    c = F.concat(F.lit(" "), c, F.lit(" "))
-    for pattern, to in V13A_RULES:
-        c = F.regexp_replace(c, pattern, to)
-    return X.words(c)
+# A blank set apart by the first rule stays a blank between tokens, so that rule may leave out the most frequent mark.
+_RULES = [(re.compile(p.replace("` -&", "`!-&")), t.replace("$", "\\")) for p, t in V13A_RULES]
 
 
-def chrf_words(c: Column) -> Column:
-    """Words with one punctuation mark split from their end or, failing that, their start."""
+def tokenize_13a(text: str) -> list[str]:
+    text = text.replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
+    for entity, char in V13A_ENTITIES if "&" in text else ():
+        text = text.replace(entity, char)
+    text = f" {text} "
+    for pattern, to in _RULES:
+        text = pattern.sub(to, text)
+    return text.split()
 
-    def parts(w: Column) -> Column:
-        first, last, n = F.left(w, F.lit(1)), F.right(w, F.lit(1)), F.length(w)
-        is_punct = lambda x: F.contains(F.lit(K.ASCII_PUNCT), x)
-        return (
-            F.when(n == 1, F.array(w))
-            .when(is_punct(last), F.array(F.left(w, n - 1), last))
-            .when(is_punct(first), F.array(first, F.substr(w, F.lit(2))))
-            .otherwise(F.array(w))
-        )
 
-    return F.flatten(F.transform(X.words(c), parts))
+def chrf_words(text: str) -> list[str]:
+    """Words with one punctuation mark split from their end or, failing that, their start."""
+    out = []
+    for w in text.split():
+        if len(w) > 1 and w[-1] in _PUNCT:
+            out += (w[:-1], w[-1])
+        elif len(w) > 1 and w[0] in _PUNCT:
+            out += (w[0], w[1:])
+        else:
+            out.append(w)
+    return out
 
 
-def chrf_chars(c: Column) -> Column:
-    return F.regexp_replace(c, X.K.WS + "+", "")
+def chrf_chars(text: str) -> str:
+    return "".join(text.split())
 
 
 # metric -> [(kind of token, n)]; kinds: b = 13a tokens, c = characters, w = words
@@ -61,27 +64,66 @@ FAMILIES: dict[str, list[tuple[str, int]]] = {
     "bleu": [("b", n) for n in range(1, BLEU_ORDER + 1)],
     "chrf": [("c", n) for n in range(1, CHAR_ORDER + 1)] + [("w", n) for n in range(1, WORD_ORDER + 1)],
 }
-TOKENS: dict[str, Callable[[Column], Column]] = {"b": tokenize_13a, "c": chrf_chars, "w": chrf_words}
+# str.split cuts at the blanks of constants.WS
+TOKENS: dict[str, Callable[[str], list[str] | str]] = {"b": tokenize_13a, "c": chrf_chars, "w": chrf_words}
 
 
 def _ids(hyp, ref) -> tuple[np.ndarray, np.ndarray]:
-    """Token numbers of both sides; a string counts as its characters."""
+    """Token numbers of both sides, from 0 without gaps; a string counts as its characters."""
     if isinstance(hyp, str):
-        h, r = (np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) for x in (hyp, ref))
-        both = np.concatenate([h, r])
+        both = np.frombuffer((hyp + ref).encode("utf-32-le"), dtype=np.uint32)
+        top = int(both.max(initial=0))
+        if top < 1 << 16:
+            there = np.zeros(top + 1, np.bool_)
+            there[both] = True
+            numbers = (np.cumsum(there) - 1)[both]
+        else:
+            numbers = np.unique(both, return_inverse=True)[1].astype(np.int64)
     else:
-        h, both = hyp, pd.factorize(np.concatenate([np.asarray(hyp, dtype=object), np.asarray(ref, dtype=object)]))[0]
-    numbers = np.unique(both, return_inverse=True)[1].astype(np.int64)
-    return numbers[: len(h)], numbers[len(h) :]
+        known: dict = {}
+        numbers = np.fromiter((known.setdefault(w, len(known)) for side in (hyp, ref) for w in side), np.int64, len(hyp) + len(ref))
+    return numbers[: len(hyp)], numbers[len(hyp) :]
 
 
 def ngram_overlap(hyp, ref, top: int) -> list[int]:
     """[matches, n-grams of hyp, n-grams of ref] for n = 1..top; exact, no hashing.
 
-    An n-gram is numbered by its (n-1)-gram's number and its last token, so memory stays
-    linear in the text length.
+    The numbers of `top` tokens fit into 64 bits for all but very rich texts: then one sort of
+    the longest n-grams, with the side in the last bit, puts those of every length in order.
     """
     h1, r1 = _ids(hyp, ref)
+    bits = (int(max(h1.max(initial=0), r1.max(initial=0))) + 1).bit_length()
+    if top * bits > 63:
+        return _overlap_by_numbers(h1, r1, top)
+    both = np.concatenate([_packed(x, bits, top) << np.uint64(1) | np.uint64(side) for side, x in enumerate((h1, r1))])
+    both.sort()
+    refs_before, grams, out = np.cumsum(both & np.uint64(1), dtype=np.int64), both >> np.uint64(1), []
+    for n in range(1, top + 1):
+        matches = 0
+        if len(grams):
+            gram = grams >> np.uint64(bits * (top - n))
+            ends = np.flatnonzero(np.append(gram[1:] != gram[:-1], True))
+            refs = np.diff(refs_before[ends], prepend=0)
+            # the end of a text cuts n-grams short: their last token is 0
+            whole = gram[ends] & np.uint64((1 << bits) - 1) != 0
+            matches = int(np.minimum(refs, np.diff(ends, prepend=-1) - refs)[whole].sum())
+        out += [matches, max(0, len(h1) - n + 1), max(0, len(r1) - n + 1)]
+    return out
+
+
+def _packed(numbers: np.ndarray, bits: int, top: int) -> np.ndarray:
+    """The `top` tokens from each place on in one number, first token highest; 0 stands behind the end."""
+    tokens = (numbers + 1).astype(np.uint64)
+    out = np.zeros(len(tokens), np.uint64)
+    for n in range(min(top, len(tokens))):
+        out[: len(tokens) - n] |= tokens[n:] << np.uint64(bits * (top - 1 - n))
+    return out
+
+
+def _overlap_by_numbers(h1: np.ndarray, r1: np.ndarray, top: int) -> list[int]:
+    """`ngram_overlap` of any tokens: an n-gram is numbered by its (n-1)-gram's number and its last
+    token, so memory stays linear in the text length.
+    """
     base = int(max(h1.max(initial=0), r1.max(initial=0))) + 1
     h, r, out = h1, r1, []
     for n in range(1, top + 1):
@@ -95,18 +137,14 @@ def ngram_overlap(hyp, ref, top: int) -> list[int]:
 
 
 def _overlap_function(kinds: dict[str, int]):
-    """Arrow function over the tokens of both sides, kind by kind."""
-    tops = list(kinds.values())
-
-    @F.pandas_udf(ArrayType(LongType()))
-    def overlap(tokens: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for batch in tokens:
-            yield pd.Series(
-                [
-                    [x for k, top in enumerate(tops) for x in ngram_overlap(row[2 * k], row[2 * k + 1], top)]
-                    for row in zip(*batch)
-                ]
-            )
+    """Arrow function over the texts of both sides, kind by kind."""
+
+    @F.arrow_udf(ArrayType(LongType()))
+    def overlap(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for sides in texts:
+            rows = zip(*[c.to_pylist() for c in sides])
+            counts = [[x for kind, top in kinds.items() for x in ngram_overlap(*map(TOKENS[kind], row), top)] for row in rows]
+            yield pa.array(counts, pa.list_(pa.int64()))
 
     return overlap
 
@@ -120,14 +158,13 @@ def overlap_counts(
 ) -> DataFrame:
     """Per row: clipped matches (_m), prediction n-grams (_h) and reference n-grams (_r) by order.
 
-    Texts become tokens in the JVM; the n-grams of a row, many times its size, are counted in
-    place over arrays of numbers. They are neither exploded nor shuffled.
+    Only the two texts travel to Python, once for all kinds of tokens; the n-grams of a row, many times
+    their size, are counted in place over arrays of numbers. They are neither exploded nor shuffled.
     """
     orders = [o for f in families for o in FAMILIES[f]]
     kinds = {k: max(n for kind, n in orders if kind == k) for k, _ in orders}
     sides = [F.coalesce(F.col(c), F.lit("")) for c in (prediction, reference)]
-    tokens = [TOKENS[k](c) for k in kinds for c in sides]
-    counted = df.select(*keys, _overlap_function(kinds)(*tokens).alias("_n"))
+    counted = df.select(*keys, _overlap_function(kinds)(*sides).alias("_n"))
     at = lambda i: F.get("_n", F.lit(i))
     columns = []
     for i, (k, n) in enumerate(orders):
@@ -196,12 +233,22 @@ def corpus_scores(
     key: str = "id",
     families: tuple[str, ...] = ("bleu", "chrf"),
     by: list[str] | None = None,
+    total: bool = False,
     **columns: str,
 ) -> DataFrame:
-    """Corpus scores in one row or, with `by` (such as dataset or domain), one row per group."""
+    """Corpus scores in one row or, with `by` (such as dataset or domain), one row per group.
+
+    `total` adds a row for the whole corpus, in which `by` is NULL. It is the sum of the groups' counts,
+    which go to the checkpoint folder, so n-grams are counted once.
+    """
     counts = overlap_counts(df, [key, *(by or [])], families, **columns)
-    total = corpus_counts(counts, families, by)
-    return total.select(*(by or []), *[SCORES[f]().alias(f) for f in families])
+    sums = corpus_counts(counts, families, by)
+    if by and total:
+        ensure_checkpoint_dir(df.sparkSession)
+        sums = sums.checkpoint()
+        whole = corpus_counts(sums, families)
+        sums = sums.unionByName(whole.select(*[F.lit(None).cast(sums.schema[c].dataType).alias(c) for c in by], *whole.columns))
+    return sums.select(*(by or []), *[SCORES[f]().alias(f) for f in families])
 
 
 @evaluators("sacrebleu", "Corpus BLEU, 13a tokens, exponential smoothing")

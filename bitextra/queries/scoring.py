@@ -156,10 +156,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = _evaluation(spark, sf)
-    groups = M.corpus_scores(rows, by=["dataset", "domain"])
-    total = M.corpus_scores(rows).select(F.lit(None).cast("string").alias("dataset"), F.lit(None).cast("string").alias("domain"), "bleu", "chrf")
-    return groups.unionByName(total).withColumns({c: F.round(c, 6) for c in ("bleu", "chrf")})
+    scores = M.corpus_scores(_evaluation(spark, sf), by=["dataset", "domain"], total=True)
+    return scores.withColumns({c: F.round(c, 6) for c in ("bleu", "chrf")})
 
 
 @query(

@@ -279,6 +279,30 @@ def test_ngram_overlap_against_counters():
         assert M.ngram_overlap(h, r, 6) == want == M.ngram_overlap("".join(h), "".join(r), 6)
 
 
+def test_ngram_overlap_of_ends_blanks_and_rich_alphabets():
+    rnd = random.Random(10)
+    rich = [chr(i) for i in range(0x4E00, 0x4E00 + 1500)] + ["😀"]
+    for letters, most in (("ab", 7), (rich, 3000)):  # the second needs more than 64 bits
+        for _ in range(5):
+            h, r = (rnd.choices(letters, k=rnd.randint(0, most)) for _ in range(2))
+            want = [x for n in range(1, 7) for x in _overlap(h, r, n)]
+            assert M.ngram_overlap(h, r, 6) == want == M.ngram_overlap("".join(h), "".join(r), 6)
+    # blanks are those of the SQL, no-break and Georgian texts' wide ones included
+    assert M.tokenize_13a("a\u00a0b. 3.5,x\u2003-\nc&amp;d 7-8") == ["a", "b", ".", "3.5", ",", "x", "c", "&", "d", "7", "-", "8"]
+    assert M.chrf_words("(a) b\u3000!! x") == ["(a", ")", "b", "!", "!", "x"] and M.chrf_chars("a\x1cb\u2028 c") == "abc"
+
+
+def test_scores_of_groups_and_total_count_ngrams_once(spark):
+    rows = [("1", "x", "a b c d", "a b c d"), ("2", None, "a b c e", "a b q e"), ("3", "y", "k l m n o", "k l m n")]
+    df = spark.createDataFrame(rows, "id string, domain string, reference string, prediction string")
+    out = M.corpus_scores(df, by=["domain"], total=True)
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().executedPlan().toString()
+    got = Counter((r["domain"], round(r["bleu"], 6), round(r["chrf"], 6)) for r in out.collect())
+    want = M.corpus_scores(df, by=["domain"]).collect() + [{"domain": None, **M.corpus_scores(df).first().asDict()}]
+    assert got == Counter((r["domain"], round(r["bleu"], 6), round(r["chrf"], 6)) for r in want)
+    assert M.corpus_scores(df.limit(0), by=["domain"], total=True).count() == 1
+
+
 def test_combined_evaluator(spark):
     df = spark.createDataFrame([("1", "s", "a b c d", "a b c d")], "id string, source string, reference string, prediction string")
     M.evaluators("always_fails", "for tests")(lambda df, params: 1 / 0)

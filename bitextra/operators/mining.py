@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, NGram, SQLTransformer, StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
 
 from ..functions import constants as K
+from .lookup import settled
 from .profile import most_frequent
 
 MOST_TERMS = 200_000  # some 10 MB
@@ -65,17 +65,18 @@ def tfidf_rows(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame
     Every row of the table is there, without entries if it holds no term of the vocabulary.
 
     The vocabulary is the `features` most frequent terms, at most MOST_TERMS; this table goes
-    to the tasks. Terms are counted and weighed within their rows, only their counts over the
-    corpus are shuffled.
+    to the tasks. Terms are counted and weighed within their rows, once: the counted rows and the counts
+    over the corpus go to the checkpoint folder. Only the latter are shuffled.
     """
     if features > MOST_TERMS:
         raise ValueError(f"at most {MOST_TERMS} features, not {features}")
-    counts = terms(df, key, text)
+    counts = settled(terms(df, key, text), "terms")
     stats = counts.select(F.inline("terms")).groupBy("term").agg(F.sum("tf").alias("_n"), F.count(F.lit(1)).alias("_df"))
+    stats = settled(stats, "term-counts")
     by_count = [F.desc("_n"), F.asc("term")]
     vocabulary = most_frequent(stats, features, "term", "_n")
     vocabulary = vocabulary.withColumn("feature", F.row_number().over(Window.orderBy(*by_count)) - 1)
-    n = df.count()  # one number
+    n = counts.count()  # one number
     idf = F.log(F.lit(1.0 + n) / (F.col("_df") + 1)) + 1
     weigh = _weigher(vocabulary.select("term", "feature", idf.alias("_idf")).toArrow())
     return counts.select(key, weigh(F.col("terms")).alias("entries"))
@@ -86,32 +87,136 @@ def tfidf(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
     return tfidf_rows(df, key, text, features).select(key, F.inline("entries"))
 
 
-def language_model(training: DataFrame, text: str = "text", label: str = "lang", features: int = 1 << 14):
-    """Naive Bayes over character 1- to 3-grams; a fitted pipeline model."""
-    chars = SQLTransformer(statement=f"SELECT *, split(lower({text}), '') AS _c1 FROM __THIS__")
-    stages = [StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep", stringOrderType="alphabetAsc"), chars]
-    for n in (2, 3):
-        stages.append(NGram(n=n, inputCol="_c1", outputCol=f"_c{n}"))
-    stages.append(SQLTransformer(statement="SELECT *, concat(_c1, _c2, _c3) AS _grams FROM __THIS__"))
-    stages.append(HashingTF(numFeatures=features, inputCol="_grams", outputCol="_features"))
-    stages.append(NaiveBayes(featuresCol="_features", labelCol="_label", predictionCol="_predicted", probabilityCol="_prob"))
-    return Pipeline(stages=stages).fit(training)
-
+#: Characters whose grams are counted together; grams whose places a task remembers.
+STEP, MEMO = 1 << 17, 1_000_000
+
+
+def _murmur3(data: bytes, seed: int = 42) -> int:
+    """MurmurHash3 (x86, 32 bits), as Spark hashes terms."""
+    mask = 0xFFFFFFFF
+    mixed = lambda k: ((k * 0xCC9E2D51 & mask) << 15 | (k * 0xCC9E2D51 & mask) >> 17) * 0x1B873593 & mask
+    h, whole = seed, len(data) & ~3
+    for at in range(0, whole, 4):
+        h ^= mixed(int.from_bytes(data[at : at + 4], "little"))
+        h = ((h << 13 | h >> 19) & mask) * 5 + 0xE6546B64 & mask
+    if whole < len(data):
+        h ^= mixed(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & mask
+    h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+    return h ^ h >> 16
+
+
+class Grams:
+    """Places of the character 1- to 3-grams of texts among `features` ones: their hashes, as HashingTF has it."""
+
+    def __init__(self, features: int) -> None:
+        self.features = features
+        self.memo: dict[int, int] = {}
+
+    def _place(self, key: int) -> int:
+        points = [p - 1 for p in (key >> 42, key >> 21 & 0x1FFFFF, key & 0x1FFFFF) if p]
+        h = _murmur3(" ".join(map(chr, points)).encode())
+        return (h - (1 << 32) if h >> 31 else h) % self.features
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(from, to, row from there, place) of every gram, for some texts after the other; an empty text has the empty gram."""
+        lo = 0
+        while lo < len(texts):
+            hi, size = lo + 1, len(texts[lo])
+            while hi < len(texts) and size + len(texts[hi]) <= STEP:
+                size += len(texts[hi])
+                hi += 1
+            some = texts[lo:hi]
+            row = np.repeat(np.arange(hi - lo), [len(t) for t in some])
+            one = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).astype(np.int64) + 1
+            two = one[:-1] << 21 | one[1:]
+            three = two[:-1] << 21 | one[2:]
+            in_two, in_three = row[:-1] == row[1:], row[:-2] == row[2:]
+            blank = np.array([i for i, t in enumerate(some) if not t], np.int64)
+            coded = pa.array(np.concatenate([one, two[in_two], three[in_three], np.zeros(len(blank), np.int64)])).dictionary_encode()
+            if len(self.memo) > MEMO:
+                self.memo.clear()
+            keys = coded.dictionary.to_pylist()
+            for k in keys:
+                if k not in self.memo:
+                    self.memo[k] = self._place(k)
+            places = np.array([self.memo[k] for k in keys], np.int64)[coded.indices.to_numpy()]
+            yield lo, hi, np.concatenate([row, row[:-1][in_two], row[:-2][in_three], blank]), places
+            lo = hi
+
+
+@dataclass
+class LanguageModel:
+    """Multinomial Naive Bayes: log odds of the labels (after them, if there is one, of rows without label) and of grams in them."""
+
+    labels: list[str]
+    prior: np.ndarray
+    likelihood: np.ndarray
+
+    def scores(self, grams: Grams, texts: list[str]) -> np.ndarray:
+        """Best label's number and its probability, a row for each text."""
+        out = np.zeros((len(texts), 2))
+        for lo, hi, row, place in grams(texts):
+            odds = self.prior + np.column_stack([np.bincount(row, c[place], minlength=hi - lo) for c in self.likelihood])
+            out[lo:hi, 0] = odds.argmax(axis=1)
+            out[lo:hi, 1] = 1 / np.exp(odds - odds.max(axis=1)[:, None]).sum(axis=1)
+        return out
+
+
+def language_model(training: DataFrame, text: str = "text", label: str = "lang", features: int = 1 << 14) -> LanguageModel:
+    """Naive Bayes over character 1- to 3-grams, smoothed by one; rows whose text is NULL teach nothing.
+
+    A task adds up its rows' grams; features x labels sums come to the driver.
+    """
 
-def detect_language(model, df: DataFrame, text: str = "text") -> DataFrame:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, sums, rows = Grams(features), {}, {}
+        for batch in batches:
+            kinds, texts = (c.to_pylist() for c in batch.columns)
+            for lo, hi, row, place in grams(texts):
+                codes = {k: i for i, k in enumerate(dict.fromkeys(kinds[lo:hi]))}
+                of = np.array([codes[k] for k in kinds[lo:hi]], np.int64)
+                counts = np.bincount(of[row] * features + place, minlength=len(codes) * features).reshape(-1, features)
+                for k, i in codes.items():
+                    sums[k] = sums.get(k, 0) + counts[i]
+                    rows[k] = rows.get(k, 0) + int((of == i).sum())
+        for k, counts in sums.items():
+            used = np.flatnonzero(counts)
+            columns = [pa.array([k] * (len(used) + 1), pa.string()), pa.array([-1, *used], pa.int32()), pa.array([rows[k], *counts[used]], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "feature", "n"])
+
+    known = training.where(F.col(text).isNotNull()).select(F.col(label).cast("string"), F.lower(text))
+    parts = known.mapInArrow(partial, "label string, feature int, n long")
+    found = parts.groupBy("label", "feature").agg(F.sum("n").alias("n")).toArrow()
+    kinds, feature, n = (found.column(c).to_pylist() for c in ("label", "feature", "n"))
+    labels = sorted({k for k in kinds if k is not None})
+    at = {k: i for i, k in enumerate([*labels, *([None] if None in kinds else [])])}
+    if not at:
+        raise ValueError("no texts to learn languages from")
+    sums = np.zeros((len(at), features + 1))
+    sums[[at[k] for k in kinds], feature] = n  # the number of rows is the last one
+    counts, rows = sums[:, :-1], sums[:, -1]
+    prior = np.log(rows + 1) - np.log(rows.sum() + len(at))
+    return LanguageModel(labels, prior, np.log(counts + 1) - np.log(counts.sum(axis=1) + features)[:, None])
+
+
+def detect_language(model: LanguageModel, df: DataFrame, text: str = "text") -> DataFrame:
     """Adds detected_lang and confidence; texts that are NULL or blank are 'unknown' with 0."""
-    labels = model.stages[0].labels
-    names = F.array(*[F.lit(x) for x in labels])
+
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        grams = Grams(model.likelihood.shape[1])
+        for batch in batches:
+            found = model.scores(grams, batch.to_pylist())
+            yield pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(found) + 1, 2, dtype=np.int32)), pa.array(found.ravel()))
+
     usable = F.coalesce(F.trim(F.col(text)) != "", F.lit(False))
-    ready = df.withColumn("_known", usable).withColumn("_keep_text", F.col(text)).withColumn(text, F.coalesce(text, F.lit("")))
-    scored = ready
-    for stage in model.stages[1:]:
-        scored = stage.transform(scored)
-    probs = vector_to_array("_prob")
-    best = F.get(names, F.col("_predicted").cast("int"))
-    return scored.withColumns(
-        {
-            "detected_lang": F.when(F.col("_known"), best).otherwise(F.lit("unknown")),
-            "confidence": F.when(F.col("_known"), F.array_max(probs)).otherwise(F.lit(0.0)),
-        }
-    ).select(*[F.col("_keep_text").alias(text) if c == text else F.col(c) for c in df.columns], "detected_lang", "confidence")
+    names = F.array(*[F.lit(x) for x in model.labels]) if model.labels else F.array().cast("array<string>")
+    found = df.withColumn("_found", scored(F.lower(F.coalesce(text, F.lit("")))))
+    best = F.get(names, F.get("_found", F.lit(0)).cast("int"))
+    return found.select(
+        *df.columns,
+        F.when(usable, best).otherwise(F.lit("unknown")).alias("detected_lang"),
+        F.when(usable, F.get("_found", F.lit(1))).otherwise(F.lit(0.0)).alias("confidence"),
+    )

@@ -52,12 +52,18 @@ def changed(columns: tuple[str, ...], before: str = "_b_"):
 
 
 def changed_rows(df: DataFrame, step: Step, columns: tuple[str, ...] = ("en", "ka")) -> DataFrame:
-    """Rows a step changes, with the texts before and after it."""
+    """Rows a step changes, with the texts before and after it.
+
+    The new texts pass through an array of one entry: a filter that names them would else be
+    moved below joins and exchanges, and the step would run there and here.
+    """
     before = df.withColumns({f"_b_{c}": F.col(c) for c in columns})
     after = preprocessors.get(step.name)(before, step.params)
+    others = [c for c in after.columns if c not in columns]
+    once = after.select(*others, F.inline(F.array(F.struct(*columns))))
     sides = [x for c in columns for x in (F.col(f"_b_{c}").alias(f"{c}_before"), F.col(c).alias(f"{c}_after"))]
     position = [F.col("row_pos").alias("index")] if "row_pos" in df.columns else []
-    return after.where(changed(columns)).select(*position, *sides, "domain", "id")
+    return once.where(changed(columns)).select(*position, *sides, "domain", "id")
 
 
 def augment(df: DataFrame, steps: list[Step], settings: dict | None = None, part: str | None = None) -> DataFrame:

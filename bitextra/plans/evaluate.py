@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import latent as L, mining as M, profile as P
+from ..operators.lookup import settled
 
 BUNDLES: dict[str, list[str]] = {
     "basic": ["basic", "lengths", "domains", "datasets", "quality"],
@@ -15,7 +16,7 @@ BUNDLES: dict[str, list[str]] = {
 }
 BUNDLES["complete"] = sorted({*BUNDLES["basic"], *BUNDLES["text"]})
 
-TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
+TABLES: dict[str, Callable[..., DataFrame]] = {
     "basic": P.basic_stats,
     "lengths": P.length_stats,
     "domains": lambda df: P.group_counts(df, "domain"),
@@ -34,6 +35,9 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "zipf": P.zipf,
 }
 
+#: Tables of the counts of all words.
+OF_WORDS = {"words", "word_lengths", "edges", "longest", "zipf"}
+
 
 def _clustering(df: DataFrame, key: str = "id", features: int = 5000, components: int = 50, max_clusters: int = 10) -> dict[str, DataFrame]:
     rows = M.tfidf_rows(df, key, F.concat_ws(" ", "ka", "en"), features)
@@ -52,11 +56,16 @@ def _clustering(df: DataFrame, key: str = "id", features: int = 5000, components
 def profile(df: DataFrame, kind: str = "complete", **options) -> dict[str, DataFrame]:
     """Named profile tables of a bundle; each is computed when it is read.
 
-    `clustering` fits its models at once. Words are counted anew for each table that needs
-    them: a persisted copy of all counts would be larger than the passes it saves.
+    `clustering` fits its models at once. A bundle with several tables of word counts counts words
+    first and keeps a row per different word in the checkpoint folder for them.
     """
     if kind == "clustering":
         return _clustering(df, **options)
     if kind not in BUNDLES:
         raise ValueError(f"unknown profile '{kind}'; available: {', '.join([*BUNDLES, 'clustering'])}")
-    return {name: TABLES[name](df) for name in BUNDLES[kind]}
+    names = BUNDLES[kind]
+    shared = {}
+    if len(OF_WORDS & set(names)) > 1:
+        counts = settled(P.word_counts(df), "word-counts")
+        shared = {name: {"counts": counts} for name in OF_WORDS}
+    return {name: TABLES[name](df, **shared.get(name, {})) for name in names}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
@@ -13,6 +13,9 @@ from ..functions.arrays import let
 from ..registry import preprocessors
 from .spelling import respell
 
+#: Texts that a Python function gets as strings at once.
+ROWS = 256
+
 
 def on_columns(df: DataFrame, fn: Callable[[Column], Column], columns: str | list[str]) -> DataFrame:
     """Apply a text function to the listed columns that exist."""
@@ -114,13 +117,15 @@ def remove_html_tags(df: DataFrame, params: dict) -> DataFrame:
 def row_function(fn: Callable[[str], str]) -> Callable[[Column], Column]:
     """A Python text function as a Column function, run over Arrow batches; NULL stays NULL.
 
-    For what has no expression. Register the preprocessor that uses it like any other.
+    For what has no expression. Register the preprocessor that uses it like any other. Only
+    ROWS texts of a batch are Python strings at a time.
     """
 
-    def over(texts: pd.Series) -> pd.Series:
-        return texts.map(fn, na_action="ignore")
+    def over(texts: pa.Array) -> pa.Array:
+        some = lambda at: [t if t is None else fn(t) for t in texts.slice(at, ROWS).to_pylist()]
+        return pa.concat_arrays([pa.array(some(at), pa.string()) for at in range(0, max(1, len(texts)), ROWS)])
 
-    return F.pandas_udf(over, StringType())
+    return F.arrow_udf(over, StringType())
 
 
 QUERY_TIME_STEPS = ["normalize_characters", "convert_to_american", "remove_extra_whitespaces", "fix_encoding_issues"]

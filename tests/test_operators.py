@@ -6,13 +6,18 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from bitextra.functions import arrays as A
+from bitextra.functions.arrays import ngrams
 from bitextra.operators import augmenters as aug, contamination as C, dedup, encoding as E, lookup as L, metrics as M
+from bitextra.operators import mining as M2, preprocessors as P2
 from bitextra.operators import sampling as S, scoring, trainlog
 from bitextra.operators.profile import most_frequent
+from bitextra.plans import evaluate as evaluate_plan, preprocess as preprocess_plan
+from bitextra.plans.spec import Step
 
 
 def numbers(spark, n=500, seed=1):
@@ -380,3 +385,64 @@ def test_encoding_with_repeated_and_null_ids(spark, monkeypatch, small):
     assert Counter((r["id"], tuple(r["s_ids"])) for r in done.collect()) == Counter(want)
     back = E.decode(done, "s_ids", vocabulary).collect()
     assert Counter((r["id"], r["text"]) for r in back) == Counter([("a", "x y z"), ("a", "y"), ("a", "y"), (None, "z <unk>"), (None, "")])
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_language_model_equals_spark_ml_and_ignores_null_texts(spark):
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import HashingTF, StringIndexer
+    from pyspark.ml.functions import vector_to_array
+
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choices(letters, k=rnd.randint(0, 40))) for letters in ("abcd é", "abxy 😀", "დეabc ") for _ in range(12)]
+    rows = [(i, t, [None, "en", "ka"][i // 12]) for i, t in enumerate(texts)]
+    grams = [[t[i : i + n] if n == 1 else " ".join(t[i : i + n]) for n in (1, 2, 3) for i in range(len(t) - n + 1)] or [""] for t in map(str.lower, texts)]
+    ml = spark.createDataFrame([(*r, g) for r, g in zip(rows, grams)], "id int, text string, lang string, grams array<string>")
+    ml = StringIndexer(inputCol="lang", outputCol="label", handleInvalid="keep", stringOrderType="alphabetAsc").fit(ml).transform(ml)
+    ml = HashingTF(numFeatures=1 << 14, inputCol="grams", outputCol="features").transform(ml)
+    want = {
+        r["id"]: (["en", "ka", None][int(r["prediction"])], round(r["p"], 9))
+        for r in NaiveBayes().fit(ml).transform(ml).withColumn("p", F.array_max(vector_to_array("probability"))).collect()
+        if texts[r["id"]].strip()
+    }
+    df = spark.createDataFrame([*rows, (99, None, "en"), (98, " ", "ka")], "id int, text string, lang string")
+    found = {r["id"]: (r["detected_lang"], round(r["confidence"], 9)) for r in M2.detect_language(M2.language_model(df.where("id != 98")), df).collect()}
+    blank = {i: ("unknown", 0.0) for i in found if i > 90 or not texts[i].strip()}
+    assert found == {**want, **blank}
+
+
+def test_terms_are_counted_once(spark):
+    df = spark.createDataFrame([(1, "red red fox"), (2, "red hen"), (3, None)], "id int, t string")
+    rows = M2.tfidf_rows(df, "id", F.col("t"), 3)
+    assert "regexp_extract_all" not in _plan(rows)
+    assert {r["id"]: [e["term"] for e in r["entries"]] for r in rows.collect()} == {1: ["red", "fox"], 2: ["red", "hen"], 3: []}
+
+
+def test_changed_rows_run_the_step_once(spark, parallel):
+    left = parallel([("the colour", "a", "b", "c", "x"), ("plain", "a", "b", "c", "y")]).select("title", "ka", "en", "domain", "id")
+    df = left.join(spark.createDataFrame([("x",), ("y",)], "id string").hint("merge"), "id")
+    df = df.withColumn("en", F.when(F.col("id") == "x", "the colour").otherwise("plain"))
+    out = preprocess_plan.changed_rows(df, Step("convert_to_american"))
+    assert _plan(out).count("RLIKE") == 1
+    assert [(r["en_before"], r["en_after"], r["id"]) for r in out.collect()] == [("the colour", "the color", "x")]
+
+
+def test_profile_counts_words_once(spark, parallel):
+    df = parallel([("a b c d a b c d", "k l"), ("a b", None), ("", "m")]).withColumn("dataset", F.lit("d"))
+    tables = evaluate_plan.profile(df, "text")
+    for name in ("words", "word_lengths", "edges", "longest", "zipf"):
+        assert "word-counts" in _plan(tables[name]) and "Generate explode" not in _plan(tables[name])
+    assert tables["words"].where("lang = 'en' and word = 'a'").first()["count"] == 3
+    grams = {r["ngram"]: r["count"] for r in tables["fourgrams"].where("lang = 'en'").collect()}
+    assert grams == {"a b c d": 2, "b c d a": 1, "c d a b": 1, "d a b c": 1}
+    one = spark.createDataFrame([([],), (["x"],), (["x", "y", "z"],)], "t array<string>").select(ngrams("t", 3).alias("g"))
+    assert [r["g"] for r in one.collect()] == [[], [], ["x y z"]]
+
+
+def test_row_functions_take_arrow_batches_in_pieces():
+    over = P2.row_function(str.upper).func
+    for n in (0, 1, 600):
+        assert over(pa.array(["a", None, "b"] * n, pa.string())).to_pylist() == ["A", None, "B"] * n

@@ -322,6 +322,17 @@ def test_quality_fit_over_the_pool_equals_a_local_one(spark):
         assert np.abs(view.weights - alone).max() < 1e-2
 
 
+def test_sums_of_the_pool_come_in_few_rows_whatever_the_partitions(spark, monkeypatch):
+    rows = spark.createDataFrame([([float(i % 7)] * 25, i) for i in range(300)], "f array<double>, draw long").repartition(40)
+    pool = cotraining.Pool(rows, cotraining.make_views(rows))
+    pool.blocks = pool.blocks.repartition(40)  # as many tasks' sums, and more partitions than keys
+    plain, frame, came = type(rows).repartition, type(rows).collect, []
+    monkeypatch.setattr(type(rows), "repartition", lambda self, n, *by: plain(self, 211 if by else n, *by))
+    monkeypatch.setattr(type(rows), "collect", lambda self: came.append(frame(self)) or came[-1])
+    got = pool._sums([(2,)], lambda sums, block: np.add(sums[0], [1, len(block[1])], out=sums[0]))[0]
+    assert got[1] == 300 and 0 < len(came[0]) <= cotraining.MERGED
+
+
 def test_toxicity_and_quality(spark, odd):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     tox = toxicity.score(docs, labels).join(labels, "doc_id").where("held_out").collect()

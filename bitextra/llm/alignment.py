@@ -11,8 +11,10 @@ Links are counted per block of documents, summed over the corpus, and given back
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,20 +34,36 @@ DOCUMENTS, CHARACTERS = 512, 2_000_000
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, int]], list[int], list[int]]:
+def align(ends_a: list[int] | np.ndarray, ends_b: list[int] | np.ndarray) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
     """Groups and links of two lists of rising end offsets with the same last one.
 
     Groups come as stretches (i, j, n): n groups that begin at tokens i, i + 1, ... of the first
-    and j, j + 1, ... of the second list. Links are two lists of token numbers.
+    and j, j + 1, ... of the second list. Links are two arrays of token numbers.
     """
+    ends_a, ends_b = np.asarray(ends_a, np.int64), np.asarray(ends_b, np.int64)
+    stretches = _stretches(ends_a.tolist(), ends_b.tolist())
+    return stretches, *_links(ends_a, ends_b, *begins(stretches))
+
+
+def begins(stretches: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens that groups begin with, in either list."""
+    i, j, n = np.fromiter(chain.from_iterable(stretches), np.int64, 3 * len(stretches)).reshape(-1, 3).T
+    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(i, n) + offset, np.repeat(j, n) + offset
+
+
+def _stretches(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int]]:
     stretches: list[tuple[int, int, int]] = []
-    links_a: list[int] = []
-    links_b: list[int] = []
     i, j, n = 0, 0, len(ends_a)
     while i < n:
         x, y = ends_a[i], ends_b[j]
         if x == y:
             # one to one at this shift: probe on in doubling steps, then in halving ones
+            if i + 1 < n and ends_a[i + 1] != ends_b[j + 1]:
+                stretches.append((i, j, 1))
+                i += 1
+                j += 1
+                continue
             run, step = 1, 1
             while step and i + run < n:
                 probe = ends_a[i + run : i + run + step]
@@ -59,27 +77,55 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, in
                             run += step
                         step >>= 1
             stretches.append((i, j, run))
-            links_a.extend(range(i, i + run))
-            links_b.extend(range(j, j + run))
             i += run
             j += run
         else:
             stretches.append((i, j, 1))
             while x != y:
-                links_a.append(i)
-                links_b.append(j)
                 if x < y:
                     i += 1
                     x = ends_a[i]
                 else:
                     j += 1
                     y = ends_b[j]
-            links_a.append(i)
-            links_b.append(j)
             # the shift is now j - i
             i += 1
             j += 1
-    return stretches, links_a, links_b
+    return stretches
+
+
+def _links(ends_a: np.ndarray, ends_b: np.ndarray, groups_a: np.ndarray, groups_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token numbers of all linked pairs, in the order of the text, from the tokens that groups begin with.
+
+    Within a group, the token that ends first gives way to the next of its list, so a group has as many
+    links as tokens of both lists less one.
+    """
+    if not len(groups_a):
+        return groups_a, groups_b
+    size_a, size_b = np.diff(groups_a, append=len(ends_a)), np.diff(groups_b, append=len(ends_b))
+    first = np.cumsum(size_a + size_b - 1) - (size_a + size_b - 1)
+    total = len(ends_a) + len(ends_b) - len(groups_a)
+    step_a, step_b = np.zeros(total, np.int64), np.zeros(total, np.int64)
+    # where a group begins, both lists go on to its first tokens
+    step_a[first], step_b[first] = np.diff(groups_a, prepend=0), np.diff(groups_b, prepend=0)
+    wide = np.flatnonzero(size_a + size_b > 2)
+    # ends inside groups, of both lists together, by group and offset
+    inner_a, inner_b = _inside(groups_a[wide], size_a[wide]), _inside(groups_b[wide], size_b[wide])
+    ends = np.concatenate([ends_a[inner_a], ends_b[inner_b]])
+    order = np.argsort(ends, kind="stable")
+    of_a = order < len(inner_a)
+    inner = _inside(first[wide], size_a[wide] + size_b[wide] - 1) + 1
+    # behind an inner end of A its next token follows, else B's; the first link of the next group counts from there
+    step_a[inner], step_b[inner] = of_a, ~of_a
+    step_a[first[1:]] -= size_a[:-1] - 1
+    step_b[first[1:]] -= size_b[:-1] - 1
+    return np.cumsum(step_a), np.cumsum(step_b)
+
+
+def _inside(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers from each start on, one fewer than its size."""
+    sizes = sizes - 1
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
 
 
 class Tokenizers:
@@ -115,7 +161,7 @@ class Tokenizers:
 
     def _checked(self, want: list[bytes], a: list[bytes], b: list[list[int]]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both for each text; None where the bytes of either differ from the text's."""
-        packed = [np.array(x, np.uint32).tobytes() for x in b]
+        packed = [array("I", x).tobytes() for x in b]
         same = [True] * len(want)
         for codes, strings, sizes in ((a, self.strings_a, self.sizes_a), (packed, self.strings_b, self.sizes_b)):
             ids = np.frombuffer(b"".join(codes), np.uint32)
@@ -136,7 +182,7 @@ class Tokenizers:
     def _whole(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Codes of texts, or of first pieces, each asked for alone."""
         a = self.a.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        codes = [np.array(x.ids, np.uint32).tobytes() for x in a]
+        codes = [array("I", x.ids).tobytes() for x in a]
         checked = self._checked([b" " + t.encode() for t in texts], codes, self.b.encode(texts, num_threads=1))
         return [c if t else None for t, c in zip(texts, checked, strict=True)]
 
@@ -182,11 +228,8 @@ def _documents(t: Tokenizers, texts: list[str]) -> dict:
     starts_a = np.cumsum([0, *[len(x) // 4 for x, _ in codes]])
     starts_b = np.cumsum([0, *[len(x) // 4 for _, x in codes]])
     # all texts in one line: each ends where tokens of both end
-    stretches, links_a, links_b = align(np.cumsum(t.sizes_a[a]).tolist(), np.cumsum(t.sizes_b[b]).tolist())
-    i, j, n = np.array(stretches, np.int64).reshape(-1, 3).T
-    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    groups_a, groups_b = np.repeat(i, n) + offset, np.repeat(j, n) + offset
-    links_a, links_b = np.array(links_a, np.int64), np.array(links_b, np.int64)
+    stretches, links_a, links_b = align(np.cumsum(t.sizes_a[a]), np.cumsum(t.sizes_b[b]))
+    groups_a, groups_b = begins(stretches)
     # tokens in the order of the digest: A's of a group, then B's
     ends_a, ends_b = np.append(groups_a, len(a))[1:], np.append(groups_b, len(b))[1:]
     order = np.empty(len(a) + len(b), np.int64)

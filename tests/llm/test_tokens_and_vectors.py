@@ -225,3 +225,11 @@ def test_bit_planes():
         plain = [[int(v) for v in row] for row in x]
         assert sums == [sum(r[i] for r in plain) for i in range(5)]
         assert all(p == sum(r[i] * r[j] for r in plain) for (i, j), p in products.items())
+
+
+def test_links_are_arrays_made_from_groups():
+    stretches, links_a, links_b = alignment.align([2, 3, 7, 9], [1, 3, 4, 5, 9])
+    assert stretches == [(0, 0, 1), (2, 2, 1)]
+    assert isinstance(links_a, np.ndarray) and isinstance(links_b, np.ndarray)
+    assert list(zip(links_a.tolist(), links_b.tolist())) == [(0, 0), (0, 1), (1, 1), (2, 2), (2, 3), (2, 4), (3, 4)]
+    assert [len(x) for x in alignment.align([], [])] == [0, 0, 0]

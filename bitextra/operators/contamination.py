@@ -111,11 +111,11 @@ def _signer(n: int, chunk: int = 1 << 14):
     return minima
 
 
-def _bands(signable: DataFrame, key: str, threshold: float, num_perm: int) -> DataFrame:
-    """(key, _band) of rows with words `_w`."""
+def _bands(signable: DataFrame, keep: list[str], threshold: float, num_perm: int) -> DataFrame:
+    """`keep` and the array `_bands` of rows with words `_w`."""
     b, r = _shape(threshold, num_perm)
-    signed = signable.select(key, _signer(b * r)(F.col("_w")).alias("_s"))
-    return signed.select(key, F.explode(_band_keys("_s", b, r)).alias("_band"))
+    signed = signable.select(*keep, _signer(b * r)(F.col("_w")).alias("_s"))
+    return signed.select(*keep, _band_keys("_s", b, r).alias("_bands"))
 
 
 def _band_keys(signature: str, b: int, r: int) -> Column:
@@ -144,7 +144,7 @@ def near_texts(source: DataFrame, target: DataFrame, columns: list[str], near: d
         return found.withColumnRenamed("_text", "_near")
     params = near.get("minhash_params", {})
     threshold, num_perm = float(params.get("threshold", 0.9)), int(params.get("num_perm", 128))
-    bands = lambda sets: _bands(sets, "_id", threshold, num_perm)
+    bands = lambda sets, keep: _bands(sets, keep, threshold, num_perm)
     found = N.verified_partners(source, target, columns, _columns(columns), bands, threshold)
     return found.withColumnRenamed("_text", "_near")
 

@@ -20,6 +20,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from ..functions import text as X
 from ..functions.hashing import digest
+from .lookup import settled
 
 BITS = 64
 
@@ -179,7 +180,7 @@ def vector_partners(
 
 def word_set(words: Column) -> Column:
     """Different words as sorted 64-bit hashes."""
-    return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -190,21 +191,31 @@ def jaccard(a: Column, b: Column) -> Column:
 def verified_partners(source: DataFrame, target: DataFrame, columns: list[str], text: Column, bands, threshold: float) -> DataFrame:
     """(_text): contents of the target that share a band with a source content of Jaccard similarity `threshold` or more.
 
-    `bands` gives (set, _band) rows of word sets. Contents with the same words are one set, which
-    stands for all of them; only sets with a band on both sides travel with their words.
+    `bands` takes a table with words `_w` and the columns to keep, and adds `_bands`, the keys of each row.
+    Contents with the same words are one set, which stands for all of them; only sets with a band
+    on both sides travel with their words.
     """
-    sets = lambda df: contents(df, columns, text).withColumn("_set", word_set(F.col("_w")))
-    # the digest of a set is its representative; members keep (_text, _id)
+    one_of = [df.select(*dict.fromkeys(columns), text.alias("_t"), F.lit(i).alias("_side")) for i, df in enumerate((source, target))]
+    both = one_of[0].unionByName(one_of[1]).where(X.non_empty(F.col("_t")))
+    both = both.select(digest(*[F.col(c) for c in columns]).alias("_text"), "_t", "_side")
+    flags = lambda: [F.max(F.col("_side") == i).alias(f"_in{i}") for i in (0, 1)]
+    once = both.groupBy("_text").agg(F.first("_t").alias("_t"), *flags()).withColumn("_w", X.words(F.col("_t"))).drop("_t")
+    once = once.withColumn("_set", word_set(F.col("_w")))
+    # the digest of a set is its representative; each content is cut into words and signed once
     name = F.md5(F.array_join(F.col("_set").cast("array<string>"), ","))
-    members = sets(target).select("_text", name.alias("_id"), "_set", "_w")
-    other = sets(source).select(name.alias("_id"), "_set", "_w")
-    one = lambda df: df.groupBy("_id").agg(F.first("_set").alias("_set"), F.first("_w").alias("_w"))
-    here, there = one(members), one(other)
-    asked, wanted = bands(here), bands(there)
-    # keys alone decide which sets are candidates at all
-    asked_keys = asked.join(wanted.select("_band").distinct(), "_band", "left_semi")
-    wanted_keys = wanted.join(asked.select("_band").distinct(), "_band", "left_semi")
-    left = asked_keys.join(here.select("_id", "_set"), "_id")
-    right = wanted_keys.join(there.select("_id", F.col("_set").alias("_other")), "_id").select(F.col("_band").alias("_b2"), "_other")
+    signed = bands(once.withColumn("_id", name), ["_text", "_in0", "_in1", "_id", "_set"])
+    signed = settled(signed, "word-sets")
+    asked_by = signed.where("_in1").select("_text", "_id")
+    keys = signed.select("_id", "_in0", "_in1", F.explode("_bands").alias("_band"))
+    keys = keys.groupBy("_id", "_band").agg(F.max("_in0").alias("_in0"), F.max("_in1").alias("_in1"))
+    # a set that both sides hold is its own partner; others are candidates where a band is on both sides
+    own = keys.where(F.col("_in0") & F.col("_in1") & F.lit(threshold <= 1)).select("_id")
+    open_keys = keys.where(~(F.col("_in0") & F.col("_in1") & F.lit(threshold <= 1)))
+    asked = open_keys.where("_in1").join(keys.where("_in0").select("_band").distinct(), "_band", "left_semi")
+    wanted = keys.where("_in0").join(open_keys.where("_in1").select("_band").distinct(), "_band", "left_semi")
+    sets = lambda ids: signed.join(ids.select("_id").distinct(), "_id", "left_semi").groupBy("_id").agg(F.first("_set").alias("_set"))
+    left = asked.select("_id", "_band").join(sets(asked), "_id")
+    right = wanted.select("_id", F.col("_band").alias("_b2")).join(sets(wanted), "_id").select("_b2", F.col("_set").alias("_other"))
     near = left.join(right, (F.col("_band") == F.col("_b2")) & (jaccard(F.col("_set"), F.col("_other")) >= threshold), "left_semi")
-    return members.select("_text", "_id").join(near.select("_id").distinct(), "_id", "left_semi").select("_text")
+    found = own.unionByName(near.select("_id")).distinct()
+    return asked_by.join(found, "_id", "left_semi").select("_text")

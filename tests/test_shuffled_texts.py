@@ -30,3 +30,20 @@ def test_few_strata_are_broadcast(spark):
     assert len(joins(got)) == 1 and "broadcast" in got._jdf.queryExecution().optimizedPlan().toString()
     sizes = {r["domain"]: r["count"] for r in df.groupBy("domain").count().collect()}
     assert {r["domain"]: r["count"] for r in got.groupBy("domain").count().collect()} == {d: n * 40 // 100 for d, n in sizes.items()}
+
+
+def test_verified_sets_are_signed_once(spark):
+    words = [f"w{i}" for i in range(40)]
+    same, turned, close, far = " ".join(words), " ".join(words[::-1]), " ".join([*words[:-1], "other"]), "nothing like it"
+    source = spark.createDataFrame([(same,), (far + " at all",), (None,), (" ",)], "t string")
+    target = spark.createDataFrame([(turned,), (close,), (far,), (None,), (" ",), (turned,)], "t string")
+    calls = []
+
+    def bands(sets, keep):
+        calls.append(keep)
+        return sets.select(*keep, F.when(F.size("_w") > 0, F.array(F.lit("all"), F.element_at("_w", 1))).alias("_bands"))
+
+    found = N.verified_partners(source, target, ["t"], F.coalesce("t", F.lit("")), bands, 0.9)
+    keyed = target.select("t", C.digest(F.col("t")).alias("_text")).distinct()
+    assert {r["t"] for r in found.join(keyed, "_text").collect()} == {turned, close}
+    assert found.count() == 2 and len(calls) == 1

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -16,11 +17,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 from ..functions import text as X
 from ..functions.hashing import digest
-from .lookup import settled
+from .lookup import settled, shuffle_partitions
 
 BITS = 64
 
@@ -143,12 +144,23 @@ def _directions(df: DataFrame, vector: str) -> DataFrame:
     finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = df.where(F.coalesce(finite, F.lit(False))).select(vector_digest(vector).alias("_text"), values.alias("_v"))
     some = some.groupBy("_text").agg(F.first("_v").alias("_v"))
-    # scaled by the largest entry first, so that squares neither overflow nor vanish
-    top = F.array_max(F.transform("_v", lambda x: F.abs(x)))
-    some = some.withColumn("_top", top).where(F.col("_top") > 0)
-    scaled = some.select("_text", F.transform("_v", lambda x: x / F.col("_top")).alias("_v"))
-    norm = F.sqrt(F.aggregate(F.transform("_v", lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
-    return scaled.withColumn("_n", norm).select("_text", F.transform("_v", lambda x: x / F.col("_n")).alias("_v"))
+    # in one function: as Column expressions, the norm would be computed again for every entry
+    return some.where(F.exists("_v", lambda x: x != 0)).select("_text", _units(F.col("_v")).alias("_v"))
+
+
+@F.arrow_udf(ArrayType(DoubleType()))
+def _units(vectors: pa.Array) -> pa.Array:
+    """Unit vectors, scaled by the largest entry first, so that squares neither overflow nor vanish."""
+    sizes = pc.list_value_length(vectors).to_numpy()
+    ends = np.cumsum(sizes)
+    flat = vectors.flatten().to_numpy()
+    out = np.zeros(len(flat))
+    for dims in np.unique(sizes):
+        at = (ends[sizes == dims] - dims)[:, None] + np.arange(dims)
+        scaled = flat[at] / np.abs(flat[at]).max(axis=1)[:, None]
+        # summed in the order of the entries
+        out[at] = scaled / np.sqrt(np.cumsum(scaled * scaled, axis=1)[:, -1:])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(out))
 
 
 def vector_digest(vector: str) -> Column:
@@ -168,11 +180,72 @@ def vector_partners(
     tables = hyperplane_tables(threshold, bits, recall)
     codes = _coder(tables, bits)
     keyed = lambda df: _directions(df, vector).select("*", F.size("_v").alias("_size"), F.posexplode(codes(F.col("_v"))).alias("_table", "_key"))
-    wanted = keyed(source).select(*[F.col(c).alias(f"_o{c}") for c in ("_v", "_size", "_table", "_key")])
-    asked = keyed(target)
-    same = (F.col("_table") == F.col("_o_table")) & (F.col("_key") == F.col("_o_key")) & (F.col("_size") == F.col("_o_size"))
-    met = asked.join(wanted, same & (cosine(F.col("_v"), F.col("_o_v")) >= threshold), "left_semi")
-    return met.select("_text").distinct()
+    bucket = ["_size", "_table", "_key"]
+    wanted, asked = keyed(source), keyed(target)
+    # a bucket of many source vectors is cut into parts, all of which its target vectors meet;
+    # there are at most vectors * tables / BUCKET such buckets
+    large = wanted.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > BUCKET)
+    large = F.broadcast(large.select(*bucket, F.ceil(F.col("_n") / BUCKET).cast("int").alias("_parts")))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    wanted = wanted.join(large, bucket, "left").withColumn("_part", F.pmod(F.xxhash64("_text"), parts).cast("int"))
+    asked = asked.join(large, bucket, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    sides = [df.select(*bucket, "_part", F.lit(side).alias("_side"), "_text", "_v") for side, df in enumerate((wanted, asked))]
+    together = sides[0].unionByName(sides[1])
+    # a numbered exchange keeps its partitions: rows are few, their work is not
+    count = max(source.sparkSession.sparkContext.defaultParallelism, shuffle_partitions(source))
+    place = [*bucket, "_part", "_side"]
+    sorted_rows = together.repartition(count, *bucket, "_part").sortWithinPartitions(*place)
+    return sorted_rows.mapInArrow(_matcher(threshold), "_text string").distinct()
+
+
+#: Source vectors of a bucket that a task holds at once, and vectors compared with them in one product.
+BUCKET, ASKED = 16_384, 1_024
+#: Inner products this near the threshold are summed again in the order of `cosine`.
+CLOSE = 1e-9
+
+
+def _matcher(threshold: float):
+    """Rows sorted by bucket, source vectors first, to the `_text` of target vectors near one of them.
+
+    Source vectors of one bucket are held as a matrix; target vectors are multiplied with it as they come.
+    """
+
+    def near(asked: np.ndarray, held: np.ndarray) -> np.ndarray:
+        best = np.zeros(len(asked), bool)
+        for lo in range(0, len(asked), ASKED):
+            product = asked[lo : lo + ASKED] @ held.T
+            best[lo : lo + ASKED] = (product >= threshold + CLOSE).any(axis=1)
+            for i, j in np.argwhere(np.abs(product - threshold) < CLOSE):
+                if not best[lo + i]:
+                    best[lo + i] = np.cumsum(asked[lo + i] * held[j])[-1] >= threshold
+        return best
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts, held = None, [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("_size", "_table", "_key", "_part", "_side")], axis=1)
+            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            vectors, texts, hits = b.column("_v"), b.column("_text"), []
+            for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), b.num_rows], strict=True):
+                *at, side = keys[lo].tolist()
+                if at != bucket:
+                    bucket, parts, held = at, [], None
+                if side and not parts:
+                    continue
+                rows = vectors.slice(lo, hi - lo).flatten().to_numpy().reshape(hi - lo, at[0])
+                if not side:
+                    # copied, so that no batch stays whole behind its few rows
+                    parts.append(rows.copy())
+                    continue
+                held = np.concatenate(parts) if held is None else held
+                hits.append(lo + np.flatnonzero(near(rows, held)))
+            if hits:
+                found = pa.array(np.concatenate(hits))
+                yield pa.RecordBatch.from_arrays([pc.unique(texts.take(found))], names=["_text"])
+
+    return match
 
 
 # --- verified word sets --------------------------------------------------------------------

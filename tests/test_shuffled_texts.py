@@ -47,3 +47,19 @@ def test_verified_sets_are_signed_once(spark):
     keyed = target.select("t", C.digest(F.col("t")).alias("_text")).distinct()
     assert {r["t"] for r in found.join(keyed, "_text").collect()} == {turned, close}
     assert found.count() == 2 and len(calls) == 1
+
+
+@pytest.mark.parametrize("dims", [1, 3])
+def test_large_buckets_are_cut_into_parts(spark, monkeypatch, dims):
+    monkeypatch.setattr(N, "BUCKET", 3)
+    monkeypatch.setattr(N, "ASKED", 2)
+    rng = np.random.default_rng(dims)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(90, dims)))]
+    odd = [(900, None), (901, [float("nan")] * dims), (902, [0.0] * dims), (903, []), (904, [1.0] * (dims + 1)), (905, [1e200] * dims), (906, [1e-200] * dims)]
+    df = spark.createDataFrame(rows + odd, "i long, v array<double>").repartition(4)
+    source, target = df.where("i % 2 = 0"), df.where("i % 2 = 1")
+    found = N.vector_partners(source, target, "v", 0.95, bits=2, recall=1 - 1e-9)
+    got = {r["i"] for r in found.join(target.withColumn("_text", N.vector_digest("v")), "_text").collect()}
+    unit = {i: np.array(v) / max(map(abs, v)) for i, v in rows + odd if v and len(v) == dims and max(v) != 0 and v[0] == v[0]}
+    cos = lambda a, b: a @ b / np.sqrt((a @ a) * (b @ b))
+    assert got == {i for i, v in unit.items() if i % 2 and any(j % 2 == 0 and cos(v, w) >= 0.95 for j, w in unit.items())}

@@ -100,10 +100,12 @@ def augmentation_stats(df: DataFrame, augmented: DataFrame) -> DataFrame:
 
 def mark_cleanup(df: DataFrame, order: str = "id") -> DataFrame:
     """`_fate` of each row: 'empty', 'duplicate' of an earlier (en, ka) pair, or 'kept'."""
-    # blankness depends on the pair alone, so a group of equal pairs is blank as a whole
-    marked = mark_duplicates(df, ["en", "ka"], order, "_later")
-    fate = F.when(~final_empty_filter(), "empty").when(F.col("_later"), "duplicate").otherwise("kept")
-    return marked.withColumn("_fate", fate).drop("_later")
+    # blankness depends on the pair alone, so a group of equal pairs is blank as a whole; it is
+    # judged before the join with the duplicates, which texts then enter only if they are read behind it
+    judged = df.withColumn("_blank", ~final_empty_filter())
+    marked = mark_duplicates(judged, ["en", "ka"], order, "_later", of=df.columns)
+    fate = F.when(F.col("_blank"), "empty").when(F.col("_later"), "duplicate").otherwise("kept")
+    return marked.withColumn("_fate", fate).drop("_later", "_blank")
 
 
 def final_cleanup(df: DataFrame, order: str = "id") -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators import augmenters as A
+from ..operators.lookup import settled
 from ..plans import preprocess as plan
 from ..plans.spec import load_spec
 from ..registry import augmenters
@@ -233,7 +234,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    base = pairs(spark, sf).withColumn("dataset", F.col("domain"))
+    # written once: the input and each augmenter read it
+    base = settled(pairs(spark, sf), "pairs").withColumn("dataset", F.col("domain"))
     steps = [s for s in load_spec(AUGMENT_SPEC).enabled("augmenters") if s.name != "restructure_to_longer_texts"]
     marked = plan.mark_cleanup(plan.augment(base, steps, {"random_seed": 42}), "id")
     summary = plan.preprocessing_summary(base, marked)

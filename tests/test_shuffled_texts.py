@@ -22,6 +22,17 @@ def joins(df) -> list[str]:
     return found
 
 
+def test_fates_are_joined_without_texts(spark):
+    rows = [("a", "x", "y", "d1"), ("b", "x", "y", "d2"), ("b", "x", "y", "d2"), ("c", " ", "y", "d1"), ("c", " ", "y", "d1"), ("e", None, "y", "d3")]
+    df = spark.createDataFrame(rows * 3, "id string, en string, ka string, domain string").repartition(3)
+    marked = preprocess.mark_cleanup(df)
+    assert marked.columns == [*df.columns, "_fate"]
+    narrow = marked.select("domain", "_fate")
+    assert joins(narrow) and not any("en#" in o or "ka#" in o for o in joins(narrow))
+    counts = {(r["domain"], r["_fate"]): r["count"] for r in narrow.groupBy("domain", "_fate").count().collect()}
+    assert counts == {("d1", "kept"): 1, ("d1", "duplicate"): 2, ("d2", "duplicate"): 6, ("d1", "empty"): 6, ("d3", "empty"): 3}
+
+
 def test_few_strata_are_broadcast(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("id"), (F.col("id") % 7).cast("string").alias("domain"), F.lit("t").alias("text"))
     df = df.withColumn("domain", F.nullif("domain", F.lit("3")))

@@ -9,82 +9,161 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from ..functions import constants as K
-from .lookup import settled
+from .lookup import settled, small_batches
 from .profile import most_frequent
 
 MOST_TERMS = 200_000  # some 10 MB
 TERM = r"[\p{L}\p{N}_]{2,}"
 
 
-@F.arrow_udf(ArrayType(StructType().add("term", StringType()).add("tf", LongType())))
-def _counted(terms: pa.Array) -> pa.Array:
-    """How often each term occurs in its list; the lists of a batch are counted together."""
-    coded = terms.flatten().dictionary_encode()
-    size = max(1, len(coded.dictionary))
-    row = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy())
-    both, tf = np.unique(row * size + coded.indices.to_numpy(), return_counts=True)
-    offsets = np.searchsorted(both // size, np.arange(len(terms) + 1)).astype(np.int32)
-    items = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(both % size)), pa.array(tf)], names=["term", "tf"])
-    return pa.ListArray.from_arrays(pa.array(offsets), items)
+BREAK = r"[^\p{L}\p{N}_]+"
+#: Bytes of texts, or of counted terms, that a task works on at a time.
+PIECE = 1 << 20
+
+ENTRY = StructType().add("term", StringType()).add("feature", IntegerType()).add("weight", DoubleType())
+#: The entries of a row as 32-bit integers and doubles, one behind the other.
+PACKED = StructType().add("feature", BinaryType()).add("weight", BinaryType())
+COUNTED = StructType().add("words", StringType()).add("tf", BinaryType())
+
+
+def pieces(texts: pa.Array, size: int = 0) -> Iterator[slice]:
+    """Whole rows, about `size` bytes of these texts together."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo, size = 0, size or PIECE
+    while lo < len(texts):
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield slice(lo, hi)
+        lo = hi
+
+
+def _split(joined: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Row and word of every word of texts whose words are parted by single spaces."""
+    lists = pc.split_pattern(joined, " ")
+    words, row = lists.flatten(), np.repeat(np.arange(len(joined)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    held = pc.not_equal(words, "")
+    return row[held.to_numpy(zero_copy_only=False)], words.filter(held)
+
+
+def _counted_piece(texts: pa.Array) -> pa.Array:
+    row, words = _split(texts)
+    coded = words.dictionary_encode()
+    known, code = coded.dictionary, coded.indices.to_numpy()
+    terms = pc.and_not(pc.greater(pc.utf8_length(known), 1), pc.is_in(known, value_set=pa.array(K.STOP_WORDS, known.type)))
+    held = terms.to_numpy(zero_copy_only=False)[code]
+    both, tf = np.unique(row[held] * max(1, len(known)) + code[held], return_counts=True)
+    offsets = np.searchsorted(both // max(1, len(known)), np.arange(len(texts) + 1)).astype(np.int32)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), known.take(pa.array(both % max(1, len(known))))), " ")
+    return pa.StructArray.from_arrays([joined.cast(pa.string()), packed(offsets, tf.astype(np.int32))], names=["words", "tf"])
+
+
+def packed(offsets: np.ndarray, numbers: np.ndarray) -> pa.Array:
+    """The numbers of each row as bytes; row i holds those from offsets[i] up to offsets[i + 1]."""
+    ends = pa.py_buffer((offsets * numbers.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, ends, pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
+def unpacked(rows: pa.Array, kind: type) -> np.ndarray:
+    """All numbers of such rows, one row's behind the other's."""
+    ends = np.frombuffer(rows.buffers()[1], np.int32, len(rows) + 1, rows.offset * 4) if len(rows) else np.zeros(1, np.int32)
+    size = np.dtype(kind).itemsize
+    data = rows.buffers()[2]
+    return np.frombuffer(data, kind, (ends[-1] - ends[0]) // size, ends[0]) if ends[-1] > ends[0] else np.zeros(0, kind)
+
+
+@F.arrow_udf(COUNTED)
+def _counted(texts: pa.Array) -> pa.Array:
+    """How often each term occurs in its text: the terms, parted by spaces, and their numbers."""
+    parts = [_counted_piece(texts[p]) for p in pieces(texts)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("words", pa.string()), ("tf", pa.binary())]))
 
 
 def terms(df: DataFrame, key: str, text) -> DataFrame:
     """(key, terms): how often each lower-cased word of two and more characters occurs in a row, stop words left out."""
-    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TERM})"), 1)
-    return df.select(key, _counted(F.filter(found, lambda t: ~t.isin(K.STOP_WORDS))).alias("terms"))
+    return df.select(key, _counted(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BREAK, " ")).alias("terms"))
 
 
-def _weigher(table: pa.Table):
-    """Arrow function: counted terms to (term, feature, weight) with the weights of a row of length 1."""
-    words, feature = (table.column(c).combine_chunks() for c in ("term", "feature"))
-    idf = table.column("_idf").to_numpy()
+def _term_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences and rows of each term, added up for some rows after the other."""
+    for batch in batches:
+        for part in pieces(batch.column(0), 4 * PIECE):
+            words, tf = (c[part] for c in batch.columns)
+            coded = _split(words)[1].dictionary_encode()
+            code, size = coded.indices.to_numpy(), len(coded.dictionary)
+            n = np.bincount(code, unpacked(tf, np.int32), size).astype(np.int64)  # whole numbers below 2^53
+            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(n), pa.array(np.bincount(code, minlength=size))], names=["term", "n", "df"])
 
-    @F.arrow_udf(ArrayType(StructType().add("term", StringType()).add("feature", IntegerType()).add("weight", DoubleType())))
-    def weigh(counted: pa.Array) -> pa.Array:
-        items = counted.flatten()
-        row = np.repeat(np.arange(len(counted)), pc.list_value_length(counted).to_numpy())
-        term, tf = items.field("term"), items.field("tf").to_numpy(zero_copy_only=False)
-        at = pc.fill_null(pc.index_in(term, value_set=words.cast(term.type)), -1).to_numpy()
-        known = np.flatnonzero(at >= 0)
-        at, row = at[known], row[known]
-        weight = tf[known] * idf[at]
-        norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(counted)))
-        parts = [term.take(pa.array(known)), feature.take(pa.array(at)), pa.array(weight / norm[row])]
-        offsets = np.searchsorted(row, np.arange(len(counted) + 1)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(parts, names=["term", "feature", "weight"]))
 
-    return weigh
+def _weigher(table: pa.Table, shape: str):
+    """Function of batches (key, words, tf): the entries of a row with the weights of a row of length 1, in one of three shapes."""
+    vocabulary, feature = (table.column(c).combine_chunks() for c in ("term", "feature"))
+    idf = table.column("_idf").to_numpy()
 
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name = batch.schema.names[0]
+            for part in pieces(batch.column(1)):
+                key, words, tf = (c[part] for c in batch.columns)
+                row, term = _split(words)
+                at = pc.fill_null(pc.index_in(term, value_set=vocabulary.cast(term.type)), -1).to_numpy(zero_copy_only=False)
+                known = np.flatnonzero(at >= 0)
+                at, row, term = at[known], row[known], term.take(pa.array(known))
+                weight = unpacked(tf, np.int32)[known] * idf[at]
+                weight /= np.sqrt(np.bincount(row, weight * weight, minlength=len(key)))[row]
+                entries = [term, feature.take(pa.array(at)), pa.array(weight)]
+                offsets = np.searchsorted(row, np.arange(len(key) + 1)).astype(np.int32)
+                if shape == "flat":
+                    yield pa.RecordBatch.from_arrays([key.take(pa.array(row)), *entries], names=[name, *ENTRY.names])
+                    continue
+                if shape == "packed":
+                    both = [packed(offsets, entries[1].to_numpy().astype(np.int32)), packed(offsets, weight)]
+                    lists = pa.StructArray.from_arrays(both, names=["feature", "weight"])
+                else:
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(entries, names=ENTRY.names))
+                yield pa.RecordBatch.from_arrays([key, lists], names=[name, "entries"])
 
-def tfidf_rows(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
-    """(key, entries of term, feature, weight): tf * (ln((1+N)/(1+df)) + 1), rows of length 1.
+    return weigh
 
-    Every row of the table is there, without entries if it holds no term of the vocabulary.
 
-    The vocabulary is the `features` most frequent terms, at most MOST_TERMS; this table goes
-    to the tasks. Terms are counted and weighed within their rows, once: the counted rows and the counts
-    over the corpus go to the checkpoint folder. Only the latter are shuffled.
-    """
+def _weighed(df: DataFrame, key: str, text, features: int, shape: str) -> DataFrame:
     if features > MOST_TERMS:
         raise ValueError(f"at most {MOST_TERMS} features, not {features}")
-    counts = settled(terms(df, key, text), "terms")
-    stats = counts.select(F.inline("terms")).groupBy("term").agg(F.sum("tf").alias("_n"), F.count(F.lit(1)).alias("_df"))
-    stats = settled(stats, "term-counts")
+    with small_batches(df.sparkSession):
+        counts = settled(terms(df, key, text), "terms")
+        sums = counts.select("terms.words", "terms.tf").mapInArrow(_term_sums, "term string, n long, df long")
+        stats = settled(sums.groupBy("term").agg(F.sum("n").alias("_n"), F.sum("df").alias("_df")), "term-counts")
     by_count = [F.desc("_n"), F.asc("term")]
     vocabulary = most_frequent(stats, features, "term", "_n")
     vocabulary = vocabulary.withColumn("feature", F.row_number().over(Window.orderBy(*by_count)) - 1)
     n = counts.count()  # one number
     idf = F.log(F.lit(1.0 + n) / (F.col("_df") + 1)) + 1
-    weigh = _weigher(vocabulary.select("term", "feature", idf.alias("_idf")).toArrow())
-    return counts.select(key, weigh(F.col("terms")).alias("entries"))
+    weigh = _weigher(vocabulary.select("term", "feature", idf.alias("_idf")).toArrow(), shape)
+    of_row = {"rows": ArrayType(ENTRY), "packed": PACKED}
+    kept = [StructField("entries", of_row[shape])] if shape in of_row else ENTRY.fields
+    schema = StructType([StructField(key, counts.schema[key].dataType), *kept])
+    return counts.select(key, "terms.words", "terms.tf").mapInArrow(weigh, schema)
+
+
+def tfidf_rows(df: DataFrame, key: str, text, features: int = 5000, pack: bool = False) -> DataFrame:
+    """(key, entries of term, feature, weight): tf * (ln((1+N)/(1+df)) + 1), rows of length 1.
+
+    Every row of the table is there, without entries if it holds no term of the vocabulary.
+    `pack` gives the entries of a row as two byte strings instead (PACKED), for `latent.lsa`.
+
+    The vocabulary is the `features` most frequent terms, at most MOST_TERMS; this table goes
+    to the tasks. Terms are counted and weighed within their rows, once: the counted rows and the counts
+    over the corpus go to the checkpoint folder. Only the latter are shuffled. Tasks work on pieces of
+    about PIECE bytes, whatever the size of an Arrow batch.
+    """
+    return _weighed(df, key, text, features, "packed" if pack else "rows")
 
 
 def tfidf(df: DataFrame, key: str, text, features: int = 5000) -> DataFrame:
     """(key, term, feature, weight): the entries of `tfidf_rows`, a row each."""
-    return tfidf_rows(df, key, text, features).select(key, F.inline("entries"))
+    return _weighed(df, key, text, features, "flat")
 
 
 #: Characters whose grams are counted together; grams whose places a task remembers.

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -421,6 +423,40 @@ def test_terms_are_counted_once(spark):
     assert {r["id"]: [e["term"] for e in r["entries"]] for r in rows.collect()} == {1: ["red", "fox"], 2: ["red", "hen"], 3: []}
 
 
+def test_terms_of_a_batch_are_counted_and_weighed_in_pieces(spark, monkeypatch):
+    """A task holds the words of a piece, not of an Arrow batch; pieces change no count."""
+    texts = ["red the fox x red", "", None, "of", "hen 12 a_b", "ფოქსი red ა é éé"] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").coalesce(1)
+    want = {}
+    for i, t in enumerate(texts):
+        kept = [w for w in (t or "").split() if len(w) > 1 and w not in ("the", "of")]
+        want[i] = {w: kept.count(w) for w in kept}
+    joined = pa.array([(t or "") for t in texts])
+    for size in (1, 16, 1 << 20):
+        monkeypatch.setattr(M2, "PIECE", size)
+        counted = M2._counted.func(joined)
+        got = [dict(zip(c["words"].split(), np.frombuffer(c["tf"], np.int32).tolist())) for c in counted.to_pylist()]
+        assert got == list(want.values())
+        sums = pa.Table.from_batches(M2._term_sums([pa.RecordBatch.from_arrays([counted.field("words"), counted.field("tf")], names=["w", "n"])]))
+        red = [(n, d) for t, n, d in zip(*(sums.column(c).to_pylist() for c in ("term", "n", "df"))) if t == "red"]
+        assert (sum(n for n, _ in red), sum(d for _, d in red)) == (9, 6)
+    monkeypatch.undo()
+    many = pa.array([" ".join(f"w{j % 97}" for j in range(600))] * 5000)
+    tracemalloc.start()
+    M2._counted.func(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    flat = {(r["id"], r["term"], r["feature"], round(r["weight"], 9)) for r in M2.tfidf(df, "id", F.col("t"), 4).collect()}
+    rows = M2.tfidf_rows(df, "id", F.col("t"), 4).collect()
+    assert flat == {(r["id"], e["term"], e["feature"], round(e["weight"], 9)) for r in rows for e in r["entries"]}
+    assert len(rows) == len(texts) and {t for _, t, *_ in flat} == {"red", "12", "a_b", "fox"}
+    packed = {r["id"]: (np.frombuffer(r["entries"]["feature"], np.int32).tolist(), np.frombuffer(r["entries"]["weight"])) for r in M2.tfidf_rows(df, "id", F.col("t"), 4, pack=True).collect()}
+    for r in rows:
+        assert packed[r["id"]][0] == [e["feature"] for e in r["entries"]]
+        assert packed[r["id"]][1] == pytest.approx([e["weight"] for e in r["entries"]])
+
+
 def test_changed_rows_run_the_step_once(spark, parallel):
     left = parallel([("the colour", "a", "b", "c", "x"), ("plain", "a", "b", "c", "y")]).select("title", "ka", "en", "domain", "id")
     df = left.join(spark.createDataFrame([("x",), ("y",)], "id string").hint("merge"), "id")

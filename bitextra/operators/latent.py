@@ -1,7 +1,7 @@
 """Latent semantics and clusters of sparse rows, by passes that send one small sum per task.
 
-Every pass reads the cached rows once as Arrow batches; a task adds up its share and sends one partial
-table. Tasks are merged to a few per core first, so the partial tables grow with cores, not with rows.
+Every pass reads the packed rows in the checkpoint folder once as Arrow batches; a task adds up its share, some
+rows after the other, and sends one partial table. Tasks are merged to a few per core first, so the partial tables grow with cores, not with rows.
 """
 
 from __future__ import annotations
@@ -12,49 +12,78 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
+from .lookup import settled, small_batches
+from .mining import PACKED, packed, unpacked
 from .preprocessors import preview
 from ..functions.hashing import hash_key
 
-STEP = 1 << 17  # entries, or rows times centres, that a task holds as a dense block
+STEP = 1 << 17  # an eighth of the numbers that a task holds as a dense block: entries times loadings, or rows times centres
+ROWS = 64
 
 
 def _few_tasks(df: DataFrame) -> DataFrame:
     return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
-def _flat(entries: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, feature and weight of every entry of a batch; NULL rows have none."""
-    items = entries.flatten()
-    size = pc.fill_null(pc.list_value_length(entries), 0).to_numpy()
-    row = np.repeat(np.arange(len(entries)), size)
-    return row, items.field("feature").to_numpy(), items.field("weight").to_numpy()
+def _part(entries: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, feature and weight of every entry of some rows, lists or packed (mining.PACKED); NULL rows have none."""
+    if pa.types.is_struct(entries.type):
+        both = [entries.field("feature"), entries.field("weight")]
+        size = pc.fill_null(pc.binary_length(both[0]), 0).to_numpy(zero_copy_only=False) // 4
+        numbers = unpacked(both[0], np.int32), unpacked(both[1], np.float64)
+    else:
+        size = pc.fill_null(pc.list_value_length(entries), 0).to_numpy(zero_copy_only=False)
+        items = entries.flatten()
+        numbers = items.field("feature").to_numpy(), items.field("weight").to_numpy()
+    return np.repeat(np.arange(len(entries)), size), *numbers
 
 
-def _steps(row: np.ndarray) -> Iterator[slice]:
-    """Whole rows, about STEP entries together."""
-    lo = 0
-    while lo < len(row):
-        hi = len(row) if lo + STEP >= len(row) else int(np.searchsorted(row, row[lo + STEP]))
-        if hi <= lo:
-            hi = int(np.searchsorted(row, row[lo], side="right"))
-        yield slice(lo, hi)
+def _sizes(entries: pa.Array) -> np.ndarray:
+    size = pc.binary_length(entries.field("feature")) if pa.types.is_struct(entries.type) else pc.list_value_length(entries)
+    return pc.fill_null(size, 0).to_numpy(zero_copy_only=False) // (4 if pa.types.is_struct(entries.type) else 1)
+
+
+def _flat(entries: pa.Array, width: int = 1, most: int = 1 << 62) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, rows, row behind the first, feature, weight of the entries) of at most `most` whole rows, about 8 STEP / width entries, together."""
+    ends, lo, step = np.cumsum(_sizes(entries), dtype=np.int64), 0, max(1, 8 * STEP // max(1, width))
+    while lo < len(entries):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + step, side="right")))
+        hi = min(hi, lo + most)
+        yield lo, hi - lo, *_part(entries[lo:hi])
         lo = hi
 
 
-def _heads(sorted_numbers: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.diff(sorted_numbers, prepend=-1))
+def pack(rows: DataFrame, key: str) -> DataFrame:
+    """(key, entries) with the entries of a row as two byte strings; packed rows stay as they are."""
+    if isinstance(rows.schema["entries"].dataType, StructType):
+        return rows.select(key, "entries")
+
+    def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entries, size = batch.column(1), _sizes(batch.column(1))
+            _, feature, weight = _part(entries)
+            offsets = np.concatenate([[0], np.cumsum(size)])
+            both = [packed(offsets, feature.astype(np.int32)), packed(offsets, weight.astype(np.float64))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.StructArray.from_arrays(both, names=["feature", "weight"])], names=[key, "entries"])
 
+    schema = StructType([StructField(key, rows.schema[key].dataType), StructField("entries", PACKED)])
+    return rows.select(key, "entries").mapInArrow(packing, schema)
 
-def _products(entries: pa.Array, loadings: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """(rows, their products with the loadings, and row number within these, feature, weight of the entries)."""
-    row, feature, weight = _flat(entries)
-    for part in _steps(row):
-        heads = _heads(row[part])
-        f, w = feature[part], weight[part]
-        local = np.searchsorted(row[part][heads], row[part])
-        yield row[part][heads], np.add.reduceat(w[:, None] * loadings[f], heads), local, f, w
+
+def _dense(entries: pa.Array, features: int, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, features, rows x these features): some rows after the other as a dense block of the features they hold.
+
+    A block has at most ROWS rows, so a matrix product costs an entry at most ROWS times as much as a sparse one would, and in fact far less.
+    """
+    for lo, n, row, f, w in _flat(entries, width, ROWS):
+        held = np.zeros(features, bool)
+        held[f] = True
+        used = np.flatnonzero(held)
+        at = np.zeros(features, np.int64)
+        at[used] = np.arange(len(used))
+        yield lo, used, np.bincount(row * len(used) + at[f], w, n * len(used)).reshape(n, len(used))
 
 
 def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
@@ -64,10 +93,8 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size, width))
         for batch in batches:
-            for _, product, local, f, w in _products(batch.column(0), q):
-                order = np.argsort(f, kind="stable")
-                heads = _heads(f[order])
-                total[f[order][heads]] += np.add.reduceat((w[:, None] * product[local])[order], heads)
+            for _, used, x in _dense(batch.column(0), size, width):
+                total[used] += x.T @ (x @ q[used])
         used = np.flatnonzero(total.any(axis=1)).astype(np.int32)
         offsets = np.arange(0, width * len(used) + 1, width, dtype=np.int32)
         sums = pa.ListArray.from_arrays(pa.array(offsets), pa.array(total[used].ravel()))
@@ -81,14 +108,32 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     return out
 
 
+def _moments(rows: DataFrame, features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the weights of each feature and of their squares."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, features))
+        for batch in batches:
+            for *_, f, w in _flat(batch.column(0)):
+                sums += np.bincount(f, w, features), np.bincount(f, w * w, features)
+        used = np.flatnonzero(sums[1])
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *map(pa.array, sums[:, used])], names=["feature", "a", "b"])
+
+    parts = _few_tasks(rows.select("entries")).mapInArrow(partial, "feature int, a double, b double")
+    found = parts.groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow()
+    out = np.zeros((2, features))
+    out[:, found.column(0).to_numpy()] = found.column(1).to_numpy(), found.column(2).to_numpy()
+    return out[0], out[1]
+
+
 def _projected(loadings: np.ndarray) -> Callable[[Column], Column]:
     k = loadings.shape[1]
 
     @F.arrow_udf(ArrayType(DoubleType()))
     def project(entries: pa.Array) -> pa.Array:
         out = np.zeros((len(entries), k))
-        for at, product, *_ in _products(entries, loadings):
-            out[at] = product
+        for lo, used, x in _dense(entries, *loadings.shape):
+            out[lo : lo + len(x)] = x @ loadings[used]
         return pa.ListArray.from_arrays(pa.array(np.arange(0, k * len(out) + 1, k, dtype=np.int32)), pa.array(out.ravel()))
 
     return project
@@ -124,16 +169,19 @@ def principal_loadings(
 def lsa(rows: DataFrame, key: str, features: int = 5000, k: int = 50, passes: int = 12) -> tuple[DataFrame, float]:
     """((key, vector), explained variance ratio): truncated SVD of the sparse rows `entries`.
 
-    Every row has a vector, one without entries (or with NULL) the zero vector. The rows stay cached
-    for whatever reads the vectors. The driver holds matrices of features x (k + 10) numbers.
+    Every row has a vector, one without entries (or with NULL) the zero vector. The rows go to the checkpoint
+    folder as byte strings of numbers, which every pass and whatever reads the vectors take from there; no
+    executor's memory holds them. The driver holds matrices of features x (k + 10) numbers.
     """
-    rows = rows.select(key, "entries").persist()
-    loadings = principal_loadings(rows, features, k, passes)
-    vectors = rows.select(key, _projected(loadings)(F.col("entries")).alias("vector"))
-    kept = vectors.agg(*[F.var_pop(F.col("vector")[j]).alias(f"v{j}") for j in range(loadings.shape[1])]).first()
-    n = rows.count()
-    spread = F.sum(F.col("weight") ** 2) / n - (F.sum("weight") / n) ** 2
-    total = rows.select(F.inline("entries")).groupBy("feature").agg(spread.alias("var")).agg(F.sum("var")).first()[0]
+    with small_batches(rows.sparkSession):
+        rows = settled(pack(rows, key), "sparse-rows")
+        loadings = principal_loadings(rows, features, k, passes)
+        vectors = rows.select(key, _projected(loadings)(F.col("entries")).alias("vector"))
+        kept = vectors.agg(*[F.var_pop(F.col("vector")[j]).alias(f"v{j}") for j in range(loadings.shape[1])]).first()
+        n, total = rows.count(), 0.0
+        if n:
+            first, second = _moments(rows, features)
+            total = float((second / n - (first / n) ** 2).sum())
     return vectors, sum(x or 0.0 for x in kept) / total if total else 0.0
 
 

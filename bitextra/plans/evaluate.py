@@ -40,7 +40,7 @@ OF_WORDS = {"words", "word_lengths", "edges", "longest", "zipf"}
 
 
 def _clustering(df: DataFrame, key: str = "id", features: int = 5000, components: int = 50, max_clusters: int = 10) -> dict[str, DataFrame]:
-    rows = M.tfidf_rows(df, key, F.concat_ws(" ", "ka", "en"), features)
+    rows = M.tfidf_rows(df, key, F.concat_ws(" ", "ka", "en"), features, pack=True)
     vectors, explained = L.lsa(rows, key, features, components)
     clusters, costs, best = L.cluster(vectors, key, max_clusters)
     fits = df.sparkSession.createDataFrame(

@@ -34,7 +34,7 @@ def _(spark, sf):
 
 
 def _vectors(spark, sf):
-    rows = M.tfidf_rows(pairs(spark, sf), "id", F.concat_ws(" ", "ka", "en"), FEATURES)
+    rows = M.tfidf_rows(pairs(spark, sf), "id", F.concat_ws(" ", "ka", "en"), FEATURES, pack=True)
     return L.lsa(rows, "id", FEATURES)
 
 

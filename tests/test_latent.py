@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,20 @@ def test_an_empty_table_has_no_vectors(spark):
         L.cluster(vectors, "id", 3, starts=1)
 
 
+def test_packed_rows_stay_in_no_executors_memory(rows, dense):
+    """Packed and listed entries give the same numbers; the rows are read from the checkpoint folder in every pass."""
+    vectors, ratio = L.lsa(rows, "id", FEATURES, 4)
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" not in plan and "bitextra-sparse-rows" in plan
+    again, same = L.lsa(L.pack(rows, "id"), "id", FEATURES, 4)
+    assert same == pytest.approx(ratio, rel=1e-9)
+    other = {r["id"]: r["vector"] for r in again.collect()}
+    assert all(np.allclose(other[r["id"]], r["vector"], atol=1e-8) for r in vectors.collect())
+    entries = pa.array([[], None, [{"feature": 2, "weight": 1.5}, {"feature": 0, "weight": 2.0}, {"feature": 2, "weight": 0.5}]])
+    blocks = [(lo, used.tolist(), x.tolist()) for lo, used, x in L._dense(entries, 4, 1)]
+    assert blocks == [(0, [0, 2], [[0, 0], [0, 0], [2.0, 2.0]])]
+
+
 @pytest.fixture(scope="module")
 def points(spark):
     rng = np.random.default_rng(5)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from .lookup import settled, small_batches
 from .mining import PACKED, packed, unpacked
@@ -188,7 +188,15 @@ def lsa(rows: DataFrame, key: str, features: int = 5000, k: int = 50, passes: in
 # --- clusters ------------------------------------------------------------------------------
 
 
+@F.arrow_udf(BinaryType())
+def _as_bytes(vectors: pa.Array) -> pa.Array:
+    size = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    return packed(np.concatenate([[0], np.cumsum(size)]), vectors.flatten().to_numpy(zero_copy_only=False))
+
+
 def _matrix(vectors: pa.Array) -> np.ndarray:
+    if pa.types.is_binary(vectors.type):
+        return unpacked(vectors, np.float64).reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
     return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
 
 
@@ -293,12 +301,13 @@ def cluster(
     The best of `starts` runs counts for each k (the first at ties). All runs of all k share their
     passes over the rows: a run leaves when its centres moved, squared and summed, by at most
     `tolerance` of the mean variance of a dimension, or after `max_iter` steps. A centre without rows stays
-    where it is. Rows are cached while models are fitted; rows with a NULL vector have no cluster.
+    where it is. Vectors go to the checkpoint folder once, as bytes, where all passes read them; rows with a NULL vector have no cluster.
     The table must hold a vector.
     """
     whole = vectors.where(F.col("vector").isNotNull())
-    cached = whole.select(F.xxhash64(F.col(key).cast("string")).alias("_id"), "vector").persist()
-    data = _few_tasks(cached)
+    with small_batches(vectors.sparkSession):
+        whole = settled(whole.select(key, F.xxhash64(F.col(key).cast("string")).alias("_id"), _as_bytes("vector").alias("vector")), "vectors")
+    data = _few_tasks(whole.select("_id", "vector"))
     seeds = _seeds(data, starts, max_clusters, seed)
     if seeds.size == 0:
         raise ValueError("no vectors to cluster")
@@ -327,7 +336,6 @@ def cluster(
     best_start = {k: min(range(starts), key=lambda s: totals[k, s]) for k in range(2, max_clusters + 1)}  # noqa: B023
     costs = [(k, totals[k, s]) for k, s in best_start.items()]
     best = elbow(costs) if len(costs) > 1 else max_clusters
-    cached.unpersist()
     final = centres[best, best_start[best]]
 
     @F.arrow_udf(IntegerType())

@@ -105,6 +105,14 @@ def test_clusters_find_separate_groups(points):
     assert all(len({got[f"p{j}"] for j in range(i, 400, 4)}) == 1 for i in range(4)) or best < 4
 
 
+def test_vectors_are_written_once_for_all_passes(points):
+    df, x = points
+    clusters, costs, _ = L.cluster(df, "id", 3, starts=2)
+    plan = clusters._jdf.queryExecution().executedPlan().toString()
+    assert "bitextra-vectors" in plan and "InMemoryTableScan" not in plan and clusters.count() == len(x)
+    assert L._matrix(L._as_bytes.func(pa.array(x.tolist()))).tolist() == x.tolist()
+
+
 def test_more_starts_never_cost_more(points):
     df, _ = points
     one = dict(L.cluster(df, "id", 5, starts=1)[1])

@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, St
 
 from ..functions import constants as K
 from .lookup import settled, small_batches
+from .pieces import PIECE, pieces, split_words
 from .profile import most_frequent
 
 MOST_TERMS = 200_000  # some 10 MB
@@ -20,8 +21,6 @@ TERM = r"[\p{L}\p{N}_]{2,}"
 
 
 BREAK = r"[^\p{L}\p{N}_]+"
-#: Bytes of texts, or of counted terms, that a task works on at a time.
-PIECE = 1 << 20
 
 ENTRY = StructType().add("term", StringType()).add("feature", IntegerType()).add("weight", DoubleType())
 #: The entries of a row as 32-bit integers and doubles, one behind the other.
@@ -29,21 +28,9 @@ PACKED = StructType().add("feature", BinaryType()).add("weight", BinaryType())
 COUNTED = StructType().add("words", StringType()).add("tf", BinaryType())
 
 
-def pieces(texts: pa.Array, size: int = 0) -> Iterator[slice]:
-    """Whole rows, about `size` bytes of these texts together."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    lo, size = 0, size or PIECE
-    while lo < len(texts):
-        before = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, before + size, side="right")))
-        yield slice(lo, hi)
-        lo = hi
-
-
 def _split(joined: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Row and word of every word of texts whose words are parted by single spaces."""
-    lists = pc.split_pattern(joined, " ")
-    words, row = lists.flatten(), np.repeat(np.arange(len(joined)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    row, words = split_words(joined)
     held = pc.not_equal(words, "")
     return row[held.to_numpy(zero_copy_only=False)], words.filter(held)
 
@@ -77,7 +64,7 @@ def unpacked(rows: pa.Array, kind: type) -> np.ndarray:
 @F.arrow_udf(COUNTED)
 def _counted(texts: pa.Array) -> pa.Array:
     """How often each term occurs in its text: the terms, parted by spaces, and their numbers."""
-    parts = [_counted_piece(texts[p]) for p in pieces(texts)]
+    parts = [_counted_piece(texts[p]) for p in pieces(texts, PIECE)]
     return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("words", pa.string()), ("tf", pa.binary())]))
 
 
@@ -105,7 +92,7 @@ def _weigher(table: pa.Table, shape: str):
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             name = batch.schema.names[0]
-            for part in pieces(batch.column(1)):
+            for part in pieces(batch.column(1), PIECE):
                 key, words, tf = (c[part] for c in batch.columns)
                 row, term = _split(words)
                 at = pc.fill_null(pc.index_in(term, value_set=vocabulary.cast(term.type)), -1).to_numpy(zero_copy_only=False)

@@ -25,9 +25,9 @@ TABLES: dict[str, Callable[..., DataFrame]] = {
     "chars": P.top_chars,
     "words": P.top_words,
     "word_lengths": P.word_lengths,
-    "bigrams": lambda df: P.top_ngrams(df, 2),
-    "trigrams": lambda df: P.top_ngrams(df, 3),
-    "fourgrams": lambda df: P.top_ngrams(df, 4),
+    "bigrams": lambda df, **counts: P.top_ngrams(df, 2, **counts),
+    "trigrams": lambda df, **counts: P.top_ngrams(df, 3, **counts),
+    "fourgrams": lambda df, **counts: P.top_ngrams(df, 4, **counts),
     "sentences": P.sentence_stats,
     "edges": P.word_edges,
     "numbers": P.number_patterns,
@@ -37,6 +37,8 @@ TABLES: dict[str, Callable[..., DataFrame]] = {
 
 #: Tables of the counts of all words.
 OF_WORDS = {"words", "word_lengths", "edges", "longest", "zipf"}
+#: Tables of n-grams, with their lengths.
+OF_NGRAMS = {"bigrams": 2, "trigrams": 3, "fourgrams": 4}
 
 
 def _clustering(df: DataFrame, key: str = "id", features: int = 5000, components: int = 50, max_clusters: int = 10) -> dict[str, DataFrame]:
@@ -57,7 +59,7 @@ def profile(df: DataFrame, kind: str = "complete", **options) -> dict[str, DataF
     """Named profile tables of a bundle; each is computed when it is read.
 
     `clustering` fits its models at once. A bundle with several tables of word counts counts words
-    first and keeps a row per different word in the checkpoint folder for them.
+    first and keeps a row per different word in the checkpoint folder for them; frequent n-grams of all lengths are found together likewise.
     """
     if kind == "clustering":
         return _clustering(df, **options)
@@ -68,4 +70,8 @@ def profile(df: DataFrame, kind: str = "complete", **options) -> dict[str, DataF
     if len(OF_WORDS & set(names)) > 1:
         counts = settled(P.word_counts(df), "word-counts")
         shared = {name: {"counts": counts} for name in OF_WORDS}
+    lengths = [n for name, n in OF_NGRAMS.items() if name in names]
+    if len(lengths) > 1:
+        counts = P.frequent_ngrams(df, lengths)
+        shared |= {name: {"counts": counts} for name in OF_NGRAMS}
     return {name: TABLES[name](df, **shared.get(name, {})) for name in names}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import tracemalloc
 from collections import Counter
 
@@ -16,6 +17,7 @@ from bitextra.functions import arrays as A
 from bitextra.functions.arrays import ngrams
 from bitextra.operators import augmenters as aug, contamination as C, dedup, encoding as E, lookup as L, metrics as M
 from bitextra.operators import mining as M2, preprocessors as P2
+from bitextra.operators import profile
 from bitextra.operators import sampling as S, scoring, trainlog
 from bitextra.operators.profile import most_frequent
 from bitextra.plans import evaluate as evaluate_plan, preprocess as preprocess_plan
@@ -478,6 +480,47 @@ def test_profile_counts_words_once(spark, parallel):
     assert [r["g"] for r in one.collect()] == [[], [], ["x y z"]]
 
 
+@pytest.mark.parametrize("places", [1, 3, 4096])
+def test_top_ngrams_count_one_by_one_only_what_can_be_among_them(spark, parallel, monkeypatch, places):
+    """Exact with ties, empty tokens and few n-grams, however few places are counted first; a frequent n-gram needs no count of the rare ones."""
+    rnd = random.Random(2)
+    texts = ["", "one", " a  b a  b ", "ü é ü é", None, *(" ".join(rnd.choices("abcdefgh", k=rnd.randint(0, 12))) for _ in range(80))]
+    df = parallel([(t, rnd.choice(texts)) for t in texts]).repartition(3)
+    monkeypatch.setattr(profile, "PLACES", places)
+    monkeypatch.setattr(profile, "PIECE", 64)
+    shared = profile.frequent_ngrams(df, [2, 3, 4], 7)
+    for n in (2, 3, 4):
+        for counts in (None, shared):
+            got = {(r["lang"], r["rank"]): (r["ngram"], r["count"]) for r in profile.top_ngrams(df, n, 7, counts).collect()}
+            every = {(r["lang"], r["ngram"]): r["count"] for r in profile.ngram_counts(df, n).collect()}
+            for lang in ("ka", "en"):
+                best = sorted((-c, g.encode()) for (x, g), c in every.items() if x == lang)[:7]
+                assert [got.pop((lang, i + 1)) for i in range(len(best))] == [(g.decode(), -c) for c, g in best]
+            assert not got
+    long = parallel([("the same words " * 40 + " ".join(f"w{i}" for i in range(500)), "x")])
+    counted = profile.frequent_ngrams(long, [2], 3)
+    assert counted.count() < 600 and profile.top_ngrams(long, 2, 3, counted).count() == 3
+    if places < 4096:
+        assert counted.where("lang = 'en'").count() < 10
+
+
+def test_characters_words_and_digits_are_counted(spark, parallel):
+    rows = [("a b  é 😀 12345 6", "აბ 12 ٣٤"), ("", None), (None, "a\u0000 b"), (" 1234 123456789 b", "x")] * 3
+    df = parallel(rows)
+    texts = [(lang, t) for en, ka in rows for lang, t in (("en", en), ("ka", ka)) if t is not None]
+    assert {(r["lang"], r["char"]): r["count"] for r in profile.char_counts(df).collect()} == Counter((x, c) for x, t in texts for c in t)
+    want = Counter((x, w) for x, t in texts for w in t.strip(" ").split(" "))
+    assert {(r["lang"], r["word"]): r["count"] for r in profile.word_counts(df).collect()} == want
+    mixed = df.withColumn("domain", F.when(F.col("en") != "", F.col("domain"))).withColumn("part", F.length("ka"))
+    by = {(r["domain"], r["part"], r["lang"], r["word"]): r["count"] for r in profile.word_counts(mixed, "domain", "part").collect()}
+    assert by == Counter((("d" if en else None), (None if ka is None else len(ka)), x, w) for en, ka in rows for x, t in (("en", en), ("ka", ka)) if t is not None for w in t.strip(" ").split(" "))
+    counts = {r["pattern"]: r["count"] for r in profile.number_patterns(df).collect()}
+    every = [t for _, t in texts]
+    assert counts == {k: sum(len(re.findall(p.replace(r"\p{Nd}", r"\d"), t)) for t in every) for k, p in profile.NUMBER_PATTERNS.items()}
+    assert [r["count"] for r in profile.number_patterns(df.limit(0)).collect()] == [None] * 5
+    assert "Generate explode" not in _plan(profile.char_counts(df))
+
+
 def test_row_functions_take_arrow_batches_in_pieces():
     over = P2.row_function(str.upper).func
     for n in (0, 1, 600):
